@@ -4,22 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, packing, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = langid.train(docs, keep=~_held_out())
+    return langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), model).drop("text")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_documents(spark, sf_dir), words=4, radius=4, segments=3)
     digits = F.concat(*[F.substring(F.lower(F.hex("fp")), i, 2) for i in range(15, 0, -2)])  # the most significant byte first
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
