@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash
+from . import langid, packing, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,12 @@ def _held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    field = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=~_held_out())
+    return toxicity.tag(docs, field).withColumnRenamed("id", "doc_id").withColumn("held_out", _held_out())
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.train(docs, keep=~_held_out())
