@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,42 +16,48 @@ from .common import chunks, written
 
 #: Pieces in a group that is packed on its own, about.
 GROUP_PIECES = 4096
-#: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 300_000
 
 #: Characters outside ASCII and Latin letters, numbers that are no digits, and separators that engines class differently.
 _OTHER = re.compile("[^\t\n\r -~¡-§©«°±»¿-ɏ–—‘-„…€]")
-_WORD = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_SPACES = re.compile("[\t\n\r ][\t\n\r ]")
+_CUT = re.compile("(?<=[\t\n\r ])(?=[\t\n\r ][^\t\n\r ])")
+_WORD = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 
 class Encoder:
     """Ids of a byte-level BPE file, as little-endian unsigned 32-bit bytes.
 
-    The file's pre-tokenizer cuts a text into words that are encoded one by one, so the
-    ids of a word are kept and reused. Texts with characters beyond the plain ones, or
-    with a special token in them, are encoded as a whole.
+    The merges are done by the faster of the two libraries that know this vocabulary.
+    Of white space before a word, the file's pre-tokenizer leaves the last character to
+    the word; texts are cut there first, so that its pattern needs no look-ahead. Texts
+    with characters beyond the plain ones, or with a special token in them, go to the
+    file's own tokenizer.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = self.tokenizer.get_vocab(with_added_tokens=False)
+        # the file writes each byte as a character: printable ones as themselves, the others from U+0100 on
+        letters = set(ByteLevel.alphabet())
+        plain = {c for c in map(chr, range(256)) if c in letters}
+        byte = {c: ord(c) for c in plain} | dict(zip(sorted(letters - plain), (b for b in range(256) if chr(b) not in plain)))
+        ranks = {bytes(byte[c] for c in token): k for token, k in ids.items() if token not in self.special}
+        self.merge = tiktoken.Encoding("ids", pat_str=_WORD, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _OTHER.search(t) or any(s in t for s in self.special) else _WORD.findall(t) for t in texts]
-        known = self.words
-        new = list({w for words in cut if words for w in words if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list({w for words in cut if words for w in words})
-        known.update(zip(map(sys.intern, new), self._ids(new)))
-        whole = iter(self._ids([t for t, words in zip(texts, cut) if words is None]))
-        return [next(whole) if words is None else b"".join(map(known.__getitem__, words)) for words in cut]
+        return list(map(self.one, texts))
+
+    def one(self, text: str) -> bytes:
+        if _OTHER.search(text) or any(s in text for s in self.special):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if _SPACES.search(text):
+            return b"".join(array("I", self.merge(part)).tobytes() for part in _CUT.split(text))
+        return array("I", self.merge(text)).tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
