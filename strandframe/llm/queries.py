@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash, toxicity
+from . import langid, packing, pii, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.tag(docs, field).withColumnRenamed("id", "doc_id").withColumn("held_out", _held_out())
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return pii.find(docs, pii.learn(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.train(docs, keep=~_held_out())
