@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, pii, simhash, toxicity
+from . import langid, mixing, packing, pii, sharding, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.tag(docs, field).withColumnRenamed("id", "doc_id").withColumn("held_out", _held_out())
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_documents(spark, sf_dir), 24).withColumnRenamed("id", "doc_id")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return pii.find(docs, pii.learn(docs)).withColumnRenamed("id", "doc_id")
@@ -35,6 +39,10 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), model).drop("text")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir).select("doc_id", "text", "source")).drop("text")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_documents(spark, sf_dir), words=4, radius=4, segments=3)
     digits = F.concat(*[F.substring(F.lower(F.hex("fp")), i, 2) for i in range(15, 0, -2)])  # the most significant byte first
