@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, pii, sharding, simhash, toxicity
+from . import langid, media, merkle, mixing, packing, pii, sharding, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.tag(docs, field).withColumnRenamed("id", "doc_id").withColumn("held_out", _held_out())
 
 
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_documents(spark, sf_dir), 24).withColumnRenamed("id", "doc_id")
 
@@ -39,6 +43,10 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), model).drop("text")
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id").withColumnRenamed("items", "n_items")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir).select("doc_id", "text", "source")).drop("text")
 
