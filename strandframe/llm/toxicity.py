@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +22,18 @@ from .simhash import shingle_hashes
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: Bounds of the training sample: toxic and clean documents, bytes of a document, and features kept.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES, MOST_FEATURES = 1500, 4500, 1 << 17, 200_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES, MOST_FEATURES = 500, 2000, 1 << 15, 100_000
 #: Log-likelihood ratio from which a feature marks its tokens.
 EVIDENCE = 20.0
 #: Words whose potentials a worker keeps.
 KEPT_WORDS = 300_000
 
 
-def features(word: str) -> list[str]:
-    """The word in lower case, its prefixes of 4 to 6 letters and its suffix of 4."""
+def features(word: str) -> list[int]:
+    """Hashes of the word in lower case, its prefixes of 4 to 6 letters and its suffix of 4."""
     w = word.lower()
-    return [f"w:{w}", *(f"p:{w[:k]}" for k in (4, 5, 6) if len(w) > k), *([f"s:{w[-4:]}"] if len(w) > 4 else [])]
+    names = [f"w:{w}", *(f"p:{w[:k]}" for k in (4, 5, 6) if len(w) > k), *([f"s:{w[-4:]}"] if len(w) > 4 else [])]
+    return [xxhash.xxh64_intdigest(f) | 1 for f in names]
 
 
 def _marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray, begin: float) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +107,7 @@ def evidence(p: np.ndarray, chain: np.ndarray, n: int) -> np.ndarray:
 class Field:
     """Weights of a fitted field and of the logistic link from its marginals to a document's score."""
 
-    def __init__(self, weights: dict[str, float], trans: np.ndarray, begin: float, bias: float, link: np.ndarray):
+    def __init__(self, weights: dict[int, float], trans: np.ndarray, begin: float, bias: float, link: np.ndarray):
         self.weights, self.trans, self.begin, self.bias, self.link = weights, trans, begin, bias, link
 
     def potential(self, word: str) -> float:
@@ -116,51 +117,61 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(self.link[0] + x @ self.link[1:], -30, 30)))
 
 
-def _ratio(k1: int, n1: int, k0: int, n0: int) -> float:
-    """Log-likelihood ratio of a feature that is more frequent in toxic documents, else 0."""
-    if k1 * n0 <= k0 * n1 * 4:
-        return 0.0
+def _ratio(k1: np.ndarray, n1: int, k0: np.ndarray, n0: int) -> np.ndarray:
+    """Log-likelihood ratio of features in k1 of n1 toxic and k0 of n0 clean documents; 0 unless four times as frequent in toxic ones."""
+
+    def part(k, n, q):
+        return k * np.log(np.maximum(q, 1e-300)) + (n - k) * np.log(np.maximum(1 - q, 1e-300))
+
     rate = (k1 + k0) / (n1 + n0)
-    part = lambda k, n, q: (k * math.log(q) if k else 0.0) + ((n - k) * math.log(1 - q) if n > k else 0.0)
-    return 2 * (part(k1, n1, k1 / n1) + part(k0, n0, k0 / n0) - part(k1, n1, rate) - part(k0, n0, rate))
+    g = 2 * (part(k1, n1, k1 / n1) + part(k0, n0, k0 / n0) - part(k1, n1, rate) - part(k0, n0, rate))
+    return np.where(k1 * n0 > 4 * k0 * n1, g, 0)
 
 
-def label_tokens(docs: list[list[str]], toxic: list[bool]) -> list[np.ndarray]:
-    """Token labels for labelled documents: a token of a toxic document is toxic if one of its features is tied to toxic documents.
+def mark_features(own: list[np.ndarray], toxic: list[bool], size: int) -> np.ndarray:
+    """Which features are tied to toxic documents; ``own``: each document's distinct features.
 
-    Toxic documents without such a token are compared with the clean ones again, by
+    Toxic documents without such a feature are compared with the clean ones again, by
     themselves, until no further feature is found.
     """
-    own = [{f for w in set(words) for f in features(w)} for words in docs]
-    clean = Counter(f for x, y in zip(own, toxic) if not y for f in x)
-    n0, marked = len(toxic) - sum(toxic), set()
-    while True:
-        left = [x for x, y in zip(own, toxic) if y and marked.isdisjoint(x)]
-        seen = Counter(f for x in left for f in x)
-        new = {f for f, k in seen.items() if n0 and _ratio(k, len(left), clean[f], n0) >= EVIDENCE}
-        if not new:
+    count = lambda x: np.bincount(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
+    clean, n0 = count([x for x, y in zip(own, toxic) if not y]), len(toxic) - sum(toxic)
+    marked = np.zeros(size, bool)
+    while n0 and (left := [x for x, y in zip(own, toxic) if y and not marked[x].any()]):
+        new = _ratio(count(left), len(left), clean, n0) >= EVIDENCE
+        if not new[1:].any():
             break
-        marked |= new
-    return [np.array([y and any(f in marked for f in features(w)) for w in words], bool) for words, y in zip(docs, toxic)]
-
-
-def fit(docs: list[list[str]], toxic: list[bool], rate: float, rounds: int = 80, step: float = 0.3, ridge: float = 1e-3) -> Field:
-    """A field from token labels by gradient steps on the log-likelihood, then the link; ``rate``: share of toxic documents to expect."""
-    labels = label_tokens(docs, toxic)
-    count = Counter(f for words in docs for f in {f for w in set(words) for f in features(w)})
-    ids = {f: i + 1 for i, (f, k) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))[:MOST_FEATURES]) if k >= 2}
-    known: dict[str, list[int]] = {}
-    for words in docs:
-        for w in words:
-            if w not in known:
-                own = [ids.get(f, 0) for f in features(w)]
-                known[w] = own + [0] * (5 - len(own))
-    flat = [w for words in docs for w in words]
-    index = np.array([known[w] for w in flat], np.int32).reshape(-1, 5)
+        marked[1:] |= new[1:]
+    return marked
+
+
+def fit(docs: list[list[str]], toxic: list[bool], rate: float, rounds: int = 60, step: float = 0.3, ridge: float = 1e-3) -> Field:
+    """A field from token labels by gradient steps on the log-likelihood, then the link; ``rate``: share of toxic documents to expect.
+
+    A token of a toxic document is labelled toxic if it has a feature tied to toxic documents.
+    """
+    vocab: dict[str, int] = {}
+    ids = [np.array([vocab.setdefault(w, len(vocab)) for w in words], np.int32) for words in docs]
+    table = np.zeros((len(vocab) + 1, 5), np.uint64)  # the last row: no feature
+    for w, k in vocab.items():
+        own = features(w)
+        table[k, : len(own)] = own
+    hashes, of = np.unique(table, return_inverse=True)
+    of = of.reshape(table.shape).astype(np.int32)
+    own = [np.unique(of[np.unique(d)]) for d in ids]
+    labelled = mark_features(own, toxic, len(hashes))[of].any(axis=1)
+    seen = np.bincount(np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int64), minlength=len(hashes))
+    kept = np.flatnonzero(seen >= 2)
+    kept = kept[kept > 0]
+    kept = kept[np.argsort(-seen[kept], kind="stable")][:MOST_FEATURES]
+    compact = np.zeros(len(hashes), np.int32)
+    compact[kept] = np.arange(1, len(kept) + 1)
+    flat = np.concatenate([*ids, np.zeros(0, np.int32)])
+    columns = [np.ascontiguousarray(compact[of[:, c]][flat]) for c in range(5)]
     chain = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     first = np.r_[True, chain[1:] != chain[:-1]] if len(chain) else np.zeros(0, bool)
-    y = np.concatenate([*labels, np.zeros(0, bool)]).astype(float)
-    w, trans, begin, bias = np.zeros(len(ids) + 1), np.zeros((2, 2)), -2.0, -2.0
+    y = (labelled[flat] & np.array(toxic, bool)[chain]).astype(float)
+    w, trans, begin, bias = np.zeros(len(kept) + 1), np.zeros((2, 2)), -2.0, -2.0
     size = w.size + 6
     m, v = np.zeros(size), np.zeros(size)
     inner = np.flatnonzero(~first)
@@ -168,7 +179,7 @@ def fit(docs: list[list[str]], toxic: list[bool], rate: float, rounds: int = 80,
     seen_pairs = np.bincount(pair, minlength=4).reshape(2, 2)
     scale = 1 / max(1.0, y.sum())
     for k in range(1, rounds + 1):
-        e = bias + w[index].sum(1)
+        e = bias + sum(w[c] for c in columns)
         ahead, behind = _marginals(e, first, trans, begin)
         x = ahead * behind
         p = x / (1 + x)
@@ -176,14 +187,14 @@ def fit(docs: list[list[str]], toxic: list[bool], rate: float, rounds: int = 80,
         joint = np.stack([t[0, 0] + 0 * a1, t[0, 1] * pot * b1, a1 * t[1, 0], a1 * t[1, 1] * pot * b1])
         expected = (joint / joint.sum(0)).sum(1).reshape(2, 2)
         miss = y - p
-        g = np.bincount(index.ravel(), np.repeat(miss, 5), w.size)
+        g = sum(np.bincount(c, miss, w.size) for c in columns)
         g[0] = 0
         grad = np.r_[g, (seen_pairs - expected).ravel(), miss[first].sum(), miss.sum()] * scale - ridge * np.r_[w, trans.ravel(), 0, 0]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = step * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         w, trans, begin, bias = w + move[: w.size], trans + move[w.size : w.size + 4].reshape(2, 2), begin + move[-2], bias + move[-1]
         w[0] = 0
-    x = evidence(probabilities(bias + w[index].sum(1), first, trans, begin), chain, len(docs))
+    x = evidence(probabilities(bias + sum(w[c] for c in columns), first, trans, begin), chain, len(docs))
     target, odds = np.array(toxic, float), rate / max(1e-9, 1 - rate)
     own = target.mean() / max(1e-9, 1 - target.mean()) if len(target) else 1.0
     weight = np.where(target == 1, odds / max(own, 1e-9), 1.0)
@@ -192,7 +203,7 @@ def fit(docs: list[list[str]], toxic: list[bool], rate: float, rounds: int = 80,
         q = 1 / (1 + np.exp(-np.clip(z @ link, -30, 30)))
         h = (z * (weight * q * (1 - q))[:, None]).T @ z + np.diag([1e-6, 0.05, 0.05, 0.05])
         link = link + np.linalg.solve(h, z.T @ (weight * (target - q)) - np.array([0, 0.05, 0.05, 0.05]) * link)
-    return Field({f: float(w[i]) for f, i in ids.items() if abs(w[i]) > 1e-3}, trans, float(begin), float(bias), link)
+    return Field({int(hashes[k]): float(x) for k, x in zip(kept, w[1:]) if abs(x) > 1e-3}, trans, float(begin), float(bias), link)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", keep: Column | None = None) -> Field | None:
