@@ -65,7 +65,8 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, most: int = 1000) -> D
     counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
     hot = counts.where(F.col("count") * most > F.lit(total)).select(F.col(key).alias("__hot"))
     values = [c for c in right.columns if c != key]
-    part = right.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "inner").select(F.col(key).alias("__hot"), *[F.col(c).alias(f"__r_{c}") for c in values])
+    known = right.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left_semi").select(F.col(key).alias("__hot"), *[F.col(c).alias(f"__r_{c}") for c in values])
+    part = hot.join(F.broadcast(known), "__hot", "left")
     marked = left.join(F.broadcast(part), F.col(key) == F.col("__hot"), "left")
     done = marked.where(F.col("__hot").isNotNull() | F.col(key).isNull()).select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in values])
     rest = left.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left_anti").where(F.col(key).isNotNull())

@@ -192,12 +192,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return join_hot(own, of, "fp")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 30, segments: int = 11, lanes: int = 3) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 34, segments: int = 11, lanes: int = 3) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, all columns kept.
 
     The row with the smallest id stays (then the smallest hash of its text; rows that
     repeat both stay once). Documents without a word are a group like any other. With
-    the defaults a fingerprint has 192 bits over five-word shingles, and 30 differing
+    the defaults a fingerprint has 192 bits over five-word shingles, and 34 differing
     bits stand for a Jaccard similarity of about 0.8. Rows with a null id stay only if
     no row of the group has an id.
     """
