@@ -177,21 +177,28 @@ def best_pl(pl: Column | str, index: Column | None = None) -> Column:
     return F.when((index < 0) | pl.isNull(), none).otherwise(F.struct(index.cast("int").alias("allele"), F.get(pl, index).cast("int").alias("pl")))
 
 
-def join_pl(d1: Column | str, d2: Column | str) -> Column:
+def join_pl(d1: Column | str, d2: Column | str, fill: Column | str | None = None) -> Column:
     """``struct(pl, gq)``: diploid likelihoods of two haploid arrays over the same alleles.
 
     PL(i, j) is the smaller of d1[i] + d2[j] and d1[j] + d2[i]; what was not observed
-    gets the largest observed value. The smallest becomes 0; GQ is the second smallest,
-    and values are capped at the larger of their range and ten times GQ.
+    comes from ``fill``, an array in the same order, if it is given. The smallest becomes
+    0 and GQ is the second smallest; values are capped at the larger of their range with
+    GQ added and ten times GQ, and what stays unobserved has that value.
     """
     d1, d2 = _col(d1).cast("array<long>"), _col(d2).cast("array<long>")
-    raw = F.transform(genotypes(F.size(d1)), lambda g: F.least(F.get(d1, g["i"]) + F.get(d2, g["j"]), F.get(d1, g["j"]) + F.get(d2, g["i"])))
-    seen = F.filter(raw, lambda x: x < NO_PL)
-    filled = F.transform(raw, lambda x: F.when(x >= NO_PL, F.array_max(seen)).otherwise(x))
-    zero = F.transform(filled, lambda x: x - F.array_min(filled))
-    gq = second_smallest(zero)
-    cap = F.greatest(F.array_max(zero) - F.array_min(zero), 10 * gq)
-    return F.struct(F.transform(zero, lambda x: F.least(x, cap).cast("int")).alias("pl"), gq.cast("int").alias("gq"))
+    pair = lambda x, y: F.when((x >= NO_PL) | (y >= NO_PL), F.lit(NO_PL).cast("long")).otherwise(x + y)
+    raw = F.transform(genotypes(F.size(d1)), lambda g: F.least(pair(F.get(d1, g["i"]), F.get(d2, g["j"])), pair(F.get(d1, g["j"]), F.get(d2, g["i"]))))
+    if fill is not None:
+        raw = F.when(_col(fill).isNull(), raw).otherwise(F.zip_with(raw, _col(fill).cast("array<long>"), lambda e, f: F.when(e < NO_PL, e).otherwise(F.coalesce(f, e))))
+
+    def finished(raw):
+        seen = F.array_sort(F.filter(raw, lambda x: x < NO_PL))
+        low = F.get(seen, F.lit(0))
+        gq = F.get(seen, F.lit(1)) - low
+        cap = F.greatest(F.array_max(seen) - low + gq, 10 * gq)
+        return F.struct(F.transform(raw, lambda x: F.least(x - low, cap).cast("int")).alias("pl"), gq.cast("int").alias("gq"))
+
+    return F.get(F.transform(F.array(raw), finished), F.lit(0))
 
 
 def join_ad(a1: Column | str, a2: Column | str, total0: Column | str | None = None) -> Column:

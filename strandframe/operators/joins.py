@@ -79,7 +79,7 @@ def transfer_annotations(raw: DataFrame, pop: DataFrame, key: str, rules: dict[s
     values = values.groupBy("ctg", "pos", "tref", "talt").agg(*[how[r](f"__p_{f}").alias(f"__p_{f}") for f, r in rules.items()])
     own = by_allele(raw).select(key, "ctg", "pos", "tref", "talt", "allele").join(values, ["ctg", "pos", "tref", "talt"], "left")
     lists = own.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("allele", *[f"__p_{f}" for f in rules]))).alias("__l"))
-    return raw.join(lists, key, "left").withColumns({f"pop_{f}": F.transform("__l", lambda x, f=f: x[f"__p_{f}"]) for f in rules}).drop("__l")
+    return raw.join(lists, key, "left").withColumns({f"pop_{f}": F.col(f"__l.__p_{f}") for f in rules}).drop("__l")
 
 
 def annotate_ids(v: DataFrame, known: DataFrame, key: str) -> DataFrame:

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.alleles import upto
-
 
 def find_peaks(series: DataFrame, distance: int = 1, height: float = 0.0) -> DataFrame:
     """``(id, peaks array<int>)`` of ``(id, series array<double>)``, ids being unique.
@@ -16,17 +14,17 @@ def find_peaks(series: DataFrame, distance: int = 1, height: float = 0.0) -> Dat
     its middle (rounded down); the first and last value are none. Of peaks closer than
     ``distance`` the higher stays, of equal ones the earlier. A null series has null.
     """
-    y, n = F.col("series"), F.size("series")
-    left = F.transform(upto(n), lambda i: (i > 0) & (F.get(y, i) > F.get(y, i - 1)))
-    # the last index of the run that begins at i, by going through the indices from the end
-    ends = F.reverse(F.aggregate(F.reverse(upto(n)), F.array().cast("array<int>"), lambda s, i: F.concat(s, F.array(F.when((F.size(s) > 0) & (F.get(y, i) == F.get(y, i + 1)), F.element_at(s, -1)).otherwise(i)))))
-    rows = series.select("id", "series", left.alias("__up"), ends.alias("__end"))
-    top = F.filter(upto(n), lambda i: F.get("__up", i) & (F.get(y, i) >= height) & (F.get("__end", i) + 1 < n) & (F.get(y, F.get("__end", i) + 1) < F.get(y, i)))
-    middle = F.transform(top, lambda i: F.floor((i + F.get("__end", i)) / 2).cast("int"))
-    rows = rows.select("id", "series", middle.alias("__top"))
-    ordered = F.transform(F.array_sort(F.transform("__top", lambda i: F.struct((-F.get(y, i)).alias("h"), i.alias("i")))), lambda x: x["i"])
-    kept = F.aggregate(ordered, F.array().cast("array<int>"), lambda s, i: F.when(F.exists(s, lambda q: F.abs(q - i) < distance), s).otherwise(F.concat(s, F.array(i))))
-    return rows.select("id", F.when(y.isNotNull(), F.array_sort(kept)).alias("peaks"))
+    w = Window.partitionBy("id").orderBy("i")
+    points = series.select("id", F.posexplode("series").alias("i", "y"))
+    points = points.withColumn("run", F.sum(F.when(F.lag("y").over(w) == F.col("y"), 0).otherwise(1)).over(w))
+    runs = points.groupBy("id", "run").agg(F.min("i").alias("first"), F.max("i").alias("last"), F.first("y").alias("y"))
+    by = Window.partitionBy("id").orderBy("run")
+    runs = runs.withColumns({"before": F.lag("y").over(by), "after": F.lead("y").over(by)})
+    tops = runs.where((F.col("y") >= height) & (F.col("before") < F.col("y")) & (F.col("after") < F.col("y")))
+    ranked = tops.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("y")).alias("h"), F.floor((F.col("first") + F.col("last")) / 2).cast("int").alias("i")))).alias("__ranked"))
+    kept = F.aggregate("__ranked", F.array().cast("array<int>"), lambda s, x: F.when(F.exists(s, lambda q: F.abs(q - x["i"]) < distance), s).otherwise(F.concat(s, F.array(x["i"]))))
+    found = ranked.select("id", F.array_sort(kept).alias("peaks"))
+    return series.select("id", "series").join(found, "id", "left").select("id", F.when(F.col("series").isNotNull(), F.coalesce("peaks", F.array().cast("array<int>"))).alias("peaks"))
 
 
 def best_period(candidates: DataFrame, key: str = "vid", slack: float = 0.01) -> DataFrame:

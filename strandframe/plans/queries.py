@@ -163,8 +163,8 @@ def fraction_overlap(spark, sf_dir):
 
 
 @query(f"""WITH iv AS ({_IV}), d AS (SELECT ctg, t AS tile, greatest("start", t * 86400) AS s, least("end", (t + 1) * 86400) AS e FROM (SELECT *, unnest(range("start" // 86400, ("end" - 1) // 86400 + 1)) AS t FROM iv WHERE "start" < "end")),
-x AS (SELECT ctg, tile, s AS at, 1 AS delta FROM d UNION ALL SELECT ctg, tile, e, -1 FROM d), g AS (SELECT ctg, tile, at, sum(delta) AS delta FROM x GROUP BY ctg, tile, at),
-r AS (SELECT ctg, tile, sum(delta) OVER w AS depth, lead(at) OVER w - at AS bases FROM g WINDOW w AS (PARTITION BY ctg, tile ORDER BY at))
+x AS (SELECT ctg, tile, s AS p, 1 AS delta FROM d UNION ALL SELECT ctg, tile, e, -1 FROM d), g AS (SELECT ctg, tile, p, sum(delta) AS delta FROM x GROUP BY ctg, tile, p),
+r AS (SELECT ctg, tile, sum(delta) OVER w AS depth, lead(p) OVER w - p AS bases FROM g WINDOW w AS (PARTITION BY ctg, tile ORDER BY p))
 SELECT ctg, depth, CAST(sum(bases) AS BIGINT) AS bases FROM r WHERE bases > 0 AND depth > 0 GROUP BY ctg, depth""")
 def coverage_depth(spark, sf_dir):
     iv = _iv(spark, sf_dir)
