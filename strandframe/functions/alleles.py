@@ -107,10 +107,10 @@ def best_genotype(pl: Column | str) -> Column:
 
 
 def two_best_alts(pl: Column | str, n_alt: Column | str) -> Column:
-    """Indices of the alleles to keep of a haploid record: all of at most two ALTs, else the two of smallest PL (the first two without PL), in order."""
+    """Indices of the alleles to keep of a haploid record: all of at most two ALTs, else the two of smallest PL, the best first (the first two without PL)."""
     pl, n = _col(pl), _col(n_alt)
     ranked = F.array_sort(F.transform(upto(n), lambda i: F.struct(F.get(pl, i + 1).alias("p"), (i + 1).alias("i"))))
-    two = F.array_sort(F.transform(F.slice(ranked, 1, 2), lambda x: x["i"]))
+    two = F.transform(F.slice(ranked, 1, 2), lambda x: x["i"])
     keep = F.when(n <= 2, F.transform(upto(n), lambda i: i + 1)).when(pl.isNull(), F.array(F.lit(1), F.lit(2))).otherwise(two)
     return F.concat(F.array(F.lit(0)), keep)
 
