@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alleles as A
 from ..operators import aggregates, filters, intervals, joins, sequence
+from . import gvcf, patch
 
 #: Bins for stand-in intervals, whose unit is the second.
 DAY, SPAN = 86_400, 1 << 18
@@ -322,3 +323,43 @@ def annotate_ids(spark, sf_dir):
     calls = _table(spark, sf_dir, "orders").select("o_orderkey", F.lit("1").alias("ctg"), F.col("o_orderkey").alias("pos"), F.lit("A").alias("ref"), F.array(F.lit("C")).alias("alt"))
     known = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.lit("1").alias("ctg"), F.col("l_orderkey").alias("pos"), F.lit("A").alias("ref"), F.array(F.lit("C")).alias("alt"), F.col("l_partkey").alias("id"))
     return joins.annotate_ids(calls, known, "o_orderkey").select("o_orderkey", F.col("known_id").alias("known"))
+
+
+def _calls(spark, sf_dir):
+    """Haploid and diploid calls from line items: the order is the position, the supplier the contig, the part's bits the genotype."""
+    letters, k = F.array(*map(F.lit, "CGT")), F.col("l_partkey")
+    alt = F.array(F.get(letters, (k % 3).cast("int")), F.get(letters, ((k + 1) % 3).cast("int")))
+    q = F.col("l_quantity").cast("int")
+    rows = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos"), (F.col("l_orderkey") + 1).alias("end"), F.lit(".").alias("id"), F.lit("A").alias("ref"),
+        F.when(k % 2 == 0, alt).otherwise(F.slice(alt, 1, 1)).alias("alt"), F.col("l_extendedprice").alias("qual"), F.when(k % 7 == 0, F.array(F.lit("low"))).otherwise(F.array().cast("array<string>")).alias("filter"),
+        (q + 10).alias("GQ"), q.alias("DP"), (F.col("l_linenumber") % 2 == 0).alias("DELTA"), F.col("l_partkey").alias("file_order"), "l_linenumber", "l_returnflag",
+        F.when(k % 2 == 0, F.array(q, k.cast("int") % 5, k.cast("int") % 11)).otherwise(F.array(q, k.cast("int") % 5)).alias("hPL"),
+        F.when(k % 2 == 0, F.array(*[(k.cast("int") * m) % 37 for m in range(1, 7)])).otherwise(F.array(*[(k.cast("int") * m) % 37 for m in range(1, 4)])).alias("dPL"),
+    )
+    return rows, lambda r: r.withColumns({"GT": F.lit("1"), "PL": F.col("hPL")}), lambda r: r.withColumns({"GT": F.lit("0/1"), "PL": F.col("dPL")})
+
+
+@query()
+def patch_haploid(spark, sf_dir):
+    rows, haploid, _ = _calls(spark, sf_dir)
+    return patch.patch_haploid(haploid(rows.where("l_returnflag = 'A'")), haploid(rows.where("l_returnflag = 'R'")))
+
+
+@query()
+def patch_diploid(spark, sf_dir):
+    rows, _, diploid = _calls(spark, sf_dir)
+    return patch.patch_diploid(diploid(rows.where("l_returnflag = 'A'")), diploid(rows.where("l_returnflag = 'R'")))
+
+
+@query()
+def merge_phased(spark, sf_dir):
+    rows, haploid, diploid = _calls(spark, sf_dir)
+    bed = rows.select("ctg", (F.floor(F.col("pos") / 5000) * 5000).alias("start")).distinct().select("ctg", "start", (F.col("start") + 2500).alias("end"))
+    part = lambda k: rows.where(F.col("l_linenumber") % 4 == k)
+    return patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed)
+
+
+@query("""WITH d AS (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) SELECT CAST(l_suppkey AS VARCHAR) AS ctg, l_orderkey AS pos, lead(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS "__next" FROM d""")
+def next_position(spark, sf_dir):
+    return gvcf._next_start(_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos")))
