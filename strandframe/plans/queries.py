@@ -363,3 +363,61 @@ def merge_phased(spark, sf_dir):
 @query("""WITH d AS (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) SELECT CAST(l_suppkey AS VARCHAR) AS ctg, l_orderkey AS pos, lead(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS "__next" FROM d""")
 def next_position(spark, sf_dir):
     return gvcf._next_start(_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos")))
+
+
+@query(f"""WITH {_SPLIT}, hit AS (SELECT sum(least(a."end", m."end") - greatest(a."start", m."start")) AS x FROM iv a JOIN merged m ON a.ctg = m.ctg AND a."start" < m."end" AND m."start" < a."end")
+SELECT CAST((SELECT sum("end" - "start") FROM iv) AS BIGINT) AS bases, CAST(hit.x AS BIGINT) AS on_target, CAST((SELECT sum("end" - "start") FROM merged) AS BIGINT) AS target_bases, round(hit.x / (SELECT sum("end" - "start") FROM merged), 6) AS mean_depth FROM hit""")
+def target_metrics(spark, sf_dir):
+    iv = _iv(spark, sf_dir)
+    return aggregates.hs_metrics(iv, iv.where("kind = 'error'"), DAY).withColumn("mean_depth", F.round("mean_depth", 6))
+
+
+def _reads(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 4096).cast("int").alias("flag"), (F.col("l_orderkey") - F.col("l_partkey")).alias("tlen"), F.repeat("l_returnflag", F.col("l_linenumber")).alias("seq"))
+
+
+_READS = "SELECT CAST(l_partkey % 4096 AS INTEGER) AS flag, l_orderkey - l_partkey AS tlen, l_linenumber AS n FROM lineitem"
+
+
+@query(f"WITH r AS ({_READS}), p AS (SELECT * FROM r WHERE flag & 2304 = 0) SELECT count(*) AS reads, count(*) FILTER (flag & 4 = 0) AS mapped, count(*) FILTER (flag & 1 <> 0) AS paired, count(*) FILTER (flag & 2 <> 0) AS proper, count(*) FILTER (flag & 1024 <> 0) AS duplicates, round(avg(n), 6) AS mean_length FROM p")
+def alignment_stat(spark, sf_dir):
+    return aggregates.alignment_stat(_reads(spark, sf_dir)).withColumn("mean_length", F.round("mean_length", 6))
+
+
+@query(f"WITH r AS ({_READS}), p AS (SELECT abs(tlen) AS s FROM r WHERE flag & 64 <> 0 AND flag & 4 = 0 AND tlen <> 0) SELECT count(*) AS n, round(avg(s), 4) AS mean, round(stddev(s), 4) AS sd, round(quantile_cont(s, 0.1), 4) AS p10, round(quantile_cont(s, 0.5), 4) AS p50, round(quantile_cont(s, 0.9), 4) AS p90 FROM p")
+def insert_size(spark, sf_dir):
+    return aggregates.insert_size(_reads(spark, sf_dir)).select("n", *[F.round(c, 4).alias(c) for c in ("mean", "sd", "p10", "p50", "p90")])
+
+
+@query("""WITH p AS (SELECT l_orderkey AS pos, CASE WHEN l_linenumber % 2 = 0 THEN 'C' ELSE 'G' END AS alt, CAST(l_quantity AS BIGINT) AS ac FROM lineitem)
+SELECT o_orderkey, (SELECT sum(ac) FROM p WHERE pos = o_orderkey AND alt = 'C')::BIGINT AS c, (SELECT sum(ac) FROM p WHERE pos = o_orderkey AND alt = 'G')::BIGINT AS g FROM orders""")
+def transfer_annotations(spark, sf_dir):
+    site = lambda pos: (F.lit("1").alias("ctg"), F.col(pos).alias("pos"), F.lit("A").alias("ref"))
+    raw = _table(spark, sf_dir, "orders").select("o_orderkey", *site("o_orderkey"), F.array(F.lit("C"), F.lit("G")).alias("alt"))
+    pop = _table(spark, sf_dir, "lineitem").select(*site("l_orderkey"), F.array(F.when(F.col("l_linenumber") % 2 == 0, "C").otherwise("G")).alias("alt"), F.array(F.col("l_quantity").cast("long")).alias("AC"))
+    return joins.transfer_annotations(raw, pop, "o_orderkey", {"AC": "sum"}).select("o_orderkey", F.get("pop_AC", F.lit(0)).alias("c"), F.get("pop_AC", F.lit(1)).alias("g"))
+
+
+@query(f"""WITH a AS (SELECT *, CAST(lad[1] + lad[2] AS BIGINT) AS depth FROM ({_PL}))
+SELECT l_orderkey, l_linenumber, l_partkey, len(p0) + 3 AS n, list_sum(p0) + 300 AS total, greatest(l_partkey % 11 - depth, 0) AS rest FROM a""")
+def add_nonref(spark, sf_dir):
+    rows = _pl(spark, sf_dir).withColumns({"alt": F.array(F.lit("C")), "GT": F.lit("0/1"), "PL": F.col("p0").cast("array<int>"), "AD": F.col("LAD").cast("array<int>"), "DP": (F.col("l_partkey") % 11).cast("int")})
+    out = gvcf.add_nonref(rows)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.size("PL").alias("n"), F.aggregate("PL", F.lit(0).cast("long"), lambda s, x: s + x).alias("total"), F.get("AD", F.lit(2)).alias("rest"))
+
+
+@query(f"""WITH iv AS ({_IV}), b AS (SELECT min("start") // 86400 * 86400 AS low FROM iv), m AS (SELECT ctg, "start" - low AS s, "end" - low AS e FROM iv, b),
+l AS (SELECT ctg, max(e) AS length FROM m GROUP BY ctg),
+d AS (SELECT ctg, t AS tile, greatest(s, t * 86400) AS s, least(e, (t + 1) * 86400) AS e FROM (SELECT *, unnest(range(s // 86400, (e - 1) // 86400 + 1)) AS t FROM m WHERE s < e)),
+k AS (SELECT ctg, tile, tile * 86400 AS s, least((tile + 1) * 86400, length) AS e FROM (SELECT ctg, length, unnest(range(0, (length - 1) // 86400 + 1)) AS tile FROM l)),
+x AS (SELECT ctg, tile, s AS p, 1 AS delta FROM d UNION ALL SELECT ctg, tile, e, -1 FROM d UNION ALL SELECT ctg, tile, s, 0 FROM k UNION ALL SELECT ctg, tile, e, 0 FROM k),
+g AS (SELECT ctg, tile, p, sum(delta) AS delta FROM x GROUP BY ctg, tile, p),
+r AS (SELECT ctg, tile, sum(delta) OVER w AS depth, lead(p) OVER w - p AS bases FROM g WINDOW w AS (PARTITION BY ctg, tile ORDER BY p)),
+h AS (SELECT ctg, tile, depth, sum(bases) AS bases FROM r WHERE bases > 0 GROUP BY ctg, tile, depth),
+c AS (SELECT *, sum(bases) OVER (PARTITION BY ctg, tile ORDER BY depth) AS below, sum(bases) OVER (PARTITION BY ctg, tile) AS total FROM h)
+SELECT ctg, tile, CAST(sum(bases) AS BIGINT) AS bases, CAST(min(depth) FILTER (2 * below >= total) AS BIGINT) AS median_depth, CAST(sum(CASE WHEN depth >= 1 THEN bases ELSE 0 END) AS BIGINT) AS bases_1x, CAST(sum(CASE WHEN depth >= 3 THEN bases ELSE 0 END) AS BIGINT) AS bases_3x FROM c GROUP BY ctg, tile""")
+def coverage_windows(spark, sf_dir):
+    iv = _iv(spark, sf_dir)
+    low = iv.agg((F.floor(F.min("start") / DAY) * DAY).alias("low"))
+    moved = iv.crossJoin(F.broadcast(low)).select("ctg", (F.col("start") - F.col("low")).alias("start"), (F.col("end") - F.col("low")).alias("end"))
+    return intervals.coverage_by_window(moved, _lengths(moved), DAY, (1, 3))

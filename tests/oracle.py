@@ -50,7 +50,7 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
 
-    spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
+    spark = SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[4]")).config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     con, sql = connect(sys.argv[1]), entry.oracle_sql()
     for name, query in entry.queries().items():
