@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alleles as A
 from ..operators import aggregates, filters, intervals, joins, sequence
-from . import gvcf, patch
+from . import cnv, gvcf, patch
 
 #: Bins for stand-in intervals, whose unit is the second.
 DAY, SPAN = 86_400, 1 << 18
@@ -421,3 +421,13 @@ def coverage_windows(spark, sf_dir):
     low = iv.agg((F.floor(F.min("start") / DAY) * DAY).alias("low"))
     moved = iv.crossJoin(F.broadcast(low)).select("ctg", (F.col("start") - F.col("low")).alias("start"), (F.col("end") - F.col("low")).alias("end"))
     return intervals.coverage_by_window(moved, _lengths(moved), DAY, (1, 3))
+
+
+@query()
+def merge_output(spark, sf_dir):
+    k = F.col("cid")
+    rows = _iv(spark, sf_dir).withColumnRenamed("end", "stop").select(
+        "cid", F.col("ctg").cast("string").alias("ctg"), F.col("start").alias("pos"), "start", "stop", F.when(k % 4 == 0, "DEL").otherwise("DUP").alias("svtype"),
+        F.when(k % 4 == 0, -1 - k % 2).otherwise(1 + k % 2).cast("int").alias("cndiff"), (500 * (1 + k % 3)).cast("int").alias("period"), (500 * (1 + k % 3)).cast("int").alias("svlen"), F.when(k % 2 == 0, "0|1").otherwise("1|0").alias("gt"),
+    )
+    return cnv.merge_output(rows)
