@@ -15,7 +15,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity of about 0.8 or more)."""
+    """One document of each group of near duplicates (five-word shingles, similarity of 0.8 or more)."""
     return simhash.one_of_each(docs)
 
 

@@ -9,19 +9,23 @@ Fingerprints meet by equality of variants and are verified on all their bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import chunks, join_hot, large_star_small_star, written
+from .common import CHUNK_BYTES, chunks, join_hot, large_star_small_star, written
 
 #: Fingerprints that one task compares at a time, about.
 BUCKET_ROWS = 1 << 18
 #: Groups of a variant up to this size are compared by shifting; larger ones by breadth-first search.
 SMALL_GROUP = 24
+#: Shingle sets that a task remembers to give the signatures of copies once.
+SEEN_SETS = 1 << 18
 
 
 def _mix(h: np.ndarray, lane: int) -> np.ndarray:
@@ -192,27 +196,175 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return join_hot(own, of, "fp")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 34, segments: int = 11, lanes: int = 3) -> DataFrame:
+def _levels(similarity: Fraction, size: int) -> Iterator[tuple[int, int]]:
+    """``(most, differing)`` of the levels at which a set of ``size`` shingles meets others: the largest size and differing shingles there.
+
+    Sizes fall into classes so wide that sets of the similarity lie in the same class or
+    in neighbouring ones; a pair meets at the level of its larger set's class.
+    """
+    most = 1
+    while most < size:
+        most = max(most + 1, int(most / similarity))
+    for m in (most, max(most + 1, int(most / similarity))):
+        yield m, int(2 * m * (1 - similarity) / (1 + similarity))
+
+
+def set_signatures(shingles: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """Signatures of a set of hashes; sets with a Jaccard similarity of ``similarity`` or more share one.
+
+    Hashes are dealt to parts by value. Of two such sets at most d parts differ, so their
+    first d + 1 parts that are not empty (all of them, and a common signature, if there
+    are no more than d) have one in common.
+    """
+    out = []
+    for most, d in _levels(similarity, len(shingles)):
+        parts = d + max(-(-d * 15 // 100), min(d, 8)) + 1
+        part = shingles % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        start = np.flatnonzero(np.diff(part[order], prepend=np.uint64(parts)))
+        sums = np.add.reduceat(_mix(shingles[order], 2), start) if len(start) else np.empty(0, "<u8")
+        sums = _mix(sums + part[order][start] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(most), 3)
+        out += [sums[: d + 1]]
+        if len(start) <= d:
+            out += [_mix(np.array([most], "<u8"), 4)]
+    return np.concatenate(out)
+
+
+def jaccard_reaches(a: np.ndarray, b: np.ndarray, similarity: Fraction) -> bool:
+    """Whether the Jaccard similarity of two sorted sets of hashes is ``similarity`` or more; empty sets equal each other."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * similarity.denominator >= similarity.numerator * (len(a) + len(b) - common)
+
+
+def _node(shingles: np.ndarray) -> int:
+    """63 bits that stand for a sorted set of hashes."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) >> 1
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each hash value modulo a power of two (64 and the set's size at least): 1 if an odd number of hashes falls there."""
+    width = 64
+    while width < len(shingles):
+        width *= 2
+    odd = np.bincount((_mix(shingles, 5) % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, similarity: Fraction) -> bool:
+    """False only if two sets with these parity bits differ in too many hashes for the similarity: bits that differ never exceed them."""
+    while len(a) != len(b):  # the longer one folds to half its width
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    differ, n, m = int(np.bitwise_count(a ^ b).sum()), similarity.numerator, similarity.denominator
+    return differ * (m + n) <= (size_a + size_b) * (m - n)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
+    """The ``pairs (a, b)`` whose ``nodes (node, size, bits)`` may have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = (batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "size_a", "size_b"))
+            keep = [may_reach(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), s, t, similarity) for x, y, s, t in zip(*cols)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = join_hot(written(pairs, "pairs"), nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("bits").alias("bits_a")), "a")
+    both = both.join(nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("bits").alias("bits_b")), "b")
+    return written(both.select("a", "b", "bits_a", "bits_b", "size_a", "size_b").mapInArrow(run, "a long, b long"), "possible")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: Fraction) -> DataFrame:
+    """The ``pairs (a, b)`` of nodes whose ``texts (node, text)`` have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, np.empty(0, "<u8")
+        for b in chunks(batches, "text_b", 4 << 20):
+            keep = []
+            for x, s, t in zip(b.column("a").to_pylist(), b.column("text_a"), b.column("text_b")):
+                if x != last:
+                    last, own = x, np.unique(shingle_hashes(s.as_py(), words))
+                keep.append(jaccard_reaches(own, np.unique(shingle_hashes(t.as_py(), words)), similarity))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = join_hot(pairs, texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+    return written(both.mapInArrow(run, "a long, b long"), "links")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, all columns kept.
 
-    The row with the smallest id stays (then the smallest hash of its text; rows that
-    repeat both stay once). Documents without a word are a group like any other. With
-    the defaults a fingerprint has 192 bits over five-word shingles, and 34 differing
-    bits stand for a Jaccard similarity of about 0.8. Rows with a null id stay only if
-    no row of the group has an id.
+    Texts are linked if the Jaccard similarity of their shingles is ``similarity`` or
+    more: no such link is lost, and none is made without the exact test. The row with the
+    smallest id stays (then the smallest hash of its text; rows that repeat both stay
+    once). Documents without a word are a group like any other. Rows with a null id stay
+    only if no row of the group has an id.
     """
     digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(id_col), F.lit(0)))
+    marks = {"__digest": digest, "__id": F.coalesce(F.col(id_col), F.lit(0)), "__none": F.col(id_col).isNull()}
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest"))
-    keyed = docs.withColumn("__key", key)
-    own = written(fingerprints(keyed, "__key", text_col, words, lanes), "fingerprints")
-    nodes = written(own.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    cc = large_star_small_star(links(nodes, radius, segments, lanes))
-    cc = cc.unionByName(cc.select(F.col("b").alias("a"), "b").distinct())
-    member = written(cc.join(nodes, F.col("a") == F.col("fp")).select("fp", "b", "least"), "members")
-    alone = nodes.join(member, "fp", "left_anti").select("least")
-    stays = alone.unionByName(member.groupBy("b").agg(F.min("least").alias("least")).select("least"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text", 4 << 20):
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in b.column("text")]
+            arrays = [b.column("id"), pa.array(map(_node, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([parity_bits(s).tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "size", "bits"])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in chunks(batches, "text", CHUNK_BYTES):
+            rows, signs = [], []
+            for t in b.column("text"):
+                s = np.unique(shingle_hashes(t.as_py(), words))
+                if (node := _node(s)) not in seen:
+                    seen.add(node)
+                    signs.append(set_signatures(s, similarity).view("<i8"))
+                    rows += [(node, len(s), len(signs[-1]))]
+            if len(seen) > SEEN_SETS:
+                seen.clear()
+            if rows:
+                node, size, n = np.array(rows, np.int64).T
+                arrays = [pa.array(np.concatenate(signs)), pa.array(np.repeat(node, n)), pa.array(np.repeat(size, n))]
+                yield pa.RecordBatch.from_arrays(arrays, ["sign", "node", "size"])
+
+    rows = docs.select(key.alias("id"), F.col(text_col).alias("text"))
+    own = written(rows.mapInArrow(describe, f"id {rows.schema['id'].dataType.simpleString()}, node long, size long, bits binary"), "sets")
+    nodes = written(own.groupBy("node").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("bits").alias("bits")), "nodes")
+    # Signatures that several nodes share; those of one node, however often it is repeated, go.
+    at = Window.partitionBy("sign")
+    met = rows.select("text").mapInArrow(sign, "sign long, node long, size long")
+    met = met.withColumns({"low": F.min("node").over(at), "high": F.max("node").over(at)}).where("low <> high").select("sign", "node", "size").distinct()
+    met = written(met.withColumns({"n": F.count("*").over(at), "low": F.min(F.struct("node", "size")).over(at)}), "met")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = _possible(pairs, nodes, similarity)
+        wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        wanted = wanted.select("node", F.col("least.digest").alias("__digest"), F.coalesce("least.id", F.lit(0)).alias("__id"), F.col("least.none").alias("__none"))
+        texts = docs.withColumns(marks).select("__digest", "__id", "__none", F.col(text_col).alias("text"))
+        texts = written(texts.join(wanted, ["__digest", "__id", "__none"]).select("node", "text").dropDuplicates(["node"]), "texts")
+        return _verified(pairs, texts, words, similarity)
+
+    def fits(a: str, b: str) -> Column:
+        return F.least(a, b) * similarity.denominator >= F.greatest(a, b) * similarity.numerator
+
+    def pairs(x: DataFrame) -> DataFrame:
+        other = x.select("sign", *[F.col(c).alias(f"{c}_b") for c in x.columns if c != "sign"])
+        return x.join(other, "sign").where((F.col("node") < F.col("node_b")) & fits("size", "size_b"))
+
+    # Large groups first meet their least node; then only pairs that are not yet connected are left to test.
+    few = pairs(met.where(F.col("n") <= SMALL_GROUP).select("sign", "node", "size")).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    star = met.where((F.col("n") > SMALL_GROUP) & (F.col("node") > F.col("low.node")) & fits("low.size", "size")).select(F.col("low.node").alias("a"), F.col("node").alias("b"))
+    found = linked(few.unionByName(star).distinct())
+    cc = large_star_small_star(found)
+    hot = met.where(F.col("n") > SMALL_GROUP).select("sign", "node", "size").join(cc.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left")
+    hot = hot.withColumn("part", F.coalesce("part", "node")).withColumns({"first": F.min("part").over(at), "last": F.max("part").over(at)})
+    hot = written(hot.where("first <> last").select("sign", "node", "size", "part"), "open")
+    rest = pairs(hot).where("part <> part_b").select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    cc = large_star_small_star(cc.unionByName(linked(rest)))
+
+    stays = nodes.join(cc, F.col("node") == F.col("a"), "left").groupBy(F.coalesce("b", "node").alias("part")).agg(F.min("least").alias("least"))
     stays = stays.select(F.col("least.digest").alias("__digest"), F.coalesce("least.id", F.lit(0)).alias("__id"), F.col("least.none").alias("__none"))
-    found = docs.withColumns({"__digest": digest, "__id": F.coalesce(F.col(id_col), F.lit(0)), "__none": F.col(id_col).isNull()})
+    found = docs.withColumns(marks)
     twice = written(own.groupBy("id").count().where("count > 1").select(F.col("id.digest").alias("__digest")).distinct(), "repeats")
     kept = found.join(stays, ["__digest", "__id", "__none"], "left_semi")
     single = kept.join(twice, "__digest", "left_anti")

@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -87,3 +88,39 @@ def test_one_of_each(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.components(empty).collect() == [] and simhash.one_of_each(empty).collect() == []
+
+
+def test_sets_of_the_similarity_share_a_signature():
+    rng, t = np.random.default_rng(4), Fraction(4, 5)
+    for size in [*range(1, 40), 100, 700]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 2**63, size).astype("<u8"))
+            room = int(size / 5)  # dropped and added, so that the pair lies at the bound or just above it
+            b = a[rng.permutation(size)[: size - int(rng.integers(0, room + 1))]]
+            while len(a) and simhash.jaccard_reaches(a, c := np.unique(np.append(b, rng.integers(0, 2**63, 1).astype("<u8"))), t):
+                b = c
+            b = np.sort(b)
+            assert simhash.jaccard_reaches(a, b, t)
+            assert np.intersect1d(simhash.set_signatures(a, t), simhash.set_signatures(b, t)).size
+            assert simhash.may_reach(simhash.parity_bits(a), simhash.parity_bits(b), len(a), len(b), t)
+
+
+def test_links_are_exact(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):  # a text, and one with n words of 300 exchanged: similarities on both sides of 0.8
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
+        other = list(words)
+        for i in rng.sample(range(300), rng.randint(3, 12)):
+            other[i] = "new"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = {i: set(zip(*[t.split()[j:] for j in range(5)])) for i, t in rows}
+    want = {i for i in sets if i % 2 == 0 or 5 * len(sets[i] & sets[i - 1]) < 4 * len(sets[i] | sets[i - 1])}
+    assert 70 < len(want) < 110
+    # 40 texts that are all alike to the first one, and many of them not to each other
+    stem = [f"s{i}" for i in range(300)]
+    rows.append((1000, " ".join(stem)))
+    for k in range(40):
+        rows.append((1001 + k, " ".join(f"x{k}" if i in range(k * 7, k * 7 + 48, 12) else w for i, w in enumerate(stem))))
+    got = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want | {1000}
