@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from fractions import Fraction
+from math import lcm
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ PARTS = 256
 
 
 def quanta(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of a period for each source: shares rounded by the largest remainders, one at least."""
+    """Slots of a period for each source: shares rounded by the largest remainders, one at least. The plan does not round."""
     total = sum(weights.values())
     exact = {s: w / total * period for s, w in weights.items()}
     out = {s: max(1, int(x)) for s, x in exact.items()}
@@ -48,47 +50,58 @@ def windows(j: np.ndarray, n, period) -> tuple[np.ndarray, np.ndarray]:
     return j * period // n, -(-(j + 1) * period // n)
 
 
-def period_slots(shares: dict[str, int], period: int) -> dict[str, np.ndarray]:
-    """Slots of each source's blocks in one period, the earliest deadline first (ties: the source's name)."""
-    released: list[list[tuple[int, str, int]]] = [[] for _ in range(period)]
-    for s, n in shares.items():
-        start, due = windows(np.arange(n), n, period)
-        for j, (a, b) in enumerate(zip(start.tolist(), due.tolist())):
-            released[a].append((b, s, j))
-    slots, ready = {s: np.zeros(n, np.int64) for s, n in shares.items()}, []
-    for t in range(period):
-        for x in released[t]:
-            heapq.heappush(ready, x)
+def schedule(weights: dict[str, int], slots: int) -> dict[str, np.ndarray]:
+    """Slots of each source's blocks among the first ``slots``, the earliest deadline first (ties: the source's name)."""
+    total = sum(weights.values())
+    out: dict[str, list[int]] = {s: [] for s in weights}
+    later, ready = [(0, s, 0) for s in weights], []
+    heapq.heapify(later)
+    for t in range(slots):
+        while later and later[0][0] <= t:
+            _, s, j = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(j + 1) * total // weights[s]), s, j))
         if ready:
             _, s, j = heapq.heappop(ready)
-            slots[s][j] = t
-    return slots
+            out[s].append(t)
+            heapq.heappush(later, ((j + 1) * total // weights[s], s, j + 1))
+    return {s: np.array(at, np.int64) for s, at in out.items()}
+
+
+def period_slots(shares: dict[str, int], period: int) -> dict[str, np.ndarray]:
+    """Slots of each source's blocks in one period with whole shares that fill it."""
+    return schedule(shares, period)
 
 
 @dataclass
 class Phase:
-    """A stretch of the schedule in which the same sources take part: its first slot, and their first blocks and shares."""
+    """A stretch of the schedule in which the same sources take part: its first slot, and their first blocks, exact shares of a period, whole-number weights and slots."""
 
     start: int
     first: dict[str, int]
-    shares: dict[str, int]
+    shares: dict[str, Fraction]
+    weights: dict[str, int]
     slots: dict[str, np.ndarray]
 
 
 def plan(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[Phase]:
     """Phases until every source is used up; a source that ends leaves its weight to the others, in proportion.
 
+    Every block is placed by the exact weights (floats taken as the fractions they are).
     A phase lasts whole periods, and one more in which sources may end; what is left of
     them fills their first slots there, and the slots after their end stay empty.
     """
     phases, left, start = [], {s: n for s, n in blocks.items() if n > 0}, 0
-    period = max(period, len(left))
+    exact = {s: Fraction(weights[s]) for s in left}
+    unit = lcm(*(w.denominator for w in exact.values()))
     while left:
-        shares = quanta({s: weights[s] for s in left}, period)
-        rounds = max(1, min(-(-left[s] // shares[s]) for s in left))
-        phases.append(Phase(start, {s: blocks[s] - left[s] for s in left}, shares, period_slots(shares, period)))
+        whole = {s: int(exact[s] * unit) for s in left}
+        total = sum(whole.values())
+        shares = {s: Fraction(w * period, total) for s, w in whole.items()}
+        rounds = min(-(-left[s] // shares[s]) for s in left)
+        slots = schedule(whole, rounds * period)
+        phases.append(Phase(start, {s: blocks[s] - left[s] for s in left}, shares, whole, slots))
         start += rounds * period
-        left = {s: n - rounds * shares[s] for s, n in left.items() if n > rounds * shares[s]}
+        left = {s: n - len(slots[s]) for s, n in left.items() if n > len(slots[s])}
     return phases
 
 
@@ -116,22 +129,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     if bad := [s for s in totals if not weights.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {bad[:5]}")
     phases = plan({s: -(-n // block_bytes) for s, n in totals.items()}, weights, period)
-    length = max(period, len(totals))
-    own = {s: [p for p in phases if s in p.shares] for s in totals}
-    table = {s: (np.array([p.first[s] for p in x]), np.array([p.start for p in x]), np.array([p.shares[s] for p in x]), [p.slots[s] for p in x]) for s, x in own.items()}
+    own = {s: [p for p in phases if s in p.weights] for s in totals}
+    table = {s: (np.array([p.first[s] for p in x]), np.array([p.start for p in x]), [(sum(p.weights.values()), p.weights[s]) for p in x], [p.slots[s] for p in x]) for s, x in own.items()}
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("release long, deadline long, slot long")
     def scheduled(source: pd.Series, block: pd.Series) -> pd.DataFrame:
         out = np.zeros((3, len(block)), np.int64)
         for s, at in source.groupby(source).indices.items():
-            first, start, shares, slots = shared.value[s]
+            first, start, weights, slots = shared.value[s]
             j = block.to_numpy()[at]
             k = np.searchsorted(first, j, "right") - 1
-            j, n = j - first[k], shares[k]
-            out[0, at], out[1, at] = windows(j, n, length)
-            place = np.array([slots[x][y] for x, y in zip(k.tolist(), (j % n).tolist())], np.int64)
-            out[2, at] = start[k] + j // n * length + place
+            j = j - first[k]
+            for i, (x, y) in enumerate(zip(k.tolist(), j.tolist())):
+                total, w = weights[x]
+                out[0, at[i]], out[1, at[i]] = y * total // w, -(-(y + 1) * total // w)
+                out[2, at[i]] = start[x] + slots[x][y]
         return pd.DataFrame(out.T, columns=["release", "deadline", "slot"])
 
     before = sums.select("__source", "__part", (F.sum("bytes").over(Window.partitionBy("__source").orderBy("__part")) - F.col("bytes")).alias("__before"))

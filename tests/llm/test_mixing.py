@@ -60,3 +60,27 @@ def test_bad_weights(spark):
     docs = spark.createDataFrame([(1, "a", "s")], "doc_id long, text string, source string")
     with pytest.raises(ValueError):
         mixing.mix(docs, {"other": 1.0})
+
+
+def test_deviation_from_the_given_weights_over_many_periods():
+    weights = {f"s{i}": (1000.0 * (i + 1)) ** 0.5 for i in range(20)} | {"rare": 0.001}
+    total = sum(Fraction(w) for w in weights.values())
+    blocks = {s: int(Fraction(w) / total * 64 * 300) + 1 for s, w in weights.items()} | {"rare": 2}
+    phase = mixing.plan(blocks, weights, 64)[0]
+    owner = {int(t): s for s, at in phase.slots.items() for t in at}
+    slots = len(owner)
+    assert slots >= 64 * 200 and sorted(owner) == list(range(slots))
+    got = dict.fromkeys(weights, 0)
+    for t in range(slots):
+        got[owner[t]] += 1
+        if t % 37 == 0 or t == slots - 1:
+            assert all(abs(n - Fraction(weights[s]) / total * (t + 1)) < 1 for s, n in got.items())
+
+
+def test_windows_of_rows_follow_the_given_weights(spark):
+    docs = spark.createDataFrame([(i, "x" * 99, "a" if i % 4 else "b") for i in range(4000)], "doc_id long, text string, source string")
+    weights = {"a": 2.0**0.5, "b": 1.0}
+    total = sum(map(Fraction, weights.values()))  # b ends after 1,300 blocks of a
+    for r in mixing.mix(docs, weights, block_bytes=100, period=8).where("source = 'a'").orderBy("slot").limit(1300).collect():
+        w = Fraction(weights["a"]) / total
+        assert r.release == r.block // w and r.deadline == -(-(r.block + 1) // w) and r.release <= r.slot < r.deadline
