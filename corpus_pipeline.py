@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandframe.llm import langid, mixing, packing, pii, simhash
 from strandframe.llm.common import written
@@ -30,10 +31,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces in sequences of 2048 tokens."""
+    """All documents as pieces in sequences of 2048 tokens, which follow the mix: its order is found again from the documents."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+    place = F.struct("slot", "block_offset")
+    mixed = mixing.mix(docs.select("doc_id", "text", "source"))
+    return packing.pack_documents(mixed, public_tokenizers.path("byte_bpe_50k.json"), place=place).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

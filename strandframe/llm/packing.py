@@ -9,8 +9,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import chunks, written
 
@@ -60,12 +61,14 @@ class Encoder:
         return array("I", self.merge(text)).tobytes()
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", place: Column | None = None) -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens)``: each document's ids and ``end_id``, cut into pieces of at most ``capacity``.
 
-    Null texts count as empty: one piece that holds ``end_id`` alone. Other columns are not read.
+    Null texts count as empty: one piece that holds ``end_id`` alone. Other columns are
+    not read, save that ``place`` (a struct of longs) goes with the pieces.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([] if place is None else [place.alias("place")]))
+    more = rows.columns[2:]
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +85,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
                     crc.append(zlib.crc32(part))
                     total.append(len(ids) // 4)
             cols = [b.column("id").take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "start", "length", "ids_crc32", "doc_tokens"])
+            cols += [b.column(c).take(pa.array(row, pa.int64())) for c in more]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "start", "length", "ids_crc32", "doc_tokens", *more])
 
-    return rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    kinds = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in more)
+    return rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long{kinds}")
 
 
 def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -110,15 +115,27 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
     return bins, offsets
 
 
+def _stretches(rows: DataFrame, group_pieces: int) -> DataFrame:
+    """``rows`` and ``__group``: consecutive stretches of ``group_pieces`` rows in the order of ``place``, a struct that begins with ``slot``."""
+    rows = rows.withColumn("__slot", F.col("place.slot"))
+    before = rows.groupBy("__slot").count()
+    before = before.select("__slot", (F.sum("count").over(Window.orderBy("__slot")) - F.col("count")).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__slot").orderBy("place", "id", "start", "__row")) - 1
+    ranked = rows.withColumn("__rank", rank).join(F.broadcast(before), "__slot")
+    return ranked.withColumn("__group", F.expr(f"(__before + __rank) div {group_pieces}"))
+
+
 def pack(parts: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``parts`` (with ``length`` of 1 to ``capacity``) and their ``sequence_id`` and ``offset``.
 
     Pieces are dealt to random groups by row, so no document, source or repeated row
-    can fill one. Each group is packed on its own; a sequence's pieces are gapless from 0.
+    can fill one. If they have a ``place``, groups are consecutive stretches of that order
+    instead, and ``sequence_id`` rises with them. Each group is packed on its own; a
+    sequence's pieces are gapless from 0.
     """
     rows = written(parts.withColumn("__row", F.monotonically_increasing_id()), "pieces")
-    groups = max(1, -(-rows.count() // group_pieces))
-    names = parts.columns
+    kept = [f for f in parts.schema.fields if f.name != "place"]
+    names = [f.name for f in kept]
 
     def fill(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("__row", "ascending")])
@@ -127,11 +144,15 @@ def pack(parts: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECE
         out = table.select(names).append_column("sequence_id", pa.array([base + b for b in bins], pa.int64()))
         return out.append_column("offset", pa.array(offsets, pa.int64()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
-    dealt = rows.withColumn("__group", F.pmod(F.xxhash64("__row"), F.lit(groups)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    if "place" in parts.columns:
+        dealt = _stretches(rows, group_pieces).select(*names, "__row", "__group")
+    else:
+        groups = max(1, -(-rows.count() // group_pieces))
+        dealt = rows.withColumn("__group", F.pmod(F.xxhash64("__row"), F.lit(groups)))
     return dealt.groupBy("__group").applyInArrow(fill, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", place: Column | None = None) -> DataFrame:
     """All documents as pieces in sequences; see ``pieces`` and ``pack``."""
-    return pack(pieces(docs, tokenizer_path, capacity, 1, id_col, text_col), capacity)
+    return pack(pieces(docs, tokenizer_path, capacity, 1, id_col, text_col, place), capacity)

@@ -4,9 +4,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandframe.llm import packing
+from strandframe.llm import mixing, packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
@@ -69,3 +70,28 @@ def test_groups_are_packed_alone(spark):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_stretches_of_sequences_hold_the_shares_of_the_mix(spark):
+    rng = random.Random(7)
+    words = "an order of words that the mix deals out to blocks".split()
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(5, 30))), "abc"[0 if i < 3000 else 1 if i < 3900 else 2]) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").orderBy("doc_id")
+    weights, block = {"a": 3.0, "b": 0.9, "c": 0.1}, 512
+    mixed = mixing.mix(docs, weights, block_bytes=block, period=64)
+    parts = packing.pieces(mixed, PATH, 128, place=F.struct("slot", "block_offset"))
+    got = packing.pack(parts, 128, group_pieces=200).withColumn("stretch", F.expr("sequence_id >> 32")).collect()
+    assert len({r.id for r in got}) == 4000
+    slot = {r.doc_id: (r.slot, r.block_offset) for r in mixed.collect()}
+    size = {i: len(t) + 1 for i, t, _ in rows}
+    source = {i: s for i, _, s in rows}
+    by = {}
+    for r in got:
+        by.setdefault(r.stretch, set()).add(r.id)
+    assert sorted(by) == list(range(-(-len(got) // 200)))
+    for k in range(len(by) - 1):
+        assert max(slot[i] for i in by[k]) <= min(slot[i] for i in by[k + 1])
+    for k in range(min(10, len(by) - 2)):  # all sources still take part
+        total = sum(size[i] for i in by[k])
+        for s, w in weights.items():  # a block at either end, cut by the stretch, and a document's overhang
+            assert abs(sum(size[i] for i in by[k] if source[i] == s) - w / 4 * total) <= 2 * block + 200
