@@ -18,10 +18,13 @@ CHUNK_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is set.
+    Without the setting a temporary folder serves sessions that run on this machine
+    alone; on a cluster, whose executors would not see it, that is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -39,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named ``c0, c1, ...``."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of ``column`` each, and one row at least."""
     for batch in batches:

@@ -1,8 +1,14 @@
 import hashlib
+import os
 import random
 import re
 
-from strandframe.llm import pii
+import pytest
+from pyspark.sql import functions as F
+
+from strandframe.llm import pii, queries
+
+SF = os.environ.get("TEST_PII_DIR", "/root/testdata/sf0.01")
 
 
 def luhn(d):
@@ -37,26 +43,69 @@ def test_base_spans_equal_the_patterns():
 def test_learned_patterns_find_unseen_values(spark):
     rng = random.Random(1)
     ip = lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4))
-    rows = [(i, f"word login from {ip()} ok then") for i in range(60)]
-    rows += [(100 + i, f"order number 2024{i:05d} was sent") for i in range(60)]
-    rows += [(200, "word login from 999.888.777.666 ok then"), (201, "login from here"), (202, None), (203, ""), (204, "x" * 100_000 + " 1" * 5000)]
+    rows = [(i, f"word login from {ip()} ok then") for i in range(400)]
+    rows += [(1000 + i, f"order number 2024{i:05d} was sent") for i in range(400)]
+    rows += [(2000, "word login from 999.888.777.666 ok then"), (2001, "login from here"), (2002, None), (2003, ""), (2004, "x" * 100_000 + " 1" * 5000)]
     docs = spark.createDataFrame([(*r, 5, "s") for r in rows], "doc_id long, text string, n_chars int, spans string")
     patterns = pii.learn(docs)
-    assert "numeric|login from|" in patterns and not any("order" in p or "number" in p for p in patterns)
+    names = {r["pattern"] for r in patterns.collect()}
+    assert "numeric < from " in names and not any("order" in p or "number" in p for p in names)
     got = {r.id: r for r in pii.find(docs, patterns).collect()}
-    assert got[200].spans == "id:16:31" and got[200].n_found == 1 and got[200].n_ip == 0
+    assert got[2000].spans == "id:16:31" and got[2000].n_found == 1 and got[2000].n_ip == 0
     assert got[0].spans == "ip:16:%d" % rows[0][1].index(" ok") and got[0].n_ip == 1
     for i, t in rows:
         mark = ",".join(":".join(map(str, s)) for s in sorted(brute(t or ""), key=lambda s: (pii.KINDS.index(s[0]), s[1])))
         assert got[i].base_sha256 == hashlib.sha256(mark.encode()).hexdigest()
     clean = {r.doc_id: r for r in pii.redact(docs, patterns).collect()}
-    assert clean[200].text == "word login from <id> ok then" and clean[200].n_chars == len(clean[200].text)
-    assert clean[0].text == "word login from <ip> ok then" and clean[100].text == rows[60][1] and clean[202].text is None
-    assert pii.redact(docs, patterns).columns == docs.columns and clean[100].n_chars == 5
+    assert clean[2000].text == "word login from <id> ok then" and clean[2000].n_chars == len(clean[2000].text)
+    assert clean[0].text == "word login from <ip> ok then" and clean[1000].text == rows[400][1] and clean[2002].text is None
+    assert pii.redact(docs, patterns).columns == docs.columns and clean[1000].n_chars == 5
+    # patterns that are too many to broadcast are joined, with the same result
+    assert sorted(pii.find(docs, patterns, most=0).collect(), key=str) == sorted(got.values(), key=str)
+    assert sorted(pii.redact(docs, patterns, most=0).collect(), key=str) == sorted(clean.values(), key=str)
+
+
+def test_rounds_carry_confidence_to_further_patterns(spark):
+    """Numbers in a trusted form lift another context, which then finds a number of another form."""
+    rng = random.Random(3)
+    valid = [d for d in (str(rng.randrange(10**15, 10**16)) for _ in range(12_000)) if luhn(d)]
+    wrong = [d for d in (str(rng.randrange(10**15, 10**16)) for _ in range(120)) if not luhn(d)][:60]
+    rows = [f"paid {d} today" for d in valid] + [f"account {d} open" for d in wrong] + ["account 12345678901234567890 open"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    patterns = {r["pattern"]: r["confidence"] for r in pii.learn(docs).collect()}
+    assert pii.CONFIDENCE <= patterns["numeric"] and set(patterns) == {"numeric"}
+    rows += [f"page 20{k:08d} of" for k in range(900)]  # now numbers as such are no longer trusted
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.learn(docs)
+    patterns = {r["pattern"]: r["confidence"] for r in found.collect()}
+    assert "numeric" not in patterns and patterns["numeric 9{16}"] >= pii.CONFIDENCE and "numeric < page " not in patterns
+    assert ("numeric < account " in patterns) == ((len(wrong) * patterns["numeric 9{16}"] + pii.PRIOR * len(valid) / (len(valid) + 961)) / (len(wrong) + 1 + pii.PRIOR) >= pii.CONFIDENCE)
+    assert pii.find(docs, found).where("n_found > 0").count() >= len(wrong)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_patterns_of_a_given_table_find_its_keys(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    patterns = pii.learn(docs)
+    assert patterns.where("pattern = 'hex'").count() == 1
+    rows = pii.find(docs, patterns).join(docs.select("doc_id", "text"), F.col("id") == F.col("doc_id")).collect()
+    keys = sum(len(re.findall(r'token = "[0-9a-f]{40}"', r.text or "", re.I)) for r in rows)
+    found = [r.text[int(s) : int(e)] for r in rows for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == pii.FOUND]
+    assert keys and sum(bool(re.fullmatch("[0-9a-fA-F]{40}", v)) for v in found) == keys
+    assert all(re.fullmatch("[0-9a-fA-F]{40}|4[0-9]{15}", v) for v in found)
 
 
 def test_overlaps_and_empty_table(spark):
-    docs = spark.createDataFrame([(1, "mail 4111111111111111@x.org or +4111111111111111 end")], "doc_id long, text string")
-    assert pii.redact(docs, []).first().text == "mail <email> or +<card> end"
+    docs = spark.createDataFrame([(1, "mail 4111111111111111@x.org or +4111111111111111 end", None)], "doc_id long, text string, `a``b` string")
+    none = pii.learn(docs.limit(0))
+    assert none.count() == 0
+    assert pii.redact(docs, none).first().text == "mail <email> or +<card> end" and pii.redact(docs, none).columns == docs.columns
     empty = docs.limit(0)
-    assert pii.learn(empty) == [] and pii.find(empty, []).count() == 0 and pii.redact(empty, []).count() == 0
+    assert pii.find(empty, none).count() == 0 and pii.redact(empty, none).count() == 0
+
+
+def test_registered_query(spark, tmp_path):
+    rows = [(1, "to a.b@c.de and 4111 1111 1111 1111", "en"), (2, None, "en"), (2, "+1 (415) 555-2671 1.2.3.4", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(queries.op5_pii(spark, str(tmp_path)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "spans").collect(), key=lambda r: (r[0], r[5]))
+    assert [tuple(r) for r in got] == [(1, 1, 0, 1, 0, "email:3:11,card:16:35"), (2, 0, 0, 0, 0, ""), (2, 0, 1, 0, 1, "ip:18:25,phone:0:25")]
