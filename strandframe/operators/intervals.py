@@ -1,7 +1,8 @@
 """Interval algebra on ``(ctg, start, end)`` tables, half-open and 0-based.
 
-No operator gathers a contig in one task: running values are computed within wide bins
-and carried over from bin to bin, and range joins meet on ``(contig, bin)``.
+No operator gathers a contig in one task: intervals are cut at the edges of wide bins,
+unions and gaps are found in each bin, and only what touches an edge is joined over
+edges. Range joins meet on ``(contig, bin)``. Inputs are read once.
 """
 
 from __future__ import annotations
@@ -37,13 +38,34 @@ def running_max(rows: DataFrame, value: Column, name: str, before: bool = False,
     return joined.withColumn(name, F.greatest("__carry", "__local")).select(*rows.columns, name)
 
 
-def merge(iv: DataFrame, d: int = 0) -> DataFrame:
+def _cut(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` cut at the edges of bins: ``__bin, __s, __e`` beside the columns; an empty interval is one piece."""
+    last = _floor_div(F.greatest(F.col("end") - 1, F.col("start")), width)
+    cut = rows.withColumn("__last", last).withColumn("__bin", F.explode(F.sequence(_floor_div("start", width), F.col("__last"))))
+    edge = (F.col("__bin") + 1) * width
+    return cut.withColumns({"__s": F.greatest("start", F.col("__bin") * width), "__e": F.when(F.col("__bin") == F.col("__last"), F.col("end")).otherwise(edge)}).drop("__last")
+
+
+def _unite(pieces: DataFrame, keys: tuple[str, ...], d: int, also: tuple[Column, ...] = ()) -> DataFrame:
+    """Union of pieces ``__s, __e`` that lie at most ``d`` apart within ``keys``; one shuffle."""
+    w = Window.partitionBy(*keys).orderBy("__s", "__e")
+    before = F.max("__e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = pieces.withColumn("__new", F.when(before.isNull() | (F.col("__s") > before + d), 1).otherwise(0))
+    marked = marked.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*keys, "__island").agg(F.min("__s").alias("__s"), F.max("__e").alias("__e"), *also).drop("__island")
+
+
+def _over_edges(pieces: DataFrame, width: int, d: int = 0) -> DataFrame:
+    """``(ctg, start, end)`` of united pieces ``(ctg, __bin, __s, __e)``; those near an edge of their bin, few in each, are united along the contig."""
+    near = (F.col("__s") - F.col("__bin") * width <= d) | ((F.col("__bin") + 1) * width - F.col("__e") <= d)
+    homes = pieces.select("ctg", F.when(~near, F.col("__bin")).alias("__home"), "__s", "__e")
+    return _unite(homes, ("ctg", "__home"), d).select("ctg", F.col("__s").alias("start"), F.col("__e").alias("end"))
+
+
+def merge(iv: DataFrame, d: int = 0, width: int = SPAN) -> DataFrame:
     """Union of intervals that overlap, touch, or lie at most ``d`` apart. Rows with a null are left out."""
-    rows = iv.select("ctg", "start", "end").dropna()
-    rows = running_max(rows, F.col("end"), "__prev", before=True)
-    begins = F.col("__prev").isNull() | (F.col("start") > F.col("__prev") + d)
-    rows = running_max(rows, F.when(begins, F.col("start")), "__island")
-    return rows.groupBy("ctg", F.col("__island").alias("start")).agg(F.max("end").alias("end"))
+    cut = _cut(iv.select("ctg", "start", "end").dropna(), width)
+    return _over_edges(_unite(cut, ("ctg", "__bin"), d), width, d)
 
 
 def load_merge(iv: DataFrame, compat: bool = False) -> DataFrame:
@@ -58,34 +80,53 @@ def load_merge(iv: DataFrame, compat: bool = False) -> DataFrame:
     return rows.groupBy("ctg", F.col("__island").alias("start")).agg(F.max_by("end", key).alias("end"))
 
 
-def overlap_pairs(a: DataFrame, b: DataFrame, how: str = "inner", width: int = BIN) -> DataFrame:
+def overlap_pairs(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
     """Pairs of rows of ``a`` and ``b`` on the same contig that share a base; the columns of ``b`` get the suffix ``_b``.
 
     Both sides are spread over the bins they touch and meet on ``(ctg, bin)``; a pair is
     kept in the bin where it begins. Empty intervals meet nothing.
     """
-    left = a.where("start < end").withColumn("__bin", F.explode(F.sequence(_floor_div("start", width), _floor_div(F.col("end") - 1, width))))
-    right = b.where("start < end").select(*[F.col(c).alias(f"{c}_b") for c in b.columns], F.explode(F.sequence(_floor_div("start", width), _floor_div(F.col("end") - 1, width))).alias("__bin_b"))
+    bins = F.explode(F.sequence(_floor_div("start", width), _floor_div(F.col("end") - 1, width)))
+    left = a.where("start < end").withColumn("__bin", bins)
+    right = b.where("start < end").select(*[F.col(c).alias(f"{c}_b") for c in b.columns], bins.alias("__bin_b"))
     meet = (F.col("ctg") == F.col("ctg_b")) & (F.col("__bin") == F.col("__bin_b")) & (F.col("start") < F.col("end_b")) & (F.col("start_b") < F.col("end"))
     once = F.col("__bin") == _floor_div(F.greatest("start", "start_b"), width)
-    return left.join(right, meet & once, how).drop("__bin", "__bin_b")
+    return left.join(right, meet & once).drop("__bin", "__bin_b")
 
 
-def gaps(iv: DataFrame, bounds: DataFrame) -> DataFrame:
+def gaps(iv: DataFrame, bounds: DataFrame, width: int = SPAN) -> DataFrame:
     """What ``bounds (ctg, start, end)``, one row for a contig, has outside of ``iv``."""
-    whole = bounds.select(F.col("ctg").alias("__ctg"), F.col("start").alias("__low"), F.col("end").alias("__high"))
-    union = running_max(merge(iv), F.col("end"), "__prev", before=True)
-    inner = union.join(whole, F.col("ctg") == F.col("__ctg")).select("ctg", F.greatest(F.coalesce("__prev", "__low"), "__low").alias("s"), F.least("start", "__high").alias("e"))
-    last = union.groupBy("ctg").agg(F.max("end").alias("top"))
-    tail = whole.join(last, F.col("ctg") == F.col("__ctg"), "left").select(F.col("__ctg").alias("ctg"), F.greatest(F.coalesce("top", "__low"), "__low").alias("s"), F.col("__high").alias("e"))
-    return inner.unionByName(tail).where("s < e").select("ctg", F.col("s").alias("start"), F.col("e").alias("end"))
+    cut = _cut(iv.select("ctg", "start", "end").dropna(), width).select("ctg", "__bin", "__s", "__e", F.lit(None).cast("long").alias("__low"), F.lit(None).cast("long").alias("__high"))
+    marks = _cut(bounds.where("start < end"), width).select("ctg", "__bin", F.col("__s").alias("__low"), F.col("__e").alias("__high"), F.explode(F.array("__s", "__e")).alias("__at"))
+    both = cut.unionByName(marks.select("ctg", "__bin", F.col("__at").alias("__s"), F.col("__at").alias("__e"), "__low", "__high"))
+    whole = Window.partitionBy("ctg", "__bin")
+    before = F.max("__e").over(whole.orderBy("__s", "__e").rowsBetween(Window.unboundedPreceding, -1))
+    low, high = F.max("__low").over(whole), F.max("__high").over(whole)
+    found = both.withColumns({"__before": before, "__l": low, "__h": high})
+    found = found.select("ctg", "__bin", F.greatest("__before", "__l").alias("__f"), F.least("__s", "__h").alias("__t"), "__l").where("__l is not null and __f < __t")
+    return _over_edges(found.select("ctg", "__bin", F.col("__f").alias("__s"), F.col("__t").alias("__e")), width)
 
 
 def subtract(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
-    """For each row of ``a`` its pieces that ``b`` does not cover, with the other columns of ``a``."""
-    bounds = a.groupBy("ctg").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    pairs = overlap_pairs(a, gaps(b, bounds), width=width)
-    return pairs.withColumns({"start": F.greatest("start", "start_b"), "end": F.least("end", "end_b")}).select(*a.columns)
+    """For each row of ``a`` its pieces that ``b`` does not cover, with the other columns of ``a``; empty rows give none.
+
+    In each bin that ``b`` touches its gaps meet the pieces of ``a``; a mark tells bins
+    without a gap from bins without ``b``. Pieces of a row are joined over bin edges.
+    """
+    own = Window.partitionBy("ctg", "__bin").orderBy("__s", "__e")
+    cut = _cut(b.select("ctg", "start", "end").where("start < end"), width).select("ctg", "__bin", "__s", "__e")
+    cut = cut.withColumns({"__before": F.max("__e").over(own.rowsBetween(Window.unboundedPreceding, -1)), "__after": F.lead("__s").over(own)})
+    part = lambda s, e: F.struct(s.cast("long").alias("s"), e.cast("long").alias("e"))
+    first, last = F.col("__bin") * width, (F.col("__bin") + 1) * width
+    found = F.array(part(F.coalesce("__before", first), F.col("__s")), F.when(F.col("__after").isNull(), part(F.greatest("__before", "__e"), last)), F.when(F.col("__before").isNull(), part(F.lit(None), F.lit(None))))
+    free = cut.select(F.col("ctg").alias("__ctg"), F.col("__bin").alias("__b"), F.explode(found).alias("__g")).where("__g is not null and (__g.s is null or __g.s < __g.e)")
+    left = _cut(a.where("start < end").withColumn("__row", F.monotonically_increasing_id()), width)
+    meet = (F.col("ctg") == F.col("__ctg")) & (F.col("__bin") == F.col("__b")) & (F.col("__g.s").isNull() | ((F.col("__g.s") < F.col("__e")) & (F.col("__s") < F.col("__g.e"))))
+    met = left.join(free, meet, "left").where("__b is null or __g.s is not null")
+    met = met.withColumns({"__s": F.greatest("__s", F.col("__g.s")), "__e": F.least("__e", F.col("__g.e"))})
+    near = (F.col("__s") == F.col("__bin") * width) | (F.col("__e") == (F.col("__bin") + 1) * width)
+    homes = met.withColumn("__home", F.when(~near, F.col("__s"))).withColumn("__own", F.struct(*a.columns))
+    return _unite(homes, ("__row", "__home"), 0, (F.first("__own").alias("__own"),)).select(*[F.col("__s").alias(c) if c == "start" else F.col("__e").alias(c) if c == "end" else F.col(f"__own.{c}").alias(c) for c in a.columns])
 
 
 def slop(iv: DataFrame, n: int, contigs: DataFrame) -> DataFrame:
@@ -95,11 +136,6 @@ def slop(iv: DataFrame, n: int, contigs: DataFrame) -> DataFrame:
     return wide.withColumns({"start": F.greatest(F.col("start") - n, F.lit(0)), "end": F.least(F.col("end") + n, F.col("__length"))}).select(*iv.columns)
 
 
-def pad(iv: DataFrame, n: int, contigs: DataFrame) -> DataFrame:
-    """Padded intervals, see ``slop``."""
-    return slop(iv, n, contigs)
-
-
 def cat_sort_merge(parts: list[DataFrame], d: int = 0) -> DataFrame:
     """Union of several tables, merged; order by the contigs' index to write it out."""
     return merge(reduce(DataFrame.unionByName, [p.select("ctg", "start", "end") for p in parts]), d)
@@ -126,7 +162,7 @@ def points(rows: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def _near(rows: DataFrame, bed: DataFrame, how: str, width: int) -> DataFrame:
-    regions = merge(bed).withColumn("__bin_b", F.explode(F.sequence(_floor_div("start", width), _floor_div(F.col("end") - 1, width))))
+    regions = bed.where("start < end").withColumn("__bin_b", F.explode(F.sequence(_floor_div("start", width), _floor_div(F.col("end") - 1, width))))
     regions = regions.select(F.col("ctg").alias("ctg_b"), F.col("start").alias("start_b"), F.col("end").alias("end_b"), "__bin_b")
     inside = (F.col("ctg") == F.col("ctg_b")) & (_floor_div("pos", width) == F.col("__bin_b")) & (F.col("start_b") <= F.col("pos")) & (F.col("pos") < F.col("end_b"))
     return rows.join(regions, inside, how)
@@ -134,12 +170,12 @@ def _near(rows: DataFrame, bed: DataFrame, how: str, width: int) -> DataFrame:
 
 def within_regions(rows: DataFrame, bed: DataFrame, width: int = BIN) -> DataFrame:
     """Rows whose ``pos`` lies in an interval."""
-    return _near(rows, bed.where("start < end"), "left_semi", width)
+    return _near(rows, bed, "left_semi", width)
 
 
 def outside_regions(rows: DataFrame, bed: DataFrame, width: int = BIN) -> DataFrame:
     """Rows whose ``pos`` lies in no interval; an empty ``bed`` keeps all."""
-    return _near(rows, bed.where("start < end"), "left_anti", width)
+    return _near(rows, bed, "left_anti", width)
 
 
 def region_view(rows: DataFrame, region: str) -> DataFrame:
@@ -152,28 +188,17 @@ def region_view(rows: DataFrame, region: str) -> DataFrame:
     return kept
 
 
-def locus(reads: DataFrame, region: str) -> DataFrame:
-    """Reads that overlap a region string, see ``region_view``."""
-    return region_view(reads, region)
-
-
-def partition_by_region(rows: DataFrame, bed: DataFrame, name: str = "inside") -> DataFrame:
+def partition_by_region(rows: DataFrame, bed: DataFrame, name: str = "inside", width: int = BIN) -> DataFrame:
     """``rows`` and whether ``pos`` lies in an interval: both parts with one shuffle."""
-    return annotate_point(rows, merge(bed), {"start": "__hit"}).withColumn(name, F.col("__hit").isNotNull()).drop("__hit")
+    return annotate_point(rows, merge(bed), {"start": "__hit"}, width).withColumn(name, F.col("__hit").isNotNull()).drop("__hit")
 
 
-def annotate_point(rows: DataFrame, bed: DataFrame, values: dict[str, str], span: int = SPAN) -> DataFrame:
-    """``rows`` and columns of the interval that holds ``pos``, for intervals that do not overlap each other.
-
-    The last interval at or before a position is carried along, so there is no range join.
-    """
-    own = [*rows.columns]
-    value = F.struct("start", "end", *[F.col(c).alias(f"v{k}") for k, c in enumerate(values)])
-    at_left = rows.select(F.struct(*own).alias("__row"), "ctg", F.col("pos").alias("__at"), F.lit(1).alias("__side"), F.lit(None).cast(bed.select(value).schema[0].dataType).alias("__bed"))
-    at_right = bed.where("start < end").select(F.lit(None).cast(at_left.schema["__row"].dataType).alias("__row"), "ctg", F.col("start").alias("__at"), F.lit(0).alias("__side"), value.alias("__bed"))
-    both = running_max(at_left.unionByName(at_right), F.col("__bed"), "__last", pos="__at", order=("__at", "__side"), span=span)
-    hit = F.col("__row.pos") < F.col("__last.end")
-    return both.where("__side = 1").select("__row.*", *[F.when(hit, F.col(f"__last.v{k}")).alias(name) for k, name in enumerate(values.values())])
+def annotate_point(rows: DataFrame, bed: DataFrame, values: dict[str, str], width: int = BIN) -> DataFrame:
+    """``rows`` and columns of the interval that holds ``pos``, for intervals that do not overlap each other."""
+    spread = bed.where("start < end").select(F.col("ctg").alias("__c"), F.col("start").alias("__f"), F.col("end").alias("__t"), *[F.col(c).alias(f"__v{k}") for k, c in enumerate(values)])
+    spread = spread.withColumn("__b", F.explode(F.sequence(_floor_div("__f", width), _floor_div(F.col("__t") - 1, width))))
+    hit = (F.col("ctg") == F.col("__c")) & (_floor_div("pos", width) == F.col("__b")) & (F.col("__f") <= F.col("pos")) & (F.col("pos") < F.col("__t"))
+    return rows.join(spread, hit, "left").select(*[F.col(c) for c in rows.columns], *[F.col(f"__v{k}").alias(name) for k, name in enumerate(values.values())])
 
 
 def annotate_interval(rows: DataFrame, bed4: DataFrame, name: str = "LHC", width: int = BIN) -> DataFrame:
@@ -183,9 +208,9 @@ def annotate_interval(rows: DataFrame, bed4: DataFrame, name: str = "LHC", width
     return rows.join(first, "vid", "left")
 
 
-def phase_set(rows: DataFrame, bed: DataFrame, name: str = "PS") -> DataFrame:
+def phase_set(rows: DataFrame, bed: DataFrame, name: str = "PS", width: int = BIN) -> DataFrame:
     """``rows`` and start + 1 of the phased interval that holds ``pos``."""
-    return annotate_point(rows, bed.withColumn("__ps", F.col("start") + 1), {"__ps": name})
+    return annotate_point(rows, bed.withColumn("__ps", F.col("start") + 1), {"__ps": name}, width)
 
 
 def overlaps(iv: DataFrame, queries: DataFrame, width: int = BIN) -> DataFrame:

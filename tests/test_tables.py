@@ -25,6 +25,30 @@ def test_intervals_equal_sets_of_bases(spark):
     contigs = table(spark, [("a", 320), ("b", 400), ("c", 10)], "ctg string, length long")
     assert as_sets(intervals.merge(a)) == as_sets(a)
     wide = sorted(intervals.merge(a).collect())
+    def union(rows, d):
+        out = []
+        for c, s, e in sorted(rows):
+            if out and out[-1][0] == c and s <= out[-1][2] + d:
+                out[-1][2] = max(out[-1][2], e)
+            else:
+                out.append([c, s, e])
+        return sorted(map(tuple, out))
+
+    def pieces(rows, other):
+        covered, out = as_sets(other), []
+        for c, s, e in rows:
+            free = [x for x in range(s, e) if (c, x) not in covered]
+            starts = [x for x in free if x - 1 not in free]
+            out += [(c, s, e, x, next(y for y in range(x, e + 1) if y == e or y not in free)) for x in starts]
+        return sorted(out)
+
+    for width in (1, 3, 16, 1000):
+        for d in (0, 2, 9):
+            assert sorted(map(tuple, intervals.merge(a, d, width).collect())) == union(map(tuple, a.collect()), d)
+        kept = a.unionByName(a).selectExpr("*", "start as s", "end as e")
+        got = intervals.subtract(kept, b, width).collect()
+        assert sorted((r.ctg, r.s, r.e, r.start, r.end) for r in got) == pieces(2 * [tuple(r) for r in a.collect()], b)
+        assert as_sets(intervals.gaps(a, intervals.whole_genome(contigs), width)) == {(r.ctg, x) for r in contigs.collect() for x in range(r.length)} - as_sets(a)
     for span in (1, 7, 50):
         narrow = intervals.running_max(intervals.merge(a), F.col("end"), "m", span=span)
         assert all(r.m == r.end for r in narrow.collect())
