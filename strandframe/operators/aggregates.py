@@ -146,19 +146,38 @@ def flag_filter(reads: DataFrame, mask: int, value: int) -> DataFrame:
 
 
 def mark_duplicates(reads: DataFrame, keys: tuple[str, ...] = ("ctg", "pos5", "strand", "mate"), mode: str = "mark", score: str = "score", read_id: str = "read_id") -> DataFrame:
-    """Of reads with equal ``keys`` the one with the best score (then the smallest id) is kept.
+    """Of reads with equal ``keys`` the one with the best score (then the smallest id) is kept; a null score is the worst.
 
     mode: ``mark`` adds ``duplicate``, ``remove`` drops duplicates, ``none`` changes
-    nothing. The best of a group is found by a partial aggregate, so a group of any size
-    needs no window of its own. Ids are unique.
+    nothing. Reads with a null key, such as unmapped ones, are no duplicates. The best of
+    a group is found by a partial aggregate, so a group of any size needs no window of
+    its own. Ids are unique.
     """
     if mode == "none":
         return reads
-    rank = F.struct(F.col(score).alias("s"), F.col(read_id).alias("r"))
-    best = reads.groupBy(*keys).agg(F.max_by(read_id, F.struct(F.col(score), -F.col(read_id) if dict(reads.dtypes)[read_id] != "string" else rank)).alias("__best"))
-    marked = reads.join(best, list(keys), "left").withColumn("duplicate", F.col(read_id) != F.col("__best")).drop("__best")
+    rank = F.struct(F.col(score).isNull().alias("none"), (-F.col(score)).alias("score"), F.col(read_id).alias("id"))
+    best = reads.groupBy(*keys).agg(F.min_by(read_id, rank).alias("__best"))
+    marked = reads.join(best, list(keys), "left").withColumn("duplicate", F.coalesce(F.col(read_id) != F.col("__best"), F.lit(False))).drop("__best")
     return marked if mode == "mark" else marked.where("not duplicate").drop("duplicate")
 
 
+def consensus(reads: DataFrame, keys: tuple[str, ...] = ("ctg", "pos5", "strand", "mate"), least: int = 2) -> DataFrame:
+    """One row ``(keys, reads, seq, qual)`` for each group of at least ``least`` duplicates: at each cycle the base with the largest sum of qualities.
+
+    Of equal sums the base that comes first in the alphabet is taken; the quality is the
+    winner's sum less that of the others, between 2 and 60. Reads with a null key,
+    sequence or quality are left out.
+    """
+    whole = reads.dropna(subset=[*keys, "seq", "qual"])
+    size = whole.groupBy(*keys).agg(F.count("*").alias("reads"))
+    bases = whole.select(*keys, F.posexplode(F.arrays_zip(F.split("seq", "").alias("b"), F.split("qual", "").alias("q"))).alias("cycle", "x"))
+    sums = bases.where("x.b <> '' and x.q <> ''").groupBy(*keys, "cycle", F.col("x.b").alias("base")).agg(F.sum(F.ascii("x.q") - 33).alias("q"))
+    called = sums.groupBy(*keys, "cycle").agg(F.min_by("base", F.struct((-F.col("q")).alias("q"), "base")).alias("base"), (2 * F.max("q") - F.sum("q")).alias("q"))
+    letter = F.expr("char(33 + greatest(2, least(60, q)))")
+    rows = called.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("cycle", "base", letter.alias("q")))).alias("c"))
+    text = lambda f: F.array_join(F.transform("c", lambda x: x[f]), "").alias(f if f != "base" else "seq")
+    return size.where(F.col("reads") >= least).join(rows, list(keys)).select(*keys, "reads", text("base"), text("q").alias("qual"))
+
+
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
     return marked.agg(F.count("*").alias("reads"), F.count_if("duplicate").alias("duplicates"))

@@ -38,10 +38,6 @@ def concat_dedup(parts: list[DataFrame], keys: tuple[str, ...] = ("ctg", "pos",
     return both.join(first, on & (F.col(source) == F.col("__first")), "left_semi")
 
 
-def concat_disjoint(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def source_union(parts: dict[str, DataFrame], name: str = "SOURCE") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn(name, F.lit(k)) for k, p in parts.items()])
 
@@ -52,15 +48,6 @@ def header_union(a: DataFrame, b: DataFrame, remove: DataFrame | None = None) ->
     return both if remove is None else both.join(remove.select("kind", "id"), ["kind", "id"], "left_anti")
 
 
-def mark_losses(cnv: DataFrame, converted: DataFrame, fraction: float = 0.5, width: int = intervals.BIN) -> DataFrame:
-    """Both call sets with ``filter``: losses of ``cnv`` that a converted loss covers by at least ``fraction`` are SVdup, with ``dedup`` naming it."""
-    loss = cnv.where("svtype = 'LOSS'")
-    hit = intervals.fraction_overlap(loss.select("cid", "ctg", "start", "end"), converted.where("svtype = 'LOSS'"), fraction, width=width)
-    found = hit.where("hit_start is not null").select("cid", F.concat_ws("-", "hit_start", "hit_end").alias("dedup"))
-    marked = cnv.join(found, "cid", "left").withColumn("filter", F.when(F.col("dedup").isNotNull(), "SVdup").otherwise("PASS"))
-    return marked.unionByName(converted.withColumns({"dedup": F.lit(None).cast("string"), "filter": F.lit("PASS")}))
-
-
 def by_allele(v: DataFrame) -> DataFrame:
     """One row for each ALT, trimmed: ``tref, talt, allele`` (from 1) beside the row's own columns."""
     rows = v.select("*", F.posexplode("alt").alias("__i", "__a"))
@@ -100,7 +87,10 @@ def validate_one_sample(groups: DataFrame) -> DataFrame:
 
 
 def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, the rows of the table as bits of one integer."""
+    """Length of the longest common subsequence, the rows of the table as bits of one integer.
+
+    The recurrence is that of H. Hyyro, "Bit-parallel LCS-length computation revisited" (2004).
+    """
     at: dict[str, int] = {}
     for k, c in enumerate(a):
         at[c] = at.get(c, 0) | 1 << k
@@ -133,17 +123,64 @@ def ratio_bound(a: Column | str, b: Column | str, letters: str = "ACGT") -> Colu
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * (shared + F.least(other(a), other(b))) / total)
 
 
-def similar_pairs(a: DataFrame, b: DataFrame, threshold: float, keys: tuple[str, ...] = (), letters: str = "ACGT") -> DataFrame:
-    """Pairs ``(id, id_b, ratio)`` of ``(id, seq)`` rows with an LCS ratio of at least ``threshold``.
+#: Words of 64 bits in which a string's tokens are marked.
+MARKS = 4
+
 
-    Rows meet on ``keys`` and on bands of length, as wide as the threshold lets lengths
-    differ; bounds by length and letters come before the exact ratio. Empty texts meet
-    empty texts only.
+def _prefixes(strings: DataFrame, threshold: float, shared: int) -> DataFrame:
+    """``(seq, n, rare array, m0 ...)``: the tokens of a string, rarest first, that a partner must share ``shared`` of; and all its tokens as marks.
+
+    A token is a letter and how often it has come so far, so two strings have as many
+    common tokens as their common subsequence has letters at least. A partner of a string
+    of n letters has ``o = ceil(threshold * n / (2 - threshold))`` of them at least, and of
+    o common tokens the first ``shared`` lie among the first ``n - o + shared`` of both.
+    As many tokens that all strings have come last, for strings with fewer letters. Marks
+    are bits that tokens set or clear: of two strings no more differ than tokens do.
+    """
+    letters = strings.select("seq", F.explode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("c")).groupBy("seq", "c").agg(F.count("*").alias("k"))
+    tokens = letters.select("seq", F.explode(F.transform(F.sequence(F.lit(1).cast("long"), "k"), lambda i: F.xxhash64("c", i))).alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    word, bit = F.pmod("token", F.lit(MARKS)), F.expr(f"shiftleft(1L, cast(pmod(token div {MARKS}, 64) as int))")
+    marks = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{k}") for k in range(MARKS)]
+    ranked = tokens.join(often, "token").groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("t"), *marks)
+    kept = [F.coalesce(f"m{k}", F.lit(0).cast("long")).alias(f"m{k}") for k in range(MARKS)]
+    rows = strings.join(ranked, "seq", "left").select("seq", F.length("seq").alias("n"), F.coalesce(F.transform("t", lambda x: x["token"]), F.array().cast("array<bigint>")).alias("t"), *kept)
+    need = F.ceil(F.lit(threshold) * F.col("n") / F.lit(2 - threshold) - 1e-9)
+    pads = F.array(*[F.lit(-1 - k).cast("bigint") for k in range(shared)])
+    return rows.select("seq", "n", F.slice(F.concat("t", pads), F.lit(1), (F.col("n") - need + shared).cast("int")).alias("rare"), *[f"m{k}" for k in range(MARKS)])
+
+
+def _combinations(items: Column, size: int) -> Column:
+    """Hashes of all combinations of ``size`` elements in order."""
+
+    def upto(last: Column, left: int, so_far: Column) -> Column:
+        if left == 0:
+            return F.array(so_far)
+        places = A.upto(last)
+        return F.flatten(F.transform(places, lambda i: upto(i, left - 1, F.xxhash64(so_far, F.get(items, i)))))
+
+    return upto(F.size(items), size, F.lit(0).cast("bigint"))
+
+
+def similar_pairs(strings: DataFrame, threshold: float, shared: int = 3) -> DataFrame:
+    """``(id, id_b, ratio)`` of ``(id, seq)`` rows (unique ids) with an LCS ratio of at least ``threshold``.
+
+    Equal strings form a class, named by its least id: it has a row ``(class, member, 1)``
+    for each further member, and pairs are given between classes, the smaller id first.
+    Different strings meet on combinations of ``shared`` rare tokens, by which no pair is
+    lost; bounds by length and by the tokens' marks come before the exact ratio. Rows
+    with a null are left out.
     """
-    step = (2 - threshold) / threshold
-    band = lambda c: F.when(F.length(c) == 0, -2).otherwise(F.floor(F.log(F.length(c).cast("double")) / F.log(F.lit(max(step, 1.0001))) + 1e-9)).cast("int")
-    left = a.select("id", "seq", *keys, band("seq").alias("__band"))
-    near = F.explode(F.when(F.length("seq") == 0, F.array(F.lit(-2))).otherwise(F.array(*[band("seq") + k for k in (-1, 0, 1)])))
-    right = b.select(F.col("id").alias("id_b"), F.col("seq").alias("seq_b"), *keys, near.alias("__band"))
-    met = left.join(right, [*keys, "__band"]).where((2 * F.least(F.length("seq"), F.length("seq_b")) >= threshold * (F.length("seq") + F.length("seq_b"))) & (ratio_bound("seq", "seq_b", letters) >= threshold))
-    return met.select("id", "id_b", lcs_ratio("seq", "seq_b").alias("ratio")).where(F.col("ratio") >= threshold)
+    rows = strings.select("id", "seq").dropna()
+    classes = rows.groupBy("seq").agg(F.min("id").alias("id"))
+    members = rows.join(classes.select("seq", F.col("id").alias("class")), "seq").where("id <> class").select(F.col("class").alias("id"), F.col("id").alias("id_b"), F.lit(1.0).alias("ratio"))
+    marks = [f"m{k}" for k in range(MARKS)]
+    signs = _prefixes(classes.select("seq"), threshold, shared).join(classes, "seq").select("id", "n", *marks, F.explode(F.array_distinct(_combinations(F.col("rare"), shared))).alias("sign"))
+    other = signs.select("sign", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", *marks)])
+    total = F.col("n") + F.col("n_b")
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in marks])
+    met = signs.join(other, "sign").where((F.col("id") < F.col("id_b")) & (2 * F.least("n", "n_b") >= threshold * total) & (differ <= (1 - threshold) * total + 1e-9)).select("id", "id_b").distinct()
+    whole = met.join(classes, "id").join(classes.select(F.col("id").alias("id_b"), F.col("seq").alias("seq_b")), "id_b")
+    # a generator stands between the ratio and its test, so it is worked out once
+    tried = whole.select("id", "id_b", F.explode(F.array(lcs_ratio("seq", "seq_b"))).alias("ratio"))
+    return tried.where(F.col("ratio") >= threshold).unionByName(members)

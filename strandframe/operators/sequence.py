@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.text import CHUNK, ref_slice
+from . import intervals
+
 
 def find_peaks(series: DataFrame, distance: int = 1, height: float = 0.0) -> DataFrame:
     """``(id, peaks array<int>)`` of ``(id, series array<double>)``, ids being unique.
@@ -35,24 +38,37 @@ def best_period(candidates: DataFrame, key: str = "vid", slack: float = 0.01) ->
     return near.groupBy(key).agg(F.max_by(row, F.struct("matched", (-F.col("rank")).alias("r"))).alias("__row")).select(key, "__row.*")
 
 
-def merge_opposite_phase(v: DataFrame, gap: int = 10) -> DataFrame:
+def merge_opposite_phase(v: DataFrame, chunks: DataFrame, gap: int = 10, chunk: int = CHUNK) -> DataFrame:
     """Adjacent het insertions 1|0 and 0|1 with one ALT each, at most ``gap`` bases apart, become one 1|1 row with both ALTs.
 
-    Candidates are paired from the left: of a run of rows that could follow one another
-    the first and second make a pair, the third and fourth the next. The merged row has
-    the first one's place and REF; the second ALT begins with the bases between
-    (``between``, given with the second row). Rows are looked at by contig bin and carry
-    no more than their neighbour.
+    REF and the first ALT grow by the reference bases from the end of the first row to
+    the place of the second; the second ALT is that REF without its last base and the
+    second row's ALT. REF of the first row is no longer than either ALT. Rows follow one
+    another by ``pos, vid``; of a run of rows that could merge the first and second make a
+    pair, the third and fourth the next. ``chunks``: the reference, see ``sources.text``.
     """
-    w = Window.partitionBy("ctg").orderBy("pos", "vid")
-    fits = (F.size("alt") == 1) & F.col("GT").isin("1|0", "0|1") & (F.length("ref") <= F.length(F.get("alt", F.lit(0))))
-    rows = v.withColumn("__ok", fits)
-    joins = F.col("__ok") & F.lag("__ok").over(w) & (F.lag("GT").over(w) != F.col("GT")) & (F.col("pos") - F.lag("pos").over(w) <= gap)
-    rows = rows.withColumn("__join", F.coalesce(joins, F.lit(False)))
+    points = v.select("ctg", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
+    clusters = intervals.merge(points, d=gap - 1).withColumn("c", F.col("start"))
+    rows = intervals.annotate_point(v, clusters, {"c": "__cluster"})
+    w = Window.partitionBy("ctg", "__cluster").orderBy("pos", "vid")
+    alone = (F.size("alt") == 1) & F.col("GT").isin("1|0", "0|1")
+    first = F.get("alt", F.lit(0))
+    rows = rows.withColumns({"__ok": alone, "__alt": first})
+    before = lambda c: F.lag(c).over(w)
+    joins = F.col("__ok") & before("__ok") & (before("GT") != F.col("GT")) & (F.col("pos") - before("pos") <= gap) & (F.length(before("ref")) <= F.length("__alt")) & (F.length(before("ref")) <= F.length(before("__alt")))
+    rows = rows.withColumns({"__join": F.coalesce(joins, F.lit(False)), "__from": before("end")})
     rows = rows.withColumn("__run", F.sum(F.when(F.col("__join"), 0).otherwise(1)).over(w))
-    place = F.row_number().over(Window.partitionBy("ctg", "__run").orderBy("pos", "vid")) - 1
-    rows = rows.withColumn("__pair", F.floor(place / 2)).withColumn("__second", place % 2 == 1)
-    half = lambda c, second: F.max(F.when(F.col("__second") == second, F.col(c)))
-    pairs = rows.groupBy("ctg", "__run", "__pair").agg(*[half(c, False).alias(c) for c in ("vid", "pos", "end", "ref", "alt", "GT")], half("alt", True).alias("__alt2"), half("between", True).alias("__between"))
-    both = F.concat("alt", F.array(F.concat(F.coalesce("__between", F.lit("")), F.get("__alt2", F.lit(0)))))
-    return pairs.select("vid", "ctg", "pos", "end", "ref", F.when(F.col("__alt2").isNull(), F.col("alt")).otherwise(both).alias("alt"), F.when(F.col("__alt2").isNull(), F.col("GT")).otherwise("1|1").alias("GT"))
+    place = F.row_number().over(Window.partitionBy("ctg", "__cluster", "__run").orderBy("pos", "vid")) - 1
+    rows = rows.withColumns({"__pair": F.floor(place / 2), "__second": place % 2 == 1})
+    own = [c for c in v.columns if c != "ctg"]
+    half = lambda second, c: F.max(F.when(F.col("__second") == second, F.col(c)))
+    pairs = rows.groupBy("ctg", "__cluster", "__run", "__pair").agg(F.max_by(F.struct(*own), ~F.col("__second")).alias("__v"), half(True, "__alt").alias("__alt2"), half(True, "__from").alias("__from"), half(True, "pos").alias("__to"))
+    pairs = pairs.select("ctg", "__v.*", "__alt2", "__from", "__to")
+    wide = pairs.select("*", F.col("__from").alias("__s"), F.when(F.col("__alt2").isNotNull(), F.col("__to") + 1).otherwise(F.lit(0)).alias("__e"))
+    wanted = wide.where("__alt2 is not null").select("vid", "ctg", F.col("__s").alias("start"), F.col("__e").alias("end"))
+    bases = ref_slice(wanted, chunks, "vid", chunk, "__gap").select("vid", "__gap")
+    both = wide.join(bases, "vid", "left")
+    merged = F.col("__alt2").isNotNull()
+    ref = F.concat("ref", "__gap")
+    new = {"ref": F.when(merged, ref).otherwise(F.col("ref")), "alt": F.when(merged, F.array(F.concat(first, F.col("__gap")), F.concat(F.substring(ref, F.lit(1), F.length(ref) - 1), F.col("__alt2")))).otherwise(F.col("alt")), "GT": F.when(merged, "1|1").otherwise(F.col("GT"))}
+    return both.select(*[new.get(c, F.col(c)).alias(c) for c in v.columns])

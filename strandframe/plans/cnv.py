@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,21 +48,55 @@ def first_period(seqs: DataFrame, threshold: float = 0.9) -> DataFrame:
     return rows.select("id", F.when(F.coalesce(repeats, F.lit(False)), period).otherwise(F.col("length")).alias("period"))
 
 
+def _alleles(gt: str | None) -> list[int]:
+    return [int(x) for x in (gt or ".").replace("|", "/").split("/") if x != "."]
+
+
 def _either(a: str, b: str) -> str:
-    """Allele by allele OR of two genotypes; what is missing stays so."""
-    one, two = ([int(x) for x in g.replace("|", "/").split("/") if x != "."] for g in (a, b))
-    if "." in a or "." in b:
-        return f"{one[0] | two[0]}/."
+    """Allele by allele OR of two genotypes; if either misses one, the OR of the first alleles (0 where there is none) and a missing one."""
+    one, two = _alleles(a), _alleles(b)
+    if "." in (a or ".") or "." in (b or "."):
+        return f"{(one or [0])[0] | (two or [0])[0]}/."
     return "|".join(str(x | y) for x, y in zip(one, two))
 
 
-def merge_pair(a: dict, b: dict) -> dict | None | str:
-    """What becomes of two calls in a row: one call, ``drop`` if they cancel, or None if they stay apart.
+def extend_count(call: dict) -> dict:
+    """I28: the copy change as the fewest changes of a whole number of periods that the array can hold; ``pos`` and ``end`` follow if it changes.
 
-    Calls merge if the common part is at least COMMON of the shorter range. Opposite
-    types that share more than COMMON of both net out. Deletions: the longer stays, as it
-    is if its difference is -2 or the genotypes are equal, with both added up if they share more
-    than COMMON of both. Duplications merge if their periods fit a whole number of times.
+    ``svlen`` counts periods; n of them times the change of one allele, over a smaller
+    change d, must be near a whole number (WHOLE) and fit into the range.
+    """
+    period, change = call["period"], call["cndiff"]
+    if not change or not period:
+        return call
+    count = round(call["svlen"] / period)
+    per_allele = abs(change // (sum(_alleles(call["gt"])) or 1))
+    room = (call["stop"] - call["start"]) / period
+    room = round(room) if room - round(room) < WHOLE else math.ceil(room) - 1
+    fits = [d for d in range(1, per_allele + 1) if abs((n := count * per_allele / d) - round(n)) <= WHOLE and n <= room]
+    if not fits or fits[0] == per_allele:
+        return call
+    size = round(count * per_allele / fits[0]) * period
+    return call | {"cndiff": fits[0] if change > 0 else -fits[0], "svlen": size, "pos": call["start"], "end": call["start"] + size}
+
+
+def merge_pair(a: dict, b: dict) -> dict | None | str:
+    """J17: what becomes of two calls in a row: one call, ``drop`` if they cancel, or None if they stay apart.
+
+    ===================== ============================== ====================================
+    types                 condition                      result
+    ===================== ============================== ====================================
+    any                   common part under COMMON of    apart
+                          the shorter range
+    opposite              common part over COMMON of     the larger change's call with the sum,
+                          both                           none if it is 0; otherwise apart
+    DEL, DEL              longer has -2, or equal GT     the longer as it is
+    DEL, DEL              common part over COMMON of     the longer, GT joined, sum of the
+                          both                           changes but at most -2
+    DUP, DUP              periods no whole multiple      apart
+    DUP, DUP              equal alleles; or equal        the longer, GT joined, shorter period,
+                          totals and neither is 1/1      sum of totals, then ``extend_count``
+    ===================== ============================== ====================================
     """
     size_a, size_b = a["stop"] - a["start"], b["stop"] - b["start"]
     common = min(a["stop"], b["stop"]) - max(a["start"], b["start"])
@@ -78,44 +113,47 @@ def merge_pair(a: dict, b: dict) -> dict | None | str:
             return longer
         return longer | {"gt": _either(a["gt"], b["gt"]), "cndiff": min(-2, a["cndiff"] + b["cndiff"])} if alike else None
     short, long = sorted((a["period"], b["period"]))
-    ratio = long / short if short > 0 else 999
-    if abs(ratio - round(ratio)) > WHOLE:
+    if short <= 0 or abs(long / short - round(long / short)) > WHOLE:
         return None
     total, more = (x["cndiff"] * max(1, round(x["svlen"] / short)) for x in (longer, other))
-    same = sorted(a["gt"]) == sorted(b["gt"]) if "." in a["gt"] + b["gt"] else a["gt"].replace("|", "/") == b["gt"].replace("|", "/")
-    both = any(g.replace("|", "/") == "1/1" for g in (a["gt"], b["gt"]))
-    if same or (total == more and not both):
-        return longer | {"gt": _either(a["gt"], b["gt"]), "period": short, "svlen": short, "cndiff": total + more}
+    one, two = _alleles(a["gt"]), _alleles(b["gt"])
+    if one == two or (total == more and [1, 1] not in (one, two)):
+        return extend_count(longer | {"gt": _either(a["gt"], b["gt"]), "period": short, "svlen": short, "cndiff": total + more})
     return None
 
 
 def merge_output(cnv: DataFrame) -> DataFrame:
-    """Left-to-right fold of calls ``cid, ctg, pos, start, stop, svtype (DEL or DUP), cndiff, period, svlen, gt`` that overlap.
+    """left-to-right fold, by pos and cid, of calls ``cid, ctg, pos, end, start, stop, svtype (DEL or DUP), cndiff, period, svlen, gt``.
 
-    Only ranges that overlap, directly or through others, can merge; each such island is
-    folded by itself, by pos and cid, each call against the last one kept. Islands are
-    the largest groups.
+    Each call meets the last one kept on its contig. The order is cut where neither a
+    range nor a pos reaches over, which no merge can cross; the parts stream through
+    tasks that hold the last kept call only, so none is too large.
     """
-    union = intervals.merge(cnv.select("ctg", "start", F.col("stop").alias("end")))
-    placed = intervals.annotate_point(cnv.withColumnsRenamed({"pos": "__pos", "start": "pos"}), union.withColumn("__i", F.col("start")), {"__i": "__island"})
-    placed = placed.withColumnsRenamed({"pos": "start", "__pos": "pos"}).withColumn("__island", F.coalesce("__island", "start"))
+    low, high = F.least("pos", "start"), F.greatest(F.col("pos") + 1, "stop")
+    union = intervals.merge(cnv.select("ctg", low.alias("start"), high.alias("end"))).withColumn("__i", F.col("start"))
+    placed = intervals.annotate_point(cnv, union, {"__i": "__island"})
     names = cnv.columns
 
-    def fold(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        kept: list[dict] = []
-        last = None
-        for x in batches.sort_values(["pos", "cid"]).to_dict("records"):
-            merged = None if last is None else merge_pair(last, x)
-            if last is None:
-                last = x
-            elif merged == "drop":
-                last = None
-            elif merged is not None:
-                last = merged
-            else:
-                kept.append(last)
-                last = x
-        return pd.DataFrame([*kept, *([last] if last is not None else [])], columns=list(batches.columns))[names]
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cnv.schema.fields)
-    return placed.groupBy("ctg", "__island").applyInPandas(fold, schema)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, last = None, None
+        for batch in batches:
+            kept: list[dict] = []
+            for x in batch.to_dict("records"):
+                here = (x["ctg"], x["__island"])
+                if here != where and last is not None:
+                    kept.append(last)
+                    last = None
+                where = here
+                merged = None if last is None else merge_pair(last, x)
+                if isinstance(merged, dict):
+                    last = merged
+                    continue
+                if last is not None and merged is None:
+                    kept.append(last)
+                last = None if merged == "drop" else x
+            yield pd.DataFrame(kept, columns=list(batch.columns))[names]
+        if last is not None:
+            yield pd.DataFrame([last])[names]
+
+    sorted_rows = placed.repartition("ctg", "__island").sortWithinPartitions("ctg", "__island", "pos", "cid")
+    return sorted_rows.mapInPandas(fold, cnv.schema)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import alleles as A
 from ..operators import filters, intervals, joins
@@ -12,21 +16,54 @@ from ..sources.text import ref_slice
 NON_REF = "<NON_REF>"
 
 
+def cutting_calls(blocks: DataFrame, calls: DataFrame, width: int = intervals.BIN) -> DataFrame:
+    """``(vid, start, end)`` of the calls that cut a block (unique ``vid``): those that begin in it and not within a call that has cut it before.
+
+    Calls are taken by pos and end. They stream through a task sorted by block, which
+    holds the end of the last one only.
+    """
+    begins = intervals.points(calls.select("ctg", "pos", F.col("end").alias("stop")))
+    spans = blocks.select("ctg", F.col("pos").alias("start"), "end", "vid")
+    inside = intervals.overlap_pairs(begins, spans, width).select(F.col("vid_b").alias("vid"), F.col("pos").alias("start"), F.col("stop").alias("end"))
+
+    def greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, reached = None, 0
+        for x in batches:
+            keep = []
+            for vid, start, end in zip(x["vid"], x["start"], x["end"]):
+                free = vid != block or start >= reached
+                if free:
+                    block, reached = vid, end
+                keep.append(free)
+            yield x[keep]
+
+    placed = inside.repartition("vid").sortWithinPartitions("vid", "start", "end")
+    return placed.mapInPandas(greedy, placed.schema)
+
+
 def split_blocks(blocks: DataFrame, calls: DataFrame, chunks: DataFrame | None = None, width: int = intervals.BIN) -> DataFrame:
-    """Reference blocks (one ALT; unique ``vid``) without the bases of calls; a piece that begins after a call gets its own first base.
+    """Reference blocks (one ALT; unique ``vid``) without the bases of the calls that begin in them; a piece that begins after a call gets its own first base.
 
-    ``chunks``: the reference, see ``sources.text``; without it such a base is ``N``.
+    A call that reaches over the end of its block leaves the next block whole, and one
+    that begins within an earlier call cuts nothing. ``chunks``: the reference, see
+    ``sources.text``; without it such a base is ``N``.
     """
-    spans = calls.select("ctg", F.col("pos").alias("start"), "end")
-    whole = blocks.withColumns({"start": F.col("pos"), "__old": F.col("pos")})
-    pieces = intervals.subtract(whole, spans, width)
-    base = F.when(F.col("start") == F.col("__old"), F.col("ref")).otherwise("N")
+    cuts = cutting_calls(blocks, calls, width).select("vid", F.array(F.col("start"), F.col("end")).alias("cut"))
+    own = F.struct(*blocks.columns)
+    marks = blocks.select(F.col("vid").alias("__vid"), own.alias("__own"), F.array("pos", "pos").alias("cut"), F.lit(0).alias("__kind"))
+    marks = marks.unionByName(cuts.select(F.col("vid").alias("__vid"), F.lit(None).cast(marks.schema["__own"].dataType).alias("__own"), "cut", F.lit(1).alias("__kind")))
+    w = Window.partitionBy("__vid").orderBy("__kind", F.get("cut", F.lit(0)))
+    whole = F.first("__own", ignorenulls=True).over(Window.partitionBy("__vid"))
+    nxt = F.lead(F.get("cut", F.lit(0))).over(w)
+    pieces = marks.select(whole.alias("__own"), F.get("cut", F.lit(1)).alias("start"), nxt.alias("__next")).select("__own.*", "start", "__next")
+    pieces = pieces.select(*blocks.columns, "start", F.coalesce("__next", "end").alias("stop")).where("start < stop")
+    base = F.when(F.col("start") == F.col("pos"), F.col("ref")).otherwise("N")
     if chunks is not None:
         keyed = pieces.withColumn("__key", F.concat_ws(":", "vid", "start"))
         bases = ref_slice(keyed.select("__key", "ctg", "start", (F.col("start") + 1).alias("end")), chunks, "__key").select("__key", "bases")
         pieces = keyed.join(bases, "__key").drop("__key")
-        base = F.when(F.col("start") == F.col("__old"), F.col("ref")).otherwise(F.col("bases"))
-    return pieces.withColumns({"ref": base, "pos": F.col("start")}).select(*blocks.columns)
+        base = F.when(F.col("start") == F.col("pos"), F.col("ref")).otherwise(F.col("bases"))
+    return pieces.withColumn("ref", base).withColumns({"pos": F.col("start"), "end": F.col("stop")}).select(*blocks.columns)
 
 
 def add_nonref(calls: DataFrame, compat: bool = False) -> DataFrame:
@@ -42,21 +79,22 @@ def add_nonref(calls: DataFrame, compat: bool = False) -> DataFrame:
 def gvcf_combine(gvcf: DataFrame, calls: DataFrame, chunks: DataFrame | None = None, compat: bool = False, width: int = intervals.BIN) -> DataFrame:
     """A gVCF with its calls replaced: ``ctg, pos, end, ref, alt, GT, GQ, DP, PL, AD`` and ``vid``, unique in ``gvcf``.
 
-    Blocks lose the bases of calls. A row with several ALTs stays as a REF call where no
+    Blocks lose the bases of calls that begin in them. A row with several ALTs stays as a REF call where no
     call begins, goes where one of its own end or a later one does, and leaves what
-    reaches beyond the call as a block of GQ 15, up to the next row of the gVCF. Calls
-    get ``<NON_REF>``. The ALT of a block alone is ``<NON_REF>``.
+    reaches beyond the call as a block of GQ 15, up to the next row of the gVCF, which
+    later calls may cut. Calls get ``<NON_REF>``. The ALT of a block alone is ``<NON_REF>``.
     """
     columns = ["ctg", "pos", "end", "ref", "alt", "GT", "GQ", "DP", "PL", "AD"]
-    blocks = split_blocks(gvcf.where(F.size("alt") == 1), calls, chunks, width).select(*columns)
+    own = ["vid", *columns]
     at = calls.groupBy("ctg", "pos").agg(F.max("end").alias("__end"))
     several = gvcf.where(F.size("alt") > 1).join(at, ["ctg", "pos"], "left")
     plain = several.where("__end is null").withColumn("GT", A.homref_gt(A.ploidy_of_gt("GT"))).select(*columns)
     rest = several.where("end > __end").join(_next_start(gvcf), ["ctg", "pos"], "left")
     size = A.ploidy_of_gt("GT")
-    rest = rest.select("ctg", F.col("__end").alias("pos"), F.coalesce("__next", "end").alias("end"), F.substring(F.col("ref"), (F.col("__end") - F.col("pos") + 1).cast("int"), F.lit(1)).alias("ref"), F.array(F.lit(NON_REF)).alias("alt"), A.homref_gt(size).alias("GT"), F.lit(15).alias("GQ"), "DP", F.transform(A.upto(size + 1), lambda i: i * 20).alias("PL"), F.lit(None).cast("array<int>").alias("AD"))
-    rest = rest.where("pos < end")
-    return blocks.unionByName(plain).unionByName(rest).unionByName(add_nonref(calls, compat).select(*columns))
+    rest = rest.select(F.concat_ws(":", "vid", F.lit("rest")).alias("vid"), "ctg", F.col("__end").alias("pos"), F.coalesce("__next", "end").alias("end"), F.substring(F.col("ref"), (F.col("__end") - F.col("pos") + 1).cast("int"), F.lit(1)).alias("ref"), F.array(F.lit(NON_REF)).alias("alt"), A.homref_gt(size).alias("GT"), F.lit(15).alias("GQ"), "DP", F.transform(A.upto(size + 1), lambda i: i * 20).alias("PL"), F.lit(None).cast("array<int>").alias("AD"))
+    whole = gvcf.where(F.size("alt") == 1).withColumn("vid", F.col("vid").cast("string")).select(*own).unionByName(rest.where("pos < end").select(*own))
+    blocks = split_blocks(whole, calls, chunks, width).select(*columns)
+    return blocks.unionByName(plain).unionByName(add_nonref(calls, compat).select(*columns))
 
 
 def _next_start(rows: DataFrame) -> DataFrame:
@@ -76,20 +114,34 @@ def gvcf_to_calls(g: DataFrame) -> DataFrame:
 
 
 def trim_added_alts(v: DataFrame, number_a: tuple[str, ...] = ("AF",), number_r: tuple[str, ...] = ("AD",), number_g: tuple[str, ...] = ("PL",)) -> DataFrame:
-    """Cuts the ALTs that only the population table has; ``AF`` (texts) is the caller's own. GT stays as it is."""
+    """Cuts the ALTs that only the population table has; ``AF`` (texts) is the caller's own. GT stays as it is.
+
+    Rows that lose an ALT lose as many last bases as all remaining alleles can spare; those
+    are taken to be shared, as in padded alleles. Symbolic ALTs do not count and stay whole.
+    """
     keep = v.withColumn("__keep", A.added_alts("alt", "AF"))
     all_kept = F.size("__keep") == F.size("alt") + 1
     some = keep.where(~all_kept)
     n = F.size("alt")
     new = {c: A.subset_a(c, F.col("__keep")) for c in number_a} | {c: A.subset_r(c, F.col("__keep")) for c in number_r} | {c: A.subset_g(c, F.col("__keep"), n) for c in number_g}
-    some = some.withColumns({k: x for k, x in new.items() if k in v.columns} | {"__t": A.subset_alleles("ref", "alt", F.col("__keep"))})
-    some = some.withColumns({"ref": F.col("__t.ref"), "alt": F.col("__t.alts")}).drop("__t")
+    some = some.withColumns({k: x for k, x in new.items() if k in v.columns} | {"alt": A.subset_a("alt", F.col("__keep"))})
+    plain = F.filter("alt", lambda a: ~a.startswith("<"))
+    spare = F.when(F.size(plain) > 0, F.aggregate(plain, F.length("ref"), lambda n, a: F.least(n, F.length(a))) - 1).otherwise(0)
+    some = some.withColumn("__n", F.greatest(spare, F.lit(0)))
+    cut = lambda a: F.substring(a, F.lit(1), F.length(a) - F.col("__n"))
+    some = some.withColumns({"ref": cut(F.col("ref")), "alt": F.transform("alt", lambda a: F.when(a.startswith("<"), a).otherwise(cut(a)))}).drop("__n")
     return keep.where(all_kept).unionByName(some).drop("__keep")
 
 
 def transfer(raw: DataFrame, pop: DataFrame, key: str, rules: dict[str, str]) -> DataFrame:
-    """Population values on calls with a FORMAT; see ``joins.transfer_annotations``."""
-    return joins.transfer_annotations(filters.drop_site_only(raw), pop, key, rules)
+    """Population values on calls: ALTs that the caller does not know are cut, and rows without a FORMAT or a frequency of the caller's own go.
+
+    See ``joins.transfer_annotations``, ``trim_added_alts`` and ``filters.drop_no_call``.
+    """
+    called = filters.drop_no_call(filters.drop_site_only(raw)).withColumn("AF", F.split(F.col("info")["AF"], ","))
+    values = tuple(f"pop_{f}" for f in rules)
+    marked = joins.transfer_annotations(called, pop, key, rules)
+    return trim_added_alts(marked, number_a=("AF", *values)).drop("AF")
 
 
 def select_regions(v: DataFrame, contigs: DataFrame, n: int = 1000) -> DataFrame:
@@ -112,19 +164,20 @@ def finalise(v: DataFrame, gvcf: bool = False) -> DataFrame:
     return filters.trim_unused_alts(filters.exclude_homref(v, gvcf))
 
 
-def sex_aware_choice(sex: str | None, male, female):
-    return male if sex == "male" else female
-
-
-def with_copy_number(converted: DataFrame, neutral: int = 2) -> DataFrame:
-    return converted.withColumn("CN", A.copy_number("CNDIFF", neutral))
-
-
 def combine_cnv(cnv: DataFrame, converted: DataFrame, neutral: int = 2, fraction: float = 0.5, width: int = intervals.BIN) -> DataFrame:
-    """Converted calls with their copy number, and passing CNV calls that are not neutral; losses that a converted loss covers are SVdup."""
+    """``(cid, ctg, pos, end, CN, SOURCE, filter, DEDUP, source_order)`` of CNV calls and calls converted from indels.
+
+    ``cnv``: ``cid`` (unique), ctg, pos, end, CN, filter; those that do not pass or are
+    neutral go. ``converted``: also CNDIFF, REFSTART, REFSTOP; all stay, with their copy
+    number. A loss that a converted loss covers by at least ``fraction`` is SVdup, and
+    DEDUP names the first such range; gains never are. Order by pos, ``source_order``, cid.
+    """
     called = filters.drop_nonpass_and_neutral(cnv, neutral)
-    kind: Column = F.when(F.col("CN") < neutral, "LOSS").otherwise("GAIN")
-    columns = ["cid", "ctg", "start", "end", "CN", "svtype", "SOURCE"]
-    a = called.withColumns({"svtype": kind, "SOURCE": F.lit("CNV")}).select(*columns)
-    b = with_copy_number(converted, neutral).withColumns({"svtype": kind, "SOURCE": F.lit("INDEL")}).select(*columns)
-    return joins.mark_losses(a, b, fraction, width)
+    known = converted.where("CNDIFF < 0 and REFSTART < REFSTOP").select("ctg", F.col("REFSTART").alias("start"), F.col("REFSTOP").alias("end"))
+    losses = called.where(F.col("CN") < neutral).select("cid", "ctg", F.col("pos").alias("start"), "end")
+    hit = intervals.fraction_overlap(losses, known, fraction, width=width).where("hit_start is not null")
+    dedup = hit.select("cid", F.concat("ctg", F.lit(":"), "hit_start", F.lit("-"), "hit_end").alias("DEDUP"))
+    marked = called.join(dedup, "cid", "left").withColumn("filter", F.when(F.col("DEDUP").isNotNull(), F.array(F.lit("SVdup"))).otherwise(F.col("filter")))
+    columns = ["cid", "ctg", "pos", "end", "CN", "SOURCE", "filter", "DEDUP", "source_order"]
+    own = converted.withColumns({"CN": A.copy_number(F.coalesce("CNDIFF", F.lit(0)), neutral), "SOURCE": F.lit("SV_CNV"), "DEDUP": F.lit(None).cast("string"), "source_order": F.lit(0)})
+    return own.select(*columns).unionByName(marked.withColumns({"SOURCE": F.lit("CNV"), "source_order": F.lit(1)}).select(*columns))

@@ -192,12 +192,18 @@ def concat_dedup(spark, sf_dir):
     return joins.concat_dedup([rows.where(F.col("kind") == k).drop("kind") for k in ("click", "view")], keys=("ctg", "pos"), source="source")
 
 
-@query(f"""WITH {_SPLIT}, c AS (SELECT *, CASE WHEN cid % 3 = 0 THEN 'LOSS' ELSE 'GAIN' END AS svtype FROM iv WHERE kind IN ('click', 'view')),
-p AS (SELECT a.cid, min((b."start", b."end")) AS h FROM c a JOIN c b ON a.kind = 'click' AND b.kind = 'view' AND a.svtype = 'LOSS' AND b.svtype = 'LOSS' AND a.ctg = b.ctg AND a."start" < b."end" AND b."start" < a."end" WHERE 2 * (least(a."end", b."end") - greatest(a."start", b."start")) >= a."end" - a."start" GROUP BY a.cid)
-SELECT c.cid, c.ctg, c."start", c."end", c.svtype, kind AS source, CASE WHEN p.cid IS NULL THEN 'PASS' ELSE 'SVdup' END AS filter FROM c LEFT JOIN p ON c.cid = p.cid""")
+@query(f"""WITH iv AS ({_IV}), c AS (SELECT cid, ctg, "start" AS pos, "end", cid % 4 AS cn, CASE WHEN cid % 5 = 0 THEN 'bad' WHEN cid % 2 = 0 THEN 'PASS' ELSE '' END AS filter FROM iv WHERE kind = 'click'),
+v AS (SELECT cid, ctg, "start" AS pos, "end", CASE WHEN cid % 11 > 0 THEN cid % 5 - 2 END AS d, "start" AS rs, CASE WHEN cid % 7 = 0 THEN "start" ELSE "end" END AS re FROM iv WHERE kind = 'view'),
+p AS (SELECT c.cid, min((v.rs, v.re)) AS h FROM c JOIN v ON c.ctg = v.ctg AND v.d < 0 AND v.rs < v.re AND c.cn < 2 AND c.pos < v.re AND v.rs < c."end" WHERE 2 * (least(c."end", v.re) - greatest(c.pos, v.rs)) >= c."end" - c.pos GROUP BY c.cid)
+SELECT cid, ctg, pos, "end", CAST(2 + coalesce(d, 0) AS INTEGER) AS "CN", 'SV_CNV' AS "SOURCE", '' AS filter, NULL AS "DEDUP", 0 AS source_order FROM v
+UNION ALL SELECT c.cid, ctg, pos, "end", CAST(cn AS INTEGER), 'CNV', CASE WHEN p.cid IS NULL THEN filter ELSE 'SVdup' END, CASE WHEN p.cid IS NOT NULL THEN ctg || ':' || h[1] || '-' || h[2] END, 1 FROM c LEFT JOIN p ON c.cid = p.cid WHERE filter <> 'bad' AND cn <> 2""")
 def combine_cnv(spark, sf_dir):
-    iv = _iv(spark, sf_dir).where("kind in ('click', 'view')").withColumn("svtype", F.when(F.col("cid") % 3 == 0, "LOSS").otherwise("GAIN"))
-    return joins.mark_losses(iv.where("kind = 'click'"), iv.where("kind = 'view'"), 0.5, DAY).select("cid", "ctg", "start", "end", "svtype", F.col("kind").alias("source"), "filter")
+    k = F.col("cid")
+    iv = _iv(spark, sf_dir).withColumnRenamed("start", "pos")
+    texts = lambda x: F.array(*[F.lit(x)] if x else []).cast("array<string>")
+    cnv_calls = iv.where("kind = 'click'").select("cid", "ctg", "pos", "end", (k % 4).cast("int").alias("CN"), F.when(k % 5 == 0, texts("bad")).when(k % 2 == 0, texts("PASS")).otherwise(texts("")).alias("filter"))
+    converted = iv.where("kind = 'view'").select("cid", "ctg", "pos", "end", F.when(k % 11 > 0, k % 5 - 2).cast("int").alias("CNDIFF"), F.col("pos").alias("REFSTART"), F.when(k % 7 == 0, F.col("pos")).otherwise(F.col("end")).alias("REFSTOP"), texts("").alias("filter"))
+    return gvcf.combine_cnv(cnv_calls, converted, width=DAY).withColumn("filter", F.array_join("filter", ";"))
 
 
 _IDX = "SELECT l_suppkey AS ctg, 1000 + 37 * (l_suppkey % 11) AS length, count(*) AS mapped FROM lineitem GROUP BY l_suppkey"
@@ -220,9 +226,9 @@ def sex(spark, sf_dir):
 
 
 @query(f"""WITH d AS ({_DNA}), k AS (SELECT substring(seq, i, 29) AS kmer FROM (SELECT seq, unnest(range(1, length(seq) - 27)) AS i FROM d WHERE length(seq) >= 29))
-SELECT least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k GROUP BY 1 HAVING count(*) >= 2""")
+SELECT least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k GROUP BY 1""")
 def kmer_count(spark, sf_dir):
-    return aggregates.kmer_count(_dna(spark, sf_dir), 29, least=2)
+    return aggregates.kmer_count(_dna(spark, sf_dir), 29)
 
 
 @query(f"WITH d AS ({_DNA}), b AS (SELECT unnest(range(1, length(seq) + 1)) AS cycle, unnest(string_split(seq, '')) AS base FROM d WHERE length(seq) > 0) SELECT CAST(cycle AS INTEGER) AS cycle, count(*) FILTER (base = 'A') AS n_a, count(*) FILTER (base = 'C') AS n_c, count(*) FILTER (base = 'G') AS n_g, count(*) FILTER (base = 'T') AS n_t, count(*) FILTER (base = 'N') AS n_n, count(*) AS n FROM b GROUP BY cycle")
@@ -247,11 +253,12 @@ def quality_distribution(spark, sf_dir):
     return aggregates.quality_distribution(_qual(spark, sf_dir))
 
 
-@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey % 500, l_suppkey ORDER BY l_quantity DESC, l_orderkey * 8 + l_linenumber) > 1 AS duplicate FROM (SELECT DISTINCT ON (l_orderkey * 8 + l_linenumber) * FROM lineitem ORDER BY l_orderkey * 8 + l_linenumber, l_partkey, l_suppkey, l_quantity)")
+@query("""WITH r AS (SELECT *, 'r' || (l_orderkey * 8 + l_linenumber) AS read_id, CASE WHEN l_partkey % 97 > 0 THEN l_orderkey % 500 END AS bucket FROM (SELECT DISTINCT ON (l_orderkey * 8 + l_linenumber) * FROM lineitem ORDER BY l_orderkey * 8 + l_linenumber, l_partkey, l_suppkey, l_quantity))
+SELECT read_id, bucket IS NOT NULL AND row_number() OVER (PARTITION BY bucket, l_suppkey ORDER BY l_quantity DESC, read_id) > 1 AS duplicate FROM r""")
 def mark_duplicates(spark, sf_dir):
-    rows = _table(spark, sf_dir, "lineitem").withColumn("read_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    rows = rows.groupBy("read_id").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_orderkey", "l_linenumber")).alias("r")).select("read_id", "r.*").withColumn("bucket", F.col("l_orderkey") % 500)
-    return aggregates.mark_duplicates(rows, ("bucket", "l_suppkey"), "mark", "l_quantity").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "duplicate")
+    rows = _table(spark, sf_dir, "lineitem").withColumn("n", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    rows = rows.groupBy("n").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_orderkey")).alias("r")).select(F.concat(F.lit("r"), "n").alias("read_id"), "r.*").withColumn("bucket", F.when(F.col("l_partkey") % 97 > 0, F.col("l_orderkey") % 500))
+    return aggregates.mark_duplicates(rows, ("bucket", "l_suppkey"), "mark", "l_quantity").select("read_id", "duplicate")
 
 
 _PL = "SELECT l_orderkey, l_linenumber, l_partkey, [CAST(l_quantity AS BIGINT) % 17 * 3, l_partkey % 60, l_suppkey % 90] AS p0, [l_orderkey % 50, l_partkey % 40, CAST(l_quantity AS BIGINT) % 30] AS s0, [l_partkey % 7, l_suppkey % 5] AS lad, l_linenumber % 3 = 0 AS str FROM lineitem"
@@ -296,17 +303,23 @@ def transfer_sum(spark, sf_dir):
     return _table(spark, sf_dir, "orders").select("o_orderkey").join(sums, "o_orderkey", "left").select("o_orderkey", F.coalesce("ac", F.lit(0)).alias("ac"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query()
-def find_peaks(spark, sf_dir):
-    return sequence.find_peaks(_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("series")), distance=3, height=0.05)
-
-
-@query("""WITH e AS (SELECT vec_id AS id, unnest(embedding) AS y, unnest(range(0, len(embedding))) AS i FROM embeddings),
+_RUNS = """e AS (SELECT vec_id AS id, unnest(embedding) AS y, unnest(range(0, len(embedding))) AS i FROM embeddings),
 s AS (SELECT *, CASE WHEN lag(y) OVER w IS DISTINCT FROM y THEN 1 ELSE 0 END AS new FROM e WINDOW w AS (PARTITION BY id ORDER BY i)),
 g AS (SELECT *, sum(new) OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM s),
 r AS (SELECT id, k, any_value(y) AS y, min(i) AS a, max(i) AS b FROM g GROUP BY id, k),
-p AS (SELECT *, lag(y) OVER w AS before, lead(y) OVER w AS after FROM r WINDOW w AS (PARTITION BY id ORDER BY k))
-SELECT id, (a + b) // 2 AS peak FROM p WHERE before < y AND after < y AND CAST(y AS DOUBLE) >= 0.05""")
+p AS (SELECT *, lag(y) OVER w AS before, lead(y) OVER w AS after FROM r WINDOW w AS (PARTITION BY id ORDER BY k))"""
+
+
+@query(f"""WITH RECURSIVE {_RUNS}, o AS (SELECT id, (a + b) // 2 AS peak, row_number() OVER (PARTITION BY id ORDER BY y DESC, a + b) AS n FROM p WHERE before < y AND after < y AND CAST(y AS DOUBLE) >= 0.05),
+q AS (SELECT vec_id AS id, 0 AS n, CAST([] AS BIGINT[]) AS kept FROM embeddings
+ UNION ALL SELECT q.id, q.n + 1, CASE WHEN len(list_filter(kept, lambda x: abs(x - peak) < 3)) > 0 THEN kept ELSE list_append(kept, peak) END FROM q JOIN o ON q.id = o.id AND o.n = q.n + 1),
+f AS (SELECT id, arg_max(kept, n) AS kept FROM q GROUP BY id) SELECT id, array_to_string(list_sort(kept), ',') AS peaks FROM f""")
+def find_peaks(spark, sf_dir):
+    series = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("series"))
+    return sequence.find_peaks(series, distance=3, height=0.05).select("id", F.array_join("peaks", ",").alias("peaks"))
+
+
+@query(f"""WITH {_RUNS} SELECT id, (a + b) // 2 AS peak FROM p WHERE before < y AND after < y AND CAST(y AS DOUBLE) >= 0.05""")
 def local_maxima(spark, sf_dir):
     series = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("series"))
     return sequence.find_peaks(series, distance=1, height=0.05).select("id", F.explode("peaks").alias("peak")).withColumn("peak", F.col("peak").cast("long"))
@@ -314,15 +327,34 @@ def local_maxima(spark, sf_dir):
 
 @query()
 def similar_pairs(spark, sf_dir):
-    names = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("seq"), F.col("p_size").alias("block"))
-    return joins.similar_pairs(names, names, 0.9, keys=("block",)).where("id < id_b")
+    names = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("seq"))
+    return joins.similar_pairs(names, 0.9)
+
+
+_ALLELES = """w AS (SELECT l_orderkey AS pos, CAST(l_suppkey % 3 AS VARCHAR) AS ctg, l_partkey AS id, CAST(l_quantity AS BIGINT) AS ac, CASE l_partkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'AC' WHEN 2 THEN 'ACC' ELSE 'T' END AS ref,
+ CASE l_partkey % 4 WHEN 0 THEN 'G' WHEN 1 THEN 'GC' WHEN 2 THEN 'AC' ELSE 'C' END AS x, CASE l_partkey % 4 WHEN 0 THEN 'AT' WHEN 1 THEN 'ATC' WHEN 2 THEN 'A' ELSE 'G' END AS y, l_returnflag FROM lineitem),
+known AS (SELECT ctg, pos, id, ac, CASE WHEN ref IN ('AC') THEN 'A' WHEN ref = 'ACC' AND t.n = 1 THEN 'AC' ELSE ref END AS r, CASE WHEN ref = 'AC' THEN left(t.a, length(t.a) - 1) WHEN ref = 'ACC' AND t.n = 1 THEN 'A' ELSE t.a END AS a, l_returnflag FROM w, (VALUES (1), (2)) v(n), LATERAL (SELECT v.n AS n, CASE v.n WHEN 1 THEN x ELSE y END AS a) t),
+mine AS (SELECT o_orderkey, CAST(o_orderkey % 3 AS VARCHAR) AS ctg, CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'AC' ELSE 'T' END AS r, unnest(CASE o_orderkey % 3 WHEN 0 THEN ['G', 'AT'] WHEN 1 THEN ['A', 'T'] ELSE ['C', 'A'] END) AS a, unnest([1, 2]) AS n FROM orders)"""
+
+
+def _orders_as_calls(spark, sf_dir):
+    k = F.col("o_orderkey") % 3
+    pick = lambda *x: F.when(k == 0, x[0]).when(k == 1, x[1]).otherwise(x[2])
+    return _table(spark, sf_dir, "orders").select("o_orderkey", k.cast("string").alias("ctg"), F.col("o_orderkey").alias("pos"), pick("A", "AC", "T").alias("ref"), F.array(pick("G", "A", "C"), pick("AT", "T", "A")).alias("alt"))
 
 
-@query("""WITH k AS (SELECT l_orderkey AS pos, min(l_partkey) AS vid FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) SELECT o_orderkey, k.vid AS known FROM orders LEFT JOIN k ON o_orderkey = pos""")
+def _items_as_known(spark, sf_dir):
+    k = F.col("l_partkey") % 4
+    pick = lambda *x: F.when(k == 0, x[0]).when(k == 1, x[1]).when(k == 2, x[2]).otherwise(x[3])
+    q = F.col("l_quantity").cast("long")
+    return _table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 3).cast("string").alias("ctg"), F.col("l_orderkey").alias("pos"), pick("A", "AC", "ACC", "T").alias("ref"), F.array(pick("G", "GC", "AC", "C"), pick("AT", "ATC", "A", "G")).alias("alt"), F.col("l_partkey").alias("id"), F.array(q, q + 1).alias("AC"), "l_returnflag")
+
+
+@query(f"""WITH {_ALLELES}, h AS (SELECT o_orderkey, min(id) AS known FROM mine m JOIN known k ON m.ctg = k.ctg AND m.o_orderkey = k.pos AND m.r = k.r AND m.a = k.a AND l_returnflag = 'R' GROUP BY o_orderkey)
+SELECT orders.o_orderkey, known FROM orders LEFT JOIN h ON orders.o_orderkey = h.o_orderkey""")
 def annotate_ids(spark, sf_dir):
-    calls = _table(spark, sf_dir, "orders").select("o_orderkey", F.lit("1").alias("ctg"), F.col("o_orderkey").alias("pos"), F.lit("A").alias("ref"), F.array(F.lit("C")).alias("alt"))
-    known = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.lit("1").alias("ctg"), F.col("l_orderkey").alias("pos"), F.lit("A").alias("ref"), F.array(F.lit("C")).alias("alt"), F.col("l_partkey").alias("id"))
-    return joins.annotate_ids(calls, known, "o_orderkey").select("o_orderkey", F.col("known_id").alias("known"))
+    known = _items_as_known(spark, sf_dir).where("l_returnflag = 'R'")
+    return joins.annotate_ids(_orders_as_calls(spark, sf_dir), known, "o_orderkey").select("o_orderkey", F.col("known_id").alias("known"))
 
 
 def _calls(spark, sf_dir):
@@ -360,11 +392,6 @@ def merge_phased(spark, sf_dir):
     return patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed)
 
 
-@query("""WITH d AS (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) SELECT CAST(l_suppkey AS VARCHAR) AS ctg, l_orderkey AS pos, lead(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS "__next" FROM d""")
-def next_position(spark, sf_dir):
-    return gvcf._next_start(_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos")))
-
-
 @query(f"""WITH {_SPLIT}, hit AS (SELECT sum(least(a."end", m."end") - greatest(a."start", m."start")) AS x FROM iv a JOIN merged m ON a.ctg = m.ctg AND a."start" < m."end" AND m."start" < a."end")
 SELECT CAST((SELECT sum("end" - "start") FROM iv) AS BIGINT) AS bases, CAST(hit.x AS BIGINT) AS on_target, CAST((SELECT sum("end" - "start") FROM merged) AS BIGINT) AS target_bases, round(hit.x / (SELECT sum("end" - "start") FROM merged), 6) AS mean_depth FROM hit""")
 def target_metrics(spark, sf_dir):
@@ -389,21 +416,20 @@ def insert_size(spark, sf_dir):
     return aggregates.insert_size(_reads(spark, sf_dir)).select("n", *[F.round(c, 4).alias(c) for c in ("mean", "sd", "p10", "p50", "p90")])
 
 
-@query("""WITH p AS (SELECT l_orderkey AS pos, CASE WHEN l_linenumber % 2 = 0 THEN 'C' ELSE 'G' END AS alt, CAST(l_quantity AS BIGINT) AS ac FROM lineitem)
-SELECT o_orderkey, (SELECT sum(ac) FROM p WHERE pos = o_orderkey AND alt = 'C')::BIGINT AS c, (SELECT sum(ac) FROM p WHERE pos = o_orderkey AND alt = 'G')::BIGINT AS g FROM orders""")
+@query(f"""WITH {_ALLELES}, h AS (SELECT o_orderkey, m.n, sum(k.ac) AS ac FROM mine m JOIN known k ON m.ctg = k.ctg AND m.o_orderkey = k.pos AND m.r = k.r AND m.a = k.a GROUP BY o_orderkey, m.n)
+SELECT o_orderkey, max(ac) FILTER (n = 1)::BIGINT AS first, max(ac) FILTER (n = 2)::BIGINT AS second FROM (SELECT m.o_orderkey, m.n, h.ac FROM mine m LEFT JOIN h ON m.o_orderkey = h.o_orderkey AND m.n = h.n) GROUP BY o_orderkey""")
 def transfer_annotations(spark, sf_dir):
-    site = lambda pos: (F.lit("1").alias("ctg"), F.col(pos).alias("pos"), F.lit("A").alias("ref"))
-    raw = _table(spark, sf_dir, "orders").select("o_orderkey", *site("o_orderkey"), F.array(F.lit("C"), F.lit("G")).alias("alt"))
-    pop = _table(spark, sf_dir, "lineitem").select(*site("l_orderkey"), F.array(F.when(F.col("l_linenumber") % 2 == 0, "C").otherwise("G")).alias("alt"), F.array(F.col("l_quantity").cast("long")).alias("AC"))
-    return joins.transfer_annotations(raw, pop, "o_orderkey", {"AC": "sum"}).select("o_orderkey", F.get("pop_AC", F.lit(0)).alias("c"), F.get("pop_AC", F.lit(1)).alias("g"))
+    pop = _items_as_known(spark, sf_dir).withColumn("AC", F.transform("AC", lambda x: F.get("AC", F.lit(0))))
+    found = joins.transfer_annotations(_orders_as_calls(spark, sf_dir), pop, "o_orderkey", {"AC": "sum"})
+    return found.select("o_orderkey", F.get("pop_AC", F.lit(0)).alias("first"), F.get("pop_AC", F.lit(1)).alias("second"))
 
 
 @query(f"""WITH a AS (SELECT *, CAST(lad[1] + lad[2] AS BIGINT) AS depth FROM ({_PL}))
-SELECT l_orderkey, l_linenumber, l_partkey, len(p0) + 3 AS n, list_sum(p0) + 300 AS total, greatest(l_partkey % 11 - depth, 0) AS rest FROM a""")
+SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(p0, ',') || CASE WHEN str THEN ',100' ELSE ',100,100,100' END AS "PL", array_to_string(lad, ',') || ',' || greatest(l_partkey % 11 - depth, 0) AS "AD" FROM (SELECT * REPLACE (CASE WHEN str THEN p0[1:2] ELSE p0 END AS p0) FROM a)""")
 def add_nonref(spark, sf_dir):
-    rows = _pl(spark, sf_dir).withColumns({"alt": F.array(F.lit("C")), "GT": F.lit("0/1"), "PL": F.col("p0").cast("array<int>"), "AD": F.col("LAD").cast("array<int>"), "DP": (F.col("l_partkey") % 11).cast("int")})
-    out = gvcf.add_nonref(rows)
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.size("PL").alias("n"), F.aggregate("PL", F.lit(0).cast("long"), lambda s, x: s + x).alias("total"), F.get("AD", F.lit(2)).alias("rest"))
+    haploid = F.col("STR")
+    rows = _pl(spark, sf_dir).withColumns({"alt": F.array(F.lit("C")), "GT": F.when(haploid, "1").otherwise("0/1"), "PL": F.when(haploid, F.slice("p0", 1, 2)).otherwise(F.col("p0")).cast("array<int>"), "AD": F.col("LAD").cast("array<int>"), "DP": (F.col("l_partkey") % 11).cast("int")})
+    return gvcf.add_nonref(rows).select("l_orderkey", "l_linenumber", "l_partkey", F.array_join("PL", ",").alias("PL"), F.array_join("AD", ",").alias("AD"))
 
 
 @query(f"""WITH iv AS ({_IV}), b AS (SELECT min("start") // 86400 * 86400 AS low FROM iv), m AS (SELECT ctg, "start" - low AS s, "end" - low AS e FROM iv, b),

@@ -2,7 +2,7 @@ import random
 
 from strandframe.plans import cnv
 
-SCHEMA = "cid long, ctg string, pos long, start long, stop long, svtype string, cndiff int, period int, svlen int, gt string"
+SCHEMA = "cid long, ctg string, pos long, end long, start long, stop long, svtype string, cndiff int, period int, svlen int, gt string"
 
 
 def test_merge_output(spark):
@@ -13,9 +13,39 @@ def test_merge_output(spark):
         (7, "d", 10, 0, 1000, "DUP", 1, 500, 500, "0|1"), (8, "d", 20, 900, 2000, "DUP", 1, 500, 500, "0|1"),
         (9, "e", 10, 0, 1000, "DUP", 1, 500, 500, "0|1"), (10, "e", 20, 0, 1000, "DUP", 1, 700, 700, "0|1"),
         (11, "f", 10, 50, 50, "DUP", 1, 700, 700, "0|1"), (12, "g", 10, 0, 1000, "DEL", -2, 1, 1, "1|1"), (13, "g", 11, 100, 500, "DEL", -1, 1, 1, "0|1"),
+        (14, "h", 10, 0, 1000, "DUP", 1, 500, 500, "0/1"), (15, "h", 12, 0, 1000, "DUP", 1, 500, 500, "0/1"),
+        (16, "i", 10, 0, 1000, "DEL", -1, 500, 500, "."), (17, "i", 12, 0, 1000, "DEL", -1, 500, 500, "0/1"),
     ]
-    got = {r.cid: (r.cndiff, r.period, r.gt) for r in cnv.merge_output(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == {1: (-2, 500, "1|1"), 5: (3, 500, "0|1"), 7: (1, 500, "0|1"), 8: (1, 500, "0|1"), 9: (1, 500, "0|1"), 10: (1, 700, "0|1"), 11: (1, 700, "0|1"), 12: (-2, 1, "1|1")}
+    frame = spark.createDataFrame([(*r[:3], r[2] + 1, *r[3:]) for r in rows], SCHEMA)
+    found = {r.cid: r for r in cnv.merge_output(frame).collect()}
+    got = {k: (r.cndiff, r.period, r.gt) for k, r in found.items()}
+    assert got == {1: (-2, 500, "1|1"), 5: (3, 500, "0|1"), 7: (1, 500, "0|1"), 8: (1, 500, "0|1"), 9: (1, 500, "0|1"), 10: (1, 700, "0|1"), 11: (1, 700, "0|1"), 12: (-2, 1, "1|1"), 14: (1, 500, "0|1"), 16: (-2, 500, "0/.")}
+    assert (found[14].svlen, found[14].pos, found[14].end) == (1000, 0, 1000) and (found[5].svlen, found[5].pos) == (500, 10)
+    assert cnv.merge_output(frame.limit(0)).collect() == []
+
+
+def test_merge_output_equals_one_fold(spark):
+    rng = random.Random(2)
+    rows = []
+    for k in range(400):
+        start = rng.randint(0, 40) * 100
+        pos = start + rng.randint(-300, 700)  # so that ranges and places are in different orders
+        stop = start + rng.choice([0, 500, 1000, 1000, 1100])
+        kind = rng.choice(["DEL", "DUP", "DUP"])
+        rows.append((k, rng.choice("abc"), pos, pos + 1, start, stop, kind, rng.choice([1, 2]) * (1 if kind == "DUP" else -1), rng.choice([250, 500]), rng.choice([500, 1000]), rng.choice(["0|1", "1|0", "1/1", "./1"])))
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    want = []
+    for c in "abc":
+        last = None
+        for x in sorted((dict(zip(names, r)) for r in rows if r[1] == c), key=lambda x: (x["pos"], x["cid"])):
+            merged = None if last is None else cnv.merge_pair(last, x)
+            if merged is None and last is not None:
+                want.append(last)
+            last = None if merged == "drop" else merged or x
+        want += [last] if last else []
+    got = [r.asDict() for r in cnv.merge_output(spark.createDataFrame(rows, SCHEMA)).collect()]
+    order = lambda x: (x["ctg"], x["pos"], x["cid"])
+    assert sorted(got, key=order) == sorted(want, key=order) and len(got) < 380
 
 
 def test_first_period(spark):

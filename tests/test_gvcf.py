@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from strandframe.plans import gvcf
@@ -37,10 +39,39 @@ def test_combine(spark):
     assert (back.alt, back.PL, back.AD) == (["A"], [9, 0, 9], [4, 3])
 
 
+def test_blocks_are_cut_by_the_calls_that_begin_in_them(spark):
+    n = gvcf.NON_REF
+    block = lambda k, s, e: (k, "a", s, e, "A", [n], "0/0", 50, 9, [0, 1, 2], None)
+    call = lambda k, s, e: (k, "a", s, e, "A", ["C"], "0/1", 40, 9, None, None)
+    get = lambda g, c: sorted((r.pos, r.end) for r in gvcf.split_blocks(rows(spark, *g), rows(spark, *c)).collect())
+    assert get([block(1, 50, 200), block(2, 200, 400)], [call(1, 100, 300)]) == [(50, 100), (200, 400)]
+    assert get([block(1, 0, 100)], [call(1, 10, 40), call(2, 20, 60), call(3, 50, 70), call(4, 0, 1)]) == [(1, 10), (40, 50), (70, 100)]
+    assert get([block(1, 0, 100), block(2, 100, 200)], []) == [(0, 100), (100, 200)]
+
+    def brute(blocks, calls):
+        """The pieces, taken one call after another."""
+        out = []
+        for _, _, s, e, *_ in blocks:
+            at = s
+            for a, b in sorted((c[2], c[3]) for c in calls):
+                if at <= a < e:
+                    out += [(at, a)] if at < a else []
+                    at = b
+            out += [(at, e)] if at < e else []
+        return sorted(out)
+
+    rng = random.Random(4)
+    edges = sorted(rng.sample(range(2000), 40))
+    blocks = [block(k, s, e) for k, (s, e) in enumerate(zip(edges, edges[1:])) if k % 5]
+    calls = [call(k, s, s + rng.randint(1, 60)) for k, s in enumerate(rng.choices(range(2000), k=120))]
+    assert get(blocks, calls) == brute(blocks, calls)
+
+
 def test_trim_added_alts(spark):
-    v = spark.createDataFrame([(1, "ACC", ["A", "AC"], [".", "0.1"], [1, 2, 3], [0, 1, 2, 3, 4, 5]), (2, "A", ["C"], ["0.2"], [1, 2], [0, 1, 2])], "vid long, ref string, alt array<string>, AF array<string>, AD array<int>, PL array<int>")
+    n = gvcf.NON_REF
+    v = spark.createDataFrame([(1, "ACC", ["AACC", "ACCC"], [".", "0.1"], [1, 2, 3], [0, 1, 2, 3, 4, 5]), (2, "A", ["C"], ["0.2"], [1, 2], [0, 1, 2]), (3, "ATT", ["CTT", n, "GTT"], None, [1, 2, 3, 4], list(range(10))), (4, "A", [n, "T"], None, [1, 2, 3], [7, 8, 9])], "vid long, ref string, alt array<string>, AF array<string>, AD array<int>, PL array<int>")
     got = {r.vid: (r.ref, r.alt, r.AF, r.AD, r.PL) for r in gvcf.trim_added_alts(v).collect()}
-    assert got == {1: ("AC", ["A"], ["0.1"], [1, 3], [0, 3, 5]), 2: ("A", ["C"], ["0.2"], [1, 2], [0, 1, 2])}
+    assert got == {1: ("A", ["AC"], ["0.1"], [1, 3], [0, 3, 5]), 2: ("A", ["C"], ["0.2"], [1, 2], [0, 1, 2]), 3: ("A", ["C", n], None, [1, 2, 3], [0, 1, 2, 3, 4, 5]), 4: ("A", [n], None, [1, 2], [7, 8])}
 
 
 def test_regions_and_cnv(spark):
@@ -48,10 +79,9 @@ def test_regions_and_cnv(spark):
     v = spark.createDataFrame([("a", 2000, 2001, [0, 40, 50], [40, 0, 50], [5, 5], None), ("a", 3500, 3501, [0, 40, 50], [0, 40, 50], [5, 5], None)], "ctg string, pos long, end long, LPL array<int>, SPL array<int>, LAD array<int>, STR boolean")
     low = spark.createDataFrame([("a", 2900, 3000), ("a", 4900, 5000)], "ctg string, start long, end long")
     assert sorted((r.start, r.end) for r in gvcf.difference_regions(v, low, contigs).collect()) == [(1000, 5000)]
-    cnv = spark.createDataFrame([(1, "a", 0, 100, 1, ["PASS"]), (2, "a", 0, 100, 2, ["PASS"]), (3, "a", 500, 600, 1, []), (4, "a", 0, 100, 3, ["PASS"]), (5, "a", 0, 9, 1, ["bad"])], "cid long, ctg string, start long, end long, CN int, filter array<string>")
-    conv = spark.createDataFrame([(10, "a", 20, 90, -1)], "cid long, ctg string, start long, end long, CNDIFF int")
-    got = {r.cid: (r.CN, r.filter, r.SOURCE) for r in gvcf.combine_cnv(cnv, conv).collect()}
-    assert got == {1: (1, "SVdup", "CNV"), 3: (1, "PASS", "CNV"), 4: (3, "PASS", "CNV"), 10: (1, "PASS", "INDEL")}
-    assert gvcf.sex_aware_choice("male", 1, 2) == 1 and gvcf.sex_aware_choice(None, 1, 2) == 2
+    cnv = spark.createDataFrame([(1, "a", 0, 100, 1, ["PASS"]), (2, "a", 0, 100, 2, ["PASS"]), (3, "a", 500, 600, 1, []), (4, "a", 0, 100, 3, ["PASS"]), (5, "a", 0, 9, 1, ["bad"]), (6, "a", 50, 50, 0, [])], "cid long, ctg string, pos long, end long, CN int, filter array<string>")
+    conv = spark.createDataFrame([(10, "a", 20, 21, -1, 20, 90, []), (11, "a", 20, 21, None, 0, 90, ["PASS"]), (12, "a", 20, 21, -1, 90, 20, [])], "cid long, ctg string, pos long, end long, CNDIFF int, REFSTART long, REFSTOP long, filter array<string>")
+    got = {r.cid: (r.CN, r.filter, r.SOURCE, r.DEDUP) for r in gvcf.combine_cnv(cnv, conv).collect()}
+    assert got == {1: (1, ["SVdup"], "CNV", "a:20-90"), 3: (1, [], "CNV", None), 4: (3, ["PASS"], "CNV", None), 6: (0, [], "CNV", None), 10: (1, [], "SV_CNV", None), 11: (2, ["PASS"], "SV_CNV", None), 12: (1, [], "SV_CNV", None)}
     w = spark.createDataFrame([("ACC", ["AC", "T"], "0/1"), ("A", ["C"], "0/0")], "ref string, alt array<string>, GT string")
     assert [tuple(r) for r in gvcf.finalise(w).collect()] == [("AC", ["A"], "0/1")]

@@ -90,6 +90,7 @@ def test_region_strings(spark):
     assert intervals.outside_regions(v, v.limit(0).withColumnRenamed("pos", "start")).count() == 4
 
 
+# Fixed values, see PEAKS.
 LCS = [("ACGTACGT", "ACGTACGT", 1.0), ("", "", 1.0), ("ACGT", "", 0.0), ("AAAA", "CCCC", 0.0), ("ACGT", "ACGGT", 8 / 9), ("ACGT", "AGGT", 0.75), ("ACGTACGT" * 4, "CGTACGTA" * 4, 0.96875), ("AACCGGTT", "AACCGGTG", 0.875)]
 
 
@@ -102,12 +103,21 @@ def test_similar_pairs_loses_none(spark):
     rng = random.Random(2)
     seqs = ["".join(rng.choices("ACGTN", k=rng.randint(0, 30))) for _ in range(60)]
     seqs += [s[:-1] + "A" for s in seqs if s]
-    rows = table(spark, list(enumerate(seqs)), "id long, seq string")
-    got = {(r.id, r.id_b) for r in joins.similar_pairs(rows, rows, 0.8).collect()}
-    want = {(i, j) for i, a in enumerate(seqs) for j, b in enumerate(seqs) if (2 * joins._lcs(a, b) / (len(a) + len(b)) if a or b else 1.0) >= 0.8}
-    assert got == want
-
-
+    seqs += seqs[:7]
+    rows = table(spark, [*enumerate(seqs), (None, "ACGT"), (999, None)], "id long, seq string")
+    first = {x: i for i, x in reversed(list(enumerate(seqs)))}
+    distinct = sorted(first.items(), key=lambda x: x[1])
+    for t, shared in ((0.8, 3), (0.5, 1), (1.0, 2), (0.9, 3)):
+        got = sorted((r.id, r.id_b, round(r.ratio, 9)) for r in joins.similar_pairs(rows, t, shared).collect())
+        want = [(first[x], i, 1.0) for i, x in enumerate(seqs) if first[x] != i]
+        for k, (x, i) in enumerate(distinct):
+            for y, j in distinct[k + 1 :]:
+                r = 2 * joins._lcs(x, y) / (len(x) + len(y))
+                want += [(i, j, round(r, 9))] if r >= t else []
+        assert got == sorted(want)
+
+
+# Similarities and peaks as published with the tool whose results these functions must equal.
 PEAKS = [([0.0, 0.5, 1.0, 0.5, 0.0], 1, [2]), ([0.0, 0.95, 0.0, 0.0, 0.0, 0.97, 0.0], 2, [1, 5]), ([0.0, 0.95, 0.0, 0.97, 0.0], 3, [3]), ([0.0, 0.5, 0.0, 0.6, 0.0], 1, []), ([0.0, 0.95, 0.95, 0.0], 1, [1]), ([1.0, 0.9, 0.8], 1, []), ([0.8, 0.9, 1.0], 1, []), ([0.3, 0.5, 0.6, 0.95, 0.7, 0.6, 0.5, 0.96, 0.4, 0.3], 2, [3, 7]), ([], 1, []), ([0.0, 1.0], 1, []), ([0.95, 0.95, 0.0], 1, []), ([0.0, 0.95, 0.95], 1, []), ([0.0, 0.3, 0.95, 0.95, 0.95, 0.3, 0.0], 1, [3]), ([0.0, 0.95, 0.0, 0.95, 0.0], 3, [1])]
 
 
@@ -199,9 +209,12 @@ def test_joins(spark):
 
 
 def test_merge_opposite_phase(spark):
-    rows = [(1, "a", 10, 11, "A", ["ATTT"], "1|0", None), (2, "a", 14, 15, "C", ["CGG"], "0|1", "GGG"), (3, "a", 16, 17, "C", ["CA"], "1|0", "G"), (4, "a", 40, 41, "C", ["CA"], "0|1", "G"), (5, "b", 41, 42, "C", ["CA"], "1|0", None)]
-    got = {r.vid: (r.alt, r.GT) for r in sequence.merge_opposite_phase(table(spark, rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, GT string, between string")).collect()}
-    assert got == {1: (["ATTT", "GGGCGG"], "1|1"), 3: (["CA"], "1|0"), 4: (["CA"], "0|1"), 5: (["CA"], "1|0")}
+    chunks = table(spark, [("a", 0, "NNNNNNNNNNACGTCTCAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA")], "ctg string, chunk long, seq string")
+    rows = [(1, "a", 10, 11, "A", ["ATTT"], "1|0"), (2, "a", 14, 15, "C", ["CGG"], "0|1"), (3, "a", 16, 17, "C", ["CA"], "1|0"), (4, "a", 40, 41, "C", ["CA"], "0|1"), (5, "b", 41, 42, "C", ["CA"], "1|0"), (6, "c", 1, 4, "CAA", ["C"], "1|0"), (7, "c", 2, 3, "A", ["AT"], "0|1"), (8, "c", 3, 4, "A", ["AT", "AG"], "1|0")]
+    v = table(spark, rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, GT string")
+    got = {r.vid: (r.ref, r.alt, r.GT) for r in sequence.merge_opposite_phase(v, chunks).collect()}
+    kept = {r[0]: (r[4], r[5], r[6]) for r in rows if r[0] > 2}
+    assert got == {1: ("ACGTC", ["ATTTCGTC", "ACGTCGG"], "1|1"), **kept}
 
 
 def test_reads(spark):
@@ -210,6 +223,10 @@ def test_reads(spark):
     assert [(r.cycle, r.mean_quality) for r in aggregates.mean_quality_by_cycle(reads).orderBy("cycle").collect()] == [(1, 40.0), (2, 40.0), (3, 40.0), (4, 40.0), (5, 0.0)]
     dup = table(spark, [(1, "k", 5), (2, "k", 9), (3, "k", 9), (4, "l", 1)], "read_id long, mate string, score int")
     assert sorted(r.read_id for r in aggregates.mark_duplicates(dup, ("mate",), "remove").collect()) == [2, 4]
+    named = table(spark, [("b", "k", 9), ("a", "k", 9), ("c", None, 1), ("d", None, 2), ("e", "l", None), ("f", "l", 0)], "read_id string, mate string, score int")
+    assert sorted(r.read_id for r in aggregates.mark_duplicates(named, ("mate",), "remove").collect()) == ["a", "c", "d", "f"]
+    pile = table(spark, [("k", "ACG", "I+I"), ("k", "ATG", "I5I"), ("k", "AT", "I!"), ("l", "A", "I"), (None, "A", "I")], "mate string, seq string, qual string")
+    assert [(r.mate, r.reads, r.seq, r.qual) for r in aggregates.consensus(pile, ("mate",)).collect()] == [("k", 3, "ATG", "]+]")]
     p = aggregates.ploidy(table(spark, [("1", 100, 100), ("1", 100, 100), ("X", 100, 100), ("Y", 100, 50), ("M", 100, 900)], "ctg string, length long, mapped long"), ["1"])
     assert {r.ctg: r.ploidy for r in p.collect()} == {"1": "2", "X": "1", "Y": "Unknown", "M": "3+"}
     assert aggregates.sex(p, "X", "Y").first().sex == "Unknown"
