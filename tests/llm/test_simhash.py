@@ -90,19 +90,42 @@ def test_empty_table(spark):
     assert simhash.components(empty).collect() == [] and simhash.one_of_each(empty).collect() == []
 
 
-def test_sets_of_the_similarity_share_a_signature():
+def test_spanning_links_equal_brute_force():
     rng, t = np.random.default_rng(4), Fraction(4, 5)
-    for size in [*range(1, 40), 100, 700]:
-        for _ in range(20):
-            a = np.unique(rng.integers(0, 2**63, size).astype("<u8"))
-            room = int(size / 5)  # dropped and added, so that the pair lies at the bound or just above it
-            b = a[rng.permutation(size)[: size - int(rng.integers(0, room + 1))]]
-            while len(a) and simhash.jaccard_reaches(a, c := np.unique(np.append(b, rng.integers(0, 2**63, 1).astype("<u8"))), t):
-                b = c
-            b = np.sort(b)
-            assert simhash.jaccard_reaches(a, b, t)
-            assert np.intersect1d(simhash.set_signatures(a, t), simhash.set_signatures(b, t)).size
-            assert simhash.may_reach(simhash.parity_bits(a), simhash.parity_bits(b), len(a), len(b), t)
+    for _ in range(30):
+        stem = rng.integers(0, 2**63, int(rng.integers(1, 60))).astype("<u8")
+        sets = [np.unique(np.r_[stem[rng.random(len(stem)) > rng.random() * 0.3], rng.integers(0, 2**63, int(rng.integers(0, 4))).astype("<u8")]) for _ in range(40)]
+        parts = [int(rng.integers(0, 60)) for _ in sets]
+        want = [(p, "") for p in parts]
+        edges = {(i, j) for i in range(40) for j in range(i) if simhash.jaccard_reaches(sets[i], sets[j], t) and len(sets[i])}
+
+        def groups(pairs):
+            label = list(parts)
+            for i, j in pairs:
+                label = [label[j] if x == label[i] else x for x in label]
+            return label
+
+        left, right = simhash.spanning_links(sets, parts, t)
+        assert all((max(p), min(p)) in edges for p in zip(left, right))
+        a, b = groups(zip(left, right)), groups(edges)
+        assert all((a[i] == a[j]) == (b[i] == b[j]) for i in range(40) for j in range(i)), want
+
+
+def test_groups_of_many_blocks(spark):
+    rng, t = np.random.default_rng(5), Fraction(4, 5)
+    stem = rng.integers(0, 2**63, 50).astype("<u8")
+    sets = {k: np.unique(np.r_[stem[rng.random(50) > 0.13], rng.integers(0, 2**63, 2).astype("<u8")]) for k in range(60)}
+    nodes = spark.createDataFrame([(k, 0, k % 45, len(v)) for k, v in sets.items()], "node long, grp long, part long, size long")
+    table = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in sets.items()], "node long, shingles binary")
+    want = None
+    for block in (1 << 20, 400, 90):
+        label = [k % 45 for k in range(60)]
+        for r in simhash._connected(nodes, table, t, block).collect():
+            assert simhash.jaccard_reaches(sets[r.a], sets[r.b], t)
+            label = [label[r.b] if x == label[r.a] else x for x in label]
+        now = [[x == y for y in label] for x in label]
+        want = want or now
+        assert now == want and 1 < len(set(label)) < 45
 
 
 def test_links_are_exact(spark):
