@@ -81,12 +81,20 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, most: int = 1000) -> D
     return done.unionByName(rest.join(right, key, "left").select(*left.columns, *values))
 
 
+def _with_least(edges: DataFrame, least: DataFrame, total: int, most: int = 1000) -> DataFrame:
+    """``edges (a, b)`` with ``least (a, m, n)`` of their a; nodes with over 1/``most`` of the edges (fewer than ``most``) are broadcast."""
+    hot = least.where(F.col("n") * most > F.lit(total)).select("a", "m")
+    dealt = edges.join(F.broadcast(hot), "a")
+    return dealt.unionByName(edges.join(F.broadcast(hot), "a", "left_anti").join(least.select("a", "m"), "a"))
+
+
 def large_star_small_star(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges (a, b)``: ``(a, b)`` where b is the least node of a's component.
 
     Alternates large-star and small-star until the edges stay the same; only least
-    neighbours are aggregated, never lists of them. Nodes that are least in their
-    component, and nodes without an edge, have no row. Null nodes are left out.
+    neighbours are aggregated, never lists of them, and edges of hubs stay where they
+    are. Nodes that are least in their component, and nodes without an edge, have no
+    row. Null nodes are left out.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
@@ -96,8 +104,9 @@ def large_star_small_star(edges: DataFrame) -> DataFrame:
             return now
         before = mark
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count("*").alias("n")), "least")
+        large = written(_with_least(both, least, 2 * mark[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least")
+        small = _with_least(large, least, mark[0])
+        small = small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         now = written(small.where("a <> b").distinct(), "edges")
