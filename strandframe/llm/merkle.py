@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-Leaves are sentences or runs of at most ``LEAF_WORDS`` words in a paragraph, so that an
-edit in a long paragraph stays local. Nodes hash their children: a paragraph its leaves,
+Leaves are sentences or stretches of at most LEAF_CHARS characters or one word, so that
+an edit in a long paragraph stays local. Nodes hash their children: a paragraph its leaves,
 a section (blank lines part sections, and long ones are cut by content) its paragraphs,
 the root its sections. A fingerprint writes the tree as text: equal roots mean equal
 texts, and differing branches lead to the edits.
@@ -15,6 +15,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,11 +26,12 @@ from .common import chunks, written
 #: A leaf ends after a sentence, or with the first word from here on whose hash says so.
 _LEAF = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\s*\S+")
+_LINE = re.compile(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+")
 LEAF_CHARS = 240
 #: A section ends at a blank line, or after a paragraph whose hash is divisible by this.
 SECTION_CUT = 8
 #: Ranges of documents that are dealt out at once, at most.
-MOST_RANGES = 4096
+MOST_RANGES = 1 << 15
 
 
 def leaves(paragraph: str) -> list[str]:
@@ -43,7 +45,11 @@ def leaves(paragraph: str) -> list[str]:
             continue
         start = 0
         for w in _WORD.finditer(s):
-            if w.end() - start >= LEAF_CHARS // 4 and (xxhash.xxh32_intdigest(w.group().encode("utf-8", "surrogatepass")) % 8 == 0 or w.end() - start >= LEAF_CHARS):
+            if w.end() - start > 2 * LEAF_CHARS:  # a word of that length, as in scripts without spaces
+                ends = _cuts(s[start : w.end()])
+                out += [s[start + i : start + j] for i, j in zip([0, *ends], ends)]
+                start += ends[-1] if ends else 0
+            elif w.end() - start >= LEAF_CHARS // 4 and (xxhash.xxh32_intdigest(w.group().encode("utf-8", "surrogatepass")) % 8 == 0 or w.end() - start >= LEAF_CHARS):
                 out.append(s[start : w.end()])
                 start = w.end()
         if start < len(s):
@@ -51,6 +57,25 @@ def leaves(paragraph: str) -> list[str]:
     return out
 
 
+def _cuts(text: str) -> list[int]:
+    """Places to cut text without spaces: after four characters whose hash says so, a quarter of LEAF_CHARS apart at least and LEAF_CHARS at most."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    h = c[3:] + c[2:-1] * np.uint64(31) + c[1:-2] * np.uint64(961) + c[:-3] * np.uint64(29791)
+    chosen = np.flatnonzero((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58) == 0) + 4
+    out, last = [], 0
+    for k in chosen.tolist():
+        while k - last > LEAF_CHARS:
+            last += LEAF_CHARS
+            out.append(last)
+        if k - last >= LEAF_CHARS // 4:
+            last = k
+            out.append(last)
+    while len(text) - last > LEAF_CHARS:
+        last += LEAF_CHARS
+        out.append(last)
+    return out
+
+
 def _node(children: list[bytes]) -> bytes:
     return hashlib.sha256(b"\x01" + b"".join(children)).digest()
 
@@ -65,7 +90,7 @@ def tree(text: str) -> tuple[bytes, list[tuple[bytes, list[tuple[bytes, list[tup
             sections.append((_node([p for p, _ in now]), list(now)))
             now.clear()
 
-    for line in text.splitlines(keepends=True) if "\n" in text or "\r" in text else [text] if text else []:
+    for line in _LINE.findall(text) if "\n" in text or "\r" in text else [text] if text else []:
         own = [(len(s), sha(b"\x00" + s.encode("utf-8", "surrogatepass")).digest()) for s in leaves(line)]
         node = _node([h for _, h in own])
         now.append((node, own))
@@ -76,9 +101,9 @@ def tree(text: str) -> tuple[bytes, list[tuple[bytes, list[tuple[bytes, list[tup
 
 
 def write(t) -> str:
-    """``root|section:paragraph:size,leaf;size,leaf/paragraph...|...``: the root in full, other nodes with 8 and leaves with 12 hex digits."""
+    """``root|section:paragraph:size,leaf;size,leaf/paragraph...|...``: the root in full, other nodes with 16 and leaves with 12 hex digits."""
     root, sections = t
-    return "|".join([root.hex(), *(f"{s[:4].hex()}:" + "/".join(f"{p[:4].hex()}:" + ";".join(f"{n},{h[:6].hex()}" for n, h in own) for p, own in parts) for s, parts in sections)])
+    return "|".join([root.hex(), *(f"{s[:8].hex()}:" + "/".join(f"{p[:8].hex()}:" + ";".join(f"{n},{h[:6].hex()}" for n, h in own) for p, own in parts) for s, parts in sections)])
 
 
 def fingerprint(text: str | None) -> str:
@@ -117,25 +142,77 @@ def likeness(a: str, b: str) -> float:
     return 1.0 if a.split("|", 1)[0] == b.split("|", 1)[0] else _common(_bag(_read(a)), _bag(_read(b)))
 
 
+def _differing(a: list, b: list) -> list[tuple[int, int, int, int]]:
+    """Stretches ``(start, end, start, end)`` of two lists between which they are equal.
+
+    Common ends are taken off; then elements that occur once in both, in an order that
+    both share, part the lists, and so on within the parts.
+    """
+    out, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            j, m = j - 1, m - 1
+        if i == j and k == m:
+            continue
+        once = Counter(a[i:j]) if i < j and k < m else Counter()
+        also = Counter(b[k:m]) if once else Counter()
+        at = {x: p for p, x in enumerate(a[i:j], i) if once[x] == 1 and also[x] == 1} if also else {}
+        tails: list[int] = []  # the longest rising row of places in a
+        chain: list[tuple[int, int, int]] = []
+        ends: list[int] = []
+        for q in range(k, m) if at else ():
+            p = at.get(b[q])
+            if p is not None:
+                n = bisect_left(tails, p)
+                chain.append((p, q, ends[n - 1] if n else -1))
+                if n == len(tails):
+                    tails.append(p), ends.append(0)
+                tails[n], ends[n] = p, len(chain) - 1
+        if not tails:
+            out.append((i, j, k, m))
+            continue
+        n, last = ends[-1], (j, m)
+        while n >= 0:
+            p, q, n = chain[n]
+            todo.append((p + 1, last[0], q + 1, last[1]))
+            last = (p, q)
+        todo.append((i, last[0], k, last[1]))
+    return sorted(out, key=lambda x: (x[2], x[3]))
+
+
 def edits(a: str, b: str) -> list[tuple[int, int]]:
-    """Ranges of code points in the second text that differ, found by going down differing branches only."""
+    """Ranges of code points in the second text that differ from the first, found by going down differing branches only.
+
+    Branches are aligned in order, so a passage that moved is an edit where it is now; a
+    range is empty where something was taken out.
+    """
     (ra, sa), (rb, sb) = _read(a), _read(b)
     if ra == rb:
         return []
-    known_s, known_p = {s for s, _ in sa}, {p for _, parts in sa for p, _ in parts}
-    known_l = {h for _, parts in sa for _, own in parts for _, h in own}
+    ends, at = [], 0  # where the leaves of b begin, by section and paragraph
+    for _, parts in sb:
+        own = []
+        for _, leaf in parts:
+            begin = at
+            at += sum(n for n, _ in leaf)
+            own.append(begin)
+        ends.append(own)
     out: list[tuple[int, int]] = []
-    at = 0
-    for s, parts in sb:
-        for p, own in parts:
-            for n, h in own:
-                if s not in known_s and p not in known_p and h not in known_l:
-                    if out and out[-1][1] == at:
-                        out[-1] = (out[-1][0], at + n)
-                    else:
-                        out.append((at, at + n))
-                at += n
-    return out
+    for i, j, k, m in _differing([s for s, _ in sa], [s for s, _ in sb]):
+        pa_, pb = [p for _, parts in sa[i:j] for p in parts], [p for _, parts in sb[k:m] for p in parts]
+        begins = [x for own in ends[k:m] for x in own]
+        after = at if m == len(sb) else ends[m][0] if ends[m] else at
+        for x, y, u, v in _differing([p for p, _ in pa_], [p for p, _ in pb]):
+            la, lb = [n for _, own in pa_[x:y] for n in own], [n for _, own in pb[u:v] for n in own]
+            place = begins[u] if u < len(begins) else after
+            starts = [place]
+            for n, _ in lb:
+                starts.append(starts[-1] + n)
+            out += [(starts[f], starts[t]) for _, _, f, t in _differing(la, lb)]
+    return out or [(0, at)]
 
 
 def edited(text: str, following: str) -> str:
@@ -157,9 +234,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     keys = written(rows.select("id", "h"), "keys")
     total = keys.count()
     ranges = min(MOST_RANGES, max(1, -(-total // rows_per_range)))
-    share = min(1.0, 64.0 * ranges / max(1, total))
+    share = min(1.0, 32.0 * ranges / max(1, total))
     probe = keys.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = sorted(((r["id"] is not None, r["id"] if r["id"] is not None else 0, r["h"]) for r in probe.limit(128 * ranges).collect()), reverse=True)
+    sample = sorted(((r["id"] is not None, r["id"] if r["id"] is not None else 0, r["h"]) for r in probe.limit(64 * ranges).collect()), reverse=True)
     cuts = sorted({(not p, -i, -h) for p, i, h in sample[:: max(1, len(sample) // ranges)]})
     shared = docs.sparkSession.sparkContext.broadcast(cuts)
     kind = rows.schema["id"].dataType.simpleString()

@@ -16,6 +16,7 @@ def test_leaves_are_the_text():
         sizes = [n for _, parts in sections for _, own in parts for n, _ in own]
         assert sum(sizes) == len(t)
         assert "".join(x for line in t.splitlines(keepends=True) for x in merkle.leaves(line)) == t
+        assert "".join(merkle._LINE.findall(t)) == t
         assert merkle.likeness(merkle.fingerprint(t), merkle.fingerprint(t)) == 1.0
 
 
@@ -30,6 +31,45 @@ def test_edits_are_located():
     assert 0.9 < merkle.likeness(fa, fb) < 1 and merkle.likeness(fa, merkle.fingerprint(text(rng, 900))) < 0.2
 
 
+def test_moved_and_deleted_passages_are_edits():
+    parts = ["one sentence here.\n", "a second one.\n", "third and last.\n", "more of it.\n"]
+    mark = lambda *k: merkle.fingerprint("".join(parts[i] for i in k))
+    assert merkle.edits(mark(0, 1, 2, 3), mark(0, 2, 1, 3)) not in ([], None)
+    at = len(parts[0])
+    assert merkle.edits(mark(0, 1, 2, 3), mark(0, 2, 3)) == [(at, at)]
+    assert merkle.edits(mark(0, 2, 3), mark(0, 1, 2, 3)) == [(at, at + len(parts[1]))]
+    assert merkle.edits(mark(0), mark()) == [(0, 0)] and merkle.edits(mark(), mark(0)) == [(0, at)]
+
+
+def test_edits_cover_all_that_differs():
+    rng = random.Random(6)
+    for _ in range(60):
+        a = text(rng, rng.choice([5, 60, 400]))
+        cut = sorted(rng.choices(range(len(a) + 1), k=4))
+        b = rng.choice([a[: cut[0]] + "NEW. " + a[cut[1] :], a[: cut[0]] + a[cut[1] : cut[2]] + a[cut[3] :], a[: cut[0]] + a[cut[2] : cut[3]] + a[cut[1] : cut[2]] + a[cut[3] :]])
+        found = merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b))
+        assert (found == []) == (a == b)
+        at, rest, pieces = 0, a, []
+        for s, e in found:  # what lies between the edits comes from the first text, in order
+            assert at <= s <= e <= len(b)
+            pieces.append(b[at:s])
+            at = e
+        for x in [*pieces, b[at:]]:
+            assert x in rest
+            rest = rest[rest.index(x) + len(x) :]
+
+
+def test_texts_without_spaces_have_leaves():
+    rng = random.Random(7)
+    a = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(3200))
+    b = a[:1600] + "X" + a[1601:]
+    fa, fb = merkle.fingerprint(a), merkle.fingerprint(b)
+    assert merkle.likeness(fa, fb) > 0.8 and sum(e - s for s, e in merkle.edits(fa, fb)) < 800
+    assert max(map(len, merkle.leaves(a))) <= 2 * merkle.LEAF_CHARS and "".join(merkle.leaves("x" * 5000)) == "x" * 5000
+    line = "a b\u2028c d"
+    assert len(merkle.tree(line)[1][0][1]) == 1 and len(merkle.tree(line + "\nx")[1][0][1]) == 2
+
+
 def brute(rows):
     """The next in descending id of unique ids."""
     order = sorted(rows, key=lambda r: -r[0])
