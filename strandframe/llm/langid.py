@@ -16,17 +16,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import chunks
+from .common import chunks, positional, written
 
-WORDS = re.compile(r"[^\W\d_]+")
-#: Documents for each language, languages and bytes for a document that training takes at most.
-SAMPLE_DOCS, MOST_LANGUAGES, SAMPLE_BYTES = 800, 200, 1 << 18
+_WORDS = re.compile(r"[^\W\d_]+")
+#: Documents for each language and bytes of a document that training takes (of a language with longer texts only, its shortest), and different words for each language.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WORDS = 800, 1 << 16, 100_000
 ORDER = 5
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 200_000
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case; other numerals and signs, which patterns take for word characters, are left out."""
+    found = _WORDS.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [x for w in found if (x := "".join(filter(str.isalpha, w)))]
+
+
 def _grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """For orders 0 to ORDER the hash of the n-gram that ends at each character; the index of its word, the place in it."""
     text = "".join(f" {w} " for w in words)
@@ -129,15 +136,17 @@ class Model:
         return out
 
     def calibrate(self, docs: list[tuple[str, list[str]]]) -> None:
-        """From documents that were not counted: mean cross-entropy, its deviation by document and by character."""
+        """From documents that were not counted: mean cross-entropy, its deviation by document and, of short stretches, by character."""
         scorer = Scorer(self)
-        rows = [(lang, *r) for (lang, _), r in zip(docs, scorer([w for _, w in docs]))]
         for k, lang in enumerate(self.languages):
-            own = [(-r[1][k] / r[2], r[2]) for r in rows if r[0] == lang and r[2]]
-            if own:
-                h, n = np.array(own).T
-                spread = h.std() if len(h) > 1 else 0.5
-                self.usual[lang] = (float(h.mean()), float(max(spread, 0.05)), 2.5)
+            own = [w for name, w in docs if name == lang]
+            whole = np.array([-p[k] / n for p, n in scorer(own) if n])
+            parts = [(-p[k] / n, n) for p, n in scorer([w[i : i + 5] for w in own for i in range(0, min(len(w), 500), 5)]) if n]
+            if len(whole):
+                spread = whole.std() if len(whole) > 1 else 0.5
+                h, n = np.array(parts).T
+                by_char = float(np.sqrt(np.mean((h - whole.mean()) ** 2 * n)))
+                self.usual[lang] = (float(whole.mean()), float(max(spread, 0.05)), max(by_char, 1.0))
 
 
 class Scorer:
@@ -162,32 +171,42 @@ class Scorer:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", keep=None, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """A model from at most ``sample_docs`` documents of each language (whole texts of up to SAMPLE_BYTES), chosen by a hash of the text.
+    """A model from about ``sample_docs`` documents of each language (whole texts), chosen by a hash of the text.
 
-    ``keep``: a condition on rows that may be learned from. One in five of the sample
-    only calibrates. Rows without a text or language teach nothing; no such row: None.
+    ``keep``: a condition on rows that may be learned from. Copies count once. Words are
+    counted in tasks, and the SAMPLE_WORDS most frequent of a language reach the driver. One
+    in five of the sample only calibrates. Rows without a text or language teach nothing;
+    no such row: None.
     """
-    rows = docs.where(F.col(label_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES))
-    rows = (rows if keep is None else rows.where(keep)).select(F.col(label_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col), F.col(id_col).cast("string")).alias("h"))
-    counts = sorted(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect(), key=lambda r: r["lang"])
+    size = F.octet_length(text_col)
+    rows = docs.where(F.col(label_col).isNotNull() & (size > 0))
+    rows = (rows if keep is None else rows.where(keep)).select(F.col(label_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), size.alias("size"))
+    counts = rows.groupBy("lang").agg(F.min("size").alias("least"), F.count_if(F.col("size") <= SAMPLE_BYTES).alias("n"), F.count("*").alias("whole")).collect()
     part = F.lit(False)
     for r in counts:
-        part = part | ((F.col("lang") == r["lang"]) & (F.pmod("h", F.lit(1 << 30)) < F.lit(int(min(1.0, sample_docs / r["count"]) * (1 << 30)))))
+        share = min(1.0, sample_docs / (r["n"] or r["whole"]))
+        part = part | ((F.col("lang") == r["lang"]) & (F.col("size") <= max(SAMPLE_BYTES, r["least"])) & (F.pmod("h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))))
+    sample = written(rows.where(part).dropDuplicates(["lang", "h"]).select("lang", "text", "h"), "sample")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = Counter((lang, w) for lang, t, h in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "h"))) if h % 5 for w in words_of(t))
+            cols = [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["lang", "word", "n"])
+
+    counted = sample.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     words: dict[str, Counter] = {}
-    tests, seen = [], Counter()
-    for r in rows.where(part).limit(2 * sample_docs * max(1, len(counts))).collect():
-        found = WORDS.findall(r["text"].lower())
-        if not found:
-            continue
-        seen[r["lang"]] += 1
-        if r["h"] % 5 == 0 and seen[r["lang"]] > 1:
-            tests.append((r["lang"], found))
-        else:
-            words.setdefault(r["lang"], Counter()).update(found)
+    for r in counted.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_WORDS).collect():
+        words.setdefault(r["lang"], Counter())[r["word"]] = r["n"]
+    tests = [(r["lang"], found) for r in sample.where("h % 5 = 0").select("lang", "text").orderBy("lang", "h").collect() if (found := words_of(r["text"]))]
+    for lang, found in tests:  # a language of so few documents that all are to calibrate
+        if lang not in words:
+            words[lang] = Counter(found)
     if not words:
         return None
     model = Model(words)
-    model.calibrate([t for t in tests if t[0] in words])
+    model.calibrate(tests)
     return model
 
 
@@ -198,7 +217,8 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", z: fl
     equal); score is its share of the softmax over at most 50 characters' worth of
     evidence. Texts that are null or without a letter are ``und``, score 0, rejected.
     Others are rejected if their cross-entropy lies ``z`` deviations above what is usual
-    for the language. Without a model all texts are ``und``.
+    for the language; a language that nothing calibrates rejects none. Without a model
+    all texts are ``und``.
     """
     added = [prefix + c for c in ("lang_pred", "score", "rejected")]
     kept = [c for c in docs.columns if c not in added]
@@ -210,7 +230,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", z: fl
         scorer = own and Scorer(own)
         for b in chunks(batches, text_col):
             lang, score, rejected = [], [], []
-            words = [WORDS.findall(t.as_py().lower()) if t.is_valid else [] for t in b.column(text_col)]
+            words = [words_of(t.as_py()) if t.is_valid else [] for t in b.column(text_col)]
             for total, n in scorer(words) if own else [(None, 0)] * len(words):
                 if not n:
                     lang.append("und"), score.append(0.0), rejected.append(True)

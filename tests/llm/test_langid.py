@@ -86,3 +86,17 @@ def test_nothing_to_learn_from(spark):
     assert langid.train(docs) is None
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
     assert langid.identify(docs.limit(0), None).count() == 0
+
+
+def test_numerals_are_no_letters(spark):
+    assert langid.words_of("½ ² Ⅷ x² ab_c 9") == ["x", "ab", "c"]
+    rows = [(i, t, lang) for i in range(40) for t, lang in ((f"the house and the tree {i}", "en"), (f"das haus und der baum {i}", "de"))] + [(99, "½ ²", None), (98, "Ⅷ", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(docs, langid.train(docs)).collect()}
+    assert (got[99].lang_pred, got[99].score) == ("und", 0.0) and got[98].lang_pred == "und" and got[3].lang_pred in ("de", "en")
+
+
+def test_many_languages_each_get_a_model(spark):
+    rows = [(k, f"{chr(97 + k % 26)}{chr(97 + k // 26)}k word of this language", f"l{k:03d}") for k in range(260)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 260
