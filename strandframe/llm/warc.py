@@ -96,7 +96,7 @@ def classified(pages: DataFrame, least_bytes: int, id_col: str, url_col: str, ht
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).alias("size"))
     best = rows.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.max("id").alias("best"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(best, "sha", "left")
+    joined = join_hot(rows, best.select("sha", "best"), "sha")  # copies of one payload stay where they are
     return joined.select("id", "url", "html", "sha", F.when(F.col("id").isNull() | (F.col("best") != F.col("id")), F.col("best")).alias("refers_to"))
 
 
