@@ -158,8 +158,13 @@ def _hap(x: Column) -> Column:
 
 def join_haplotypes(both: DataFrame) -> DataFrame:
     """Diploid calls from ``ctg, pos, v0 (phased call), v1, v2 (haplotypes), ps (start of the phased interval + 1)``; no row where both are REF."""
+    return _level(_with_joined(both), F.col("joined"), lambda r: r["ref"].isNotNull())
+
+
+def _with_joined(both: DataFrame) -> DataFrame:
+    """``both`` and ``joined``, the diploid call of the haplotypes; null where neither has an ALT."""
     v0, v1, v2 = F.col("v0"), F.col("v1"), F.col("v2")
-    rows = both.withColumns({"i1": _hap(v1), "i2": _hap(v2)}).where("i1 > 0 or i2 > 0")
+    rows = both.withColumns({"i1": _hap(v1), "i2": _hap(v2)})
     allele = lambda v, i: F.when(F.col(i) > 0, A.trim_pair(v["ref"], F.get(v["alt"], F.col(i) - 1)))
     rows = rows.withColumns({"t1": allele(v1, "i1"), "t2": allele(v2, "i2")})
     t1, t2 = F.col("t1"), F.col("t2")
@@ -194,7 +199,8 @@ def join_haplotypes(both: DataFrame) -> DataFrame:
         "GQ": F.when(observed, F.col("pl.gq")), "DP": A.join_dp(v0["DP"], v1["DP"], v2["DP"]), "PS": F.col("ps"), "PL": F.when(observed, F.col("pl.pl")), "AD": depth,
         "info_dp": A.join_dp(v0["info_dp"], v1["info_dp"], v2["info_dp"]), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": F.lit(None),
     }
-    return rows.select(*[new[c].cast(_TYPES[c]).alias(c) for c in _OUT], gt["ac"].alias("AC"), gt["af"].alias("AF"), gt["an"].alias("AN"))
+    call = F.struct(*[new[c].cast(_TYPES[c]).alias(c) for c in _OUT], gt["ac"].alias("AC"), gt["af"].alias("AF"), gt["an"].alias("AN"))
+    return rows.select(*both.columns, F.when(h1 | h2, call).alias("joined"))
 
 
 def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased: DataFrame, bed: DataFrame) -> DataFrame:
@@ -209,12 +215,14 @@ def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased:
     delta = lambda c: F.coalesce(F.col(f"{c}.DELTA"), F.lit(False))
     kind = F.when(equal, "phased").when(delta("v1") | delta("v2"), "joined").when(delta("v3"), F.when(called("v3"), "unphased")).when(called("v0"), "phased")
     both = both.withColumn("kind", kind).where("kind is not null")
-    joined = join_haplotypes(both.where("kind = 'joined'"))
+    # rows of the other kinds have no haplotypes to join, so one pass serves all three
+    own = {c: F.when(F.col("kind") == "joined", F.col(c)) for c in ("v1", "v2")}
+    rows = _with_joined(both.select("ctg", "pos", "ps", "kind", "v0", "v3", *[c.alias(k) for k, c in own.items()]))
     extra = [F.lit(None).cast("array<int>").alias("AC"), F.lit(None).cast("array<double>").alias("AF"), F.lit(None).cast("int").alias("AN")]
+    plain = lambda x, **changed: F.struct(*[_struct(x, **changed)[c].alias(c) for c in _OUT], *extra)
     ps = F.when(F.col("v0.PS").isNotNull(), F.coalesce("ps", F.col("v0.PS")))
-    old = both.where("kind = 'phased'").select(_struct(F.col("v0"), PS=ps).alias("x")).select("x.*", *extra)
-    plain = both.where("kind = 'unphased'").select(_struct(F.col("v3"), DELTA=F.lit(None)).alias("x")).select("x.*", *extra)
-    return joined.unionByName(old).unionByName(plain)
+    chosen = F.when(F.col("kind") == "joined", F.col("joined")).when(F.col("kind") == "phased", plain(F.col("v0"), PS=ps)).otherwise(plain(F.col("v3"), DELTA=F.lit(None)))
+    return _level(rows, chosen, lambda r: r["ref"].isNotNull())
 
 
 def haploid_and_diploid(diploid: DataFrame, haploid: DataFrame) -> DataFrame:

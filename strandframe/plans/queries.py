@@ -7,9 +7,11 @@ index statistics, likelihoods and depths.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import alleles as A
 from ..operators import aggregates, filters, intervals, joins, sequence
@@ -357,39 +359,188 @@ def annotate_ids(spark, sf_dir):
     return joins.annotate_ids(_orders_as_calls(spark, sf_dir), known, "o_orderkey").select("o_orderkey", F.col("known_id").alias("known"))
 
 
+_CALLS = """c AS (SELECT CAST(l_suppkey % 5 AS VARCHAR) AS ctg, l_orderkey AS pos, l_partkey AS k, CAST(l_quantity AS INTEGER) AS q, l_linenumber, l_returnflag, l_extendedprice AS qual, (l_partkey * 8 + l_linenumber) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS fo,
+ CASE WHEN l_partkey % 5 = 0 THEN 3 WHEN l_partkey % 2 = 0 THEN 2 ELSE 1 END AS n, l_partkey % 7 = 0 AS low, l_linenumber % 2 = 0 AS delta, CAST(l_quantity AS INTEGER) + 10 AS gq, l_partkey % 4 = 0 AS str FROM lineitem),
+w AS (SELECT *, [['C', 'G', 'T'], ['G', 'T', 'C'], ['T', 'C', 'G']][k % 3 + 1][1:n] AS alt, [k % 3 * q, k % 5, k % 11, k % 13][1:n + 1] AS hpl, [k * m % 37 FOR m IN range(1, (n + 1) * (n + 2) // 2 + 1)] AS dpl, [k % 7, k % 3 + 1, k % 8, 2][1:n + 1] AS rpa,
+ CASE WHEN k % 13 = 0 THEN NULL WHEN n = 3 THEN '3' ELSE '1' END AS hgt, CASE WHEN k % 13 = 0 THEN './.' ELSE '0/1' END AS dgt FROM c)"""
+_FIRST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ctg, pos ORDER BY fo) AS r FROM w WHERE {0}) WHERE r = 1)"
+
+
 def _calls(spark, sf_dir):
-    """Haploid and diploid calls from line items: the order is the position, the supplier the contig, the part's bits the genotype."""
-    letters, k = F.array(*map(F.lit, "CGT")), F.col("l_partkey")
-    alt = F.array(F.get(letters, (k % 3).cast("int")), F.get(letters, ((k + 1) % 3).cast("int")))
-    q = F.col("l_quantity").cast("int")
+    """Haploid and diploid calls from line items: the order is the position, the part decides alleles and likelihoods."""
+    k, q = F.col("l_partkey"), F.col("l_quantity").cast("int")
+    n = F.when(k % 5 == 0, 3).when(k % 2 == 0, 2).otherwise(1)
+    turned = F.array(*[F.array(*map(F.lit, x)) for x in ("CGT", "GTC", "TCG")])
     rows = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos"), (F.col("l_orderkey") + 1).alias("end"), F.lit(".").alias("id"), F.lit("A").alias("ref"),
-        F.when(k % 2 == 0, alt).otherwise(F.slice(alt, 1, 1)).alias("alt"), F.col("l_extendedprice").alias("qual"), F.when(k % 7 == 0, F.array(F.lit("low"))).otherwise(F.array().cast("array<string>")).alias("filter"),
-        (q + 10).alias("GQ"), q.alias("DP"), (F.col("l_linenumber") % 2 == 0).alias("DELTA"), F.col("l_partkey").alias("file_order"), "l_linenumber", "l_returnflag",
-        F.when(k % 2 == 0, F.array(q, k.cast("int") % 5, k.cast("int") % 11)).otherwise(F.array(q, k.cast("int") % 5)).alias("hPL"),
-        F.when(k % 2 == 0, F.array(*[(k.cast("int") * m) % 37 for m in range(1, 7)])).otherwise(F.array(*[(k.cast("int") * m) % 37 for m in range(1, 4)])).alias("dPL"),
+        (F.col("l_suppkey") % 5).cast("string").alias("ctg"), F.col("l_orderkey").alias("pos"), (F.col("l_orderkey") + 1).alias("end"), F.lit(".").alias("id"), F.lit("A").alias("ref"),
+        F.slice(F.get(turned, (k % 3).cast("int")), F.lit(1), n).alias("alt"), F.col("l_extendedprice").alias("qual"), F.when(k % 7 == 0, F.array(F.lit("low"))).otherwise(F.array().cast("array<string>")).alias("filter"),
+        (q + 10).alias("GQ"), q.alias("DP"), (F.col("l_linenumber") % 2 == 0).alias("DELTA"), ((k * 8 + F.col("l_linenumber")) * 100_000_000 + F.round(F.col("l_extendedprice") * 100).cast("long")).alias("file_order"), "l_linenumber", "l_returnflag", (k % 4 == 0).alias("STR"),
+        F.slice(F.array(k % 7, k % 3 + 1, k % 8, F.lit(2).cast("long")), F.lit(1), n + 1).cast("array<int>").alias("RPA"),
+        F.slice(F.array(k % 3 * q, k % 5, k % 11, k % 13), F.lit(1), n + 1).cast("array<int>").alias("hPL"),
+        F.slice(F.array(*[k * m % 37 for m in range(1, 11)]), F.lit(1), ((n + 1) * (n + 2) / 2).cast("int")).cast("array<int>").alias("dPL"),
+        F.when(k % 13 == 0, None).when(n == 3, "3").otherwise("1").alias("hGT"), F.when(k % 13 == 0, "./.").otherwise("0/1").alias("dGT"),
     )
-    return rows, lambda r: r.withColumns({"GT": F.lit("1"), "PL": F.col("hPL")}), lambda r: r.withColumns({"GT": F.lit("0/1"), "PL": F.col("dPL")})
+    return rows, lambda r: r.withColumns({"GT": F.col("hGT"), "PL": F.col("hPL")}), lambda r: r.withColumns({"GT": F.col("dGT"), "PL": F.col("dPL")})
 
 
-@query()
+def _plain(df: DataFrame) -> DataFrame:
+    text = lambda c: F.array_join(c, ",").alias(c)
+    return df.select("ctg", "pos", text("alt"), "GT", "GQ", text("PL"), text("RPA"), "DELTA", F.size("filter").alias("filters"))
+
+
+_JOINED = "a AS (SELECT coalesce(v.ctg, d.ctg) AS ctg, coalesce(v.pos, d.pos) AS pos, v, CASE WHEN {0} THEN d END AS d FROM {1} v FULL JOIN {2} d ON v.ctg = d.ctg AND v.pos = d.pos), b AS (SELECT *, d.fo IS NOT NULL AND (v.fo IS NULL OR list_has_all(d.alt, v.alt)) AS use FROM a), x AS (SELECT ctg, pos, use, CASE WHEN use THEN d ELSE v END AS x FROM b WHERE use OR v.fo IS NOT NULL)"
+
+
+@query(f"""WITH {_CALLS}, {_JOINED.format("d.hgt IS NOT NULL", _FIRST.format("l_returnflag = 'A'"), _FIRST.format("l_returnflag = 'R'"))},
+y AS (SELECT *, list_sort([{{'p': x.hpl[i + 1], 'i': i}} FOR i IN range(1, x.n + 1)]) AS s FROM x),
+z AS (SELECT *, CASE WHEN x.n > 2 THEN [0, s[1].i, s[2].i] ELSE range(0, x.n + 1) END AS keep FROM y)
+SELECT ctg, pos, array_to_string([x.alt[i] FOR i IN keep IF i > 0], ',') AS alt, CASE WHEN x.n > 2 AND x.hgt IS NOT NULL THEN CAST(greatest(coalesce(list_position(keep, CAST(x.hgt AS BIGINT)), 0) - 1, 0) AS VARCHAR) ELSE x.hgt END AS "GT", x.gq AS "GQ",
+ array_to_string([x.hpl[i + 1] FOR i IN keep], ',') AS "PL", array_to_string([x.rpa[i + 1] FOR i IN keep], ',') AS "RPA", CASE WHEN use OR x.delta OR (x.str AND x.rpa[1] >= 4) THEN true END AS "DELTA", 0 AS filters FROM z WHERE NOT (x.hpl[1] = 0 AND x.gq >= 20)""")
 def patch_haploid(spark, sf_dir):
     rows, haploid, _ = _calls(spark, sf_dir)
-    return patch.patch_haploid(haploid(rows.where("l_returnflag = 'A'")), haploid(rows.where("l_returnflag = 'R'")))
+    return _plain(patch.patch_haploid(haploid(rows.where("l_returnflag = 'A'")), haploid(rows.where("l_returnflag = 'R'"))))
 
 
-@query()
+@query(f"""WITH {_CALLS}, {_JOINED.format("d.dgt <> './.'", _FIRST.format("l_returnflag = 'A'"), _FIRST.format("l_returnflag = 'R'"))},
+g AS (SELECT *, [{{'p': x.dpl[t + 1], 'j': [1, 1, 2, 2, 2, 3, 3, 3, 3][t], 'i': [0, 1, 0, 1, 2, 0, 1, 2, 3][t]}} FOR t IN range(1, len(x.dpl))] AS r FROM x),
+h AS (SELECT *, list_min(r) AS f FROM g),
+i AS (SELECT *, list_min([e FOR e IN r IF NOT (e.i = f.i AND e.j = f.j) AND (e.i = 0 OR e.j = 0 OR e.i = f.j OR e.j = f.j)]) AS s FROM h),
+k AS (SELECT *, CASE WHEN x.n = 1 THEN [0, 1] WHEN f.i = 0 OR f.i = f.j THEN list_sort(list_distinct([0, s.i, f.j, s.j])) ELSE list_sort(list_distinct([0, f.i, f.j])) END AS keep FROM i),
+m AS (SELECT *, flatten([[x.dpl[keep[b] * (keep[b] + 1) // 2 + keep[a] + 1] FOR a IN range(1, b + 1)] FOR b IN range(1, len(keep) + 1)]) AS pl FROM k)
+SELECT ctg, pos, array_to_string([x.alt[a] FOR a IN keep IF a > 0], ',') AS alt, CASE WHEN x.n = 1 THEN x.dgt WHEN len(keep) = 3 THEN '1/2' ELSE '1/1' END AS "GT", x.gq AS "GQ", array_to_string(pl, ',') AS "PL", array_to_string([x.rpa[a + 1] FOR a IN keep], ',') AS "RPA",
+ CASE WHEN use OR x.delta THEN true END AS "DELTA", 0 AS filters FROM m WHERE NOT (use AND pl[1] = 0 AND x.gq >= 20)""")
 def patch_diploid(spark, sf_dir):
     rows, _, diploid = _calls(spark, sf_dir)
-    return patch.patch_diploid(diploid(rows.where("l_returnflag = 'A'")), diploid(rows.where("l_returnflag = 'R'")))
-
-
-@query()
+    return _plain(patch.patch_diploid(diploid(rows.where("l_returnflag = 'A'")), diploid(rows.where("l_returnflag = 'R'"))))
+
+
+_PAIR = "least(CASE WHEN greatest(l1[x], l2[y]) >= 999999999 THEN 999999999 ELSE l1[x] + l2[y] END, CASE WHEN greatest(l1[y], l2[x]) >= 999999999 THEN 999999999 ELSE l1[y] + l2[x] END)"
+
+
+@query(f"""WITH {_CALLS}, j AS (SELECT coalesce(v1.ctg, v2.ctg, v3.ctg, v0.ctg) AS ctg, coalesce(v1.pos, v2.pos, v3.pos, v0.pos) AS pos, v0, v1, v2, v3 FROM {_FIRST.format("l_linenumber % 4 = 0")} v1 FULL JOIN {_FIRST.format("l_linenumber % 4 = 1")} v2 ON v1.ctg = v2.ctg AND v1.pos = v2.pos
+ FULL JOIN {_FIRST.format("l_linenumber % 4 = 2")} v3 ON coalesce(v1.ctg, v2.ctg) = v3.ctg AND coalesce(v1.pos, v2.pos) = v3.pos FULL JOIN {_FIRST.format("l_linenumber % 4 = 3")} v0 ON coalesce(v1.ctg, v2.ctg, v3.ctg) = v0.ctg AND coalesce(v1.pos, v2.pos, v3.pos) = v0.pos),
+k AS (SELECT *, CASE WHEN pos % 5000 < 2500 THEN pos // 5000 * 5000 + 1 END AS ps, CASE WHEN v0.fo IS NOT NULL AND NOT v0.low THEN 'phased' WHEN coalesce(v1.delta, false) OR coalesce(v2.delta, false) THEN 'joined' WHEN coalesce(v3.delta, false) AND NOT v3.low THEN 'unphased' END AS kind,
+ CASE WHEN v1.fo IS NULL THEN -1 WHEN v1.low THEN 0 ELSE coalesce(CAST(v1.hgt AS INTEGER), 0) END AS i1, CASE WHEN v2.fo IS NULL THEN -1 WHEN v2.low THEN 0 ELSE coalesce(CAST(v2.hgt AS INTEGER), 0) END AS i2 FROM j),
+l AS (SELECT *, CASE WHEN i1 > 0 THEN v1.alt[i1] END AS a1, CASE WHEN i2 > 0 THEN v2.alt[i2] END AS a2 FROM k WHERE kind = 'joined' AND (i1 > 0 OR i2 > 0)),
+m AS (SELECT *, CASE WHEN a2 IS NULL OR a1 = a2 THEN [a1] WHEN a1 IS NULL THEN [a2] ELSE [a1, a2] END AS al FROM l),
+n AS (SELECT *, CASE WHEN v1.fo IS NULL THEN [0, 999999999, 999999999][1:len(al) + 1] ELSE list_concat([v1.hpl[1]], [coalesce(v1.hpl[list_position(v1.alt, a) + 1], 999999999) FOR a IN al]) END AS l1,
+ CASE WHEN v2.fo IS NULL THEN [0, 999999999, 999999999][1:len(al) + 1] ELSE list_concat([v2.hpl[1]], [coalesce(v2.hpl[list_position(v2.alt, a) + 1], 999999999) FOR a IN al]) END AS l2, list_concat([0], [coalesce(list_position(v0.alt, a), -1) FOR a IN al]) AS m0 FROM m),
+o AS (SELECT *, flatten([[CASE WHEN {_PAIR} < 999999999 THEN {_PAIR} WHEN v0.fo IS NULL THEN 999999999 WHEN least(m0[x], m0[y]) < 0 THEN 999999999 ELSE v0.dpl[greatest(m0[x], m0[y]) * (greatest(m0[x], m0[y]) + 1) // 2 + least(m0[x], m0[y]) + 1] END FOR x IN range(1, y + 1)] FOR y IN range(1, len(al) + 2)]) AS raw FROM n),
+p AS (SELECT *, list_sort([e FOR e IN raw IF e < 999999999]) AS seen FROM o),
+q AS (SELECT *, seen[2] - seen[1] AS g FROM p)
+SELECT ctg, pos, array_to_string(al, ',') AS alt, CASE WHEN a1 = a2 THEN '1' || sep || '1' WHEN len(al) = 2 THEN '1' || sep || '2' WHEN sep = '/' THEN '0/1' WHEN i1 > 0 THEN '1|0' ELSE '0|1' END AS "GT", CAST(g AS INTEGER) AS "GQ",
+ array_to_string([least(e - seen[1], greatest(seen[-1] - seen[1] + g, 10 * g)) FOR e IN raw], ',') AS "PL", ps AS "PS", coalesce(v0.q, coalesce(v1.q, 0) + coalesce(v2.q, 0)) AS "DP", CASE WHEN i1 > 0 AND i2 > 0 THEN v1.qual + v2.qual WHEN i1 > 0 THEN v1.qual ELSE v2.qual END AS qual FROM (SELECT *, CASE WHEN ps IS NULL THEN '/' ELSE '|' END AS sep FROM q)
+UNION ALL SELECT ctg, pos, array_to_string(v0.alt, ','), v0.dgt, v0.gq, array_to_string(v0.dpl, ','), NULL, v0.q, v0.qual FROM k WHERE kind = 'phased'
+UNION ALL SELECT ctg, pos, array_to_string(v3.alt, ','), v3.dgt, v3.gq, array_to_string(v3.dpl, ','), NULL, v3.q, v3.qual FROM k WHERE kind = 'unphased'""")
 def merge_phased(spark, sf_dir):
     rows, haploid, diploid = _calls(spark, sf_dir)
     bed = rows.select("ctg", (F.floor(F.col("pos") / 5000) * 5000).alias("start")).distinct().select("ctg", "start", (F.col("start") + 2500).alias("end"))
     part = lambda k: rows.where(F.col("l_linenumber") % 4 == k)
-    return patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed)
+    merged = patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed)
+    return merged.select("ctg", "pos", F.array_join("alt", ",").alias("alt"), "GT", "GQ", F.array_join("PL", ",").alias("PL"), "PS", "DP", "qual")
+
+
+_BLOCKS = f"""iv AS ({_IV}), s AS (SELECT DISTINCT ctg, "start" AS pos FROM iv), t AS (SELECT *, lead(pos) OVER (PARTITION BY ctg ORDER BY pos) AS next FROM s),
+g AS (SELECT ctg, pos, next, pos % 5 = 0 AS many, CASE WHEN pos % 5 = 0 THEN left('ACGTACGT', CAST(least(8, coalesce(next, pos + 100) - pos) AS INTEGER)) ELSE 'A' END AS ref, CASE WHEN pos % 5 = 0 THEN pos + least(8, coalesce(next, pos + 100) - pos) ELSE coalesce(next, pos + 100) END AS "end" FROM t),
+c AS (SELECT ctg, pos, min((cid, pos + 1 + CASE WHEN cid % 3 = 0 THEN cid % 20000 ELSE 0 END)) AS x FROM (SELECT *, "start" + CASE WHEN cid % 2 = 0 THEN 0 ELSE cid % 5000 END AS pos FROM iv WHERE kind IN ('error', 'purchase')) GROUP BY ctg, pos),
+d AS (SELECT ctg, pos, x[1] AS cid, x[2] AS "end" FROM c)"""
+
+
+def _blocks_and_calls(spark, sf_dir):
+    iv = _iv(spark, sf_dir)
+    ints = lambda *x: F.array(*x).cast("array<int>")
+    starts = iv.select("ctg", F.col("start").alias("pos")).distinct()
+    nxt = F.coalesce(F.lead("pos").over(Window.partitionBy("ctg").orderBy("pos")), F.col("pos") + 100)
+    many, width = F.col("pos") % 5 == 0, F.least(F.lit(8).cast("long"), F.col("next") - F.col("pos"))
+    g = starts.withColumn("next", nxt).select(
+        F.concat_ws(":", "ctg", "pos").alias("vid"), "ctg", "pos", F.when(many, F.col("pos") + width).otherwise(F.col("next")).alias("end"), F.when(many, F.substring(F.lit("ACGTACGT"), F.lit(1), width.cast("int"))).otherwise("A").alias("ref"),
+        F.when(many, F.array(F.lit("A"), F.lit(gvcf.NON_REF))).otherwise(F.array(F.lit(gvcf.NON_REF))).alias("alt"), F.when(many, "0/1").otherwise("0/0").alias("GT"), F.lit(50).alias("GQ"), (F.col("pos") % 30).cast("int").alias("DP"),
+        F.when(many, ints(F.lit(7), F.lit(0), F.lit(9), F.lit(9), F.lit(9), F.lit(9))).otherwise(ints(F.lit(0), F.lit(10), F.lit(20))).alias("PL"), F.when(many, ints(F.lit(1), F.lit(2), F.lit(3))).alias("AD"),
+    )
+    k = F.col("cid")
+    calls = iv.where("kind in ('error', 'purchase')").withColumn("pos", F.col("start") + F.when(k % 2 == 0, 0).otherwise(k % 5000)).groupBy("ctg", "pos").agg(F.min("cid").alias("cid"))
+    calls = calls.select("ctg", "pos", (F.col("pos") + 1 + F.when(k % 3 == 0, k % 20000).otherwise(0)).alias("end"), F.lit("C").alias("ref"), F.array(F.lit("T")).alias("alt"), F.when(k % 4 == 0, "1").otherwise("0/1").alias("GT"), F.lit(40).alias("GQ"), (k % 9).cast("int").alias("DP"), F.when(k % 4 == 0, ints(F.lit(3), F.lit(0))).otherwise(ints(F.lit(5), F.lit(0), F.lit(7))).alias("PL"), ints(F.lit(1), F.lit(2)).alias("AD"))
+    return g, calls
+
+
+@query(f"""WITH RECURSIVE {_BLOCKS}, rest AS (SELECT g.ctg, d."end" AS pos, coalesce(next, g."end") AS "end", substr(ref, CAST(d."end" - g.pos + 1 AS INTEGER), 1) AS ref, g.pos % 30 AS dp FROM g JOIN d ON g.ctg = d.ctg AND g.pos = d.pos WHERE many AND g."end" > d."end" AND d."end" < coalesce(next, g."end")),
+b AS (SELECT ctg, pos, "end", ref, 50 AS gq, pos % 30 AS dp, '0,10,20' AS pl, 0 AS kind FROM g WHERE NOT many UNION ALL SELECT ctg, pos, "end", ref, 15, dp, '0,20,40', 1 FROM rest),
+i AS (SELECT b.ctg, b.pos AS bpos, b.kind, d.pos, d."end", row_number() OVER (PARTITION BY b.ctg, b.pos, b.kind ORDER BY d.pos, d."end") AS n FROM b JOIN d ON b.ctg = d.ctg AND b.pos <= d.pos AND d.pos < b."end"),
+q AS (SELECT ctg, pos AS bpos, kind, 0 AS n, pos AS reached, pos AS f, pos AS t FROM b
+ UNION ALL SELECT q.ctg, q.bpos, q.kind, q.n + 1, CASE WHEN i.pos >= reached THEN i."end" ELSE reached END, reached, CASE WHEN i.pos >= reached THEN i.pos ELSE reached END FROM q JOIN i ON q.ctg = i.ctg AND q.bpos = i.bpos AND q.kind = i.kind AND i.n = q.n + 1),
+pieces AS (SELECT ctg, bpos, kind, f, t FROM q UNION ALL SELECT z.ctg, z.bpos, z.kind, z.reached, b."end" FROM (SELECT ctg, bpos, kind, max(reached) AS reached FROM q GROUP BY ctg, bpos, kind) z JOIN b ON z.ctg = b.ctg AND z.bpos = b.pos AND z.kind = b.kind)
+SELECT p.ctg, p.f AS pos, p.t AS "end", CASE WHEN p.f = b.pos THEN ref ELSE 'N' END AS ref, '<NON_REF>' AS alt, '0/0' AS "GT", gq AS "GQ", CAST(dp AS INTEGER) AS "DP", pl AS "PL", NULL AS "AD" FROM pieces p JOIN b ON p.ctg = b.ctg AND p.bpos = b.pos AND p.kind = b.kind WHERE p.f < p.t
+UNION ALL SELECT g.ctg, g.pos, g."end", ref, 'A,<NON_REF>', '0/0', 50, CAST(g.pos % 30 AS INTEGER), '7,0,9,9,9,9', '1,2,3' FROM g LEFT JOIN d ON g.ctg = d.ctg AND g.pos = d.pos WHERE many AND d.cid IS NULL
+UNION ALL SELECT ctg, pos, "end", 'C', 'T,<NON_REF>', CASE WHEN cid % 4 = 0 THEN '1' ELSE '0/1' END, 40, CAST(cid % 9 AS INTEGER), CASE WHEN cid % 4 = 0 THEN '3,0,100' ELSE '5,0,7,100,100,100' END, '1,2,' || greatest(cid % 9 - 3, 0) FROM d""")
+def gvcf_combine(spark, sf_dir):
+    g, calls = _blocks_and_calls(spark, sf_dir)
+    text = lambda c: F.array_join(c, ",").alias(c)
+    return gvcf.gvcf_combine(g, calls, width=DAY).select("ctg", "pos", "end", "ref", text("alt"), "GT", "GQ", "DP", text("PL"), text("AD"))
+
+
+@query("""WITH w AS (SELECT l_orderkey, l_partkey, l_linenumber, l_partkey % 4 AS k, CASE WHEN l_partkey % 4 < 2 THEN 'ATTT' ELSE 'GC' END AS ref, l_suppkey % 5 AS z FROM lineitem),
+x AS (SELECT *, CASE k WHEN 0 THEN ['CTT', '<NON_REF>', 'GTTT'] WHEN 1 THEN ['CTTT', 'GTT', 'ATTTTT'] WHEN 2 THEN ['GCC', 'TC'] ELSE ['G', '*'] END AS alt FROM w),
+y AS (SELECT *, CASE WHEN k = 0 THEN [true, true, false] ELSE [i <> z FOR i IN range(0, len(alt))] END AS ka FROM x),
+a AS (SELECT *, list_bool_and(ka) AS whole, [alt[i] FOR i IN range(1, len(alt) + 1) IF ka[i]] AS kept, list_concat([0], [i FOR i IN range(1, len(alt) + 1) IF ka[i]]) AS keep FROM y),
+b AS (SELECT *, CASE WHEN whole THEN 0 ELSE greatest(coalesce(list_min(list_concat([length(ref)], [length(c) FOR c IN kept IF c <> '<NON_REF>'])), 1) - 1, 0) END AS n FROM a),
+e AS (SELECT *, CASE WHEN len([c FOR c IN kept IF c <> '<NON_REF>']) = 0 THEN 0 ELSE n END AS cut FROM b)
+SELECT l_orderkey, l_partkey, l_linenumber, left(ref, length(ref) - cut) AS ref, array_to_string([CASE WHEN c = '<NON_REF>' THEN c ELSE left(c, length(c) - cut) END FOR c IN kept], ',') AS alt, array_to_string(keep, ',') AS "AD",
+ array_to_string(flatten([[keep[j] * (keep[j] + 1) // 2 + keep[i] FOR i IN range(1, j + 1)] FOR j IN range(1, len(keep) + 1)]), ',') AS "PL" FROM e""")
+def trim_added_alts(spark, sf_dir):
+    k = F.col("l_partkey") % 4
+    pick = lambda *x: F.when(k == 0, x[0]).when(k == 1, x[1]).when(k == 2, x[2]).otherwise(x[3])
+    texts = lambda *x: F.array(*map(F.lit, x))
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", (F.col("l_suppkey") % 5).cast("int").alias("z"), F.when(k < 2, "ATTT").otherwise("GC").alias("ref"), pick(texts("CTT", gvcf.NON_REF, "GTTT"), texts("CTTT", "GTT", "ATTTTT"), texts("GCC", "TC"), texts("G", "*")).alias("alt"))
+    n = F.size("alt")
+    rows = rows.withColumns({"AF": F.transform(A.upto(n), lambda i: F.when(i == F.col("z"), ".").otherwise("0.5")), "AD": A.upto(n + 1), "PL": A.upto(((n + 1) * (n + 2) / 2).cast("int"))})
+    text = lambda c: F.array_join(c, ",").alias(c)
+    return gvcf.trim_added_alts(rows).select("l_orderkey", "l_partkey", "l_linenumber", "ref", text("alt"), text("AD"), text("PL"))
+
+
+_CHUNK = 1024
+_INSERTS = """w AS (SELECT CAST(l_suppkey AS VARCHAR) AS ctg, l_orderkey AS pos, min(l_partkey) AS k FROM lineitem GROUP BY l_suppkey, l_orderkey),
+v AS (SELECT ctg, pos, k, ctg || ':' || pos AS vid, pos + CASE WHEN k % 9 = 0 THEN 3 ELSE 1 END AS "end", CASE WHEN k % 9 = 0 THEN 'ACG' ELSE 'A' END AS ref, CASE WHEN k % 11 = 0 THEN ['AC', 'AG'] ELSE ['A' || repeat('C', CAST(k % 5 AS INTEGER))] END AS alt, ['1|0', '0|1', '0/1', '0|1', '1|0'][k % 5 + 1] AS gt FROM w)"""
+
+
+@query(f"""WITH {_INSERTS}, l AS (SELECT *, lag(pos) OVER w AS p1, lag("end") OVER w AS e1, lag(ref) OVER w AS r1, lag(alt) OVER w AS a1, lag(gt) OVER w AS g1 FROM v WINDOW w AS (PARTITION BY ctg ORDER BY pos)),
+m AS (SELECT *, coalesce(len(alt) = 1 AND len(a1) = 1 AND gt IN ('1|0', '0|1') AND g1 IN ('1|0', '0|1') AND gt <> g1 AND pos - p1 <= 10 AND length(r1) <= length(alt[1]) AND length(r1) <= length(a1[1]), false) AS j FROM l),
+n AS (SELECT *, sum(CASE WHEN j THEN 0 ELSE 1 END) OVER (PARTITION BY ctg ORDER BY pos) AS run FROM m),
+o AS (SELECT *, (row_number() OVER (PARTITION BY ctg, run ORDER BY pos) - 1) // 2 AS pair, (row_number() OVER (PARTITION BY ctg, run ORDER BY pos) - 1) % 2 AS second FROM n),
+p AS (SELECT a.*, b.alt[1] AS alt2, CASE WHEN b.ctg IS NOT NULL THEN coalesce((SELECT string_agg(substr(translate(md5(a.ctg || ':' || (t.x // {_CHUNK})), '0123456789abcdef', 'ACGTACGTACGTACGT'), CAST(t.x % {_CHUNK} % 32 + 1 AS INTEGER), 1), '' ORDER BY t.x) FROM unnest(range(a."end", b.pos + 1)) t(x)), '') END AS gap
+ FROM o a LEFT JOIN o b ON a.ctg = b.ctg AND a.run = b.run AND a.pair = b.pair AND b.second = 1 WHERE a.second = 0)
+SELECT vid, ctg, pos, ref || coalesce(gap, '') AS ref, CASE WHEN gap IS NULL THEN array_to_string(alt, ',') ELSE alt[1] || gap || ',' || left(ref || gap, length(ref || gap) - 1) || alt2 END AS alt, CASE WHEN gap IS NULL THEN gt ELSE '1|1' END AS "GT" FROM p""")
+def merge_opposite_phase(spark, sf_dir):
+    k = F.col("k")
+    w = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("ctg"), F.col("l_orderkey").alias("pos")).agg(F.min("l_partkey").alias("k"))
+    gt = F.get(F.array(*map(F.lit, ("1|0", "0|1", "0/1", "0|1", "1|0"))), (k % 5).cast("int"))
+    v = w.select(F.concat_ws(":", "ctg", "pos").alias("vid"), "ctg", "pos", (F.col("pos") + F.when(k % 9 == 0, 3).otherwise(1)).alias("end"), F.when(k % 9 == 0, "ACG").otherwise("A").alias("ref"), F.when(k % 11 == 0, F.array(F.lit("AC"), F.lit("AG"))).otherwise(F.array(F.concat(F.lit("A"), F.repeat(F.lit("C"), (k % 5).cast("int"))))).alias("alt"), gt.alias("GT"))
+    lengths = w.groupBy("ctg").agg(F.max("pos").alias("top"))
+    chunks = lengths.select("ctg", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("top") + 20) / _CHUNK))).alias("chunk"))
+    chunks = chunks.withColumn("seq", F.repeat(F.translate(F.md5(F.concat_ws(":", "ctg", "chunk").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(_CHUNK // 32)))
+    return sequence.merge_opposite_phase(v, chunks, chunk=_CHUNK).select("vid", "ctg", "pos", "ref", F.array_join("alt", ",").alias("alt"), "GT")
+
+
+@query("""WITH w AS (SELECT *, l_partkey AS k, CASE WHEN l_partkey % 3 = 0 THEN [] WHEN l_partkey % 3 = 1 THEN ['PASS'] ELSE ['low', 'PASS'] END AS f, ['0/0', '0/1', '1|1', '0|0', NULL][l_partkey % 5 + 1] AS gt, repeat('A', CAST(l_suppkey % 60 + 1 AS INTEGER)) AS ref, [repeat('C', CAST(l_quantity AS INTEGER)), CASE WHEN l_linenumber = 3 THEN '<NON_REF>' ELSE 'G' END] AS alt FROM lineitem)
+SELECT l_returnflag, count(*) FILTER (len(f) = 0 OR f = ['PASS']) AS passed, count(*) FILTER (gt IS NULL OR gt NOT IN ('0/0', '0|0')) AS called, count(*) FILTER (abs(length(alt[1]) - length(ref)) > 34 OR abs(length(alt[2]) - length(ref)) > 34) AS long_indel, count(*) FILTER (l_linenumber % 4 > 0) AS with_format,
+ count(*) FILTER (l_linenumber = 3 OR l_linenumber % 2 = 0) AS known_frequency, count(*) FILTER ((len(f) = 0 OR list_contains(f, 'PASS')) AND greatest(length(ref), length(alt[1]), length(alt[2])) >= 50) AS structural, count(*) FILTER (l_suppkey % 5 IN (1, 2)) AS on_contigs,
+ count(*) FILTER ((len(f) = 0 OR f = ['PASS']) AND k % 4 <> 2 AND k % 4 <> 0) AS not_neutral, count(*) FILTER (NOT (k % 3 = 0 AND l_quantity >= 20)) AS not_sure FROM w GROUP BY l_returnflag""")
+def variant_filters(spark, sf_dir):
+    """How many rows each filter keeps, by return flag."""
+    k = F.col("l_partkey")
+    texts = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
+    v = _table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.when(k % 3 == 0, texts()).when(k % 3 == 1, texts("PASS")).otherwise(texts("low", "PASS")).alias("filter"), F.get(texts("0/0", "0/1", "1|1", "0|0"), (k % 5).cast("int")).alias("GT"), F.repeat(F.lit("A"), (F.col("l_suppkey") % 60 + 1).cast("int")).alias("ref"),
+        F.array(F.repeat(F.lit("C"), F.col("l_quantity").cast("int")), F.when(F.col("l_linenumber") == 3, gvcf.NON_REF).otherwise("G")).alias("alt"), F.when(F.col("l_linenumber") % 4 > 0, texts("GT")).otherwise(texts()).alias("format"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.create_map(F.lit("AF"), F.lit("0.5"))).otherwise(F.create_map(F.lit("DP"), F.lit("1"))).alias("info"), (F.col("l_suppkey") % 5).cast("string").alias("ctg"), F.when(k % 4 > 0, (k % 4).cast("int")).alias("CN"), F.array(k % 3, F.lit(9)).alias("PL"), F.col("l_quantity").cast("int").alias("GQ"),
+    )
+    contigs = v.select("ctg").distinct()
+    kept = {
+        "passed": filters.filter_pass(v), "called": filters.exclude_homref(v), "long_indel": filters.min_indel_size(v), "with_format": filters.drop_site_only(v), "known_frequency": filters.drop_no_call(v), "structural": filters.qualifying_sv(v, 50),
+        "on_contigs": filters.select_contigs(v, ["1", "2"], contigs), "not_neutral": filters.drop_nonpass_and_neutral(v), "not_sure": v.where(~filters.confident_reference("PL", "GQ")),
+    }
+    counts = [df.groupBy("l_returnflag").agg(F.count("*").alias("n")).withColumn("name", F.lit(name)) for name, df in kept.items()]
+    all_counts = reduce(DataFrame.unionByName, counts)
+    return all_counts.groupBy("l_returnflag").agg(*[F.coalesce(F.max(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).alias(name) for name in kept])
 
 
 @query(f"""WITH {_SPLIT}, hit AS (SELECT sum(least(a."end", m."end") - greatest(a."start", m."start")) AS x FROM iv a JOIN merged m ON a.ctg = m.ctg AND a."start" < m."end" AND m."start" < a."end")
@@ -449,11 +600,23 @@ def coverage_windows(spark, sf_dir):
     return intervals.coverage_by_window(moved, _lengths(moved), DAY, (1, 3))
 
 
-@query()
+@query(f"""WITH RECURSIVE iv AS ({_IV}), r AS (SELECT cid, ctg, "start" + cid % 100 AS pos, "start", "end" AS stop, CASE WHEN cid % 4 = 0 THEN 'DEL' ELSE 'DUP' END AS t, CAST(CASE WHEN cid % 4 = 0 THEN -1 - cid // 4 % 2 ELSE 1 + cid % 2 END AS BIGINT) AS cn, 500 * (1 + cid % 3) AS per, 500 * (1 + cid % 3) AS len, CASE WHEN cid % 2 = 0 THEN '0|1' ELSE '1|0' END AS gt FROM iv),
+o AS (SELECT ctg, row_number() OVER (PARTITION BY ctg ORDER BY pos, cid) AS n, {{'cid': cid, 'pos': pos, 'e': pos + 1, 's': "start", 'z': stop, 't': t, 'cn': cn, 'per': per, 'len': len, 'gt': gt}} AS b FROM r),
+q AS (SELECT ctg, n, b AS a, NULL::STRUCT(cid BIGINT, pos BIGINT, e BIGINT, s BIGINT, z BIGINT, t VARCHAR, cn BIGINT, per BIGINT, len BIGINT, gt VARCHAR) AS gone FROM o WHERE n = 1
+ UNION ALL SELECT ctg, n, CASE what WHEN 'drop' THEN NULL WHEN 'longer' THEN l WHEN 'net' THEN struct_update(CASE WHEN abs(a.cn) > abs(b.cn) THEN a ELSE b END, cn := a.cn + b.cn) WHEN 'del' THEN struct_update(l, gt := og, cn := least(-2, a.cn + b.cn))
+   WHEN 'dup' THEN CASE WHEN d IS NULL OR d = pa THEN struct_update(l, gt := og, per := sp, len := sp, cn := total) ELSE struct_update(l, gt := og, per := sp, len := CAST(round_even(pa * 1.0 / d, 0) AS BIGINT) * sp, cn := CASE WHEN total > 0 THEN d ELSE -d END, pos := l.s, e := l.s + CAST(round_even(pa * 1.0 / d, 0) AS BIGINT) * sp) END ELSE b END,
+  CASE WHEN what = 'apart' THEN a END
+ FROM (SELECT *, list_min([x FOR x IN range(1, pa + 1) IF abs(pa * 1.0 / x - round_even(pa * 1.0 / x, 0)) <= 0.1 AND pa * 1.0 / x <= room]) AS d FROM (SELECT *, CAST(abs(floor(total * 1.0 / greatest(1, CAST(og[1] AS INTEGER) + CAST(og[3] AS INTEGER)))) AS BIGINT) AS pa, CASE WHEN (l.z - l.s) * 1.0 / sp - round_even((l.z - l.s) * 1.0 / sp, 0) < 0.1 THEN round_even((l.z - l.s) * 1.0 / sp, 0) ELSE ceil((l.z - l.s) * 1.0 / sp) - 1 END AS room,
+   CASE WHEN a IS NULL THEN 'take' WHEN c <= 0 OR sa <= 0 OR sb <= 0 OR c * 1.0 / least(sa, sb) < 0.9 THEN 'apart' WHEN a.t <> b.t THEN CASE WHEN NOT alike THEN 'apart' WHEN a.cn + b.cn = 0 THEN 'drop' ELSE 'net' END WHEN a.t = 'DEL' THEN CASE WHEN l.cn = -2 OR a.gt = b.gt THEN 'longer' WHEN alike THEN 'del' ELSE 'apart' END
+    WHEN abs(greatest(a.per, b.per) * 1.0 / sp - round_even(greatest(a.per, b.per) * 1.0 / sp, 0)) > 0.1 THEN 'apart' WHEN a.gt = b.gt OR (ta = tb AND a.gt <> '1|1' AND b.gt <> '1|1') THEN 'dup' ELSE 'apart' END AS what
+   FROM (SELECT *, ta + tb AS total FROM (SELECT *, l.cn * greatest(1, CAST(round_even(l.len * 1.0 / sp, 0) AS BIGINT)) AS ta, m.cn * greatest(1, CAST(round_even(m.len * 1.0 / sp, 0) AS BIGINT)) AS tb FROM
+   (SELECT *, c * 1.0 / greatest(sa, sb) > 0.9 AS alike, CASE WHEN sa >= sb THEN a ELSE b END AS l, CASE WHEN sa >= sb THEN b ELSE a END AS m, least(a.per, b.per) AS sp, CASE WHEN a.gt[1] = '1' OR b.gt[1] = '1' THEN '1' ELSE '0' END || '|' || CASE WHEN a.gt[3] = '1' OR b.gt[3] = '1' THEN '1' ELSE '0' END AS og FROM
+   (SELECT o.ctg, o.n, q.a, o.b, least(q.a.z, o.b.z) - greatest(q.a.s, o.b.s) AS c, q.a.z - q.a.s AS sa, o.b.z - o.b.s AS sb FROM q JOIN o ON q.ctg = o.ctg AND o.n = q.n + 1)))))))
+SELECT x.cid, ctg, x.pos, x.e AS "end", x.s AS "start", x.z AS stop, x.t AS svtype, CAST(x.cn AS INTEGER) AS cndiff, CAST(x.per AS INTEGER) AS period, CAST(x.len AS INTEGER) AS svlen, x.gt FROM (SELECT ctg, gone AS x FROM q WHERE gone IS NOT NULL UNION ALL SELECT ctg, arg_max(a, n) FROM (SELECT ctg, n, a, max(n) OVER (PARTITION BY ctg) AS top FROM q) WHERE n = top AND a IS NOT NULL GROUP BY ctg)""")
 def merge_output(spark, sf_dir):
     k = F.col("cid")
     rows = _iv(spark, sf_dir).withColumnRenamed("end", "stop").select(
-        "cid", F.col("ctg").cast("string").alias("ctg"), F.col("start").alias("pos"), "start", "stop", F.when(k % 4 == 0, "DEL").otherwise("DUP").alias("svtype"),
-        F.when(k % 4 == 0, -1 - k % 2).otherwise(1 + k % 2).cast("int").alias("cndiff"), (500 * (1 + k % 3)).cast("int").alias("period"), (500 * (1 + k % 3)).cast("int").alias("svlen"), F.when(k % 2 == 0, "0|1").otherwise("1|0").alias("gt"),
+        "cid", "ctg", (F.col("start") + k % 100).alias("pos"), (F.col("start") + k % 100 + 1).alias("end"), "start", "stop", F.when(k % 4 == 0, "DEL").otherwise("DUP").alias("svtype"),
+        F.when(k % 4 == 0, -1 - F.floor(k / 4) % 2).otherwise(1 + k % 2).cast("int").alias("cndiff"), (500 * (1 + k % 3)).cast("int").alias("period"), (500 * (1 + k % 3)).cast("int").alias("svlen"), F.when(k % 2 == 0, "0|1").otherwise("1|0").alias("gt"),
     )
     return cnv.merge_output(rows)
