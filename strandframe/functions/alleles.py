@@ -24,9 +24,10 @@ def at(a: Column, i: Column) -> Column:
 
 
 def common_suffix(r: Column, a: Column, most: Column) -> Column:
-    """Length of the longest common suffix of two strings, at most ``most``."""
-    same = lambda n, k: F.when((n == k - 1) & (F.substring(r, F.length(r) - k + 1, F.lit(1)) == F.substring(a, F.length(a) - k + 1, F.lit(1))), k).otherwise(n)
-    return F.aggregate(F.transform(upto(most), lambda i: i + 1), F.lit(0), same)
+    """Length of the longest common suffix of two strings, at most ``most``; found by halving steps."""
+    steps = F.when(most > 0, F.transform(F.sequence(F.floor(F.log2(most.cast("double")) + 1e-9).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.call_function("shiftleft", F.lit(1), e))).otherwise(F.array().cast("array<int>"))
+    longer = lambda n, s: F.when((n + s <= most) & (F.right(r, n + s) == F.right(a, n + s)), n + s).otherwise(n)
+    return F.aggregate(steps, F.lit(0), longer)
 
 
 def trim_pair(ref: Column | str, alt: Column | str) -> Column:
@@ -186,10 +187,10 @@ def join_pl(d1: Column | str, d2: Column | str, fill: Column | str | None = None
     GQ added and ten times GQ, and what stays unobserved has that value.
     """
     d1, d2 = _col(d1).cast("array<long>"), _col(d2).cast("array<long>")
+    other = None if fill is None else _col(fill).cast("array<long>")
     pair = lambda x, y: F.when((x >= NO_PL) | (y >= NO_PL), F.lit(NO_PL).cast("long")).otherwise(x + y)
-    raw = F.transform(genotypes(F.size(d1)), lambda g: F.least(pair(F.get(d1, g["i"]), F.get(d2, g["j"])), pair(F.get(d1, g["j"]), F.get(d2, g["i"]))))
-    if fill is not None:
-        raw = F.when(_col(fill).isNull(), raw).otherwise(F.zip_with(raw, _col(fill).cast("array<long>"), lambda e, f: F.when(e < NO_PL, e).otherwise(F.coalesce(f, e))))
+    either = lambda i, j: F.least(pair(F.get(d1, i), F.get(d2, j)), pair(F.get(d1, j), F.get(d2, i)))
+    filled = lambda e, f: F.when(e < NO_PL, e).otherwise(F.coalesce(f, e))
 
     def finished(raw):
         seen = F.array_sort(F.filter(raw, lambda x: x < NO_PL))
@@ -198,7 +199,28 @@ def join_pl(d1: Column | str, d2: Column | str, fill: Column | str | None = None
         cap = F.greatest(F.array_max(seen) - low + gq, 10 * gq)
         return F.struct(F.transform(raw, lambda x: F.least(x - low, cap).cast("int")).alias("pl"), gq.cast("int").alias("gq"))
 
-    return F.get(F.transform(F.array(raw), finished), F.lit(0))
+    def plain(n):
+        """The same for n alleles without functions over arrays, which code generation leaves out."""
+        values = [either(F.lit(i), F.lit(j)) for j in range(n) for i in range(j + 1)]
+        if other is not None:
+            values = [filled(e, F.get(other, F.lit(k))) for k, e in enumerate(values)]
+        ranked = F.sort_array(F.array(*values))
+        low = F.get(ranked, F.lit(0))
+        second = F.get(ranked, F.lit(1))
+        gq = F.when(second < NO_PL, second - low)
+        top = F.greatest(*[F.when(v < NO_PL, v) for v in values])
+        cap = F.greatest(top - low + gq, 10 * gq)
+        return F.struct(F.array(*[F.least(v - low, cap).cast("int") for v in values]).alias("pl"), gq.cast("int").alias("gq"))
+
+    raw = F.transform(genotypes(F.size(d1)), lambda g: either(g["i"], g["j"]))
+    if other is not None:
+        raw = F.when(other.isNull(), raw).otherwise(F.zip_with(raw, other, filled))
+    general = F.get(F.transform(F.array(raw), finished), F.lit(0))
+    small = (F.size(d1) == 2) & (F.size(d2) == 2)
+    three = (F.size(d1) == 3) & (F.size(d2) == 3)
+    if other is not None:
+        small, three = small & (other.isNull() | (F.size(other) == 3)), three & (other.isNull() | (F.size(other) == 6))
+    return F.when(small, plain(2)).when(three, plain(3)).otherwise(general)
 
 
 def join_ad(a1: Column | str, a2: Column | str, total0: Column | str | None = None) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,19 +55,66 @@ def canonical(kmer: Column) -> Column:
     return F.least(kmer, F.reverse(F.translate(kmer, "ACGT", "TGCA")))
 
 
+#: Bases whose k-mers a task packs at a time.
+PACK_BASES = 1 << 20
+_CODES = np.full(256, 255, np.uint8)
+_CODES[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
+
+
+def _packed(text: np.ndarray, k: int) -> np.ndarray:
+    """Canonical k-mers of A, C, G and T in the bytes of a text, two bits a base; so packed, number order is text order."""
+    code = _CODES[text]
+    n = len(code) - k + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    bad = np.cumsum(np.r_[0, code == 255])
+    whole = bad[k:] == bad[:n]
+    there, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for j in range(k):
+        own = code[j : j + n].astype(np.int64)
+        there |= own << (2 * (k - 1 - j))
+        back |= (3 - own) << (2 * j)
+    return np.minimum(there, back)[whole]
+
+
 def kmer_count(reads: DataFrame, k: int = 29, least: int = 1) -> DataFrame:
-    """``(kmer, n)``: canonical k-mers of A, C, G and T in ``seq``, with at least ``least`` occurrences.
+    """``(kmer, n)``: canonical k-mers (k of 31 at most) of A, C, G and T in ``seq``, with at least ``least`` occurrences.
 
-    Sequences are cut into runs of these letters first, and k-mers of a run and of its
-    reverse complement are taken as bytes, where a place is found without a scan.
+    K-mers are packed into numbers and counted within a batch, so what is shuffled has 16
+    bytes for each different one of a batch.
     """
-    runs = reads.select(F.explode(F.split("seq", "[^ACGT]+")).alias("run")).where(F.length("run") >= k)
-    runs = runs.select(F.col("run").cast("binary").alias("run"), F.reverse(F.translate("run", "ACGT", "TGCA")).cast("binary").alias("back"))
-    places = runs.select("run", "back", F.explode(F.sequence(F.lit(1), F.octet_length("run") - k + 1)).alias("i"))
-    there = F.substring(F.col("run"), F.col("i"), F.lit(k))
-    back = F.substring(F.col("back"), F.octet_length("run") - k + 2 - F.col("i"), F.lit(k))
-    counts = places.select(F.least(there, back).cast("string").alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") >= least)
+    if not 0 < k <= 31:
+        raise ValueError("k must lie between 1 and 31")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
+            kmer, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(kmer), pa.array(n.astype(np.int64))], ["code", "n"])
+
+        for batch in batches:
+            held, bases = [], 0
+            for x in batch.column("seq"):
+                text = np.frombuffer((x.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+                for at in range(0, max(len(text), 1), PACK_BASES):
+                    held.append(_packed(text[at : at + PACK_BASES + k - 1], k))
+                    bases += len(held[-1])
+                    if bases >= PACK_BASES:
+                        yield rows(held)
+                        held, bases = [], 0
+            if bases:
+                yield rows(held)
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = np.frombuffer(b"ACGT", np.uint8)
+        for batch in batches:
+            code = batch.column("code").to_numpy()
+            text = letters[(code[:, None] >> (2 * np.arange(k - 1, -1, -1))) & 3]
+            offsets = pa.py_buffer(np.arange(0, k * (len(code) + 1), k, dtype=np.int32).tobytes())
+            kmer = pa.StringArray.from_buffers(len(code), offsets, pa.py_buffer(text.tobytes()))
+            yield pa.RecordBatch.from_arrays([kmer, batch.column("n")], ["kmer", "n"])
+
+    counts = reads.select("seq").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") >= least).mapInArrow(spelled, "kmer string, n long")
 
 
 def _cycles(reads: DataFrame, column: str) -> DataFrame:
@@ -181,3 +232,15 @@ def consensus(reads: DataFrame, keys: tuple[str, ...] = ("ctg", "pos5", "strand"
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
     return marked.agg(F.count("*").alias("reads"), F.count_if("duplicate").alias("duplicates"))
+
+
+def collate(reads: DataFrame, name: str = "read_id", number: str = "read_no") -> DataFrame:
+    """``(name, first, second)``: primary reads by name, the two of a pair as structs of all their columns; null where one is missing.
+
+    Secondary and supplementary records (flag bits 0x900) are left out; of several with
+    one name and number the one with the smallest flag, then the smallest content, is taken.
+    """
+    primary = reads.where(F.col("flag").bitwiseAND(0x900) == 0)
+    row = F.struct(*reads.columns)
+    one = lambda k: F.min(F.when(F.col(number) == k, F.struct(F.col("flag").alias("f"), row.alias("r"))))["r"]
+    return primary.groupBy(name).agg(one(1).alias("first"), one(2).alias("second"))

@@ -87,15 +87,25 @@ def confident_reference(pl: Column | str, gq: Column | str, least: int = 20) ->
     return F.coalesce((F.get(pl, F.lit(0)) == 0) & (gq >= least), F.lit(False))
 
 
-def relabel_sample(reads: DataFrame, groups: DataFrame, sample: str, long_reads: bool = False) -> DataFrame:
-    """``reads`` and the tags of their read group ``(rg, tags map)``, with SM set and, for long reads, LR=1."""
-    new = F.map_from_arrays(F.array(*map(F.lit, ["SM"] + ["LR"] * long_reads)), F.array(*map(F.lit, [sample] + ["1"] * long_reads)))
-    kept = groups.select("rg", F.map_concat(F.map_filter("tags", lambda k, _: ~k.isin("SM", "LR") if long_reads else k != "SM"), new).alias("tags"))
-    return reads.join(kept, "rg", "left")
+def relabel_sample(reads: DataFrame, groups: DataFrame, sample: str, long_reads: bool = False, suffix: str = "") -> DataFrame:
+    """``reads`` and the tags of their read group ``(rg, tags map)``, with SM set and, for long reads, LR=1.
+
+    ``suffix`` is added to the group's id, in ``rg`` and in its tag, so that groups of
+    several aligners stay apart.
+    """
+    new = {"SM": F.lit(sample)} | ({"LR": F.lit("1")} if long_reads else {}) | ({"ID": F.concat("rg", F.lit(suffix))} if suffix else {})
+    kept = groups.select("rg", F.map_concat(F.map_filter("tags", lambda k, _: ~k.isin(*new)), F.map_from_arrays(F.array(*map(F.lit, new)), F.array(*new.values()))).alias("tags"))
+    return reads.join(kept, "rg", "left").withColumn("rg", F.concat("rg", F.lit(suffix)))
 
 
 def strip_contig_prefix(v: DataFrame, prefix: str) -> DataFrame:
-    return v.withColumn("ctg", F.when(F.col("ctg").startswith(prefix), F.substring("ctg", len(prefix) + 1, 1 << 30)).otherwise(F.col("ctg")))
+    """``ctg`` without the prefix; of sequence lines ``tags map`` too: SN without it, and no M5, which belongs to the named sequence."""
+    cut = lambda c: F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    named = v.withColumn("ctg", cut(F.col("ctg")))
+    if "tags" not in v.columns:
+        return named
+    renamed = F.transform_values(F.map_filter("tags", lambda k, _: k != "M5"), lambda k, x: F.when(k == "SN", cut(x)).otherwise(x))
+    return named.withColumn("tags", F.when(v["ctg"].startswith(prefix), renamed).otherwise(F.col("tags")))
 
 
 def select_phase(reads: DataFrame, haplotype: int | None = None) -> DataFrame:
@@ -104,7 +114,11 @@ def select_phase(reads: DataFrame, haplotype: int | None = None) -> DataFrame:
 
 
 def trim_unused_alts(v: DataFrame) -> DataFrame:
-    """Keeps the ALTs that the genotype names and renumbers it."""
+    """Keeps the ALTs that the genotype names and renumbers it; rows that name none stay as they are."""
     used = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), A.gt_alleles("GT"))))
-    trimmed = A.subset_alleles("ref", "alt", used)
-    return v.withColumns({"__t": F.when(F.size(used) > 1, trimmed), "GT": F.when(F.size(used) > 1, A.remap_gt("GT", used)).otherwise(F.col("GT"))}).withColumns({"ref": F.coalesce("__t.ref", "ref"), "alt": F.coalesce("__t.alts", "alt")}).drop("__t")
+    # a generator stands between the alleles kept and what is made of them, so each is worked out once
+    rows = v.select("*", F.explode(F.array(used)).alias("__used"))
+    rows = rows.select("*", F.explode(F.array(A.subset_alleles("ref", "alt", F.col("__used")))).alias("__t"))
+    some = F.size("__used") > 1
+    new = {"ref": F.when(some, F.col("__t.ref")).otherwise(F.col("ref")), "alt": F.when(some, F.col("__t.alts")).otherwise(F.col("alt")), "GT": F.when(some, A.remap_gt("GT", F.col("__used"))).otherwise(F.col("GT"))}
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in v.columns])

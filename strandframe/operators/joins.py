@@ -81,9 +81,15 @@ def check_contigs(expected: DataFrame, found: DataFrame) -> DataFrame:
     return expected.select("ctg", "length").join(found.select("ctg", "length"), ["ctg", "length"], "left_anti")
 
 
-def validate_one_sample(groups: DataFrame) -> DataFrame:
-    """One row ``(samples, missing, valid)`` of read groups ``(rg, tags map)``: all share one SM and none lacks it."""
-    return groups.select(F.col("tags")["SM"].alias("sm")).agg(F.countDistinct("sm").alias("samples"), F.count_if(F.col("sm").isNull()).alias("missing")).withColumn("valid", (F.col("samples") == 1) & (F.col("missing") == 0))
+def validate_one_sample(groups: DataFrame, sample: str | None = None, strict: bool = False) -> DataFrame:
+    """One row ``(samples, missing, valid)`` of read groups ``(rg, tags map)``: none lacks SM, and all share one unless ``sample`` overrides them.
+
+    ``strict``: reading the row of groups that are not valid is an error.
+    """
+    found = groups.select(F.col("tags")["SM"].alias("sm")).agg(F.countDistinct("sm").alias("samples"), F.count_if(F.col("sm").isNull()).alias("missing"))
+    valid = (F.col("missing") == 0) & ((F.col("samples") == 1) | F.lit(sample is not None))
+    checked = F.when(valid, F.lit(True)).otherwise(F.raise_error(F.lit("read groups without a sample, or of several")).cast("boolean")) if strict else valid
+    return found.withColumn("valid", checked)
 
 
 def _lcs(a: str, b: str) -> int:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.alleles import parse_info, upto
 
@@ -102,17 +105,30 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
-    """``(ctg, chunk, seq)``: pieces of ``chunk`` bases, the last one shorter.
+    """``(ctg, chunk, seq)``: pieces of ``chunk`` bases, the last one shorter; a record without bases gives none.
 
-    A record (from one ``>`` to the next) is one row of the reader, so a contig has to fit
-    in memory once; write the chunks as Parquet to work on them.
+    A line finds its place by the bases before it: running sums within each part of the
+    file, and over the parts' totals. No task holds more than a part or a chunk.
     """
-    records = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
-    head = F.substring_index("value", "\n", 1)
-    seq = F.regexp_replace(F.substring("value", F.length(head) + 2, F.length("value")), r"\s", "")
-    rows = records.select(F.regexp_extract(head, r"^(\S+)", 1).alias("ctg"), seq.alias("all"))
-    starts = F.explode(upto(F.ceil(F.length("all") / chunk)))
-    return rows.select("ctg", "all", starts.alias("chunk")).select("ctg", F.col("chunk").cast("long").alias("chunk"), F.substring("all", F.col("chunk") * chunk + 1, F.lit(chunk)).alias("seq"))
+    lines = spark.read.text(path).withColumn("__id", F.monotonically_increasing_id())
+    head = F.col("value").startswith(">")
+    bases = F.regexp_replace("value", r"\s", "")
+    own = Window.partitionBy("__part").orderBy("__id")
+    rows = lines.select("__id", F.shiftright("__id", 33).alias("__part"), F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"), F.when(~head, bases).otherwise("").alias("seq"))
+    rows = rows.withColumn("__seg", F.count("name").over(own))
+    rows = rows.withColumn("__off", F.sum(F.length("seq")).over(Window.partitionBy("__part", "__seg").orderBy("__id")) - F.length("seq"))
+    # few rows: one for each part and record
+    segments = rows.groupBy("__part", "__seg").agg(F.sum(F.length("seq")).alias("total"), F.max("name").alias("name"))
+    order = Window.orderBy("__part", "__seg")
+    segments = segments.withColumns({"ctg": F.last("name", ignorenulls=True).over(order), "__record": F.count("name").over(order)})
+    before = F.sum("total").over(Window.partitionBy("__record").orderBy("__part", "__seg")) - F.col("total")
+    placed = rows.where("seq <> ''").join(segments.select("__part", "__seg", "ctg", before.alias("__base")), ["__part", "__seg"]).withColumn("__at", F.col("__base") + F.col("__off"))
+    last = F.floor((F.col("__at") + F.length("seq") - 1) / chunk).cast("long")
+    cut = placed.where("ctg is not null").select("ctg", "seq", "__at", F.explode(F.sequence(F.floor(F.col("__at") / chunk).cast("long"), last)).alias("chunk"))
+    first = F.greatest(F.col("chunk") * chunk - F.col("__at"), F.lit(0))
+    piece = F.substring(F.col("seq"), (first + 1).cast("int"), (F.least((F.col("chunk") + 1) * chunk - F.col("__at"), F.length("seq")) - first).cast("int"))
+    parts = cut.select("ctg", "chunk", F.struct((F.col("__at") + first).alias("at"), piece.alias("s")).alias("p"))
+    return parts.groupBy("ctg", "chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["s"]), "").alias("seq"))
 
 
 def ref_slice(rows: DataFrame, chunks: DataFrame, key: str, chunk: int = CHUNK, name: str = "bases") -> DataFrame:
@@ -143,12 +159,28 @@ def read_ploidy_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``(read_id, seq, qual)`` of gzipped files, which one task each reads in order: four lines make a read."""
-    lines = _lines(spark, path).withColumns({"__part": F.spark_partition_id(), "__n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    """``(read_id, seq, qual)``: four lines make a read. A task reads a whole file in order, gzipped or not.
+
+    Plain files would be split between lines of a read, so they are read as one record
+    each, which has to fit into a task; gzip large ones, or give them as Parquet.
+    """
+    names = spark.read.format("binaryFile").load(path).select("path")
+    plain = [r["path"] for r in names.where(~F.col("path").endswith(".gz")).collect()]
+    packed = [r["path"] for r in names.where(F.col("path").endswith(".gz")).collect()]
+    parts = []
+    if packed:
+        lines = spark.read.text(packed).withColumns({"__part": F.spark_partition_id().cast("string"), "__n": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+        parts.append(lines.select("value", "__part", "__n"))
+    if plain:
+        whole = spark.read.text(plain, wholetext=True).select(F.input_file_name().alias("__part"), F.posexplode(F.split("value", "\r?\n")).alias("__n", "value"))
+        parts.append(whole.select("value", "__part", F.col("__n").cast("long").alias("__n")))
+    if not parts:
+        return spark.createDataFrame([], "read_id string, seq string, qual string")
+    lines = reduce(DataFrame.unionByName, parts)
     kind = F.col("__n") % 4
     of = lambda k: F.max(F.when(kind == k, F.col("value")))
     reads = lines.groupBy("__part", F.floor(F.col("__n") / 4).alias("__read")).agg(of(0).alias("head"), of(1).alias("seq"), of(3).alias("qual"))
-    return reads.select(F.regexp_extract("head", r"^@(\S+)", 1).alias("read_id"), "seq", "qual")
+    return reads.where("head <> ''").select(F.regexp_extract("head", r"^@(\S+)", 1).alias("read_id"), "seq", "qual")
 
 
 def genome_order(rows: DataFrame, contigs: DataFrame, *columns: str) -> DataFrame:
