@@ -12,7 +12,7 @@ from ..functions import alleles as A
 from ..operators import aggregates, filters, intervals, joins, sequence
 from ..sources import text
 from . import gvcf, patch
-from .queries import _CALLS, _DNA, _FIRST, _IV, _MERGED, DAY, _calls, _dna, _iv, _plain, _table, query
+from .queries import _CALLS, _DNA, _FIRST, _IV, _JOINED, _MERGED, DAY, _calls, _dna, _iv, _plain, _table, query
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -335,3 +335,45 @@ def ploidy_json(spark, sf_dir):
     text.write_ploidy_json(found, spark.range(1).select(F.lit("female").alias("sex")), path)
     back = text.read_ploidy_json(spark, path)
     return back.select("sex", F.explode("contigs").alias("ctg", "v")).select("ctg", "v.normalized_coverage", "v.ploidy", "sex")
+
+
+@query(f"""WITH {_CALLS}, {_JOINED.format("d.hgt IS NOT NULL", _FIRST.format("l_returnflag = 'A'"), _FIRST.format("l_returnflag = 'R'"))},
+y AS (SELECT *, list_sort([{{'p': x.hpl[i + 1], 'i': i}} FOR i IN range(1, x.n + 1)]) AS s FROM x),
+z AS (SELECT *, CASE WHEN x.n > 2 THEN [0, s[1].i, s[2].i] ELSE range(0, x.n + 1) END AS keep FROM y)
+SELECT ctg, pos, pos + 1 AS "end", array_to_string([x.alt[i] FOR i IN keep IF i > 0], ',') AS alt, CASE WHEN x.n > 2 AND x.hgt IS NOT NULL THEN CAST(greatest(coalesce(list_position(keep, CAST(x.hgt AS BIGINT)), 0) - 1, 0) AS VARCHAR) ELSE x.hgt END AS "GT", CAST(x.gq AS VARCHAR) AS "GQ",
+ array_to_string([x.hpl[i + 1] FOR i IN keep], ',') AS "PL", array_to_string([x.rpa[i + 1] FOR i IN keep], ',') AS "RPA", use OR x.delta OR (x.str AND x.rpa[1] >= 4) AS "DELTA", x.str AS repeat, CAST(x.fo AS VARCHAR) AS own, CAST(x.k AS VARCHAR) AS further FROM z WHERE NOT (x.hpl[1] = 0 AND x.gq >= 20)""")
+def patch_vcf_text(spark, sf_dir):
+    """Two call sets as VCF text, read, patched, written and read again; a field of INFO and one of FORMAT that patching does not know stay."""
+    rows, haploid, _ = _calls(spark, sf_dir)
+    contigs = rows.select("ctg").distinct().withColumn("ctg_idx", F.col("ctg").cast("long"))
+    header = spark.range(1).select(F.lit("##fileformat=VCFv4.2").alias("value"))
+    part = F.floor(F.floor(F.col("file_order") / 100_000_000) / 8)
+    more = haploid(rows).withColumns({"info": F.create_map(F.lit("OWN"), F.col("file_order").cast("string")), "sample": F.create_map(F.lit("ZZ"), part.cast("string")), "first": F.col("file_order")})
+
+    def through_text(calls: DataFrame, name: str) -> DataFrame:
+        path = _scratch(spark, name)
+        text.write_vcf(patch.to_vcf(calls), header, contigs, path)
+        return text.read_vcf(spark, f"{path}/records")[0]
+
+    def stored(flag: str) -> DataFrame:
+        read = patch.from_vcf(through_text(patch.calls(more.where(F.col("l_returnflag") == flag)), f"calls-{flag}"))
+        return read.withColumn("file_order", F.col("info")["OWN"].cast("long"))  # the order in which the table has them
+
+    v = through_text(patch.patch_haploid(stored("A"), stored("R")), "patched")
+    s = F.get("samples", F.lit(0))
+    return v.select("ctg", "pos", "end", F.array_join("alt", ",").alias("alt"), "GT", s["GQ"].alias("GQ"), s["PL"].alias("PL"), F.col("info")["RPA"].alias("RPA"), F.map_contains_key("info", "DELTA").alias("DELTA"), F.map_contains_key("info", "STR").alias("repeat"), F.col("info")["OWN"].alias("own"), s["ZZ"].alias("further"))
+
+
+@query("""WITH w AS (SELECT l_orderkey AS pos, l_linenumber, l_partkey AS k, CAST(l_suppkey % 3 AS VARCHAR) AS ctg, CAST(l_quantity AS BIGINT) AS q FROM lineitem), p AS (SELECT ctg, pos, sum(q) AS ac, sum(q) FILTER (k % 2 = 0) AS even FROM w WHERE k % 3 = 0 GROUP BY ctg, pos),
+v AS (SELECT *, ['G', 'T', '<NON_REF>'][1:k % 3 + 1] AS alt, CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN ['0.5', '.', '.'] WHEN 2 THEN ['.', '0.5', '.'] ELSE ['0.1', '0.2', '.'] END AS af FROM w WHERE k % 3 > 0 AND l_linenumber <> 5),
+x AS (SELECT *, list_contains(alt, '<NON_REF>') AS nr FROM v), y AS (SELECT *, [i FOR i IN range(1, len(alt) + 1) IF nr OR af[i] <> '.'] AS keep FROM x WHERE nr OR af IS NOT NULL)
+SELECT y.pos, l_linenumber, k, y.ctg, array_to_string([alt[i] FOR i IN keep], ',') AS alt, array_to_string([coalesce(CAST(CASE i WHEN 1 THEN p.ac WHEN 2 THEN p.even END AS VARCHAR), '-') FOR i IN keep], ',') AS pop FROM y LEFT JOIN p ON y.ctg = p.ctg AND y.pos = p.pos""")
+def transfer(spark, sf_dir):
+    """Population counts on calls with a frequency of their own; ALTs without one go."""
+    k = F.col("l_partkey")
+    items = _table(spark, sf_dir, "lineitem").withColumns({"ctg": (F.col("l_suppkey") % 3).cast("string"), "ref": F.lit("A"), "q": F.col("l_quantity").cast("long")})
+    pop = items.where(k % 3 == 0).select("ctg", F.col("l_orderkey").alias("pos"), "ref", F.when(k % 2 == 0, _list("G", "T")).otherwise(_list("G")).alias("alt"), F.array("q", "q").alias("AC"))
+    af = F.when(k % 4 == 1, "0.5,.,.").when(k % 4 == 2, ".,0.5,.").when(k % 4 == 3, "0.1,0.2,.")
+    raw = items.where(k % 3 > 0).select(F.monotonically_increasing_id().alias("vid"), "ctg", F.col("l_orderkey").alias("pos"), "l_linenumber", k.alias("k"), "ref", F.slice(_list("G", "T", gvcf.NON_REF), F.lit(1), (k % 3 + 1).cast("int")).alias("alt"), F.when(F.col("l_linenumber") != 5, _list("GT")).otherwise(F.array().cast("array<string>")).alias("format"), F.when(af.isNotNull(), F.create_map(F.lit("AF"), af)).otherwise(F.create_map(F.lit("DP"), F.lit("1"))).alias("info"))
+    found = gvcf.transfer(raw, pop, "vid", {"AC": "sum"})
+    return found.select("pos", "l_linenumber", "k", "ctg", F.array_join("alt", ",").alias("alt"), F.array_join(F.transform("pop_AC", lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",").alias("pop"))

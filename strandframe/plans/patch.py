@@ -1,8 +1,10 @@
 """Patching call sets with second-pass calls, and merging haplotypes into diploid calls.
 
 Call tables have one row for each position and input: ``ctg, pos, end, id, ref, alt,
-qual, filter, GT, GQ, DP, PS, PL, AD, info_dp, STR, RU, RPA, ML_PROB, DELTA, file_order``.
-``calls`` adds what a table lacks as nulls.
+qual, filter, GT, GQ, DP, PS, PL, AD, info_dp, STR, RU, RPA, ML_PROB, DELTA, info, sample,
+file_order``. ``info`` and ``sample`` hold all further fields of a record as texts, which go
+where the record goes. ``calls`` adds what a table lacks as nulls; ``from_vcf`` and
+``to_vcf`` lead from a file's records to such a table and back.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from ..functions import alleles as A
 from ..operators import intervals, joins
 from ..operators.filters import confident_reference
 
-_TYPES = {"ctg": "string", "pos": "long", "end": "long", "id": "string", "ref": "string", "alt": "array<string>", "qual": "double", "filter": "array<string>", "GT": "string", "GQ": "int", "DP": "int", "PS": "long", "PL": "array<int>", "AD": "array<int>", "info_dp": "int", "STR": "boolean", "RU": "string", "RPA": "array<int>", "ML_PROB": "double", "DELTA": "boolean", "file_order": "long"}
+_TYPES = {"ctg": "string", "pos": "long", "end": "long", "id": "string", "ref": "string", "alt": "array<string>", "qual": "double", "filter": "array<string>", "GT": "string", "GQ": "int", "DP": "int", "PS": "long", "PL": "array<int>", "AD": "array<int>", "info_dp": "int", "STR": "boolean", "RU": "string", "RPA": "array<int>", "ML_PROB": "double", "DELTA": "boolean", "info": "map<string,string>", "sample": "map<string,string>", "file_order": "long"}
 FIELDS = list(_TYPES)
 _OUT = [c for c in FIELDS if c != "file_order"]
 
@@ -25,6 +27,34 @@ def calls(v: DataFrame) -> DataFrame:
     return v.select(*[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in _TYPES.items()])
 
 
+def from_vcf(v: DataFrame) -> DataFrame:
+    """A call table of the records of ``sources.text.read_vcf``; values that are missing or no numbers are null."""
+    one, info = F.get("samples", F.lit(0)), F.col("info")
+    number = lambda x, kind: F.when(x != ".", x).try_cast(kind)
+    array = lambda x: F.when(x != ".", F.split(x, ",")).cast("array<int>")
+    new = {
+        "GT": one["GT"], "GQ": number(one["GQ"], "int"), "DP": number(one["DP"], "int"), "PS": number(one["PS"], "long"), "PL": array(one["PL"]), "AD": array(one["AD"]), "info_dp": number(info["DP"], "int"), "STR": F.map_contains_key(info, "STR"), "RU": info["RU"], "RPA": array(info["RPA"]), "ML_PROB": number(info["ML_PROB"], "double"), "DELTA": F.map_contains_key(info, "DELTA"),
+        "info": F.map_filter(info, lambda k, _: ~k.isin("DP", "STR", "RU", "RPA", "ML_PROB", "DELTA")), "sample": F.map_filter(one, lambda k, _: ~k.isin("GT", "GQ", "DP", "PS", "PL", "AD")),
+    }
+    return v.select(*[new.get(c, F.col(c)).cast(t).alias(c) for c, t in _TYPES.items()])
+
+
+def to_vcf(v: DataFrame) -> DataFrame:
+    """Records for ``sources.text.write_vcf`` of a table of calls; what is null is left out, and GT comes first."""
+    text = lambda c: F.array_join(c, ",") if c in ("PL", "AD", "RPA", "AC", "AF") else F.col(c).cast("string")
+    entry = lambda key, value, there: F.when(there, F.struct(F.lit(key).alias("key"), value.alias("value")))
+    fields = [(c, c) for c in ("AC", "AF", "AN") if c in v.columns] + [("DP", "info_dp"), ("RU", "RU"), ("RPA", "RPA"), ("ML_PROB", "ML_PROB")]
+    known = [entry(key, text(c), F.col(c).isNotNull()) for key, c in fields] + [entry(c, F.lit(None).cast("string"), F.coalesce(F.col(c), F.lit(False))) for c in ("STR", "DELTA")]
+    taken = [key for key, _ in fields] + ["STR", "DELTA"]
+    of = lambda entries: F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+    empty = F.create_map().cast("map<string,string>")
+    info = F.map_concat(of(known), F.map_filter(F.coalesce("info", empty), lambda k, _: ~k.isin(*taken)))
+    own = ["GT", "GQ", "DP", "PS", "PL", "AD"]
+    sample = F.map_concat(of([entry(c, text(c), F.col(c).isNotNull()) for c in own]), F.map_filter(F.coalesce("sample", empty), lambda k, _: ~k.isin(*own)))
+    rows = v.select("ctg", "pos", "end", F.when(F.col("id") != ".", F.col("id")).alias("id"), "ref", "alt", "qual", "filter", info.alias("info"), sample.alias("s"))
+    return rows.select("ctg", "pos", "end", "id", "ref", "alt", "qual", "filter", "info", F.map_keys("s").alias("format"), F.array("s").alias("samples"))
+
+
 def _struct(source: Column, **changed: Column) -> Column:
     """A call struct with some fields changed."""
     return F.struct(*[changed.get(c, source[c]).cast(_TYPES[c]).alias(c) for c in _OUT])
@@ -99,6 +129,11 @@ def _level(frame: DataFrame, row: Column, keep=None) -> DataFrame:
     return frame.select(F.inline(rows if keep is None else F.filter(rows, lambda r: F.coalesce(keep(r), F.lit(False)))))
 
 
+def _settled(frame: DataFrame) -> DataFrame:
+    """The same rows, with a generator between what has been derived so far and what is derived from it."""
+    return _level(frame, F.struct(*frame.columns))
+
+
 def _there(x: Column) -> Column:
     return x["ref"].isNotNull()
 
@@ -166,15 +201,16 @@ def _with_joined(both: DataFrame) -> DataFrame:
     v0, v1, v2 = F.col("v0"), F.col("v1"), F.col("v2")
     rows = both.withColumns({"i1": _hap(v1), "i2": _hap(v2)})
     allele = lambda v, i: F.when(F.col(i) > 0, A.trim_pair(v["ref"], F.get(v["alt"], F.col(i) - 1)))
-    rows = rows.withColumns({"t1": allele(v1, "i1"), "t2": allele(v2, "i2")})
+    rows = _settled(_settled(rows).withColumns({"t1": allele(v1, "i1"), "t2": allele(v2, "i2")}))
     t1, t2 = F.col("t1"), F.col("t2")
     h1, h2 = F.col("i1") > 0, F.col("i2") > 0
     rows = rows.withColumn("same", F.coalesce(h1 & h2 & (t1 == t2), F.lit(False)))
     pair = A.combine_alleles(t1["ref"], t1["alt"], t2["ref"], t2["alt"])
     lone = lambda t: F.struct(t["ref"].alias("ref"), F.array(t["alt"]).alias("alts"))
     rows = rows.withColumn("a", F.when(F.col("same") | ~h2, lone(t1)).when(~h1, lone(t2)).otherwise(pair))
-    a = F.col("a")
+    a, rows = F.col("a"), _settled(rows)
     rows = rows.withColumns({f"m{k}": F.when(v["ref"].isNotNull(), A.allele_map(a["ref"], a["alts"], v["ref"], v["alt"])) for k, v in enumerate((v0, v1, v2))})
+    rows = _settled(rows)
     taken = lambda field, m, none: F.when(field.isNotNull(), F.transform(F.col(m), lambda i: F.coalesce(A.at(field, i), F.lit(none))))
     none = F.transform(A.upto(F.size(a["alts"]) + 1), lambda i: F.lit(-1))
     counts = lambda v, h, m: F.when(h & v["RPA"].isNotNull(), F.transform(taken(v["RPA"], m, -1), lambda x: F.when(x == 0, -1).otherwise(x))).otherwise(none)
@@ -184,7 +220,7 @@ def _with_joined(both: DataFrame) -> DataFrame:
     whole = F.transform(F.transform(A.genotypes(F.size(a["alts"]) + 1), of_pair), lambda g: F.when(g["i"] < 0, A.NO_PL).otherwise(F.get(v0["PL"], A.genotype_index(g["i"], g["j"]))))
     fill = F.when(v0["PL"].isNotNull(), whole)
     rows = rows.withColumns({"l1": likely(v1, "m1"), "l2": likely(v2, "m2"), "l0": fill, "d0": taken(v0["AD"], "m0", 0), "d1": taken(v1["AD"], "m1", 0), "d2": taken(v2["AD"], "m2", 0), "r1": counts(v1, h1, "m1"), "r2": counts(v2, h2, "m2")})
-    rows = rows.withColumn("pl", A.join_pl("l1", "l2", "l0"))
+    rows = _settled(_settled(rows).withColumn("pl", A.join_pl("l1", "l2", "l0")))
     phased = F.col("ps").isNotNull()
     gt = A.join_gt(h1, h2, F.col("same"), phased)
     total0 = F.when(F.col("d0").isNotNull(), F.aggregate("d0", F.lit(0), lambda s, x: s + x))
@@ -197,10 +233,10 @@ def _with_joined(both: DataFrame) -> DataFrame:
         "ctg": F.col("ctg"), "pos": F.col("pos"), "end": F.col("pos") + F.length(a["ref"]), "id": F.coalesce(*ids, F.lit(".")), "ref": a["ref"], "alt": a["alts"],
         "qual": F.when(h1 & h2, v1["qual"] + v2["qual"]).when(h1, v1["qual"]).otherwise(v2["qual"]), "filter": F.array().cast("array<string>"), "GT": gt["gt"],
         "GQ": F.when(observed, F.col("pl.gq")), "DP": A.join_dp(v0["DP"], v1["DP"], v2["DP"]), "PS": F.col("ps"), "PL": F.when(observed, F.col("pl.pl")), "AD": depth,
-        "info_dp": A.join_dp(v0["info_dp"], v1["info_dp"], v2["info_dp"]), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": F.lit(None),
+        "info_dp": A.join_dp(v0["info_dp"], v1["info_dp"], v2["info_dp"]), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": F.lit(None), "info": first("info"), "sample": first("sample"),
     }
     call = F.struct(*[new[c].cast(_TYPES[c]).alias(c) for c in _OUT], gt["ac"].alias("AC"), gt["af"].alias("AF"), gt["an"].alias("AN"))
-    return rows.select(*both.columns, F.when(h1 | h2, call).alias("joined"))
+    return rows.select(*both.columns, F.explode(F.array(F.when(h1 | h2, call))).alias("joined"))
 
 
 def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased: DataFrame, bed: DataFrame) -> DataFrame:
