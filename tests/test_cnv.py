@@ -1,5 +1,6 @@
 import random
 
+from strandframe.operators import joins
 from strandframe.plans import cnv
 
 SCHEMA = "cid long, ctg string, pos long, end long, start long, stop long, svtype string, cndiff int, period int, svlen int, gt string"
@@ -55,3 +56,62 @@ def test_first_period(spark):
     rows = [(1, unit * 5), (2, other), (3, "ACGT"), (4, other[:450])]
     got = {r.id: r.period for r in cnv.first_period(spark.createDataFrame(rows, "id long, seq string")).collect()}
     assert got == {1: 300, 2: 1000, 4: 450}
+
+
+def ratio(a, b):
+    return 2 * joins._lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
+
+
+def test_periods_are_refined(spark):
+    rng = random.Random(1)
+    base = lambda n: "".join(rng.choices("ACGT", k=n))
+    unit, half = base(400), base(430)
+    rows = [("three", unit * 3), ("none", base(900)), ("short", "ACGT"), ("middle", half * 2), ("small", base(150) * 8)]
+    got = {}
+    for r in cnv.find_periods(spark.createDataFrame(rows, "id string, seq string")).collect():
+        got.setdefault(r.id, set()).add(r.period)
+    assert got["three"] == {400} and got["none"] == {900} and "short" not in got and got["middle"] == {430}
+    assert got["small"] <= {450, 600} and got["small"]
+
+
+def test_alleles_are_split(spark):
+    rng = random.Random(2)
+    base = lambda n: "".join(rng.choices("ACGT", k=n))
+    long, other = base(600), base(500)
+    rows = [(1, "a", 10, 11, "A", ["A" + long, "A" + other, "*"], "1|2"), (2, "a", 50, 50 + 601, "C" + long, ["C", "C" + long[:-1]], "0/1"), (3, "a", 90, 91, "A", ["A" + long], "0|1"), (4, "a", 95, 103, "ACGTACGT", [long + "ACGTACGT", "A"], "0|1")]
+    got = {(r.vid, r.allele): (r.pos, r.ref, r.alt[0], r.GT, r.insertion) for r in cnv.split_alleles(spark.createDataFrame(rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, GT string")).collect()}
+    assert got[1, 0] == (10, "A", "A" + long, "0/1", True) and got[1, 1][2] == "A" + other and (1, 2) not in got
+    assert got[2, 0] == (50, "C" + long, "C", "0/1", False) and (2, 1) not in got and got[3, 0] == (90, "A", "A" + long, "0|1", True)
+    assert got[4, 0] == (95, "A", long, "0/1", True)
+
+
+def test_long_insertions_become_copy_number_calls(spark):
+    rng = random.Random(3)
+    base = lambda n: "".join(rng.choices("ACGT", k=n))
+    unit = base(500)
+    ref = base(2000) + unit * 3 + base(2000)  # an array of three units from 2000 to 3500
+    place = 2500
+    rows = [
+        (1, "a", place - 1, place, ref[place - 1], [ref[place - 1] + unit * 2], [], "0|1"),
+        (2, "b", 2999, 3500, ref[2999:3500], [ref[2999]], ["PASS"], "1|1"),
+        (3, "a", 100, 101, ref[100], [ref[100] + base(600)], [], "0/1"),
+        (4, "a", 120, 121, ref[120], [ref[120] + base(50)], [], "0/1"),
+        (5, "a", 130, 131, ref[130], [ref[130] + unit], ["low"], "0/1"),
+    ]
+    v = spark.createDataFrame(rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, filter array<string>, GT string")
+    chunks = spark.createDataFrame([(c, k, ref[k * 256 : k * 256 + 256]) for c in "ab" for k in range(-(-len(ref) // 256))], "ctg string, chunk long, seq string")
+    got = {r.cid.split(":")[0]: r for r in cnv.indel_to_cnv(v, chunks, chunk=256).collect()}
+    assert {(k, r.svtype, r.cndiff, r.gt) for k, r in got.items()} == {("1", "DUP", 2, "0|1"), ("2", "DEL", -2, "1|1")}
+    for r in got.values():
+        assert abs(r.period - 500) <= 1 and r.svlen == r.period and abs(r.start - 1 - 2000) <= 12 and abs(r.stop - 1 - 3500) <= 12
+
+
+def test_array_is_walked_to_its_ends(spark):
+    rng = random.Random(4)
+    unit = "".join(rng.choices("ACGT", k=40))
+    ref = "".join(rng.choices("ACGT", k=200)) + unit * 12 + "".join(rng.choices("ACGT", k=200))
+    chunks = spark.createDataFrame([("a", k, ref[k * 64 : k * 64 + 64]) for k in range(-(-len(ref) // 64))], "ctg string, chunk long, seq string")
+    rows = spark.createDataFrame([("x", "a", 320, 360, unit), ("y", "a", 0, 40, ref[:40])], "key string, ctg string, start long, stop long, unit string")
+    for compat, edge in ((False, 0), (True, 40)):
+        got = {r.key: (r.array_start, r.array_stop) for r in cnv.extend_array(rows, chunks, compat=compat, chunk=64).collect()}
+        assert got == {"x": (200 - edge, 680 + edge), "y": (-edge, 40 + edge)}
