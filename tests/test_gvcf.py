@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from strandframe.operators.normalise import left_align
 from strandframe.plans import gvcf
 
 SCHEMA = "vid long, ctg string, pos long, end long, ref string, alt array<string>, GT string, GQ int, DP int, PL array<int>, AD array<int>"
@@ -85,3 +86,35 @@ def test_regions_and_cnv(spark):
     assert got == {1: (1, ["SVdup"], "CNV", "a:20-90"), 3: (1, [], "CNV", None), 4: (3, ["PASS"], "CNV", None), 6: (0, [], "CNV", None), 10: (1, [], "SV_CNV", None), 11: (2, ["PASS"], "SV_CNV", None), 12: (1, [], "SV_CNV", None)}
     w = spark.createDataFrame([("ACC", ["AC", "T"], "0/1"), ("A", ["C"], "0/0")], "ref string, alt array<string>, GT string")
     assert [tuple(r) for r in gvcf.finalise(w).collect()] == [("AC", ["A"], "0/1")]
+
+
+def normal(ref, pos, r, a):
+    """Left alignment one base at a time."""
+    while len(r) > 1 and len(a) > 1 and r[-1] == a[-1]:
+        r, a = r[:-1], a[:-1]
+    while len(r) > 1 and len(a) > 1 and r[0] == a[0]:
+        pos, r, a = pos + 1, r[1:], a[1:]
+    while pos > 0 and min(len(r), len(a)) == 1 and len(r) != len(a) and r[0] == a[0] and r[-1] == a[-1]:
+        pos, r, a = pos - 1, ref[pos - 1] + r[:-1], ref[pos - 1] + a[:-1]
+    return pos, r, a
+
+
+def test_left_align(spark):
+    rng = random.Random(9)
+    ref = "ACACACACAC" + "T" * 200 + "".join(rng.choices("AC", k=300)) + "GAT" * 60
+    chunks = spark.createDataFrame([("a", k, ref[k * 64 : k * 64 + 64]) for k in range(-(-len(ref) // 64))], "ctg string, chunk long, seq string")
+    cases = []
+    for _ in range(150):
+        p, n = rng.randrange(1, len(ref) - 12), rng.randint(1, 6)
+        if rng.random() < 0.5:
+            cases.append((p, ref[p : p + n + 1], ref[p]))
+        else:
+            unit = ref[p + 1 : p + 1 + n] if rng.random() < 0.7 else "".join(rng.choices("ACGT", k=n))
+            cases.append((p, ref[p] + ref[p + 1], ref[p] + unit + ref[p + 1]))
+    cases += [(5, ref[5], "G" if ref[5] != "G" else "A"), (209, ref[209:211], "T")]
+    rows = [(k, "a", p, p + len(r), r, [a]) for k, (p, r, a) in enumerate(cases)] + [(900, "a", 9, 11, ref[9:11], ["C", "CTT"]), (901, "a", 9, 10, "C", ["<DEL>"])]
+    got = {r.vid: (r.pos, r.ref, r.alt, r.end) for r in left_align(spark.createDataFrame(rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>"), chunks, chunk=64, window=8).collect()}
+    for k, (p, r, a) in enumerate(cases):
+        pos, r, a = normal(ref, p, r, a)
+        assert got[k] == (pos, r, [a], pos + len(r)), (cases[k], got[k])
+    assert got[900] == (9, ref[9:11], ["C", "CTT"], 11) and got[901] == (9, "C", ["<DEL>"], 10)
