@@ -146,7 +146,7 @@ class Model:
                 spread = whole.std() if len(whole) > 1 else 0.5
                 h, n = np.array(parts).T
                 by_char = float(np.sqrt(np.mean((h - whole.mean()) ** 2 * n)))
-                self.usual[lang] = (float(whole.mean()), float(max(spread, 0.05)), max(by_char, 1.0))
+                self.usual[lang] = (float(whole.mean()), float(max(spread, 0.05)), max(by_char, 2.5))
 
 
 class Scorer:
