@@ -126,3 +126,13 @@ def test_op10(spark, docs):
             assert begin == at
             at += n
         assert at == x[0][2] if len(x[0]) == 3 else at <= 2048
+
+
+def test_op11(spark, docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    n = {i: len(whole.encode(t or "", add_special_tokens=False)) for i, (t, *_) in docs.items()}
+    got = rows(spark, "op11_tokens")
+    assert sorted(got) == sorted((i, len((docs[i][0] or "").encode()), k, k > 2048) for i, k in n.items())
