@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, merkle, mixing, packing, pii, sharding, simhash, tokens, toxicity, warc
+from . import langid, media, merkle, mixing, packing, phrases, pii, sharding, simhash, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +74,30 @@ def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
+_OP12 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+u AS (SELECT lang, unnest(w) AS x FROM w),
+g AS (SELECT lang, [x] AS g FROM u UNION ALL SELECT lang, unnest([[w[i], w[i + 1]] FOR i IN range(1, len(w))]) FROM w UNION ALL SELECT lang, unnest([[w[i], w[i + 1], w[i + 2]] FOR i IN range(1, len(w) - 1)]) FROM w),
+f AS (SELECT lang, array_to_string(g, ' ') AS x, len(g) AS k, g, count(*) AS n FROM g GROUP BY lang, g HAVING count(*) >= 10),
+cut AS (SELECT c.lang, c.x, c.g, c.k, c.n AS a, i, array_to_string(c.g[1:i], ' ') AS one, array_to_string(c.g[i + 1:], ' ') AS two FROM f c, range(1, 3) AS cuts(i) WHERE c.k > i),
+s AS (SELECT cut.*, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n) AS score FROM cut JOIN f l ON l.lang = cut.lang AND l.x = one JOIN f r ON r.lang = cut.lang AND r.x = two),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, i) = 1),
+inside AS (SELECT lang, x, max(n) AS n FROM (SELECT lang, array_to_string(g[1:2], ' ') AS x, n FROM f WHERE k = 3 UNION ALL SELECT lang, array_to_string(g[2:3], ' '), n FROM f WHERE k = 3) GROUP BY lang, x),
+c AS (SELECT b.* FROM b LEFT JOIN inside USING (lang, x) WHERE inside.n IS NULL OR 100 * inside.n < 50 * a),
+total AS (SELECT lang, count(*) AS n FROM u GROUP BY lang)
+SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, x) AS rank, x AS phrase, a, l, r, total.n AS n, CAST(score AS BIGINT) AS score
+FROM c JOIN total ON total.lang = c.lang QUALIFY rank <= 2000"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_phrases": _OP12}
