@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, merkle, mixing, packing, phrases, pii, sharding, simhash, tokens, toxicity, warc
+from . import langid, media, merkle, mixing, packing, phrases, pii, sharding, simhash, spelling, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,9 +95,30 @@ SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DES
 FROM c JOIN total ON total.lang = c.lang QUALIFY rank <= 2000"""
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_documents(spark, sf_dir))
+
+
+# The CRC-32 table is worked out from its polynomial, 0xEDB88320.
+_OP13 = r"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS crc FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)::BIGINT[]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+run AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+d AS (SELECT run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM run GROUP BY id, run),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || x[2 * i - 1:2 * i])::BIGINT FOR i IN range(1, len(x) // 2 + 1)]), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM d, crc),
+e AS (SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+del AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pair AS MATERIALIZED (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM del a JOIN del b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT del.word, del.n, v.word, v.n FROM del JOIN v ON del.rest = v.word UNION SELECT v.word, v.n, del.word, del.n FROM del JOIN v ON del.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, (min({'k': -near_n, 'near': near, 'n': near_n})) AS b FROM pair GROUP BY word),
+form AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 2 * v.n THEN b.near END AS form, CASE WHEN b.n >= 2 * v.n THEN b.n END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM form UNION ALL SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.at WHERE form.form IS NOT NULL)
+SELECT form.word, form.form, walk.at AS root, form.n, form.n_near, form.form_n FROM form JOIN walk ON walk.word = form.word JOIN form top ON top.word = walk.at AND top.form IS NULL"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_phrases": _OP12}
+    return {"op12_phrases": _OP12, "op13_spelling": _OP13}
