@@ -31,7 +31,7 @@ from . import bloom
 from .common import chunks, written
 
 #: Text bytes of a shard, words whose continuations a range holds (about), and ranges at most.
-SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 24, 1 << 21, 1 << 16
+SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 23, 1 << 20, 1 << 16
 #: Letters of a word by which ranges are cut.
 CUT_CHARS = 64
 
@@ -81,7 +81,6 @@ def build(words: pa.Array, grams: list[tuple[np.ndarray, np.ndarray]]) -> Transd
     """The minimal transducer of distinct n-grams: for each length, from 1, sorted rows of labels and their weights (over 0)."""
     arc = np.dtype([("label", np.int32), ("target", np.int32), ("weight", np.int64)])
     register: dict[bytes, int] = {}
-    kept: list[np.ndarray] = []
     below: tuple[np.ndarray, np.ndarray] = (np.zeros((0, len(grams)), np.int64), np.zeros(0, np.int64))
     for n in range(len(grams), 0, -1):
         labels, weight = grams[n - 1]
@@ -102,19 +101,13 @@ def build(words: pa.Array, grams: list[tuple[np.ndarray, np.ndarray]]) -> Transd
         arcs["label"] = rows[:, -1] if len(rows) else 0
         stem = rows[:, : n - 1]
         starts = np.flatnonzero(np.r_[True, (stem[1:] != stem[:-1]).any(axis=1)]) if len(rows) else np.zeros(0, np.int64)
-        raw, states = arcs.tobytes(), np.empty(len(starts), np.int64)
-        ends = [*starts[1:].tolist(), len(rows)]
-        for k, (lo, hi) in enumerate(zip(starts.tolist(), ends)):
-            content = raw[lo * arc.itemsize : hi * arc.itemsize]
-            state = register.setdefault(content, len(register))
-            if state == len(kept):
-                kept.append(arcs[lo:hi])
-            states[k] = state
-        below = (stem[starts], states)
+        raw, cuts = arcs.tobytes(), (np.r_[starts, len(rows)] * arc.itemsize).tolist()
+        states = [register.setdefault(raw[lo:hi], len(register)) for lo, hi in zip(cuts, cuts[1:])]
+        below = (stem[starts], np.array(states, np.int64))
     if not len(below[1]):
-        kept.append(np.zeros(0, arc))
-    all_arcs = np.concatenate(kept)
-    first = np.r_[0, np.cumsum([len(x) for x in kept])].astype(np.int32)
+        register[b""] = len(register)
+    all_arcs = np.frombuffer(b"".join(register), arc)
+    first = np.r_[0, np.cumsum([len(x) // arc.itemsize for x in register])].astype(np.int32)
     return Transducer(words, first, *(np.ascontiguousarray(all_arcs[c]) for c in arc.names))
 
 
@@ -194,8 +187,8 @@ def _columns(found: list[Transducer]) -> list[pa.Array]:
 class Ranges:
     """Ranges of prefixes: ``(lang, word, part)`` in order, the first key of each range but the first.
 
-    A word whose continuations fill several ranges has several parts; a hash of its first
-    two words deals them out. N-grams with the same first two words share a range.
+    A word whose continuations fill several ranges has several parts; a hash of the next
+    word deals them out. N-grams with the same first two words share a range.
     """
 
     def __init__(self, keys: list[tuple[str, str, int]]):
@@ -219,11 +212,13 @@ class Ranges:
         """The range of each row of labels."""
         text = words.to_pylist()
         low, high = self.of(lang, text)
-        out = low[grams[:, 0]]
-        wide = np.flatnonzero(high[grams[:, 0]] > out) if grams.shape[1] > 1 else []
-        for k in wide:
-            a, b = grams[k, 0], grams[k, 1]
-            out[k] += zlib.crc32(f"{text[a]} {text[b]}".encode()) % int(high[a] - low[a] + 1)
+        first = grams[:, 0]
+        out = low[first]
+        wide = np.flatnonzero(high[first] > out) if grams.shape[1] > 1 else first[:0]
+        if len(wide):
+            second, at = np.unique(grams[wide, 1], return_inverse=True)
+            h = np.array([zlib.crc32(text[k].encode()) for k in second.tolist()], np.int64)[at]
+            out[wide] += h % (high[first[wide]] - low[first[wide]] + 1)
         return out
 
     def split(self, lang: str, words: pa.Array, grams: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, Transducer]]:
