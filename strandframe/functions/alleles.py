@@ -89,12 +89,12 @@ def homref_gt(n: Column | str) -> Column:
 
 
 def gt_or(a: Column | str, b: Column | str) -> Column:
-    """Allele by allele OR of two diploid genotypes; where either misses one, ``x/.`` with x of the rest."""
+    """Allele by allele OR of two genotypes; where either misses one, ``x/.`` with x of the first known allele of each."""
     one, two = gt_alleles(a), gt_alleles(b)
-    whole = (F.size(one) > 1) & (F.size(two) > 1)
-    either = F.array_join(F.zip_with(one, two, lambda x, y: x.bitwiseOR(y).cast("string")), "|")
-    rest = F.aggregate(F.concat(one, two), F.lit(0), lambda s, x: s.bitwiseOR(x))
-    return F.when(whole, either).otherwise(F.concat(rest.cast("string"), F.lit("/.")))
+    n = F.least(F.size(one), F.size(two))
+    either = F.array_join(F.zip_with(F.slice(one, 1, n), F.slice(two, 1, n), lambda x, y: x.bitwiseOR(y).cast("string")), "|")
+    first = lambda x: F.coalesce(F.get(x, F.lit(0)), F.lit(0))
+    return F.when(_col(a).contains(".") | _col(b).contains("."), F.concat(first(one).bitwiseOR(first(two)).cast("string"), F.lit("/."))).otherwise(either)
 
 
 def second_smallest(pl: Column | str) -> Column:
@@ -155,6 +155,30 @@ def subset_g(values: Column | str, keep: Column, n_alt: Column | str) -> Column:
     return F.when(F.size(values) == _col(n_alt) + 1, subset_r(values, keep)).otherwise(F.when(values.isNotNull(), pairs))
 
 
+def subset_fields(values: Column | str, numbers: dict[str, str], keep: Column, n_alt: Column | str) -> Column:
+    """A map of fields as texts, those of Number A, R and G cut to the alleles in ``keep`` (REF first).
+
+    ``numbers``: the header's Number by field. Fields of another Number, flags and ``.``
+    stay. A genotype field has one value for each allele (haploid) or each diploid
+    genotype; any other size is an error. Other fields may be short: what is not there
+    is left out.
+    """
+    n = _col(n_alt)
+    named = {x: [k for k, number in numbers.items() if number == x] for x in "ARG"}
+
+    def rule(key, value):
+        parts = F.split(value, ",")
+        whole = (F.size(parts) == n + 1) | (F.size(parts) == ((n + 1) * (n + 2) / 2).cast("int"))
+        genotype = F.when(whole, subset_g(parts, keep, n)).otherwise(F.raise_error(F.concat(F.lit("a genotype field of the wrong size: "), key, F.lit("="), value)).cast("array<string>"))
+        out = F.when(value.isNull() | (value == "."), value)
+        for x, cut in (("A", subset_a(parts, keep)), ("R", subset_r(parts, keep)), ("G", genotype)):
+            if named[x]:
+                out = out.when(key.isin(*named[x]), F.array_join(cut, ","))
+        return out.otherwise(value)
+
+    return F.transform_values(_col(values), rule) if any(named.values()) else _col(values)
+
+
 def subset_alleles(ref: Column | str, alts: Column | str, keep: Column) -> Column:
     """``struct(ref, alts)`` of the kept ALTs, without the suffix that all of them share; each keeps one base."""
     r, kept = _col(ref), F.transform(F.filter(keep, lambda i: i > 0), lambda i: F.get(_col(alts), i - 1))

@@ -36,15 +36,15 @@ def _rows(spark, sf_dir) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("z"), F.col("l_quantity").cast("int").alias("q"))
 
 
-@query(f"""WITH r AS ({_ROWS}), a AS (SELECT *, left('ACCG', CAST(k % 4 + 1 AS INTEGER)) AS r1, left('ACCG', CAST(z % 4 + 1 AS INTEGER)) AS r2, ['0/1', '1|2', './.', '1', '0|.'][k % 5 + 1] AS gt, ['0|1', '1|0', '1|1', '1/.'][k % 4 + 1] AS ga, ['0|1', '0/0', '1|1'][z % 3 + 1] AS gb FROM r),
+@query(f"""WITH r AS ({_ROWS}), a AS (SELECT *, left('ACCG', CAST(k % 4 + 1 AS INTEGER)) AS r1, left('ACCG', CAST(z % 4 + 1 AS INTEGER)) AS r2, ['0/1', '1|2', './.', '1', '0|.'][k % 5 + 1] AS gt, ['0|1', '1|0', '0|2', '1/.', '1|1'][k % 5 + 1] AS ga, ['0|1', '0/0', '0/.', '1|1'][z % 4 + 1] AS gb FROM r),
 b AS (SELECT *, [CAST(x AS INTEGER) FOR x IN string_split(replace(gt, '|', '/'), '/') IF x <> '.'] AS al, [CAST(x AS INTEGER) FOR x IN string_split(replace(ga, '|', '/'), '/') IF x <> '.'] AS la, [CAST(x AS INTEGER) FOR x IN string_split(replace(gb, '|', '/'), '/') IF x <> '.'] AS lb FROM a)
 SELECT l_orderkey, l_linenumber, k, CASE WHEN length(r1) < length(r2) THEN r2 ELSE r1 END AS ref, CASE WHEN length(r1) < length(r2) THEN 'G' || substr(r2, length(r1) + 1) || ',TT' WHEN length(r1) > length(r2) THEN 'G,TT' || substr(r1, length(r2) + 1) ELSE 'G,TT' END AS alts,
  array_to_string(al, ',') AS alleles, len(string_split(replace(gt, '|', '/'), '/')) AS ploidy, coalesce(list_sum(al), 0)::BIGINT AS total, CASE WHEN len(string_split(replace(gt, '|', '/'), '/')) = 1 THEN '0' ELSE '0/0' END AS homref,
- CASE WHEN len(la) > 1 AND len(lb) > 1 THEN greatest(la[1], lb[1]) || '|' || greatest(la[2], lb[2]) ELSE list_max(list_concat(la, lb)) || '/.' END AS either, l_orderkey + 1 + (k % 3 + 1) * (z % 6) AS repeat_end, greatest(l_orderkey - k, k - l_orderkey - 50, 0) AS distance, CAST(q % 5 - 2 + 2 AS INTEGER) AS copies FROM b""")
+ CASE WHEN len(la) > 1 AND len(lb) > 1 THEN (la[1] | lb[1]) || '|' || (la[2] | lb[2]) ELSE (coalesce(la[1], 0) | coalesce(lb[1], 0)) || '/.' END AS either, l_orderkey + 1 + (k % 3 + 1) * (z % 6) AS repeat_end, greatest(l_orderkey - k, k - l_orderkey - 50, 0) AS distance, CAST(q % 5 - 2 + 2 AS INTEGER) AS copies FROM b""")
 def genotype_fields(spark, sf_dir):
     k, z = F.col("k"), F.col("z")
     pick = lambda names, i: F.get(_list(*names), i.cast("int"))
-    r = _rows(spark, sf_dir).withColumns({"r1": F.substring(F.lit("ACCG"), F.lit(1), (k % 4 + 1).cast("int")), "r2": F.substring(F.lit("ACCG"), F.lit(1), (z % 4 + 1).cast("int")), "gt": pick(("0/1", "1|2", "./.", "1", "0|."), k % 5), "ga": pick(("0|1", "1|0", "1|1", "1/."), k % 4), "gb": pick(("0|1", "0/0", "1|1"), z % 3)})
+    r = _rows(spark, sf_dir).withColumns({"r1": F.substring(F.lit("ACCG"), F.lit(1), (k % 4 + 1).cast("int")), "r2": F.substring(F.lit("ACCG"), F.lit(1), (z % 4 + 1).cast("int")), "gt": pick(("0/1", "1|2", "./.", "1", "0|."), k % 5), "ga": pick(("0|1", "1|0", "0|2", "1/.", "1|1"), k % 5), "gb": pick(("0|1", "0/0", "0/.", "1|1"), z % 4)})
     both = A.combine_alleles("r1", F.lit("G"), "r2", F.lit("TT"))
     unit = F.repeat(F.lit("A"), (k % 3 + 1).cast("int"))
     return r.select(
@@ -364,16 +364,39 @@ def patch_vcf_text(spark, sf_dir):
     return v.select("ctg", "pos", "end", F.array_join("alt", ",").alias("alt"), "GT", s["GQ"].alias("GQ"), s["PL"].alias("PL"), F.col("info")["RPA"].alias("RPA"), F.map_contains_key("info", "DELTA").alias("DELTA"), F.map_contains_key("info", "STR").alias("repeat"), F.col("info")["OWN"].alias("own"), s["ZZ"].alias("further"))
 
 
+# The header of the stand-in calls.
+_TRANSFER_HEADER = [
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="frequency">', '##INFO=<ID=AC,Number=A,Type=Integer,Description="count, of ALT">', '##INFO=<ID=RC,Number=R,Type=Integer,Description="depth">', '##INFO=<ID=MQ,Number=1,Type=Float,Description="quality">', '##INFO=<ID=DB,Number=0,Type=Flag,Description="known">',
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="genotype">', '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="depth">', '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="likelihood">', '##FORMAT=<ID=XA,Number=A,Type=Integer,Description="by ALT">', '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="depth">',
+]
+
+
 @query("""WITH w AS (SELECT l_orderkey AS pos, l_linenumber, l_partkey AS k, CAST(l_suppkey % 3 AS VARCHAR) AS ctg, CAST(l_quantity AS BIGINT) AS q FROM lineitem), p AS (SELECT ctg, pos, sum(q) AS ac, sum(q) FILTER (k % 2 = 0) AS even FROM w WHERE k % 3 = 0 GROUP BY ctg, pos),
-v AS (SELECT *, ['G', 'T', '<NON_REF>'][1:k % 3 + 1] AS alt, CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN ['0.5', '.', '.'] WHEN 2 THEN ['.', '0.5', '.'] ELSE ['0.1', '0.2', '.'] END AS af FROM w WHERE k % 3 > 0 AND l_linenumber <> 5),
-x AS (SELECT *, list_contains(alt, '<NON_REF>') AS nr FROM v), y AS (SELECT *, [i FOR i IN range(1, len(alt) + 1) IF nr OR af[i] <> '.'] AS keep FROM x WHERE nr OR af IS NOT NULL)
-SELECT y.pos, l_linenumber, k, y.ctg, array_to_string([alt[i] FOR i IN keep], ',') AS alt, array_to_string([coalesce(CAST(CASE i WHEN 1 THEN p.ac WHEN 2 THEN p.even END AS VARCHAR), '-') FOR i IN keep], ',') AS pop FROM y LEFT JOIN p ON y.ctg = p.ctg AND y.pos = p.pos""")
+v AS (SELECT *, ['G', 'T', '<NON_REF>'][1:k % 3 + 1] AS alt, CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN ['0.5', '.', '.'] WHEN 2 THEN ['.', '0.5', '.'] ELSE ['0.1', '0.2', '.'] END[1:k % 3 + 1] AS af FROM w WHERE k % 3 > 0 AND l_linenumber <> 5),
+x AS (SELECT *, list_contains(alt, '<NON_REF>') AS nr, len(alt) AS m FROM v),
+y AS (SELECT *, [i FOR i IN range(1, m + 1) IF nr OR af[i] <> '.'] AS keep, list_concat([0], [i FOR i IN range(1, m + 1) IF nr OR af[i] <> '.']) AS all0, [k % 9 + i FOR i IN range(0, m + 1)] AS ad, [k * t % 37 FOR t IN range(1, CASE WHEN k % 5 = 0 THEN m + 2 ELSE (m + 1) * (m + 2) // 2 + 1 END)] AS pl FROM x WHERE nr OR af IS NOT NULL)
+SELECT y.pos, l_linenumber, k, y.ctg, array_to_string([alt[i] FOR i IN keep], ',') AS alt, array_to_string([coalesce(CAST(CASE i WHEN 1 THEN p.ac WHEN 2 THEN p.even END AS VARCHAR), '-') FOR i IN keep], ',') AS pop,
+ CASE WHEN k % 7 = 0 THEN '.' ELSE array_to_string([ad[i] * 2 FOR i IN keep], ',') END AS "AC", array_to_string([af[i] FOR i IN keep], ',') AS "AF", array_to_string([ad[i + 1] * 3 FOR i IN all0], ',') AS "RC", CAST(k % 60 AS VARCHAR) AS "MQ", true AS "DB", 5 - CAST(af IS NULL AS INTEGER) AS fields,
+ '0/1' AS "GT", array_to_string([ad[i + 1] FOR i IN all0], ',') AS "AD", CASE WHEN k % 5 = 0 THEN array_to_string([pl[i + 1] FOR i IN all0], ',') ELSE array_to_string(flatten([[pl[all0[b] * (all0[b] + 1) // 2 + all0[a] + 1] FOR a IN range(1, b + 1)] FOR b IN range(1, len(all0) + 1)]), ',') END AS "PL", array_to_string([ad[i] FOR i IN keep], ',') AS "XA", CAST(q AS VARCHAR) AS "DP", '.' AS second
+ FROM y LEFT JOIN p ON y.ctg = p.ctg AND y.pos = p.pos""")
 def transfer(spark, sf_dir):
-    """Population counts on calls with a frequency of their own; ALTs without one go."""
+    """Population counts on calls with a frequency of their own; ALTs without one go, and with them their values in INFO and the samples."""
     k = F.col("l_partkey")
     items = _table(spark, sf_dir, "lineitem").withColumns({"ctg": (F.col("l_suppkey") % 3).cast("string"), "ref": F.lit("A"), "q": F.col("l_quantity").cast("long")})
     pop = items.where(k % 3 == 0).select("ctg", F.col("l_orderkey").alias("pos"), "ref", F.when(k % 2 == 0, _list("G", "T")).otherwise(_list("G")).alias("alt"), F.array("q", "q").alias("AC"))
-    af = F.when(k % 4 == 1, "0.5,.,.").when(k % 4 == 2, ".,0.5,.").when(k % 4 == 3, "0.1,0.2,.")
-    raw = items.where(k % 3 > 0).select(F.monotonically_increasing_id().alias("vid"), "ctg", F.col("l_orderkey").alias("pos"), "l_linenumber", k.alias("k"), "ref", F.slice(_list("G", "T", gvcf.NON_REF), F.lit(1), (k % 3 + 1).cast("int")).alias("alt"), F.when(F.col("l_linenumber") != 5, _list("GT")).otherwise(F.array().cast("array<string>")).alias("format"), F.when(af.isNotNull(), F.create_map(F.lit("AF"), af)).otherwise(F.create_map(F.lit("DP"), F.lit("1"))).alias("info"))
-    found = gvcf.transfer(raw, pop, "vid", {"AC": "sum"})
-    return found.select("pos", "l_linenumber", "k", "ctg", F.array_join("alt", ",").alias("alt"), F.array_join(F.transform("pop_AC", lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",").alias("pop"))
+    m = (k % 3 + 1).cast("int")
+    cut = lambda values, n: F.array_join(F.slice(values, F.lit(1), n), ",")
+    af = F.when(k % 4 == 1, _list("0.5", ".", ".")).when(k % 4 == 2, _list(".", "0.5", ".")).when(k % 4 == 3, _list("0.1", "0.2", "."))
+    ad = lambda times=1: F.array(*[(k % 9 + i) * times for i in range(4)])
+    likely = cut(F.array(*[k * t % 37 for t in range(1, 11)]), F.when(k % 5 == 0, m + 1).otherwise(((m + 1) * (m + 2) / 2).cast("int")))
+    info = F.create_map(*map(F.lit, ("DB",)), F.lit(None).cast("string"), F.lit("MQ"), (k % 60).cast("string"), F.lit("AC"), F.when(k % 7 == 0, ".").otherwise(cut(ad(2), m)), F.lit("RC"), cut(ad(3), m + 1))
+    info = F.when(af.isNull(), info).otherwise(F.map_concat(info, F.create_map(F.lit("AF"), cut(af, m))))
+    one = F.create_map(F.lit("GT"), F.lit("0/1"), F.lit("AD"), cut(ad(), m + 1), F.lit("PL"), likely, F.lit("XA"), cut(ad(), m), F.lit("DP"), F.col("q").cast("string"))
+    two = F.create_map(F.lit("GT"), F.lit("0/0"), F.lit("PL"), F.lit("."))
+    raw = items.where(k % 3 > 0).select(F.monotonically_increasing_id().alias("vid"), "ctg", F.col("l_orderkey").alias("pos"), "l_linenumber", k.alias("k"), "ref", F.slice(_list("G", "T", gvcf.NON_REF), F.lit(1), m).alias("alt"), F.when(F.col("l_linenumber") != 5, _list("GT")).otherwise(F.array().cast("array<string>")).alias("format"), info.alias("info"), F.array(one, two).alias("samples"))
+    header = spark.createDataFrame([(x,) for x in _TRANSFER_HEADER], "value string")
+    found = gvcf.transfer(raw, pop, "vid", {"AC": "sum"}, text.field_numbers(header, "INFO"), text.field_numbers(header, "FORMAT"))
+    s = F.get("samples", F.lit(0))
+    own = [F.col("info")[c].alias(c) for c in ("AC", "AF", "RC", "MQ")] + [s[c].alias(c) for c in ("GT", "AD", "PL", "XA", "DP")]
+    flag = F.map_contains_key("info", "DB") & F.col("info")["DB"].isNull()
+    return found.select("pos", "l_linenumber", "k", "ctg", F.array_join("alt", ",").alias("alt"), F.array_join(F.transform("pop_AC", lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",").alias("pop"), *own, flag.alias("DB"), F.size("info").alias("fields"), F.get("samples", F.lit(1))["PL"].alias("second"))

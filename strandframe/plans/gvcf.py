@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from ..functions import alleles as A
 from ..operators import filters, intervals, joins
 from ..operators.normalise import left_align
-from ..sources.text import ref_slice
+from ..sources.text import FORMAT_NUMBERS, INFO_NUMBERS, ref_slice
 
 NON_REF = "<NON_REF>"
 
@@ -114,35 +114,46 @@ def gvcf_to_calls(g: DataFrame) -> DataFrame:
     return kept.withColumns({k: v for k, v in new.items() if k in g.columns}).withColumn("alt", F.filter("alt", lambda a: a != NON_REF)).drop("__keep")
 
 
-def trim_added_alts(v: DataFrame, number_a: tuple[str, ...] = ("AF",), number_r: tuple[str, ...] = ("AD",), number_g: tuple[str, ...] = ("PL",)) -> DataFrame:
+def trim_added_alts(v: DataFrame, number_a: tuple[str, ...] = ("AF",), number_r: tuple[str, ...] = ("AD",), number_g: tuple[str, ...] = ("PL",), info: dict[str, str] | None = None, samples: dict[str, str] | None = None) -> DataFrame:
     """Cuts the ALTs that only the population table has; ``AF`` (texts) is the caller's own. GT stays as it is.
 
-    Rows that lose an ALT lose as many last bases as all remaining alleles can spare; those
-    are taken to be shared, as in padded alleles. Symbolic ALTs do not count and stay whole.
+    Typed columns are named by their Number; ``info`` and ``samples``, the header's Number
+    by field (``sources.text.field_numbers``), do the same for the maps of texts in the
+    columns ``info`` and ``samples``, so that the record stays valid. Genotype fields occur
+    in samples only. Rows that lose an ALT lose as many last bases as all remaining alleles
+    can spare; those are taken to be shared, as in padded alleles. Symbolic ALTs do not
+    count and stay whole.
     """
     keep = v.withColumn("__keep", A.added_alts("alt", "AF"))
     all_kept = F.size("__keep") == F.size("alt") + 1
-    some = keep.where(~all_kept)
-    n = F.size("alt")
+    some = keep.where(~all_kept).withColumn("__alts", F.size("alt"))
+    n = F.col("__alts")  # a column: inside lambda functions the name alt would be taken for the new one
     new = {c: A.subset_a(c, F.col("__keep")) for c in number_a} | {c: A.subset_r(c, F.col("__keep")) for c in number_r} | {c: A.subset_g(c, F.col("__keep"), n) for c in number_g}
-    some = some.withColumns({k: x for k, x in new.items() if k in v.columns} | {"alt": A.subset_a("alt", F.col("__keep"))})
+    new = {k: x for k, x in new.items() if k in v.columns}
+    if info and "info" in v.columns:
+        new["info"] = A.subset_fields("info", {k: x for k, x in info.items() if x != "G"}, F.col("__keep"), n)
+    if samples and "samples" in v.columns:
+        new["samples"] = F.transform("samples", lambda s: A.subset_fields(s, samples, F.col("__keep"), n))
+    some = some.withColumns(new | {"alt": A.subset_a("alt", F.col("__keep"))})
     plain = F.filter("alt", lambda a: ~a.startswith("<"))
     spare = F.when(F.size(plain) > 0, F.aggregate(plain, F.length("ref"), lambda n, a: F.least(n, F.length(a))) - 1).otherwise(0)
     some = some.withColumn("__n", F.greatest(spare, F.lit(0)))
     cut = lambda a: F.substring(a, F.lit(1), F.length(a) - F.col("__n"))
-    some = some.withColumns({"ref": cut(F.col("ref")), "alt": F.transform("alt", lambda a: F.when(a.startswith("<"), a).otherwise(cut(a)))}).drop("__n")
+    some = some.withColumns({"ref": cut(F.col("ref")), "alt": F.transform("alt", lambda a: F.when(a.startswith("<"), a).otherwise(cut(a)))}).drop("__n", "__alts")
     return keep.where(all_kept).unionByName(some).drop("__keep")
 
 
-def transfer(raw: DataFrame, pop: DataFrame, key: str, rules: dict[str, str]) -> DataFrame:
+def transfer(raw: DataFrame, pop: DataFrame, key: str, rules: dict[str, str], info: dict[str, str] | None = None, samples: dict[str, str] | None = None) -> DataFrame:
     """Population values on calls: ALTs that the caller does not know are cut, and rows without a FORMAT or a frequency of the caller's own go.
 
-    See ``joins.transfer_annotations``, ``trim_added_alts`` and ``filters.drop_no_call``.
+    ``info`` and ``samples``: the Number of the header's fields, by which the texts of both
+    are cut too (default: the reserved fields). See ``joins.transfer_annotations``,
+    ``trim_added_alts`` and ``filters.drop_no_call``.
     """
     called = filters.drop_no_call(filters.drop_site_only(raw)).withColumn("AF", F.split(F.col("info")["AF"], ","))
     values = tuple(f"pop_{f}" for f in rules)
     marked = joins.transfer_annotations(called, pop, key, rules)
-    return trim_added_alts(marked, number_a=("AF", *values)).drop("AF")
+    return trim_added_alts(marked, ("AF", *values), info=INFO_NUMBERS if info is None else info, samples=FORMAT_NUMBERS if samples is None else samples).drop("AF")
 
 
 def select_regions(v: DataFrame, contigs: DataFrame, n: int = 1000) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import alleles as A
 from ..operators import intervals, joins
 from ..operators.filters import confident_reference
+from ..sources.text import INFO_NUMBERS
 
 _TYPES = {"ctg": "string", "pos": "long", "end": "long", "id": "string", "ref": "string", "alt": "array<string>", "qual": "double", "filter": "array<string>", "GT": "string", "GQ": "int", "DP": "int", "PS": "long", "PL": "array<int>", "AD": "array<int>", "info_dp": "int", "STR": "boolean", "RU": "string", "RPA": "array<int>", "ML_PROB": "double", "DELTA": "boolean", "info": "map<string,string>", "sample": "map<string,string>", "file_order": "long"}
 FIELDS = list(_TYPES)
@@ -191,12 +192,18 @@ def _hap(x: Column) -> Column:
     return F.when(x["ref"].isNull(), -1).otherwise(F.coalesce(gt, F.lit(0)))
 
 
-def join_haplotypes(both: DataFrame) -> DataFrame:
-    """Diploid calls from ``ctg, pos, v0 (phased call), v1, v2 (haplotypes), ps (start of the phased interval + 1)``; no row where both are REF."""
-    return _level(_with_joined(both), F.col("joined"), lambda r: r["ref"].isNotNull())
+def join_haplotypes(both: DataFrame, numbers: dict[str, str] | None = None) -> DataFrame:
+    """Diploid calls from ``ctg, pos, v0 (phased call), v1, v2 (haplotypes), ps (start of the phased interval + 1)``; no row where both are REF.
+
+    INFO begins with the phased call's fields. Of these QD and all with a value for each
+    allele go (``numbers``: the header's Number by field; default: the reserved fields);
+    counts, frequencies, depth, repeats and ML_PROB are made anew. Samples have GT, GQ, DP,
+    PS, PL and AD only.
+    """
+    return _level(_with_joined(both, numbers), F.col("joined"), lambda r: r["ref"].isNotNull())
 
 
-def _with_joined(both: DataFrame) -> DataFrame:
+def _with_joined(both: DataFrame, numbers: dict[str, str] | None = None) -> DataFrame:
     """``both`` and ``joined``, the diploid call of the haplotypes; null where neither has an ALT."""
     v0, v1, v2 = F.col("v0"), F.col("v1"), F.col("v2")
     rows = both.withColumns({"i1": _hap(v1), "i2": _hap(v2)})
@@ -228,21 +235,26 @@ def _with_joined(both: DataFrame) -> DataFrame:
     ids = [F.when((v["id"] != "."), v["id"]) for v in (v0, v1, v2)]
     prob = F.when(v1["ML_PROB"].isNotNull() & v2["ML_PROB"].isNotNull(), A.join_ml_prob(v1["ML_PROB"], v2["ML_PROB"])).otherwise(F.round(F.coalesce(v1["ML_PROB"], v2["ML_PROB"]), 2))
     first = lambda c: F.when(h1, v1[c]).otherwise(v2[c])
+    gone = ["QD", *(k for k, n in (INFO_NUMBERS if numbers is None else numbers).items() if n in ("A", "R"))]
+    info = F.map_filter(v0["info"], lambda k, _: ~k.isin(*gone))
+    empty = F.create_map().cast("map<string,string>")
+    depth_of = lambda c: F.coalesce(A.join_dp(v0[c], v1[c], v2[c]), F.lit(0))
     observed = v0["PL"].isNotNull() | v1["PL"].isNotNull() | v2["PL"].isNotNull()
     new = {
         "ctg": F.col("ctg"), "pos": F.col("pos"), "end": F.col("pos") + F.length(a["ref"]), "id": F.coalesce(*ids, F.lit(".")), "ref": a["ref"], "alt": a["alts"],
         "qual": F.when(h1 & h2, v1["qual"] + v2["qual"]).when(h1, v1["qual"]).otherwise(v2["qual"]), "filter": F.array().cast("array<string>"), "GT": gt["gt"],
-        "GQ": F.when(observed, F.col("pl.gq")), "DP": A.join_dp(v0["DP"], v1["DP"], v2["DP"]), "PS": F.col("ps"), "PL": F.when(observed, F.col("pl.pl")), "AD": depth,
-        "info_dp": A.join_dp(v0["info_dp"], v1["info_dp"], v2["info_dp"]), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": F.lit(None), "info": first("info"), "sample": first("sample"),
+        "GQ": F.when(observed, F.col("pl.gq")), "DP": depth_of("DP"), "PS": F.col("ps"), "PL": F.when(observed, F.col("pl.pl")), "AD": depth,
+        "info_dp": depth_of("info_dp"), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": v0["DELTA"], "info": F.coalesce(info, empty), "sample": empty,
     }
     call = F.struct(*[new[c].cast(_TYPES[c]).alias(c) for c in _OUT], gt["ac"].alias("AC"), gt["af"].alias("AF"), gt["an"].alias("AN"))
     return rows.select(*both.columns, F.explode(F.array(F.when(h1 | h2, call))).alias("joined"))
 
 
-def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased: DataFrame, bed: DataFrame) -> DataFrame:
+def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased: DataFrame, bed: DataFrame, numbers: dict[str, str] | None = None) -> DataFrame:
     """One call for each position, by priority: a phased call with an ALT as long as REF; else joined haplotypes if one is DELTA; else a DELTA unphased call; else the phased call.
 
-    Filtered and REF calls give none. ``bed``: phased intervals, which set PS.
+    Filtered and REF calls give none. ``bed``: phased intervals, which set PS. ``numbers``:
+    see ``join_haplotypes``. Samples lose PGT and PID, which tell of the phase before.
     """
     both = joins.cogroup_pos({"v1": calls(hap1), "v2": calls(hap2), "v3": calls(unphased), "v0": calls(phased)})
     both = intervals.annotate_point(both, intervals.merge(bed).withColumn("__ps", F.col("start") + 1), {"__ps": "ps"})
@@ -253,11 +265,12 @@ def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased:
     both = both.withColumn("kind", kind).where("kind is not null")
     # rows of the other kinds have no haplotypes to join, so one pass serves all three
     own = {c: F.when(F.col("kind") == "joined", F.col(c)) for c in ("v1", "v2")}
-    rows = _with_joined(both.select("ctg", "pos", "ps", "kind", "v0", "v3", *[c.alias(k) for k, c in own.items()]))
+    rows = _with_joined(both.select("ctg", "pos", "ps", "kind", "v0", "v3", *[c.alias(k) for k, c in own.items()]), numbers)
     extra = [F.lit(None).cast("array<int>").alias("AC"), F.lit(None).cast("array<double>").alias("AF"), F.lit(None).cast("int").alias("AN")]
     plain = lambda x, **changed: F.struct(*[_struct(x, **changed)[c].alias(c) for c in _OUT], *extra)
     ps = F.when(F.col("v0.PS").isNotNull(), F.coalesce("ps", F.col("v0.PS")))
-    chosen = F.when(F.col("kind") == "joined", F.col("joined")).when(F.col("kind") == "phased", plain(F.col("v0"), PS=ps)).otherwise(plain(F.col("v3"), DELTA=F.lit(None)))
+    named = lambda x: F.map_filter(x["sample"], lambda k, _: ~k.isin("PGT", "PID"))
+    chosen = F.when(F.col("kind") == "joined", F.col("joined")).when(F.col("kind") == "phased", plain(F.col("v0"), PS=ps, sample=named(F.col("v0")))).otherwise(plain(F.col("v3"), DELTA=F.lit(None), sample=named(F.col("v3"))))
     return _level(rows, chosen, lambda r: r["ref"].isNotNull())
 
 

@@ -437,15 +437,20 @@ o AS (SELECT *, flatten([[CASE WHEN {_PAIR} < 999999999 THEN {_PAIR} WHEN v0.fo
 p AS (SELECT *, list_sort([e FOR e IN raw IF e < 999999999]) AS seen FROM o),
 q AS (SELECT *, seen[2] - seen[1] AS g FROM p)
 SELECT ctg, pos, array_to_string(al, ',') AS alt, CASE WHEN a1 = a2 THEN '1' || sep || '1' WHEN len(al) = 2 THEN '1' || sep || '2' WHEN sep = '/' THEN '0/1' WHEN i1 > 0 THEN '1|0' ELSE '0|1' END AS "GT", CAST(g AS INTEGER) AS "GQ",
- array_to_string([least(e - seen[1], greatest(seen[-1] - seen[1] + g, 10 * g)) FOR e IN raw], ',') AS "PL", ps AS "PS", coalesce(v0.q, coalesce(v1.q, 0) + coalesce(v2.q, 0)) AS "DP", CASE WHEN i1 > 0 AND i2 > 0 THEN v1.qual + v2.qual WHEN i1 > 0 THEN v1.qual ELSE v2.qual END AS qual FROM (SELECT *, CASE WHEN ps IS NULL THEN '/' ELSE '|' END AS sep FROM q)
-UNION ALL SELECT ctg, pos, array_to_string(v0.alt, ','), v0.dgt, v0.gq, array_to_string(v0.dpl, ','), NULL, v0.q, v0.qual FROM k WHERE kind = 'phased'
-UNION ALL SELECT ctg, pos, array_to_string(v3.alt, ','), v3.dgt, v3.gq, array_to_string(v3.dpl, ','), NULL, v3.q, v3.qual FROM k WHERE kind = 'unphased'""")
+ array_to_string([least(e - seen[1], greatest(seen[-1] - seen[1] + g, 10 * g)) FOR e IN raw], ',') AS "PL", ps AS "PS", coalesce(v0.q, coalesce(v1.q, 0) + coalesce(v2.q, 0)) AS "DP", CASE WHEN i1 > 0 AND i2 > 0 THEN v1.qual + v2.qual WHEN i1 > 0 THEN v1.qual ELSE v2.qual END AS qual,
+ CAST(v0.k % 60 AS VARCHAR) AS "MQ", NULL AS "QD", NULL AS "XR", NULL AS "XA", CASE WHEN v0.fo IS NULL THEN 0 ELSE 1 END AS fields, NULL AS "PGT", NULL AS "SB", 0 AS sample_fields, coalesce(CASE WHEN v0.k % 2 = 0 THEN v0.q END, coalesce(CASE WHEN v1.k % 2 = 0 THEN v1.q END, 0) + coalesce(CASE WHEN v2.k % 2 = 0 THEN v2.q END, 0)) AS info_dp FROM (SELECT *, CASE WHEN ps IS NULL THEN '/' ELSE '|' END AS sep FROM q)
+UNION ALL SELECT ctg, pos, array_to_string(v0.alt, ','), v0.dgt, v0.gq, array_to_string(v0.dpl, ','), NULL, v0.q, v0.qual, CAST(v0.k % 60 AS VARCHAR), CAST(v0.k % 9 AS VARCHAR), '1,2', '5', 4, NULL, CAST(v0.k AS VARCHAR), 1, CASE WHEN v0.k % 2 = 0 THEN v0.q END FROM k WHERE kind = 'phased'
+UNION ALL SELECT ctg, pos, array_to_string(v3.alt, ','), v3.dgt, v3.gq, array_to_string(v3.dpl, ','), NULL, v3.q, v3.qual, CAST(v3.k % 60 AS VARCHAR), CAST(v3.k % 9 AS VARCHAR), '1,2', '5', 4, NULL, CAST(v3.k AS VARCHAR), 1, CASE WHEN v3.k % 2 = 0 THEN v3.q END FROM k WHERE kind = 'unphased'""")
 def merge_phased(spark, sf_dir):
     rows, haploid, diploid = _calls(spark, sf_dir)
     bed = rows.select("ctg", (F.floor(F.col("pos") / 5000) * 5000).alias("start")).distinct().select("ctg", "start", (F.col("start") + 2500).alias("end"))
+    k = F.floor(F.floor(F.col("file_order") / 100_000_000) / 8)
+    fields = lambda **x: F.create_map(*[c for key, value in x.items() for c in (F.lit(key), value.cast("string"))])
+    rows = rows.withColumns({"info": fields(MQ=k % 60, QD=k % 9, XR=F.lit("1,2"), XA=F.lit("5")), "sample": fields(PGT=F.lit("0|1"), PID=F.lit("7"), SB=k), "info_dp": F.when(k % 2 == 0, F.col("DP"))})
     part = lambda k: rows.where(F.col("l_linenumber") % 4 == k)
-    merged = patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed)
-    return merged.select("ctg", "pos", F.array_join("alt", ",").alias("alt"), "GT", "GQ", F.array_join("PL", ",").alias("PL"), "PS", "DP", "qual")
+    merged = patch.merge_phased(haploid(part(0)), haploid(part(1)), diploid(part(2)), diploid(part(3)), bed, {"AF": "A", "XA": "A", "XR": "R", "MQ": "1", "QD": "1"})
+    own = [F.col("info")[c].alias(c) for c in ("MQ", "QD", "XR", "XA")] + [F.col("sample")[c].alias(c) for c in ("PGT", "SB")] + [F.size("info").alias("fields"), F.size("sample").alias("sample_fields")]
+    return merged.select("ctg", "pos", F.array_join("alt", ",").alias("alt"), "GT", "GQ", F.array_join("PL", ",").alias("PL"), "PS", "DP", "qual", *own, "info_dp")
 
 
 _BLOCKS = f"""iv AS ({_IV}), s AS (SELECT DISTINCT ctg, "start" AS pos FROM iv), t AS (SELECT *, lead(pos) OVER (PARTITION BY ctg ORDER BY pos) AS next FROM s),

@@ -13,6 +13,10 @@ from ..functions.alleles import parse_info, upto
 #: Bases in a chunk of a reference sequence.
 CHUNK = 1 << 14
 
+#: Number of reserved fields of the format's specification, for tables without a header.
+INFO_NUMBERS = {"AC": "A", "AF": "A", "AD": "R", "ADF": "R", "ADR": "R", "MLEAC": "A", "MLEAF": "A"}
+FORMAT_NUMBERS = {"AD": "R", "ADF": "R", "ADR": "R", "PL": "G", "GL": "G", "GP": "G", "PP": "G", "EC": "A"}
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
@@ -83,6 +87,14 @@ def header_lines(header: DataFrame) -> DataFrame:
     return header.where(F.col("value").rlike("^##[A-Za-z]+=<")).select(F.regexp_extract("value", "^##([A-Za-z]+)=", 1).alias("kind"), get("ID").alias("id"), get("Number").alias("number"), get("Type").alias("type"), F.col("value").alias("line"))
 
 
+def field_numbers(header: DataFrame, kind: str = "INFO", most: int = 10_000) -> dict[str, str]:
+    """Number of each field that the header declares, as a dictionary: a header does not grow with the records (over ``most`` fields are an error)."""
+    rows = header_lines(header).where(F.col("kind") == kind).select("id", "number").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a header of over {most} fields of {kind}")
+    return {r["id"]: r["number"] for r in rows}
+
+
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """``(ctg, start, end)``; comments, track lines and lines of fewer than three fields are skipped."""
     cols = F.split("value", "\t")
