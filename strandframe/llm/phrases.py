@@ -31,7 +31,7 @@ from . import bloom
 from .common import chunks, written
 
 #: Text bytes of a shard, words whose continuations a range holds (about), and ranges at most.
-SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 23, 1 << 20, 1 << 16
+SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 22, 1 << 19, 1 << 16
 #: Letters of a word by which ranges are cut.
 CUT_CHARS = 64
 
@@ -257,6 +257,7 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
             words, codes = coded(b.column("text").filter(pc.equal(b.column("lang"), lang)))
             if len(words):
                 yield lang, words, codes
+        pa.default_memory_pool().release_unused()
 
 
 def _hashes(lang: str, words: pa.Array) -> np.ndarray:

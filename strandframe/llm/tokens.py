@@ -31,6 +31,8 @@ from .common import chunks, written
 
 #: Code points of a chunk without its overlap, of an overlap, and the factor by which both widen.
 CHUNK_CHARS, OVERLAP_CHARS, WIDEN = 1 << 15, 512, 8
+#: Code points of chunks that a task encodes, about.
+TASK_CHARS = 1 << 21
 #: Units whose token counts a worker keeps, and bytes of the longest one it keeps.
 KEPT_UNITS, UNIT_BYTES = 1 << 20, 64
 
@@ -223,7 +225,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     huge = written(rows.where(~whole).withColumn("row", F.monotonically_increasing_id()), "huge")
     left, chunk, overlap = huge.select("row", "text"), chunk_chars, overlap_chars
     while left.take(1):
-        dealt = _cut(left, chunk, overlap).repartition("row", "part")
+        size = left.agg(F.sum(F.char_length("text"))).first()[0]
+        dealt = _cut(left, chunk, overlap).repartition(-(-size // TASK_CHARS), "row", "part")
         encoded = written(_encoded(dealt, path, overlap), "encoded")
         spliced = written(_spliced(encoded, path), "spliced")
         open_rows = spliced.where("extra is null").select("row").distinct()
