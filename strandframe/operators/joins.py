@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -92,31 +93,73 @@ def validate_one_sample(groups: DataFrame, sample: str | None = None, strict: bo
     return found.withColumn("valid", checked)
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, the rows of the table as bits of one integer.
+#: Letters after which a common subsequence asks whether it can still reach its threshold.
+_BLOCK = 1024
+
+
+def _lcs(a: str, b: str, least: int = 0) -> int:
+    """Length of the longest common subsequence, the rows of the table as bits of one integer; 0 if it is under ``least``.
 
     The recurrence is that of H. Hyyro, "Bit-parallel LCS-length computation revisited" (2004).
+    With ``least`` only the band is worked out in which a subsequence of that length lies
+    (it leaves out at most so many letters of either text), and the rest is given up as
+    soon as all further letters would not do.
     """
+    if len(a) < len(b):
+        a, b = b, a
     at: dict[str, int] = {}
-    for k, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << k
-    full = (1 << len(a)) - 1
-    row = full
-    for c in b:
-        match = row & at.get(c, 0)
-        row = ((row + match) | (row - match)) & full
-    return len(a) - row.bit_count()
-
-
-@F.pandas_udf(T.DoubleType())
-def lcs_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the common subsequence over both lengths; 1 for two empty texts, null for a null."""
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        return 2 * _lcs(x, y) / (len(x) + len(y)) if x or y else 1.0
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+    for c in set(a):
+        at[c] = int("".join("1" if x == c else "0" for x in reversed(a)), 2)
+    n = len(a)
+    full = row = (1 << n) - 1
+    # a letter of b at i meets letters of a from i - skip_b to i + skip_a
+    skip_a, skip_b = (n - least, len(b) - least) if least else (n, n)
+    for begin in range(0, len(b), _BLOCK):
+        block = b[begin : begin + _BLOCK]
+        low, high = max(0, begin - skip_b), min(n, begin + len(block) + skip_a)
+        full = (1 << (high - low)) - 1
+        own = {c: at[c] >> low & full for c in set(block) if c in at}
+        window = row >> low & full
+        for c in block:
+            match = window & own.get(c, 0)
+            window = ((window + match) | (window - match)) & full
+        row = (row >> high << high) | (window << low) | (row & ((1 << low) - 1))
+        if least and n - row.bit_count() + len(b) - begin - len(block) < least:
+            return 0
+    found = n - row.bit_count()
+    return found if found >= least else 0
+
+
+def similarity(a: str | None, b: str | None, threshold: float = 0.0) -> float | None:
+    """Twice the common subsequence over both lengths; 1 for two empty texts, null for a null. Under a threshold it may be 0 instead."""
+    if a is None or b is None:
+        return None
+    if a == b:
+        return 1.0
+    total = len(a) + len(b)
+    least = math.ceil(threshold * total / 2 - 1e-9)
+    if min(len(a), len(b)) < max(1, least):
+        return 0.0
+    if least and sum(min(a.count(c), b.count(c)) for c in set(a)) < least:
+        return 0.0
+    return 2 * _lcs(a, b, least) / total
+
+
+@lru_cache
+def _similarity(threshold: float):
+    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y, threshold) for x, y in zip(a, b)], dtype="float64")
+
+    return F.pandas_udf(ratios, T.DoubleType())
+
+
+def lcs_ratio(a: Column | str, b: Column | str, threshold: float = 0.0) -> Column:
+    """``similarity`` of two columns: with a threshold, the ratio where it reaches it and 0 where it does not.
+
+    Bounds by length and by the counts of letters come first, then a common subsequence
+    that works on the band in which the threshold can be reached, and stops when it can't.
+    """
+    return _similarity(threshold)(a, b)
 
 
 def ratio_bound(a: Column | str, b: Column | str, letters: str = "ACGT") -> Column:
@@ -188,5 +231,5 @@ def similar_pairs(strings: DataFrame, threshold: float, shared: int = 3) -> Data
     met = signs.join(other, "sign").where((F.col("id") < F.col("id_b")) & (2 * F.least("n", "n_b") >= threshold * total) & (differ <= (1 - threshold) * total + 1e-9)).select("id", "id_b").distinct()
     whole = met.join(classes, "id").join(classes.select(F.col("id").alias("id_b"), F.col("seq").alias("seq_b")), "id_b")
     # a generator stands between the ratio and its test, so it is worked out once
-    tried = whole.select("id", "id_b", F.explode(F.array(lcs_ratio("seq", "seq_b"))).alias("ratio"))
+    tried = whole.select("id", "id_b", F.explode(F.array(lcs_ratio("seq", "seq_b", threshold))).alias("ratio"))
     return tried.where(F.col("ratio") >= threshold).unionByName(members)

@@ -13,26 +13,29 @@ from ..functions import alleles as A
 from ..operators import filters, intervals, joins, sequence
 from ..sources.text import CHUNK, ref_slice
 
-#: Shortest sequence that can hold a repeat, and the height of a peak of its profile.
-LEAST, HEIGHT = 400, 0.95
+#: Shortest sequence that can hold a repeat, bases from lag to lag, and the height of a peak of the profile.
+LEAST, STEP, HEIGHT = 400, 100, 0.95
+#: Under this similarity nothing is taken for a match beside a call.
+UNLIKE = 0.8
 #: Share of a range that must be common, and how far a ratio of periods may be from a whole number.
 COMMON, WHOLE = 0.9, 0.1
 #: Longest insertion or deletion that is searched, and units by which an array is extended at most.
 LONGEST, MOST_STEPS = 200_000, 200
 
 
-def lag_profile(seqs: DataFrame) -> DataFrame:
+def lag_profile(seqs: DataFrame, least: int = LEAST, step: int = STEP, threshold: float = 0.0) -> DataFrame:
     """``(id, step, series)`` of ``(id, seq)``: similarity of the first n bases and the n after them, for n from two steps up to half the length and five steps more.
 
-    A step is 100 bases, 200 beyond 2,000 bases; shorter sequences than LEAST have no row.
-    Every lag is a row of its own, so long sequences spread over tasks.
+    A step is ``step`` bases, twice as many in a sequence of over 20 of them; shorter
+    sequences than ``least`` have no row. Every lag is a row of its own, so long sequences
+    spread over tasks. Similarities under ``threshold`` may be 0.
     """
     length = F.length("seq")
-    step = F.when(length > 2000, 200).otherwise(100)
-    rows = seqs.where(length >= LEAST).select("id", "seq", step.alias("step"), F.least(F.floor(length / 2) + step * 5, length - step).cast("int").alias("stop"))
+    step = F.when(length > 20 * step, 2 * step).otherwise(step)
+    rows = seqs.where(length >= least).select("id", "seq", step.alias("step"), F.least(F.floor(length / 2) + step * 5, length - step).cast("int").alias("stop"))
     rows = rows.where(F.col("stop") > 2 * F.col("step")).select("id", "seq", "step", F.explode(F.sequence(2 * F.col("step"), F.col("stop") - 1, F.col("step"))).alias("n"))
     scored = rows.select("id", "step", "n", F.substring(F.col("seq"), F.lit(1), F.col("n")).alias("a"), F.substring(F.col("seq"), F.col("n") + 1, F.col("n")).alias("b"))
-    scored = scored.repartition("id", "n").select("id", "step", "n", joins.lcs_ratio("a", "b").alias("ratio"))
+    scored = scored.repartition("id", "n").select("id", "step", "n", joins.lcs_ratio("a", "b", threshold).alias("ratio"))
     return scored.groupBy("id", "step").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "ratio"))), lambda x: x["ratio"]).alias("series"))
 
 
@@ -41,13 +44,13 @@ def first_period(seqs: DataFrame, threshold: float = 0.9) -> DataFrame:
     return _first_estimate(seqs, threshold).select("id", F.coalesce("period", "length").alias("period"))
 
 
-def _first_estimate(seqs: DataFrame, threshold: float) -> DataFrame:
+def _first_estimate(seqs: DataFrame, threshold: float, least: int = LEAST, step: int = STEP) -> DataFrame:
     """``(id, length, period)``, null where nothing repeats; without a peak the middle is tried."""
-    profile = lag_profile(seqs)
+    profile = lag_profile(seqs, least, step, min(threshold, HEIGHT))
     peaks = sequence.find_peaks(profile.select("id", "series"), distance=2, height=HEIGHT)
-    rows = seqs.where(F.length("seq") >= LEAST).select("id", F.length("seq").alias("length")).join(profile, "id", "left").join(peaks, "id", "left")
+    rows = seqs.where(F.length("seq") >= least).select("id", F.length("seq").alias("length")).join(profile, "id", "left").join(peaks, "id", "left")
     mid = F.floor(F.length("seq") / 2).cast("int")
-    halves = F.explode(F.array(joins.lcs_ratio(F.substring(F.col("seq"), F.lit(1), mid), F.substring(F.col("seq"), mid + 1, mid))))
+    halves = F.explode(F.array(joins.lcs_ratio(F.substring(F.col("seq"), F.lit(1), mid), F.substring(F.col("seq"), mid + 1, mid), threshold)))
     flat = peaks.where(F.size("peaks") == 0).select("id").join(seqs.select("id", "seq"), "id").select("id", halves.alias("half"))
     rows = rows.join(flat, "id", "left")
     middle = F.when(F.col("half") > threshold, F.array(F.floor(F.col("length") / 2) / F.col("step"))).otherwise(F.array().cast("array<double>"))
@@ -71,15 +74,15 @@ def _best_ratio(rows: DataFrame, seqs: DataFrame) -> DataFrame:
     return scored.groupBy("id", "p").agg(F.max("ratio").alias("ratio"))
 
 
-def find_periods(seqs: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """J15: ``(id, period)`` of all likely periods of ``(id, seq)``, ids being unique; the length where nothing repeats, no row for less than LEAST bases.
+def find_periods(seqs: DataFrame, threshold: float = 0.9, least: int = LEAST, step: int = STEP) -> DataFrame:
+    """J15: ``(id, period)`` of all likely periods of ``(id, seq)``, ids being unique; the length where nothing repeats, no row for less than ``least`` bases.
 
     The first estimate is refined in rounds with a finer step each, until the step of
-    every sequence is one base; then its multiples are tried. Periods shorter than LEAST
+    every sequence is one base; then its multiples are tried. Periods shorter than ``least``
     go, and so do those that lie more than 0.03 below the best, or below the threshold.
     """
-    seqs = seqs.select("id", "seq").where(F.length("seq") >= LEAST)
-    found = _first_estimate(seqs, threshold)
+    seqs = seqs.select("id", "seq").where(F.length("seq") >= least)
+    found = _first_estimate(seqs, threshold, least, step)
     whole = found.where("period is null").select("id", F.col("length").alias("period"))
     state = found.where("period is not null").withColumn("n", F.bround(F.col("length") / F.col("period")).cast("int"))
     low, high = (F.floor(F.col("length") / (F.col("n") + d)).cast("int") for d in (0.5, -0.5))
@@ -99,7 +102,7 @@ def find_periods(seqs: DataFrame, threshold: float = 0.9) -> DataFrame:
     first = state.join(own, "id", "left").select("id", "length", F.when(F.col("top") > F.col("own"), F.col("best")).otherwise(F.col("period")).alias("period"), F.greatest("top", "own").alias("ratio"))
     multiples = first.where("period * 4 <= length").select("id", "length", F.explode(F.sequence(F.lit(2), F.expr("cast(floor(length / (2 * period)) as int)"))).alias("m"), "period")
     multiples = multiples.select("id", (F.col("m") * F.col("period")).alias("p"), F.bround(F.col("length") / (F.col("m") * F.col("period"))).cast("int").alias("n"))
-    both = first.select("id", "period", "ratio").unionByName(_best_ratio(multiples, seqs).select("id", F.col("p").alias("period"), "ratio")).where(F.col("period") >= LEAST)
+    both = first.select("id", "period", "ratio").unionByName(_best_ratio(multiples, seqs).select("id", F.col("p").alias("period"), "ratio")).where(F.col("period") >= least)
     top = both.groupBy("id").agg(F.max("ratio").alias("top"), F.count("*").alias("k"))
     kept = both.join(top, "id").where((F.col("k") == 1) | (F.col("ratio") > F.greatest(F.lit(threshold), F.col("top") - 0.03)))
     return whole.unionByName(kept.select("id", "period"))
@@ -110,11 +113,11 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
 
 
-def split_alleles(v: DataFrame, threshold: float = 0.9) -> DataFrame:
+def split_alleles(v: DataFrame, threshold: float = 0.9, least: int = LEAST) -> DataFrame:
     """I27: a row for each long ALT of records with several ALTs, the shared ends taken off and GT 0/1; records with one ALT stay.
 
-    ``allele`` numbers the rows of a record (``vid``), ``insertion`` tells their kind. ``*``
-    and changes of LEAST bases or fewer give no row. Ends are shared if they are equal,
+    ``allele`` numbers the rows of a record (``vid``), ``insertion`` tells their kind,
+    ``own`` is the record's own ALT. ``*`` and changes of ``least`` bases or fewer give no row. Ends are shared if they are equal,
     short, or similar enough.
     """
     n = F.size("alt")
@@ -127,7 +130,7 @@ def split_alleles(v: DataFrame, threshold: float = 0.9) -> DataFrame:
     short, long = F.when(deletion, a).otherwise(r), F.when(deletion, r).otherwise(a)
     size = F.length(short)
     ratios = F.array(joins.lcs_ratio(short, keep_left(long, size)), joins.lcs_ratio(short, keep_right(long, size)))
-    big = F.when(deletion, (lr > LEAST) & (lr - la > LEAST)).otherwise(la - lr > LEAST)
+    big = F.when(deletion, (lr > least) & (lr - la > least)).otherwise(la - lr > least)
     rows = rows.where((F.col("__n") == 1) | big).select("*", F.explode(F.array(ratios)).alias("__r"))
     left, right = F.get("__r", F.lit(0)), F.get("__r", F.lit(1))
     near = F.least(F.lit(threshold), 1 - 5 / lr)
@@ -138,7 +141,7 @@ def split_alleles(v: DataFrame, threshold: float = 0.9) -> DataFrame:
     alt = F.when(at_left & deletion, keep_right(a, F.lit(1))).when(at_left, keep_right(a, la - lr + 1)).when(at_right & deletion, keep_left(r, F.lit(1))).when(at_right, keep_left(a, la - lr)).otherwise(a)
     moved = F.when(several & at_left, size - 1).otherwise(0)
     new = {"pos": F.col("pos") + moved, "ref": F.when(several, ref).otherwise(r), "alt": F.array(F.when(several, alt).otherwise(a)), "GT": F.when(several, "0/1").otherwise(F.col("GT"))}
-    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in v.columns], F.col("__i").alias("allele"), F.when(several, ~deletion).otherwise(la > lr).alias("insertion"))
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in v.columns], F.col("__i").alias("allele"), F.when(several, ~deletion).otherwise(la > lr).alias("insertion"), a.alias("own"))
 
 
 def extend_array(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, compat: bool = False, chunk: int = CHUNK) -> DataFrame:
@@ -158,7 +161,7 @@ def extend_array(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, com
         right = state.where("or_").select("key", "ctg", "unit", k.alias("k"), F.lit("r").alias("side"), "start", "stop").withColumn("s", F.col("stop") + (F.col("k") - 1) * size)
         tries = left.unionByName(right).select(F.concat_ws(":", "key", "side", "k").alias("try"), "key", "side", "k", "ctg", "unit", F.col("s"), F.col("s").alias("start"), (F.col("s") + size).alias("end"))
         bases = ref_slice(tries, chunks, "try", chunk)
-        scored = bases.select("key", "side", "k", "s", F.explode(F.array(joins.lcs_ratio("bases", "unit"))).alias("ratio"))
+        scored = bases.select("key", "side", "k", "s", F.explode(F.array(joins.lcs_ratio("bases", "unit", threshold))).alias("ratio"))
         bad = scored.where((F.col("ratio") < threshold) | (F.col("s") < 0)).groupBy("key").agg(F.min(F.when(F.col("side") == "l", F.col("k"))).alias("bl"), F.min(F.when(F.col("side") == "r", F.col("k"))).alias("br"))
         met = state.join(bad, "key", "left")
         end = min(begin + 7, MOST_STEPS)
@@ -169,12 +172,12 @@ def extend_array(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, com
     return rows.join(found, "key")
 
 
-def local_match(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, compat: bool = False, chunk: int = CHUNK) -> DataFrame:
+def local_match(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, compat: bool = False, chunk: int = CHUNK, step: int = STEP) -> DataFrame:
     """J16: where one period of a call (unique ``key``; ctg, pos, ref, alt string, insertion, period) lies beside it: ``start, stop, array_start, array_stop, ratio``.
 
     An insertion's first period is compared with the bases after its place and before it,
-    split at points that are tried coarse to fine; the first of the best points wins. A
-    best ratio under 0.8 at any round, or under the threshold at the end, gives no row. A
+    split at points that are tried coarse to fine, at first a fortieth of the period or
+    ``step`` bases apart; the first of the best points wins. A best ratio under UNLIKE at any round, or under the threshold at the end, gives no row. A
     deletion matches itself.
     """
     ins = rows.where("insertion").withColumn("p", F.col("period").cast("int"))
@@ -189,16 +192,16 @@ def local_match(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, comp
         """``points (key, at, rank)`` with their ratios."""
         both = points.join(near, "key")
         made = F.when(F.col("at") == F.col("p"), F.col("after")).otherwise(F.concat(F.substring(F.col("after"), F.lit(1), F.col("at")), tail(F.col("p") - F.col("at"))))
-        return both.repartition("key", "at").select("key", "at", "rank", F.explode(F.array(joins.lcs_ratio(made, "unit"))).alias("ratio"))
+        return both.repartition("key", "at").select("key", "at", "rank", F.explode(F.array(joins.lcs_ratio(made, "unit", UNLIKE))).alias("ratio"))
 
-    step = F.greatest(F.floor(F.col("p") / 40).cast("int"), F.lit(100))
+    step = F.greatest(F.floor(F.col("p") / 40).cast("int"), F.lit(step))
     points = near.select("key", F.posexplode(F.concat(F.sequence(F.lit(0), F.col("p") - 1, step), F.array("p"))).alias("rank", "at"))
     tried, steps = scored(points), near.select("key", "p", step.alias("step"))
     turn = 0
     while True:
         tried, turn = _stored(tried), turn + 1
         best = tried.groupBy("key").agg(F.max_by("at", F.struct("ratio", (-F.col("rank")).alias("r"))).alias("best"), F.max("ratio").alias("ratio"))
-        steps = _stored(steps.join(best.where("ratio >= 0.8"), "key").select("key", "p", "step", "best", "ratio"))
+        steps = _stored(steps.join(best.where(F.col("ratio") >= UNLIKE), "key").select("key", "p", "step", "best", "ratio"))
         if steps.where("step > 1").isEmpty():
             break
         half = steps.withColumn("step", F.when(F.col("step") > 1, F.floor(F.col("step") / 2).cast("int")).otherwise(F.col("step")))
@@ -214,46 +217,57 @@ def local_match(rows: DataFrame, chunks: DataFrame, threshold: float = 0.9, comp
     return extend_array(found.unionByName(own), chunks, threshold, compat, chunk).drop("unit", "ctg")
 
 
-def indel_to_cnv(v: DataFrame, chunks: DataFrame, threshold: float = 0.9, compat: bool = False, chunk: int = CHUNK) -> DataFrame:
+def unusable(v: DataFrame) -> DataFrame:
+    """``(vid, reason)`` of records that ``indel_to_cnv`` leaves out: without alleles or a place, or with a genotype that is none."""
+    gt = F.coalesce(F.col("GT").rlike(r"^([0-9]+|\.)([/|]([0-9]+|\.))*$"), F.lit(False))
+    alleles = F.col("ref").isNotNull() & (F.size("alt") > 0) & ~F.exists("alt", lambda a: a.isNull())
+    reason = F.when(F.col("ctg").isNull() | F.col("pos").isNull(), "no place").when(~F.coalesce(alleles, F.lit(False)), "no alleles").when(~gt, "no genotype")
+    return v.select("vid", reason.alias("reason")).where("reason is not null")
+
+
+def indel_to_cnv(v: DataFrame, chunks: DataFrame, threshold: float = 0.9, compat: bool = False, chunk: int = CHUNK, least: int = LEAST, step: int = STEP) -> DataFrame:
     """J13: copy-number calls ``cid, ctg, pos, end, start, stop, svtype, cndiff, period, svlen, gt, ratio`` of long insertions and deletions.
 
     ``v``: unique ``vid``, ctg, pos, end, ref, alt array, filter, GT. Opposite insertions
     are joined (F2), ALTs split (I27), periods found (J15) and matched beside the call
     (J16); of several the best stays (F6), and overlapping calls are folded (F3). Two ALTs
     of one kind with like periods count as one homozygous call. Deletions beyond LONGEST
-    bases become calls as they are, save in ``compat``, where such a record alone gives
-    none; insertions beyond it give none. What lies apart from its call is not searched for.
+    bases become calls as they are, save in ``compat``, where they do so only beside an ALT
+    of the record that has a period; insertions beyond it give none. What lies apart from
+    its call is not searched for. Records that can't be worked on give no row: ``unusable``
+    tells which.
     """
-    rows = filters.qualifying_sv(v, LEAST)
+    rows = filters.qualifying_sv(v.join(unusable(v).select("vid"), "vid", "left_anti"), least)
     rows = sequence.merge_opposite_phase(rows.select("vid", "ctg", "pos", "end", "ref", "alt", "GT"), chunks, chunk=chunk)
-    calls = _stored(split_alleles(rows, threshold).withColumn("alt", F.get("alt", F.lit(0))).withColumn("key", F.concat_ws(":", "vid", "allele")))
+    calls = _stored(split_alleles(rows, threshold, least).withColumn("alt", F.get("alt", F.lit(0))).withColumn("key", F.concat_ws(":", "vid", "allele")))
     change = F.abs(F.length("alt") - F.length("ref"))
     total = A.allele_count("GT")
     seq = F.when(F.col("insertion"), F.col("alt")).otherwise(F.substring("ref", 2, 1 << 30))
-    fits = (change >= LEAST) & F.when(F.col("insertion"), F.length("alt") <= LONGEST).otherwise(change <= LONGEST)
-    periods = _stored(find_periods(calls.where(fits).select(F.col("key").alias("id"), seq.alias("seq")), threshold).select(F.col("id").alias("key"), "period"))
+    fits = (change >= least) & F.when(F.col("insertion"), F.length("alt") <= LONGEST).otherwise(change <= LONGEST)
+    periods = _stored(find_periods(calls.where(fits).select(F.col("key").alias("id"), seq.alias("seq")), threshold, least, step).select(F.col("id").alias("key"), "period"))
     # two ALTs of one kind: of like periods the shorter one, and the longer ALT, as a homozygous call
-    two = calls.join(periods, "key").select("vid", "allele", "insertion", "alt", "period", "key")
+    two = calls.join(periods, "key").select("vid", "allele", "insertion", "alt", "own", "period", "key")
     a, b = two.alias("a"), two.alias("b")
     same = a.join(b, (F.col("a.vid") == F.col("b.vid")) & (F.col("a.allele") < F.col("b.allele")) & (F.col("a.insertion") == F.col("b.insertion")) & (F.abs(F.col("a.period") / F.col("b.period") - 1) <= 0.05))
     shorter = F.least("a.period", "b.period")
-    same = same.select(F.col("a.vid").alias("vid"), F.col("a.key").alias("ka"), F.col("b.key").alias("kb"), F.when(F.length("b.alt") > F.length("a.alt"), F.col("b.key")).otherwise(F.col("a.key")).alias("stays"), shorter.alias("p"), F.explode(F.array(joins.lcs_ratio(F.substring(F.col("a.alt"), F.lit(1), shorter.cast("int")), F.substring(F.col("b.alt"), F.lit(1), shorter.cast("int"))))).alias("ratio"))
+    same = same.select(F.col("a.vid").alias("vid"), F.col("a.key").alias("ka"), F.col("b.key").alias("kb"), F.when(F.length("b.alt") > F.length("a.alt"), F.col("b.key")).otherwise(F.col("a.key")).alias("stays"), shorter.alias("p"), F.explode(F.array(joins.lcs_ratio(F.substring(F.col("a.own"), F.lit(1), shorter.cast("int")), F.substring(F.col("b.own"), F.lit(1), shorter.cast("int")), threshold))).alias("ratio"))
     same = _stored(same.where(F.col("ratio") > 1 - (1 - threshold) / 2))
     pairs = same.select("stays", F.explode(F.array("ka", "kb")).alias("key")).groupBy("key").agg(F.min("stays").alias("stays"))
     kept = calls.join(pairs, "key", "left").where("stays is null or stays = key").withColumn("GT", F.when(F.col("stays").isNotNull(), "1/1").otherwise(F.col("GT")))
     tried = kept.where("stays is null").join(periods, "key").unionByName(kept.where("stays is not null").join(same.select(F.col("stays").alias("key"), F.col("p").alias("period")).distinct(), "key"))
     tried = _stored(tried.drop("stays").withColumns({"call": F.col("key"), "key": F.concat_ws(":", "key", "period")}))
-    matched = local_match(tried.select("key", "ctg", "pos", "ref", "alt", "insertion", "period"), chunks, threshold, compat, chunk)
+    matched = local_match(tried.select("key", "ctg", "pos", "ref", "alt", "insertion", "period"), chunks, threshold, compat, chunk, step)
     ranked = tried.join(matched, "key").withColumns({"matched": F.col("period").cast("long"), "rank": F.col("period").cast("long")})
     best = sequence.best_period(ranked.select("call", "key", "ratio", "matched", "rank", "vid", "ctg", "pos", "ref", "alt", "GT", "insertion", "period", "start", "stop", "array_start", "array_stop"), "call")
     covered = F.greatest(F.lit(0), F.least(F.col("pos") + F.length("ref"), F.col("array_stop")) - F.greatest("pos", "array_start"))
     copies = F.bround(F.when(F.col("insertion"), F.length("alt")).otherwise(covered) / F.col("period")).cast("int")
     sign = F.when(F.col("insertion"), 1).otherwise(-1)
-    made = best.where(F.col("period") >= LEAST).select(F.col("call").alias("cid"), "ctg", F.col("start").alias("pos"), F.col("stop").alias("end"), (F.col("array_start") + 1).alias("start"), (F.col("array_stop") + 1).alias("stop"), F.when(F.col("insertion"), "DUP").otherwise("DEL").alias("svtype"), (copies * total * sign).cast("int").alias("cndiff"), F.col("period").cast("int").alias("period"), F.col("period").cast("int").alias("svlen"), F.col("GT").alias("gt"), "ratio")
-    if not compat:
-        huge = calls.where(~F.col("insertion") & (change > LONGEST))
-        stop = F.col("pos") + F.length("ref")
-        made = made.unionByName(huge.select(F.col("key").alias("cid"), "ctg", "pos", (stop - 1).alias("end"), (F.col("pos") + 1).alias("start"), stop.alias("stop"), F.lit("DEL").alias("svtype"), (-total).cast("int").alias("cndiff"), change.cast("int").alias("period"), change.cast("int").alias("svlen"), F.col("GT").alias("gt"), F.lit(1.0).alias("ratio")))
+    made = best.where(F.col("period") >= least).select(F.col("call").alias("cid"), "ctg", F.col("start").alias("pos"), F.col("stop").alias("end"), (F.col("array_start") + 1).alias("start"), (F.col("array_stop") + 1).alias("stop"), F.when(F.col("insertion"), "DUP").otherwise("DEL").alias("svtype"), (copies * total * sign).cast("int").alias("cndiff"), F.col("period").cast("int").alias("period"), F.col("period").cast("int").alias("svlen"), F.col("GT").alias("gt"), "ratio")
+    huge = calls.where(~F.col("insertion") & (change > LONGEST))
+    if compat:
+        huge = huge.join(calls.join(periods.select("key").distinct(), "key").select("vid").distinct(), "vid", "left_semi")
+    stop = F.col("pos") + F.length("ref")
+    made = made.unionByName(huge.select(F.col("key").alias("cid"), "ctg", "pos", (stop - 1).alias("end"), (F.col("pos") + 1).alias("start"), stop.alias("stop"), F.lit("DEL").alias("svtype"), (-total).cast("int").alias("cndiff"), change.cast("int").alias("period"), change.cast("int").alias("svlen"), F.col("GT").alias("gt"), F.lit(1.0).alias("ratio")))
     return merge_output(made)
 
 

@@ -17,7 +17,7 @@ class Gone:
             raise ModuleNotFoundError(name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as entry
-from strandframe.plans import queries
+from strandframe.plans import fields, queries, repeats  # noqa: F401
 assert entry.queries() == queries.QUERIES and entry.oracle_sql() == queries.SQL and len(queries.QUERIES) >= 77
 assert not any(x.startswith("strandframe.llm") for x in sys.modules)
 """

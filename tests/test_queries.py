@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 from . import oracle
-from strandframe.plans import fields, queries  # noqa: F401
+from strandframe.plans import fields, queries, repeats  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
