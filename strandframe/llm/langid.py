@@ -1,9 +1,9 @@
 """Language identification by interpolated Kneser-Ney character models in sorted hash arrays.
 
 Words of letters, in lower case and between two boundary marks, are scored character by
-character. A model keeps, for each order, the sorted hashes of the n-grams of all
-languages with one column of log probabilities per language (the back-off is worked out
-when it is trained), and the sorted hashes of the contexts with the back-off weights.
+character. A language has, for each order, the sorted hashes of its own n-grams with their
+log probabilities (the back-off is worked out when it is trained), and the sorted hashes
+of its contexts with the back-off weights.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from pyspark.sql.window import Window
 from .common import chunks, positional, written
 
 _WORDS = re.compile(r"[^\W\d_]+")
-#: Documents for each language and bytes of a document that training takes (of a language with longer texts only, its shortest), and different words for each language.
-SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WORDS = 800, 1 << 16, 100_000
+#: Documents for each language that training takes, bytes over which it takes one only for want of shorter ones, different words for each language, and of all languages together.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WORDS, ALL_WORDS = 800, 1 << 16, 100_000, 2_000_000
+#: Stretches of five words of a document that tell how short texts spread.
+STRETCHES = 100
 ORDER = 5
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 200_000
@@ -78,73 +80,67 @@ def _counts(words: Counter) -> list[dict]:
 
 
 class Model:
-    """Languages, n-gram tables and, for rejection, the cross-entropy that documents of a language have."""
+    """Languages, each with its tables by order and, for rejection, the cross-entropy that its documents have."""
 
     def __init__(self, words: dict[str, Counter]):
         self.languages = sorted(words)
         counts = [_counts(words[k]) for k in self.languages]
-        size = len(self.languages)
         self.floor = -np.log(max([1, *(len(c[1]["g"]) for c in counts)]) + 1.0)
-        self.grams: list = [None]
-        self.log_p: list = [np.full((1, size), self.floor)]
-        self.contexts: list = [None]
-        self.log_back: list = [None]
-        for n in range(1, ORDER + 1):
-            g = np.unique(np.concatenate([c[n]["g"] for c in counts]))
-            ctx = np.unique(np.concatenate([c[n]["ctx"] for c in counts]))
-            lower = np.full((len(g), size), self.floor)
-            back = np.zeros((len(ctx), size))
-            own_ctx = np.zeros(len(g), np.int64)
-            direct = np.zeros((len(g), size))
-            for k, c in enumerate(counts):
-                c = c[n]
-                i, j = _find(g, c["g"]), _find(ctx, c["ctx"])
-                own_ctx[i] = j
-                if n > 1:
-                    lower[i] = self.log_p[n - 1][_find(self.grams[n - 1], c["suf"])]
-                total, kinds = np.bincount(j, c["count"], len(ctx)), np.bincount(j, minlength=len(ctx))
-                seen = total > 0
-                back[seen, k] = np.log(c["d"] * kinds[seen] / total[seen])
-                direct[i, k] = np.maximum(c["count"] - c["d"], 0) / total[j]
-            self.grams.append(g)
-            self.contexts.append(ctx)
-            self.log_back.append(back)
-            self.log_p.append(np.log(direct + np.exp(back[own_ctx] + lower)))
+        self.tables = [self._table(c) for c in counts]
         self.usual: dict[str, tuple[float, float, float]] = {}
 
+    def _table(self, counts: list[dict]) -> list[tuple[np.ndarray, ...]]:
+        """For orders from 1: n-grams and their log probabilities, contexts and their back-off weights."""
+        out: list[tuple[np.ndarray, ...]] = []
+        for n in range(1, ORDER + 1):
+            c = counts[n]
+            ctx, j = np.unique(c["ctx"], return_inverse=True)
+            total, kinds = np.bincount(j, c["count"], len(ctx)), np.bincount(j, minlength=len(ctx))
+            back = np.log(c["d"] * kinds / total) if len(ctx) else np.zeros(0)
+            lower = np.full(len(c["g"]), self.floor)
+            if n > 1:
+                at = _find(out[-1][0], c["suf"])
+                lower = np.where(at >= 0, out[-1][1][at], self.floor) if len(out[-1][0]) else lower
+            log_p = np.log(np.maximum(c["count"] - c["d"], 0) / total[j] + np.exp(back[j] + lower))
+            out.append((c["g"], log_p, ctx, back))
+        return out
+
     def score_words(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         hashes, word, place = _grams(words)
         targets = np.flatnonzero(place >= 1)
-        total = np.zeros((len(targets), len(self.languages)))
-        left = np.arange(len(targets))
-        for n in range(ORDER, 0, -1):
-            at = targets[left]
-            whole = place[at] >= n - 1
-            found = np.where(whole, _find(self.grams[n], hashes[n][at]), -1)
-            hit = found >= 0
-            total[left[hit]] += self.log_p[n][found[hit]]
-            missed = whole & ~hit
-            ctx = _find(self.contexts[n], hashes[n - 1][at[missed] - 1])
-            total[left[missed]] += np.where((ctx >= 0)[:, None], self.log_back[n][ctx], 0)
-            left = left[~hit]
-        total[left] += self.floor
-        out = np.zeros((len(words), len(self.languages)))
+        # each different n-gram is looked up once in a language, in the order of the hashes
+        grams = [np.unique(h[targets], return_inverse=True) for h in hashes]
+        contexts = [np.unique(h[targets - 1], return_inverse=True) for h in hashes]
         ends = np.cumsum(np.bincount(word[targets], minlength=len(words)))
-        sums = np.vstack([np.zeros(len(self.languages)), np.cumsum(total, axis=0)])
-        out[:] = sums[ends] - sums[np.r_[0, ends[:-1]]] if len(words) else 0
+        out = np.zeros((len(words), len(self.languages)))
+        for k, table in enumerate(self.tables):
+            total, left = np.zeros(len(targets)), np.arange(len(targets))
+            for n in range(ORDER, 0, -1):
+                g, log_p, ctx, back = table[n - 1]
+                whole = place[targets[left]] >= n - 1
+                found = np.where(whole, _find(g, grams[n][0])[grams[n][1][left]], -1)
+                hit = found >= 0
+                total[left[hit]] += log_p[found[hit]]
+                missed = left[whole & ~hit]
+                at = _find(ctx, contexts[n - 1][0])[contexts[n - 1][1][missed]]
+                if len(back):
+                    total[missed] += np.where(at >= 0, back[at], 0)
+                left = left[~hit]
+            total[left] += self.floor
+            sums = np.r_[0, np.cumsum(total)]
+            if len(words):
+                out[:, k] = sums[ends] - sums[np.r_[0, ends[:-1]]]
         return out
 
-    def calibrate(self, docs: list[tuple[str, list[str]]]) -> None:
-        """From documents that were not counted: mean cross-entropy, its deviation by document and, of short stretches, by character."""
-        scorer = Scorer(self)
-        for k, lang in enumerate(self.languages):
-            own = [w for name, w in docs if name == lang]
-            whole = np.array([-p[k] / n for p, n in scorer(own) if n])
-            parts = [(-p[k] / n, n) for p, n in scorer([w[i : i + 5] for w in own for i in range(0, min(len(w), 500), 5)]) if n]
-            if len(whole):
+    def calibrate(self, found: list[tuple[str, float, list[float], list[int]]]) -> None:
+        """From documents that were not counted, each ``(language, cross-entropy, that of its stretches, their lengths)``: mean, deviation by document and by character."""
+        for lang in self.languages:
+            own = [x for x in found if x[0] == lang]
+            if own:
+                whole = np.array([x[1] for x in own])
                 spread = whole.std() if len(whole) > 1 else 0.5
-                h, n = np.array(parts).T
+                h, n = (np.concatenate([np.array(x[i], float) for x in own]) for i in (2, 3))
                 by_char = float(np.sqrt(np.mean((h - whole.mean()) ** 2 * n)))
                 self.usual[lang] = (float(whole.mean()), float(max(spread, 0.05)), max(by_char, 2.5))
 
@@ -171,42 +167,57 @@ class Scorer:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", keep=None, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """A model from about ``sample_docs`` documents of each language (whole texts), chosen by a hash of the text.
+    """A model from at most ``sample_docs`` documents of each language (whole texts), the first by a hash of the text; those of over SAMPLE_BYTES only where shorter ones are too few.
 
     ``keep``: a condition on rows that may be learned from. Copies count once. Words are
-    counted in tasks, and the SAMPLE_WORDS most frequent of a language reach the driver. One
-    in five of the sample only calibrates. Rows without a text or language teach nothing;
-    no such row: None.
+    counted in tasks; the most frequent of a language reach the driver, SAMPLE_WORDS at
+    most and ALL_WORDS of all languages together. One in five of the sample only
+    calibrates, unless the language has no other. Rows without a text or language teach
+    nothing; no such row: None.
     """
+    spark = docs.sparkSession
     size = F.octet_length(text_col)
     rows = docs.where(F.col(label_col).isNotNull() & (size > 0))
     rows = (rows if keep is None else rows.where(keep)).select(F.col(label_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), size.alias("size"))
-    counts = rows.groupBy("lang").agg(F.min("size").alias("least"), F.count_if(F.col("size") <= SAMPLE_BYTES).alias("n"), F.count("*").alias("whole")).collect()
-    part = F.lit(False)
-    for r in counts:
-        share = min(1.0, sample_docs / (r["n"] or r["whole"]))
-        part = part | ((F.col("lang") == r["lang"]) & (F.col("size") <= max(SAMPLE_BYTES, r["least"])) & (F.pmod("h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))))
-    sample = written(rows.where(part).dropDuplicates(["lang", "h"]).select("lang", "text", "h"), "sample")
+    # each task keeps the first documents of its languages, so no language is gathered in one
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("size") > SAMPLE_BYTES, "h"))
+    keys = rows.groupBy("lang", "h").agg(F.min("size").alias("size")).withColumn("k", first).where(F.col("k") <= sample_docs)
+    counting = F.max(F.col("h") % 5 != 0).over(Window.partitionBy("lang"))
+    keys = written(keys.select("lang", "h", (counting & (F.col("h") % 5 == 0)).alias("test")), "keys")
+    sample = written(rows.join(keys, ["lang", "h"]).select("lang", "h", "test", "text").dropDuplicates(["lang", "h"]), "sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = Counter((lang, w) for lang, t, h in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "h"))) if h % 5 for w in words_of(t))
+        for b in chunks(batches, "text"):
+            found = Counter((lang, w) for lang, t in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()) for w in words_of(t))
             cols = [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(found.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["lang", "word", "n"])
 
-    counted = sample.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = written(sample.where("not test").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "counted")
+    languages = counted.select("lang").distinct().count()
+    most = min(SAMPLE_WORDS, ALL_WORDS // max(1, languages))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    top = counted.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "word", "n").toArrow()
     words: dict[str, Counter] = {}
-    for r in counted.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_WORDS).collect():
-        words.setdefault(r["lang"], Counter())[r["word"]] = r["n"]
-    tests = [(r["lang"], found) for r in sample.where("h % 5 = 0").select("lang", "text").orderBy("lang", "h").collect() if (found := words_of(r["text"]))]
-    for lang, found in tests:  # a language of so few documents that all are to calibrate
-        if lang not in words:
-            words[lang] = Counter(found)
+    for lang, word, n in zip(*(top.column(c).to_pylist() for c in ("lang", "word", "n"))):
+        words.setdefault(lang, Counter())[word] = n
     if not words:
         return None
     model = Model(words)
-    model.calibrate(tests)
+    shared = spark.sparkContext.broadcast(model)
+
+    def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        at = {x: k for k, x in enumerate(shared.value.languages)}
+        for b in chunks(batches, "text"):
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                own = words_of(text) if lang in at else []
+                if own:
+                    (p, n), *parts = scorer([own, *(own[i : i + 5] for i in range(0, min(len(own), 5 * STRETCHES), 5))])
+                    k = at[lang]
+                    yield pa.RecordBatch.from_pydict({"lang": [lang], "h": [-p[k] / n], "parts": [[float(-q[k] / m) for q, m in parts]], "sizes": [[m for _, m in parts]]})
+
+    tests = sample.where("test").mapInArrow(tried, "lang string, h double, parts array<double>, sizes array<long>").orderBy("lang", "h").toArrow()
+    model.calibrate(list(zip(*(tests.column(c).to_pylist() for c in ("lang", "h", "parts", "sizes")))))
     return model
 
 

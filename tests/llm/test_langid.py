@@ -100,3 +100,18 @@ def test_many_languages_each_get_a_model(spark):
     rows = [(k, f"{chr(97 + k % 26)}{chr(97 + k // 26)}k word of this language", f"l{k:03d}") for k in range(260)]
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert len(model.languages) == 260
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    long = [(k, "la maison est dans la rue et le chat dort " * (1700 + k), "fr") for k in range(12)]
+    rows = long + [(100 + k, f"the house is in the street and the cat sleeps {'x' * (k % 7)} again", "en") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_docs=10)
+    assert model.languages == ["en", "fr"] and all(len(t.encode()) > langid.SAMPLE_BYTES for _, t, _ in long)
+    got = langid.identify(docs, model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
+def test_tables_hold_a_language_s_own_n_grams_only():
+    model = langid.Model({"a": Counter({"banana": 3}), "b": Counter({w: 1 for w in ("zebra", "cabbage", "house", "garden")})})
+    assert len(model.tables[0][4][0]) < len(model.tables[1][4][0]) / 2
