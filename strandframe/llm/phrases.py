@@ -31,7 +31,7 @@ from . import bloom
 from .common import chunks, written
 
 #: Text bytes of a shard, words whose continuations a range holds (about), and ranges at most.
-SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 22, 1 << 19, 1 << 16
+SHARD_BYTES, RANGE_WORDS, MOST_RANGES = 1 << 22, 1 << 20, 1 << 16
 #: Letters of a word by which ranges are cut.
 CUT_CHARS = 64
 
@@ -169,10 +169,15 @@ def composed(asked: Transducer, counts: Transducer) -> Transducer:
     return trimmed(words, grams)
 
 
-def _read(table: pa.Table | pa.RecordBatch, i: int) -> Transducer:
+def _read(table: pa.Table | pa.RecordBatch) -> list[Transducer]:
+    """The transducers of the rows, which share the table's memory."""
     cols = [table.column(c) for c in _NAMES]
-    values = [(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c)[i].values for c in cols]
-    return Transducer(values[0], *(v.to_numpy() for v in values[1:]))
+    cols = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols]
+    out = []
+    for i in range(table.num_rows):
+        values = [c[i].values for c in cols]
+        out.append(Transducer(values[0], *(v.to_numpy() for v in values[1:])))
+    return out
 
 
 def _columns(found: list[Transducer]) -> list[pa.Array]:
@@ -278,7 +283,7 @@ def _united(rows: DataFrame, least: int) -> DataFrame:
     """Transducers of a range and language as one."""
 
     def run(table: pa.Table) -> pa.Table:
-        t = united([_read(table, i) for i in range(table.num_rows)], least)
+        t = united(_read(table), least)
         return pa.Table.from_arrays([table.column("range").slice(0, 1), table.column("lang").slice(0, 1), *_columns([t])], ["range", "lang", *_NAMES])
 
     return rows.groupBy("range", "lang").applyInArrow(run, f"range long, lang string, {_TABLE}")
@@ -358,8 +363,7 @@ def counts(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: s
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, lang in enumerate(b.column("lang").to_pylist()):
-                t = _read(b, i)
+            for lang, t in zip(b.column("lang").to_pylist(), _read(b)):
                 h, g = _hashes(lang, t.words), t.grams()[1][0] if len(t.grams()) > 1 else np.zeros((0, 2), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(_joined(h[g[:, 0]], h[g[:, 1]]).view(np.int64))], ["h"])
 
@@ -401,8 +405,7 @@ def scored(table: DataFrame, ranges: Ranges, share: int = 50) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, (origin, lang) in enumerate(zip(b.column("range").to_pylist(), b.column("lang").to_pylist())):
-                t = _read(b, i)
+            for origin, lang, t in zip(b.column("range").to_pylist(), b.column("lang").to_pylist(), _read(b)):
                 found = shared.value.split(lang, t.words, _asked(t))
                 k = len(found)
                 yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([lang] * k, pa.string()), pa.array([origin] * k, pa.int64()), *_columns([x for _, x in found])], ["range", "lang", "origin", *_NAMES])
@@ -410,7 +413,7 @@ def scored(table: DataFrame, ranges: Ranges, share: int = 50) -> DataFrame:
     def answer(counts: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
         if counts.num_rows and asked.num_rows:
-            own, parts = _read(counts, 0), [_read(asked, i) for i in range(asked.num_rows)]
+            (own,), parts = _read(counts), _read(asked)
             out = [(to, "counts", composed(p, own)) for to, p in zip(asked.column("origin").to_pylist(), parts)]
             out.append((counts.column("range")[0].as_py(), "longer", united(parts, most=True)))
         lang = counts.column("lang")[0].as_py() if counts.num_rows else ""
@@ -420,8 +423,9 @@ def scored(table: DataFrame, ranges: Ranges, share: int = 50) -> DataFrame:
     def score(counts: pa.Table, answers: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if counts.num_rows:
-            t, kinds = _read(counts, 0), answers.column("kind").to_pylist()
-            parts = {k: united([_read(answers, i) for i, x in enumerate(kinds) if x == k], most=True) if k in kinds else None for k in ("counts", "longer")}
+            (t,), kinds = _read(counts), answers.column("kind").to_pylist()
+            found = list(zip(kinds, _read(answers)))
+            parts = {k: united([p for x, p in found if x == k], most=True) if k in kinds else None for k in ("counts", "longer")}
             table = {k: _weights(p) for k, p in parts.items()}
             words, lang = t.words.to_pylist(), counts.column("lang")[0].as_py()
             for g, w in t.grams()[1:]:

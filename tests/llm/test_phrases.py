@@ -112,7 +112,7 @@ def test_small_ranges_are_many_and_hold_each_n_gram_once(spark, docs):
     table, ranges, _ = phrases.counts(frame, least=6, range_words=40)
     assert len(ranges.keys) > 10 and len({k[:2] for k in ranges.keys}) < len(ranges.keys)
     rows = table.toArrow()
-    found = [(lang, g) for i, lang in enumerate(rows.column("lang").to_pylist()) for g in as_dict(phrases._read(rows, i))]
+    found = [(lang, g) for i, lang in enumerate(rows.column("lang").to_pylist()) for g in as_dict(phrases._read(rows)[i])]
     assert len(found) == len(set(found)) > 20 and table.count() > 5
 
 
