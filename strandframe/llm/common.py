@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Text bytes that a Python worker holds as words or shingles at a time (a longer text is a chunk of its own).
 CHUNK_BYTES = 1 << 20
@@ -47,6 +48,20 @@ def positional(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
 
+def sums_before(df: DataFrame, keys: list[str], order: str, value: str, name: str, width: int = 1024) -> DataFrame:
+    """``df`` (one row for ``keys`` and ``order``, a long from 0) and ``name``: the sum of ``value`` over the rows of the same keys before it.
+
+    Sums run in two levels, within stretches of ``width`` and over the stretches, so that
+    a task holds a stretch or one row for each stretch of a key.
+    """
+    rows = df.withColumn("__stretch", F.expr(f"`{order}` div {width}"))
+    whole = rows.groupBy(*keys, "__stretch").agg(F.sum(value).alias("__sum"))
+    over = Window.partitionBy(*keys) if keys else Window
+    base = whole.withColumn("__base", F.sum("__sum").over(over.orderBy("__stretch")) - F.col("__sum")).drop("__sum")
+    inner = F.sum(value).over(Window.partitionBy(*keys, "__stretch").orderBy(order)) - F.col(value)
+    return rows.withColumn("__inner", inner).join(base, [*keys, "__stretch"]).withColumn(name, F.col("__base") + F.col("__inner")).drop("__stretch", "__inner", "__base")
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of ``column`` each, and one row at least."""
     for batch in batches:

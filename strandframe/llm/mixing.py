@@ -9,6 +9,7 @@ got never differs from its share by a whole block.
 from __future__ import annotations
 
 import heapq
+from array import array
 from dataclasses import dataclass
 from fractions import Fraction
 from math import lcm
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import positional, sums_before, written
 
 #: Bytes of a block, slots in a period of the schedule, and sources at most.
 BLOCK_BYTES, PERIOD, MOST_SOURCES = 1 << 16, 4096, 1024
-#: Parts of a source whose sizes are summed side by side.
-PARTS = 256
+#: Blocks at most: beyond, blocks grow instead, so the schedule has a size that does not grow with the text (8 bytes a block, and 4096 slots for each source that ends).
+MOST_BLOCKS = 1 << 21
+#: Rows of a source whose sizes are summed in one go, about.
+PART_ROWS = 1024
 
 
 def quanta(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -53,7 +56,7 @@ def windows(j: np.ndarray, n, period) -> tuple[np.ndarray, np.ndarray]:
 def schedule(weights: dict[str, int], slots: int) -> dict[str, np.ndarray]:
     """Slots of each source's blocks among the first ``slots``, the earliest deadline first (ties: the source's name)."""
     total = sum(weights.values())
-    out: dict[str, list[int]] = {s: [] for s in weights}
+    out = {s: array("q") for s in weights}
     later, ready = [(0, s, 0) for s in weights], []
     heapq.heapify(later)
     for t in range(slots):
@@ -64,7 +67,7 @@ def schedule(weights: dict[str, int], slots: int) -> dict[str, np.ndarray]:
             _, s, j = heapq.heappop(ready)
             out[s].append(t)
             heapq.heappush(later, ((j + 1) * total // weights[s], s, j + 1))
-    return {s: np.array(at, np.int64) for s, at in out.items()}
+    return {s: np.frombuffer(at, np.int64) if at else np.zeros(0, np.int64) for s, at in out.items()}
 
 
 def period_slots(shares: dict[str, int], period: int) -> dict[str, np.ndarray]:
@@ -113,17 +116,23 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     ``block_offset`` to read the mix. ``weights`` (default: the square root of each
     source's size) must name every source, with positive values; null is the source
     ``""``. Input columns with the names of new ones are replaced. Sources number
-    MOST_SOURCES at most. Windows count from the start of a source's phase.
+    MOST_SOURCES at most. Windows count from the start of a source's phase. A text of over
+    MOST_BLOCKS blocks in all has blocks of a MOST_BLOCKSth of its bytes instead.
     """
     new = ["block", "release", "deadline", "slot", "block_offset"]
     kept = [c for c in docs.columns if c not in new]
-    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
-    rows = docs.select(*kept, F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("__source"), size.alias("__size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__hash"), F.monotonically_increasing_id().alias("__row"))
-    rows = rows.withColumn("__part", F.pmod(F.xxhash64("__hash", "__row"), F.lit(PARTS)))
-    sums = written(rows.groupBy("__source", "__part").agg(F.sum("__size").alias("bytes")), "sizes")
-    totals = {r["__source"]: r["bytes"] for r in sums.groupBy("__source").agg(F.sum("bytes").alias("bytes")).limit(MOST_SOURCES + 1).collect()}
+    own = positional(docs)
+    named = dict(zip(docs.columns, own.columns))
+    text = F.col(named[text_col])
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+    rows = own.select(*[named[c] for c in kept], F.coalesce(F.col(named[source_col]).cast("string"), F.lit("")).alias("source"), size.alias("size"), F.xxhash64(F.col(named[id_col]), text).alias("hash"), F.monotonically_increasing_id().alias("row"))
+    parts = -(-max(1, docs.count()) // PART_ROWS)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("hash", "row"), F.lit(parts)))
+    sums = written(rows.groupBy("source", "part").agg(F.sum("size").alias("bytes")), "sizes")
+    totals = {r["source"]: r["bytes"] for r in sums.groupBy("source").agg(F.sum("bytes").alias("bytes")).limit(MOST_SOURCES + 1).collect()}
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
+    block_bytes = max(block_bytes, -(-sum(totals.values()) // MOST_BLOCKS))
     if weights is None:
         weights = {s: n**0.5 for s, n in totals.items()}
     if bad := [s for s in totals if not weights.get(s, 0) > 0]:
@@ -147,17 +156,18 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
                 out[2, at[i]] = start[x] + slots[x][y]
         return pd.DataFrame(out.T, columns=["release", "deadline", "slot"])
 
-    before = sums.select("__source", "__part", (F.sum("bytes").over(Window.partitionBy("__source").orderBy("__part")) - F.col("bytes")).alias("__before"))
-    inner = F.sum("__size").over(Window.partitionBy("__source", "__part").orderBy("__hash", "__row").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__size")
-    placed = rows.withColumn("__inner", inner).join(F.broadcast(before), ["__source", "__part"]).withColumn("__at", F.col("__before") + F.col("__inner"))
-    placed = placed.withColumn("block", F.expr(f"__at div {block_bytes}")).withColumn("block_offset", F.col("__at") % block_bytes)
-    placed = placed.withColumn("__times", scheduled("__source", "block"))
-    return placed.select(*kept, "block", *[F.col(f"__times.{c}").alias(c) for c in ("release", "deadline", "slot")], "block_offset")
+    before = sums_before(sums, ["source"], "part", "bytes", "before").drop("bytes")
+    inner = F.sum("size").over(Window.partitionBy("source", "part").orderBy("hash", "row").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    placed = rows.withColumn("inner", inner).join(before, ["source", "part"]).withColumn("at", F.col("before") + F.col("inner"))
+    placed = placed.withColumn("block", F.expr(f"at div {block_bytes}")).withColumn("times", scheduled("source", "block"))
+    out = placed.select(*[named[c] for c in kept], "block", "times.release", "times.deadline", "times.slot", F.col("at") % block_bytes)
+    return out.toDF(*kept, *new)
 
 
-def in_order(docs: DataFrame, **options) -> DataFrame:
+def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """All rows of ``docs`` with their own columns, dealt to files by slot and sorted there: reading the files in order reads the mix."""
-    names = {c: f"__own_{c}" for c in ("block", "release", "deadline", "slot", "block_offset") if c in docs.columns}
-    mixed = mix(docs.withColumnsRenamed(names), **{k: names.get(v, v) if isinstance(v, str) else v for k, v in options.items()})
+    own = positional(docs)
+    named = dict(zip(docs.columns, own.columns))
+    mixed = mix(own, id_col=named[id_col], text_col=named[text_col], source_col=named[source_col], **options)
     mixed = mixed.repartitionByRange("slot", "block_offset").sortWithinPartitions("slot", "block_offset")
-    return mixed.drop("block", "release", "deadline", "slot", "block_offset").withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
+    return mixed.select(*own.columns).toDF(*docs.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, written
+from .common import chunks, sums_before, written
 
 #: Pieces in a group that is packed on its own, about.
 GROUP_PIECES = 4096
@@ -118,10 +118,9 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
 def _stretches(rows: DataFrame, group_pieces: int) -> DataFrame:
     """``rows`` and ``__group``: consecutive stretches of ``group_pieces`` rows in the order of ``place``, a struct that begins with ``slot``."""
     rows = rows.withColumn("__slot", F.col("place.slot"))
-    before = rows.groupBy("__slot").count()
-    before = before.select("__slot", (F.sum("count").over(Window.orderBy("__slot")) - F.col("count")).alias("__before"))
+    before = sums_before(written(rows.groupBy("__slot").count(), "slots"), [], "__slot", "count", "__before").drop("count")
     rank = F.row_number().over(Window.partitionBy("__slot").orderBy("place", "id", "start", "__row")) - 1
-    ranked = rows.withColumn("__rank", rank).join(F.broadcast(before), "__slot")
+    ranked = rows.withColumn("__rank", rank).join(before, "__slot")
     return ranked.withColumn("__group", F.expr(f"(__before + __rank) div {group_pieces}"))
 
 

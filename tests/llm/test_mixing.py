@@ -84,3 +84,39 @@ def test_windows_of_rows_follow_the_given_weights(spark):
     for r in mixing.mix(docs, weights, block_bytes=100, period=8).where("source = 'a'").orderBy("slot").limit(1300).collect():
         w = Fraction(weights["a"]) / total
         assert r.release == r.block // w and r.deadline == -(-(r.block + 1) // w) and r.release <= r.slot < r.deadline
+
+
+def test_clashing_names_and_blocks_that_grow(spark, monkeypatch):
+    names = ["__row", "__size", "__hash", "__part", "__source", "row", "size", "hash", "part", "at", "c0"]
+    rows = [(i, "x" * (i % 90), "ab"[i % 3 == 0], *range(len(names))) for i in range(500)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 40)
+    got = mixing.mix(docs, block_bytes=16, period=8)
+    assert got.columns == [*docs.columns, "block", "release", "deadline", "slot", "block_offset"]
+    found = got.collect()
+    assert sorted(tuple(r)[: len(docs.columns)] for r in found) == sorted(rows) and len({(r.source, r.block) for r in found}) <= 42
+    ordered = mixing.in_order(docs, block_bytes=16, period=8)
+    assert ordered.columns == docs.columns and sorted(map(tuple, ordered.collect())) == sorted(rows)
+
+
+def test_no_share_is_a_block_off_over_a_million_blocks():
+    weights = {"a": 2.0**0.5, "b": 1.0, "c": 0.1, "d": 3e-5}
+    unit = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(unit.values())
+    n = 1_000_000
+    scale = 2**60
+    slots = mixing.schedule({s: int(w * scale) for s, w in unit.items()}, n)
+    assert sum(map(len, slots.values())) == n
+    share = {s: Fraction(int(w * scale), sum(int(x * scale) for x in unit.values())) for s, w in unit.items()}
+    for s, at in slots.items():
+        for j in [*range(0, len(at), 997), len(at) - 1]:  # what a source has got just before and after a block of its own
+            assert abs(j - share[s] * int(at[j])) < 1 and abs(j + 1 - share[s] * (int(at[j]) + 1)) < 1
+    assert total
+
+
+def test_sums_before_in_two_levels(spark):
+    from strandframe.llm.common import sums_before
+
+    rows = [(k % 2, k // 2, k * k % 7) for k in range(301)]
+    got = sums_before(spark.createDataFrame(rows, "k int, at long, v long"), ["k"], "at", "v", "before", width=10)
+    assert sorted(map(tuple, got.select("k", "at", "v", "before").collect())) == sorted((k, at, v, sum(y for j, i, y in rows if j == k and i < at)) for k, at, v in rows)
