@@ -33,6 +33,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOTTED = re.compile(r"[0-9.]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_FOUR = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"\S+")
 _EDGE = "\"'()[]{}<>,;:.!?*#$%&|=`"
@@ -41,10 +42,8 @@ _KEY = re.compile(r"(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,}")
 _HEX = re.compile(r"(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f-]{16,}")
 _RUN = re.compile(r"([0-9]+)|([^\W\d_]+)")
 
-#: Families of values, from whose shares of seeds the confidence of a pattern starts.
-FAMILIES = ("numeric", "hex", "mail", "mixed")
-#: How many values the family's share of seeds counts for in a pattern's confidence, and the confidence from which a pattern is trusted.
-PRIOR, CONFIDENCE = 50, 0.9
+#: Normal quantile of the lower confidence bound (90 %, one-sided), and the bound from which a pattern is trusted.
+Z, CONFIDENCE = 1.2816, 0.9
 #: Patterns that are broadcast at most; more of them meet the candidates in a join.
 MOST_BROADCAST = 200_000
 #: Words and forms longer than this stand in a pattern as a hash.
@@ -128,9 +127,10 @@ def form(value: str, kind: str) -> str:
 def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, bool, list[str]]]:
     """``(start, end, seed, patterns)`` of base spans, keys and other identifier-like words apart from base spans.
 
-    Patterns: the family; the form; form and first character; the family with the word
-    before (and the sign that touches the value), with two words before, with the words
-    on both sides.
+    Patterns: the form; form and first character (neither for values that failed a base
+    kind's check); and contexts, which carry values of any
+    form: the word before (and the sign that touches the value), two words before, the
+    words on both sides.
     """
     taken = sorted((s, e) for _, s, e in base)
     words = [m.span() for m in _WORD.finditer(text)]
@@ -153,31 +153,30 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
     for s, e, w, seed in spans:
         value = text[s:e]
         kind = family(value) or ("mixed" if seed else None)
-        if kind is None:
-            continue
         seed = seed or bool(_KEY.fullmatch(value))
         touch = text[s - 1] if s > starts[w] else ""
         one = f"{_short(text[slice(*words[w - 1])].lower())} {touch}" if w else ""
         two = f"{_short(text[slice(*words[w - 2])].lower())} {one}" if w > 1 else ""
         last = bisect_right(starts, e - 1) - 1
         after = _short(text[slice(*words[last + 1])].lower()) if last + 1 < len(words) else ""
-        shape = form(value, kind)
-        out = [kind, f"{kind} {shape}", f"{kind} {shape} ^{value[0]}"]
-        out += [f"{kind} < {one}"] if one else []
-        out += [f"{kind} << {two}"] if two else []
-        out += [f"{kind} <> {one} > {after}"] if one and after else []
+        # what looks like a card or an address and failed its check is no evidence for that form
+        failed = not seed and bool(_CARD.fullmatch(value) or _FOUR.fullmatch(value))
+        out = [f"{kind} {form(value, kind)}", f"{kind} {form(value, kind)} ^{value[0]}"] if kind and not failed else []
+        out += [f"< {one}"] if one else []
+        out += [f"<< {two}"] if two else []
+        out += [f"<> {one} > {after}"] if one and after else []
         yield s, e, seed, out
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """A written table ``(pattern, confidence, seeds, n)`` of all trusted patterns of ``docs``.
 
-    The graph has an edge for each distinct pattern and value. A pattern's confidence is
-    the mean over its values, and over PRIOR more with the share of seeds that its family
-    has: seeds count 1, other values the confidence of their best trusted pattern. Rounds
-    go on until no more patterns are trusted; confidences only rise, so they end. Of a
-    family that is trusted as a whole only its own pattern is kept. Null and empty texts
-    add nothing.
+    The graph has an edge for each distinct pattern and value. Seeds count 1, other values
+    what the other side says: in a form the confidence of their best trusted context, in a
+    context that of their best trusted form. A pattern's confidence is the lower
+    bound (Wilson's) of the mean over its values, so that a few seeds prove nothing and
+    no pattern lives on others. Rounds go on until no more patterns are trusted;
+    confidences only rise, so they end. Null and empty texts add nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,18 +194,13 @@ def learn(docs: DataFrame, text_col: str = "text") -> DataFrame:
     edges = written(seen.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "edges")
     stats = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
     stats = written(stats.where("seeds > 0"), "patterns")
-    share = {r["pattern"]: r["seeds"] / r["n"] for r in stats.where(F.col("pattern").isin(*FAMILIES)).collect()}
-    start = F.lit(0.0)
-    for kind, p in share.items():
-        start = F.when(F.col("pattern").startswith(kind), F.lit(p)).otherwise(start)
-    confidence = ((F.col("seeds") + F.col("gain") + PRIOR * start) / (F.col("n") + PRIOR)).alias("confidence")
-    whole = [kind for kind, p in share.items() if p >= CONFIDENCE]
-    kept = F.lit(True)
-    for kind in whole:
-        kept = kept & (~F.col("pattern").startswith(kind) | (F.col("pattern") == kind))
-    scored = stats.where(kept).withColumn("gain", F.lit(0.0))
+    p, n = (F.col("seeds") + F.col("gain")) / F.col("n"), F.col("n")
+    confidence = ((p + Z * Z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)).alias("confidence")
+    # what its values could never lift to the bound need not be looked at again
+    scored = stats.where(n / (n + Z * Z) >= CONFIDENCE).withColumn("gain", F.lit(0.0))
+    stats = scored.drop("gain")
     # only values that are no seeds can change a score
-    free = written(join_hot(edges, stats.where(kept).select("pattern", F.lit(True).alias("known")), "pattern").where("known and not seed").select("pattern", "value"), "free")
+    free = written(join_hot(edges, stats.select("pattern", F.lit(True).alias("known")), "pattern").where("known and not seed").select("pattern", "value"), "free")
     trusted = None
     while True:
         now = written(scored.select("pattern", confidence, "seeds", "n").where(F.col("confidence") >= CONFIDENCE), "trusted")
@@ -214,9 +208,10 @@ def learn(docs: DataFrame, text_col: str = "text") -> DataFrame:
         if count == trusted or not count:
             return now
         trusted = count
-        best = join_hot(free, now.select("pattern", "confidence"), "pattern").where("confidence is not null").groupBy("value").agg(F.max("confidence").alias("confidence"))
-        gain = join_hot(free, best, "value").groupBy("pattern").agg(F.sum("confidence").alias("gain"))
-        scored = stats.where(kept).join(gain, "pattern", "left").withColumn("gain", F.coalesce("gain", F.lit(0.0)))
+        context = F.col("pattern").startswith("<")
+        best = join_hot(free, now.select("pattern", "confidence"), "pattern").where("confidence is not null").groupBy("value").agg(F.max(F.when(context, F.col("confidence"))).alias("in_context"), F.max(F.when(~context, F.col("confidence"))).alias("in_form"))
+        gain = join_hot(free, best, "value").groupBy("pattern").agg(F.sum(F.coalesce(F.when(context, F.col("in_form")).otherwise(F.col("in_context")), F.lit(0.0))).alias("gain"))
+        scored = stats.join(gain, "pattern", "left").withColumn("gain", F.coalesce("gain", F.lit(0.0)))
 
 
 def spans(text: str | None, patterns: frozenset[str] = frozenset(), places: list[tuple[int, int]] | None = None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

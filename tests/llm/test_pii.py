@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strandframe.llm import pii, queries
 
-SF = os.environ.get("TEST_PII_DIR", "/root/testdata/sf0.01")
+SF = os.environ.get("TEST_PII_DIR", "/root/testdata/sf0.1")
 
 
 def luhn(d):
@@ -49,7 +49,7 @@ def test_learned_patterns_find_unseen_values(spark):
     docs = spark.createDataFrame([(*r, 5, "s") for r in rows], "doc_id long, text string, n_chars int, spans string")
     patterns = pii.learn(docs)
     names = {r["pattern"] for r in patterns.collect()}
-    assert "numeric < from " in names and not any("order" in p or "number" in p for p in names)
+    assert "< from " in names and not any("order" in p or "number" in p for p in names)
     got = {r.id: r for r in pii.find(docs, patterns).collect()}
     assert got[2000].spans == "id:16:31" and got[2000].n_found == 1 and got[2000].n_ip == 0
     assert got[0].spans == "ip:16:%d" % rows[0][1].index(" ok") and got[0].n_ip == 1
@@ -65,34 +65,62 @@ def test_learned_patterns_find_unseen_values(spark):
     assert sorted(pii.redact(docs, patterns, most=0).collect(), key=str) == sorted(clean.values(), key=str)
 
 
+def wilson(p, n):
+    z = pii.Z
+    return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+
 def test_rounds_carry_confidence_to_further_patterns(spark):
-    """Numbers in a trusted form lift another context, which then finds a number of another form."""
+    """Keys in a trusted form lift a context with one seed of its own, which then finds values of another form."""
     rng = random.Random(3)
-    valid = [d for d in (str(rng.randrange(10**15, 10**16)) for _ in range(12_000)) if luhn(d)]
-    wrong = [d for d in (str(rng.randrange(10**15, 10**16)) for _ in range(120)) if not luhn(d)][:60]
-    rows = [f"paid {d} today" for d in valid] + [f"account {d} open" for d in wrong] + ["account 12345678901234567890 open"]
-    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    patterns = {r["pattern"]: r["confidence"] for r in pii.learn(docs).collect()}
-    assert pii.CONFIDENCE <= patterns["numeric"] and set(patterns) == {"numeric"}
-    rows += [f"page 20{k:08d} of" for k in range(900)]  # now numbers as such are no longer trusted
+    key = lambda: "a7" + "".join(rng.choice("0123456789abcdef") for _ in range(38))
+    valid, wrong = [key() for _ in range(3000)], [key().upper() for _ in range(60)]
+    rows = [f"paid {d} today" for d in valid] + [f"account {d} open" for d in wrong] + [f"account {valid[0]} open", "account AB-77 open"]
+    rows += [f"page 20{k:08d} of" for k in range(900)]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     found = pii.learn(docs)
     patterns = {r["pattern"]: r["confidence"] for r in found.collect()}
-    assert "numeric" not in patterns and patterns["numeric 9{16}"] >= pii.CONFIDENCE and "numeric < page " not in patterns
-    assert ("numeric < account " in patterns) == ((len(wrong) * patterns["numeric 9{16}"] + pii.PRIOR * len(valid) / (len(valid) + 961)) / (len(wrong) + 1 + pii.PRIOR) >= pii.CONFIDENCE)
-    assert pii.find(docs, found).where("n_found > 0").count() >= len(wrong)
+    total = len(valid) + len(wrong)
+    form = wilson(len(valid) / total, total)
+    context = wilson((1 + len(wrong) * form) / (len(wrong) + 2), len(wrong) + 2)
+    assert form >= pii.CONFIDENCE and context >= pii.CONFIDENCE and not any("page" in p for p in patterns)
+    # the context says yes to the numbers in turn
+    assert patterns["hex x40"] > form and patterns["< account "] == pytest.approx(context, abs=1e-3)
+    got = pii.find(docs, found).where("n_found > 0")
+    assert got.count() == len(wrong) + 1
+
+
+def test_numbers_that_fail_their_check_are_no_evidence_for_their_form(spark):
+    rng = random.Random(5)
+    numbers = [str(rng.randrange(10**15, 10**16)) for _ in range(3000)]
+    rows = [f"w{k} {d} x{k}" for k, d in enumerate(d for d in numbers if luhn(d))] + [f"v{k} {d} y{k}" for k, d in enumerate([d for d in numbers if not luhn(d)][:5])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.learn(docs)
+    assert found.where("pattern = 'numeric 9{16}'").count() == 1 and pii.find(docs, found).where("n_found > 0").count() == 0
+
+
+def test_contexts_carry_values_of_other_forms_and_few_seeds_prove_nothing(spark):
+    rng = random.Random(8)
+    digits = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [f'set token = "{digits(30)}a7" now' for _ in range(40)] + ['set TOKEN = "QX-77.z" now', "set it = 5 now"]
+    rows += [f"ask {rng.randint(1, 255)}.4.5.6 rare" for _ in range(5)] + ["ask 77-x rare"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.learn(docs)
+    assert {'<< token = "', '< = "'} <= {r["pattern"] for r in found.collect()} and not any("ask" in r["pattern"] for r in found.collect())
+    spans = {r.id: r.spans for r in pii.find(docs, found).collect()}
+    assert spans[40] == "id:13:20" and spans[41] == "" and spans[47] == ""
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_patterns_of_a_given_table_find_its_keys(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     patterns = pii.learn(docs)
-    assert patterns.where("pattern = 'hex'").count() == 1
+    assert patterns.where("""pattern = '<< token = "'""").count() == 1
     rows = pii.find(docs, patterns).join(docs.select("doc_id", "text"), F.col("id") == F.col("doc_id")).collect()
     keys = sum(len(re.findall(r'token = "[0-9a-f]{40}"', r.text or "", re.I)) for r in rows)
     found = [r.text[int(s) : int(e)] for r in rows for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == pii.FOUND]
     assert keys and sum(bool(re.fullmatch("[0-9a-fA-F]{40}", v)) for v in found) == keys
-    assert all(re.fullmatch("[0-9a-fA-F]{40}|4[0-9]{15}", v) for v in found)
+    assert all(re.fullmatch("[0-9a-fA-F]{40}", v) for v in found)
 
 
 def test_overlaps_and_empty_table(spark):

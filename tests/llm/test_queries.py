@@ -68,6 +68,19 @@ def test_op4(spark):
     assert not pages
 
 
+def test_op5(spark, docs):
+    from .test_pii import brute
+
+    kinds = ["email", "ip", "card", "phone"]
+    got = {r.doc_id: r for r in rows(spark, "op5_pii")}
+    assert set(got) == set(docs)
+    for i, (t, *_) in docs.items():
+        base = sorted(brute(t or ""), key=lambda s: (kinds.index(s[0]), s[1]))
+        mark = ",".join(":".join(map(str, s)) for s in base)
+        assert [got[i][f"n_{k}"] for k in kinds] == [sum(s[0] == k for s in base) for k in kinds]
+        assert got[i].base_sha256 == hashlib.sha256(mark.encode()).hexdigest() and got[i].spans.startswith(mark)
+
+
 def test_op6(spark, docs):
     got = rows(spark, "op6_langid")
     known = {v[1] for i, v in docs.items() if v[1] and not held(i)}
