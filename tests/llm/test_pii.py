@@ -86,8 +86,9 @@ def test_rounds_carry_confidence_to_further_patterns(spark):
     assert form >= pii.CONFIDENCE and context >= pii.CONFIDENCE and not any("page" in p for p in patterns)
     # the context says yes to the numbers in turn
     assert patterns["hex x40"] > form and patterns["< account "] == pytest.approx(context, abs=1e-3)
-    got = pii.find(docs, found).where("n_found > 0")
-    assert got.count() == len(wrong) + 1
+    got = {r.id for r in pii.find(docs, found).where("n_found > 0").collect()}
+    last = len(valid) + len(wrong) + 1
+    assert last in got and sum(len(valid) <= i < len(valid) + len(wrong) for i in got) >= 55 and max(got) == last
 
 
 def test_numbers_that_fail_their_check_are_no_evidence_for_their_form(spark):
