@@ -110,8 +110,8 @@ class Model:
         hashes, word, place = _grams(words)
         targets = np.flatnonzero(place >= 1)
         # each different n-gram is looked up once in a language, in the order of the hashes
-        grams = [np.unique(h[targets], return_inverse=True) for h in hashes]
-        contexts = [np.unique(h[targets - 1], return_inverse=True) for h in hashes]
+        unique = [np.unique(h, return_inverse=True) for h in hashes]
+        grams, contexts = [i[targets] for _, i in unique], [i[targets - 1] for _, i in unique]
         ends = np.cumsum(np.bincount(word[targets], minlength=len(words)))
         out = np.zeros((len(words), len(self.languages)))
         for k, table in enumerate(self.tables):
@@ -119,11 +119,11 @@ class Model:
             for n in range(ORDER, 0, -1):
                 g, log_p, ctx, back = table[n - 1]
                 whole = place[targets[left]] >= n - 1
-                found = np.where(whole, _find(g, grams[n][0])[grams[n][1][left]], -1)
+                found = np.where(whole, _find(g, unique[n][0])[grams[n][left]], -1)
                 hit = found >= 0
                 total[left[hit]] += log_p[found[hit]]
                 missed = left[whole & ~hit]
-                at = _find(ctx, contexts[n - 1][0])[contexts[n - 1][1][missed]]
+                at = _find(ctx, unique[n - 1][0])[contexts[n - 1][missed]]
                 if len(back):
                     total[missed] += np.where(at >= 0, back[at], 0)
                 left = left[~hit]
