@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.normalise import left_align as moved_left
 from . import cnv
 from .queries import _DNA, _dna, query
 
@@ -133,3 +134,32 @@ def _beside(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     n = F.explode(F.sequence(F.lit(0), F.floor((F.length("contig") - 1) / _CHUNK).cast("int")))
     chunks = u.select(key.alias("ctg"), "contig", n.alias("chunk")).select("ctg", F.col("chunk").cast("long").alias("chunk"), cut(F.col("contig"), F.col("chunk") * _CHUNK + 1, _CHUNK).alias("seq"))
     return rows, chunks
+
+
+_TANDEM = f"""d AS ({_DNA}), u AS (SELECT doc_id AS id, seq, substr(seq, 50, CAST(1 + doc_id % 3 AS INTEGER)) AS unit FROM d WHERE length(seq) >= 120),
+c AS (SELECT id, unit, substr(seq, 1, 40) || repeat(unit, CAST(4 + id % 60 AS INTEGER)) || substr(seq, 60, 40) AS contig, CAST(40 + length(unit) * (2 + id % 60) AS INTEGER) AS pos FROM u),
+v AS (SELECT id, contig, pos, CASE id % 6 WHEN 0 THEN [substr(contig, pos + 1, 1 + length(unit)), substr(contig, pos + 1, 1)] WHEN 1 THEN [substr(contig, pos + 1, 1), substr(contig, pos + 1, 1) || substr(contig, pos + 2, length(unit))] WHEN 2 THEN [substr(contig, pos + 1, 1 + length(unit)), substr(contig, pos + 1, 1), substr(contig, pos + 1, 1 + length(unit)) || substr(contig, pos + 2, length(unit))]
+ WHEN 3 THEN [substr(contig, pos + 1, 1), unit || substr(contig, pos + 1, 1), unit || unit || substr(contig, pos + 1, 1)] WHEN 4 THEN [substr(contig, pos + 1, 4), substr(contig, pos + 1, 3) || 'A', substr(contig, pos + 1, 1)] ELSE [substr(contig, pos + 1, 3), '<DEL>'] END AS al FROM c)"""
+
+
+@query(f"""WITH RECURSIVE {_TANDEM},
+w AS (SELECT id, contig, pos, al, 0 AS n, id % 6 <> 5 AS open FROM v
+ UNION ALL SELECT id, contig, CASE WHEN low THEN pos - 1 ELSE pos END, CASE WHEN low THEN [substr(contig, pos, 1) || x FOR x IN cut] ELSE cut END, n + 1, true FROM (SELECT *, list_min([length(x) FOR x IN al]) = 1 AS low, [substr(x, 1, length(x) - 1) FOR x IN al] AS cut FROM w WHERE open) WHERE len(list_distinct([right(x, 1) FOR x IN al])) = 1 AND (NOT low OR pos > 0)),
+e AS (SELECT id, arg_max(pos, n) AS pos, arg_max(al, n) AS al FROM w GROUP BY id),
+f AS (SELECT *, CASE WHEN id % 6 = 5 THEN 0 ELSE list_max([k FOR k IN range(0, list_min([length(x) FOR x IN al])) IF len(list_distinct([substr(x, 1, k) FOR x IN al])) = 1]) END AS f FROM e)
+SELECT id AS vid, pos + f AS pos, pos + f + length(al[1]) - f AS "end", substr(al[1], CAST(f + 1 AS INTEGER)) AS ref, array_to_string([substr(x, CAST(f + 1 AS INTEGER)) FOR x IN al[2:]], ',') AS alt FROM f""")
+def left_align(spark, sf_dir) -> DataFrame:
+    d, k = _dna(spark, sf_dir).where(F.length("seq") >= 120), F.col("id")
+    cut = lambda c, begin, n: F.substring(c, begin if not isinstance(begin, int) else F.lit(begin), n if not isinstance(n, int) else F.lit(n))
+    u = d.select(F.col("doc_id").alias("id"), "seq").withColumn("unit", cut(F.col("seq"), 50, (1 + k % 3).cast("int")))
+    n, unit, contig, pos = F.length("unit"), F.col("unit"), F.col("contig"), F.col("pos")
+    c = u.select("id", "unit", F.concat(cut(F.col("seq"), 1, 40), F.repeat(unit, (4 + k % 60).cast("int")), cut(F.col("seq"), 60, 40)).alias("contig"), (40 + n * (2 + k % 60)).cast("int").alias("pos"))
+    base, more, longer = cut(contig, pos + 1, 1), cut(contig, pos + 2, n), cut(contig, pos + 1, n + 1)
+    al = F.when(k % 6 == 0, F.array(longer, base)).when(k % 6 == 1, F.array(base, F.concat(base, more))).when(k % 6 == 2, F.array(longer, base, F.concat(longer, more)))
+    al = al.when(k % 6 == 3, F.array(base, F.concat(unit, base), F.concat(unit, unit, base))).when(k % 6 == 4, F.array(cut(contig, pos + 1, 4), F.concat(cut(contig, pos + 1, 3), F.lit("A")), base)).otherwise(F.array(cut(contig, pos + 1, 3), F.lit("<DEL>")))
+    ctg = F.col("id").cast("string").alias("ctg")
+    v = c.select(F.col("id").alias("vid"), ctg, pos.cast("long").alias("pos"), al.alias("al")).select("vid", "ctg", "pos", (F.col("pos") + F.length(F.get("al", F.lit(0)))).alias("end"), F.get("al", F.lit(0)).alias("ref"), F.slice("al", 2, 9).alias("alt"))
+    chunks = c.select(ctg, "contig", F.explode(F.sequence(F.lit(0), F.floor((F.length("contig") - 1) / _CHUNK).cast("int"))).alias("chunk"))
+    chunks = chunks.select("ctg", F.col("chunk").cast("long").alias("chunk"), cut(contig, F.col("chunk") * _CHUNK + 1, _CHUNK).alias("seq"))
+    found = moved_left(v, chunks, _CHUNK, window=16)
+    return found.select("vid", "pos", "end", "ref", F.array_join("alt", ",").alias("alt"))
