@@ -211,24 +211,68 @@ def _combinations(items: Column, size: int) -> Column:
     return upto(F.size(items), size, F.lit(0).cast("bigint"))
 
 
-def similar_pairs(strings: DataFrame, threshold: float, shared: int = 3) -> DataFrame:
+#: Lengths of a class of long strings differ by less than this factor.
+_CLASS = 1.2
+
+
+def _by_tokens(n: int, threshold: float, shared: int) -> bool:
+    """Whether a string of n letters has no more combinations of rare tokens than eight for each letter."""
+    prefix = n - math.ceil(threshold * n / (2 - threshold) - 1e-9) + shared
+    return math.comb(prefix, shared) <= 8 * n
+
+
+def _segment_pairs(classes: DataFrame, threshold: float, longest_short: int) -> DataFrame:
+    """``(id, id_b)``: strings of which the shorter has over ``longest_short`` letters and that share an unchanged segment; no pair with the ratio is lost.
+
+    Of two strings of a and b letters (a <= b) with the ratio at most ``d = (1 - threshold) *
+    (a + b)`` letters are left out of either, and b is at most ``a * (2 - threshold) /
+    threshold``. So of any ``d + 1`` segments of the shorter one stands in the longer as
+    it is, at most d places off. Segments have one length in a class of lengths.
+    """
+    grow = (2 - threshold) / threshold
+    order = lambda n: F.floor(F.log(n.cast("double")) / math.log(_CLASS) + 1e-9).cast("int")
+    # the shortest string of a class gives the segments' length, the longest their number
+    least, most = F.pow(F.lit(_CLASS), F.col("k")), F.pow(F.lit(_CLASS), F.col("k") + 1)
+    missing = F.floor((1 - threshold) * (1 + grow) * most + 1e-6).cast("int")
+    width = F.greatest(F.lit(1), F.floor(least / (missing + 1)).cast("int"))
+    rows = classes.withColumn("n", F.length("seq")).where(F.col("n") > longest_short / grow)
+    own = rows.withColumn("k", order(F.col("n"))).withColumns({"d": missing, "w": width})
+    short = own.select("k", "id", "n", "d", F.explode(F.transform(A.upto(F.floor(F.col("n") / F.col("w"))), lambda i: F.struct((i * F.col("w")).alias("at"), F.xxhash64(F.substring(F.col("seq"), i * F.col("w") + 1, F.col("w"))).alias("sign")))).alias("s")).select("k", "id", "n", "d", "s.*").where(F.col("n") > longest_short)
+    classes_below = F.sequence(order(F.col("n") / grow), order(F.col("n")))
+    long = rows.select("id", "n", "seq", F.explode(classes_below).alias("k")).withColumn("d", missing).withColumn("w", width)
+    grams = long.select("k", F.col("id").alias("id_b"), F.col("n").alias("n_b"), F.explode(F.transform(A.upto(F.col("n") - F.col("w") + 1), lambda i: F.struct(i.alias("at_b"), F.xxhash64(F.substring(F.col("seq"), i + 1, F.col("w"))).alias("sign")))).alias("s")).select("k", "id_b", "n_b", "s.*")
+    near = (F.col("id") != F.col("id_b")) & (F.col("n") <= F.col("n_b")) & (F.col("n_b") - F.col("n") <= (1 - threshold) * (F.col("n") + F.col("n_b")) + 1e-6) & (F.abs(F.col("at") - F.col("at_b")) <= F.col("d"))
+    met = short.join(grams, ["k", "sign"]).where(near)
+    return met.select(F.least("id", "id_b").alias("id"), F.greatest("id", "id_b").alias("id_b")).distinct()
+
+
+def similar_pairs(strings: DataFrame, threshold: float, shared: int = 3, longest_short: int | None = None) -> DataFrame:
     """``(id, id_b, ratio)`` of ``(id, seq)`` rows (unique ids) with an LCS ratio of at least ``threshold``.
 
     Equal strings form a class, named by its least id: it has a row ``(class, member, 1)``
     for each further member, and pairs are given between classes, the smaller id first.
     Different strings meet on combinations of ``shared`` rare tokens, by which no pair is
-    lost; bounds by length and by the tokens' marks come before the exact ratio. Rows
-    with a null are left out.
+    lost; bounds by length and by the tokens' marks come before the exact ratio. Strings
+    of over ``longest_short`` letters (default: where combinations would be too many) meet
+    on segments instead, one of which stands unchanged in every partner. Rows with a null
+    are left out.
     """
     rows = strings.select("id", "seq").dropna()
     classes = rows.groupBy("seq").agg(F.min("id").alias("id"))
     members = rows.join(classes.select("seq", F.col("id").alias("class")), "seq").where("id <> class").select(F.col("class").alias("id"), F.col("id").alias("id_b"), F.lit(1.0).alias("ratio"))
+    limit = longest_short or 1
+    while longest_short is None and limit < 1 << 20 and _by_tokens(2 * limit, threshold, shared):
+        limit *= 2
+    # a pair is the business of the shorter string: tokens up to the limit, segments beyond
+    partner = math.ceil(limit * (2 - threshold) / threshold)
     marks = [f"m{k}" for k in range(MARKS)]
-    signs = _prefixes(classes.select("seq"), threshold, shared).join(classes, "seq").select("id", "n", *marks, F.explode(F.array_distinct(_combinations(F.col("rare"), shared))).alias("sign"))
+    few = classes.where(F.length("seq") <= partner)
+    signs = _prefixes(few.select("seq"), threshold, shared).join(few, "seq").select("id", "n", *marks, F.explode(F.array_distinct(_combinations(F.col("rare"), shared))).alias("sign"))
     other = signs.select("sign", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", *marks)])
     total = F.col("n") + F.col("n_b")
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in marks])
-    met = signs.join(other, "sign").where((F.col("id") < F.col("id_b")) & (2 * F.least("n", "n_b") >= threshold * total) & (differ <= (1 - threshold) * total + 1e-9)).select("id", "id_b").distinct()
+    met = signs.join(other, "sign").where((F.col("id") < F.col("id_b")) & (F.least("n", "n_b") <= limit) & (2 * F.least("n", "n_b") >= threshold * total) & (differ <= (1 - threshold) * total + 1e-9)).select("id", "id_b").distinct()
+    met = met.unionByName(_segment_pairs(classes, threshold, limit))
     whole = met.join(classes, "id").join(classes.select(F.col("id").alias("id_b"), F.col("seq").alias("seq_b")), "id_b")
     # a generator stands between the ratio and its test, so it is worked out once
     tried = whole.select("id", "id_b", F.explode(F.array(lcs_ratio("seq", "seq_b", threshold))).alias("ratio"))

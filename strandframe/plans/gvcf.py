@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from ..functions import alleles as A
 from ..operators import filters, intervals, joins
 from ..operators.normalise import left_align
-from ..sources.text import FORMAT_NUMBERS, INFO_NUMBERS, ref_slice
+from ..sources.text import CHUNK, FORMAT_NUMBERS, INFO_NUMBERS, ref_slice
 
 NON_REF = "<NON_REF>"
 
@@ -171,10 +171,10 @@ def annotate_hap_count(v: DataFrame, bed: DataFrame, width: int = intervals.BIN)
     return intervals.annotate_interval(v, bed, "LHC", width)
 
 
-def finalise(v: DataFrame, gvcf: bool = False, chunks: DataFrame | None = None) -> DataFrame:
+def finalise(v: DataFrame, gvcf: bool = False, chunks: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
     """Calls without unused ALTs and, unless for a gVCF, without REF calls; with ``chunks``, the reference, indels are moved to the left (``vid``, pos and end are needed then)."""
     kept = filters.trim_unused_alts(filters.exclude_homref(v, gvcf))
-    return kept if chunks is None else left_align(kept, chunks)
+    return kept if chunks is None else left_align(kept, chunks, chunk)
 
 
 def combine_cnv(cnv: DataFrame, converted: DataFrame, neutral: int = 2, fraction: float = 0.5, width: int = intervals.BIN) -> DataFrame:

@@ -335,12 +335,6 @@ def local_maxima(spark, sf_dir):
     return sequence.find_peaks(series, distance=1, height=0.05).select("id", F.explode("peaks").alias("peak")).withColumn("peak", F.col("peak").cast("long"))
 
 
-@query()
-def similar_pairs(spark, sf_dir):
-    names = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("seq"))
-    return joins.similar_pairs(names, 0.9)
-
-
 _ALLELES = """w AS (SELECT l_orderkey AS pos, CAST(l_suppkey % 3 AS VARCHAR) AS ctg, l_partkey AS id, CAST(l_quantity AS BIGINT) AS ac, CASE l_partkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'AC' WHEN 2 THEN 'ACC' ELSE 'T' END AS ref,
  CASE l_partkey % 4 WHEN 0 THEN 'G' WHEN 1 THEN 'GC' WHEN 2 THEN 'AC' ELSE 'C' END AS x, CASE l_partkey % 4 WHEN 0 THEN 'AT' WHEN 1 THEN 'ATC' WHEN 2 THEN 'A' ELSE 'G' END AS y, l_returnflag FROM lineitem),
 known AS (SELECT ctg, pos, id, ac, CASE WHEN ref IN ('AC') THEN 'A' WHEN ref = 'ACC' AND t.n = 1 THEN 'AC' ELSE ref END AS r, CASE WHEN ref = 'AC' THEN left(t.a, length(t.a) - 1) WHEN ref = 'ACC' AND t.n = 1 THEN 'A' ELSE t.a END AS a, l_returnflag FROM w, (VALUES (1), (2)) v(n), LATERAL (SELECT v.n AS n, CASE v.n WHEN 1 THEN x ELSE y END AS a) t),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import joins
 from ..operators.normalise import left_align as moved_left
 from . import cnv
 from .queries import _DNA, _dna, query
@@ -163,3 +164,29 @@ def left_align(spark, sf_dir) -> DataFrame:
     chunks = chunks.select("ctg", F.col("chunk").cast("long").alias("chunk"), cut(contig, F.col("chunk") * _CHUNK + 1, _CHUNK).alias("seq"))
     found = moved_left(v, chunks, _CHUNK, window=16)
     return found.select("vid", "pos", "end", "ref", F.array_join("alt", ",").alias("alt"))
+
+
+# The pairs that the counts of letters leave over, then the common subsequence of each.
+_ALPHABET = "".join(map(chr, [*range(32, 39), *range(40, 123)]))
+_PAIRS = f"""{{strings}},
+cl AS (SELECT min(id) AS id, seq FROM st GROUP BY seq),
+hi AS MATERIALIZED (SELECT id, seq, length(seq) AS n, [length(seq) - length(replace(seq, x, '')) FOR x IN string_split('{_ALPHABET}', '')] AS h FROM cl),
+ms AS MATERIALIZED (SELECT id, (1::HUGEINT << length(seq)) - 1 AS ones, [coalesce(list_sum([CASE WHEN substr(seq, k + 1, 1) = x THEN 1::HUGEINT << k ELSE 0::HUGEINT END FOR k IN range(0, length(seq))]), 0)::HUGEINT FOR x IN string_split('{_ALPHABET}', '')] AS masks, [strpos('{_ALPHABET}', x) FOR x IN string_split(seq, '')] AS codes FROM cl),
+ca AS (SELECT a.id, b.id AS id_b, a.n + b.n AS n, a.n AS na FROM hi a JOIN hi b ON a.id < b.id AND 2 * least(a.n, b.n) >= {{t}} * (a.n + b.n) AND 2 * list_sum([least(a.h[i], b.h[i]) FOR i IN range(1, {len(_ALPHABET) + 1})]) >= {{t}} * (a.n + b.n)),
+sc AS (SELECT ca.id, id_b, (2 * (na - bit_count(list_reduce(list_prepend(x.ones, y.codes::HUGEINT[]), lambda row, c: ((row + (row & x.masks[c::BIGINT])) | (row - (row & x.masks[c::BIGINT]))) & x.ones))))::DOUBLE / ca.n AS ratio FROM ca JOIN ms x ON x.id = ca.id JOIN ms y ON y.id = ca.id_b)
+SELECT id, id_b, round(ratio, 6) AS ratio FROM sc WHERE ratio >= {{t}} UNION ALL SELECT cl.id, st.id, 1 FROM st JOIN cl USING (seq) WHERE st.id <> cl.id"""
+
+
+@query("WITH " + _PAIRS.format(t=0.9, strings="st AS (SELECT p_partkey AS id, concat_ws(' ', p_name, p_brand, p_type) AS seq FROM part)"))
+def similar_pairs(spark, sf_dir) -> DataFrame:
+    """Names of parts that share nine tenths of their letters in order."""
+    names = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("seq"))
+    return joins.similar_pairs(names, 0.9).withColumn("ratio", F.round("ratio", 6))
+
+
+@query("WITH " + _PAIRS.format(t=0.96, strings=f"d AS ({_DNA}), st AS (SELECT doc_id * 3 + k AS id, substr(seq, CAST(k * 7 + 1 AS INTEGER), CAST(118 - doc_id % 3 AS INTEGER)) AS seq FROM d, range(0, 3) AS w(k) WHERE length(seq) >= 140)"))
+def similar_windows(spark, sf_dir) -> DataFrame:
+    """Windows of the documents' bases that share 96 of 100 in order: copies, near copies and windows of one document a few bases apart."""
+    d = _dna(spark, sf_dir).where(F.length("seq") >= 140).select("doc_id", "seq", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    windows = d.select((F.col("doc_id") * 3 + F.col("k")).alias("id"), F.substring(F.col("seq"), F.col("k") * 7 + 1, (118 - F.col("doc_id") % 3).cast("int")).alias("seq"))
+    return joins.similar_pairs(windows, 0.96, longest_short=32).withColumn("ratio", F.round("ratio", 6))

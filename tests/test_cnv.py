@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from strandframe.operators import joins
 from strandframe.plans import cnv
 
@@ -115,3 +117,23 @@ def test_array_is_walked_to_its_ends(spark):
     for compat, edge in ((False, 0), (True, 40)):
         got = {r.key: (r.array_start, r.array_stop) for r in cnv.extend_array(rows, chunks, compat=compat, chunk=64).collect()}
         assert got == {"x": (200 - edge, 680 + edge), "y": (-edge, 40 + edge)}
+
+
+def test_records_that_cannot_be_worked_on_give_no_row(spark):
+    unit = "".join(random.Random(6).choices("ACGT", k=500))
+    rows = [(1, "a", 10, "A", ["A" + unit * 2], [], "0/x"), (2, "a", None, "A", ["A" + unit * 2], [], "0/1"), (3, "a", 30, "A", [], [], "0/1"), (4, "a", 40, None, ["AC"], [], "0/1"), (5, "a", 60, "A", ["A" + unit], [], "0/1")]
+    v = spark.createDataFrame(rows, "vid long, ctg string, pos long, ref string, alt array<string>, filter array<string>, GT string").withColumn("end", F.col("pos") + 1)
+    assert sorted(map(tuple, cnv.unusable(v).collect())) == [(1, "no genotype"), (2, "no place"), (3, "no alleles"), (4, "no alleles")]
+    chunks = spark.createDataFrame([("a", 0, unit)], "ctg string, chunk long, seq string")
+    assert cnv.indel_to_cnv(v, chunks, chunk=1000).where("cid not like '5:%'").count() == 0
+
+
+def test_oversized_deletions_in_compat_need_an_allele_with_a_period(spark, monkeypatch):
+    monkeypatch.setattr(cnv, "LONGEST", 1500)
+    rng = random.Random(7)
+    ref = "".join(rng.choices("ACGT", k=5000))
+    rows = [(1, "a", 100, 2200, ref[100:2200], [ref[100]], [], "0/1"), (2, "a", 2300, 4400, ref[2300:4400], [ref[2300], ref[2300:3600]], [], "1/2")]
+    v = spark.createDataFrame(rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, filter array<string>, GT string")
+    chunks = spark.createDataFrame([("a", k, ref[k * 1000 : k * 1000 + 1000]) for k in range(5)], "ctg string, chunk long, seq string")
+    huge = lambda compat: {r.cid.split(":")[0] for r in cnv.indel_to_cnv(v, chunks, compat=compat, chunk=1000).collect() if r.svlen > 1500}
+    assert huge(False) == {"1", "2"} and huge(True) == {"2"}

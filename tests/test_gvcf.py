@@ -118,3 +118,21 @@ def test_left_align(spark):
         pos, r, a = normal(ref, p, r, a)
         assert got[k] == (pos, r, [a], pos + len(r)), (cases[k], got[k])
     assert got[900] == (9, ref[9:11], ["C", "CTT"], 11) and got[901] == (9, "C", ["<DEL>"], 10)
+
+
+def test_alts_move_together_and_finalise_aligns(spark):
+    ref = "GGCT" + "CA" * 20 + "TTG"
+    chunks = spark.createDataFrame([("a", k, ref[k * 16 : k * 16 + 16]) for k in range(-(-len(ref) // 16))], "ctg string, chunk long, seq string")
+    rows = [
+        (1, "a", 39, 42, ref[39:42], [ref[39], ref[39:42] + ref[40:42]], "1/2"),  # a unit less, a unit more: both move to the begin of the array
+        (2, "a", 39, 42, ref[39:42], [ref[39], ref[39:42] + "G"], "1/2"),  # the second has nothing to move over
+        (3, "a", 41, 42, ref[41], ["AC" + ref[41], "ACAC" + ref[41]], "1/2"),  # the shared base stands last
+        (4, "a", 39, 42, ref[39:42], [ref[39], ref[39:42] + ref[40:42], ref[39:41]], "1/1"),  # ALTs that no genotype has go first
+    ]
+    v = spark.createDataFrame(rows, "vid long, ctg string, pos long, end long, ref string, alt array<string>, GT string")
+    got = {r.vid: (r.pos, r.ref, r.alt, r.end) for r in left_align(v, chunks, chunk=16, window=4).collect()}
+    assert got[1] == (3, "TCA", ["T", "TCACA"], 6) and got[3] == (3, "T", ["TCA", "TCACA"], 4)
+    assert got[2] == (39, ref[39:42], [ref[39], ref[39:42] + "G"], 42)
+    v = v.where("vid = 4").withColumns({"PL": F.lit(None).cast("array<int>"), "AD": F.lit(None).cast("array<int>")})
+    done = gvcf.finalise(v, chunks=chunks, chunk=16).collect()
+    assert [(r.pos, r.ref, r.alt, r.end) for r in done] == [(3, "TCA", ["T"], 6)]

@@ -68,3 +68,20 @@ def test_regions(spark):
     got = patch.replace_in_regions(v, w, bed).select("pos", F.element_at("alt", 1).alias("x")).collect()
     assert sorted(map(tuple, got)) == [(1, "C"), (31, "T")]
     assert patch.haploid_and_diploid(patch.calls(v), patch.calls(w)).count() == 3
+
+
+def test_fields_of_merged_calls_follow_the_header(spark):
+    """INFO begins with the phased record's, fields by allele and QD go; samples keep no field of their own, and nothing tells of the old phase."""
+    text = "map<string,string>"
+    schema = f"ctg string, pos long, ref string, alt array<string>, filter array<string>, GT string, PL array<int>, DELTA boolean, info_dp int, info {text}, sample {text}"
+    sample = {"PGT": "0|1", "PID": "1", "SB": "3"}
+    hap = [("a", 5, "A", ["C"], [], "1", [30, 0], True, None, {"QD": "7"}, sample)]
+    phased = [("a", 5, "A", ["C"], ["low"], "0/1", [30, 0, 9], None, None, {"MQ": "60", "QD": "2", "XA": "1", "AD": "2,3"}, sample), ("a", 9, "A", ["G"], [], "0|1", [30, 0, 9], None, 4, {"MQ": "50", "QD": "3"}, sample)]
+    unphased = [("a", 12, "A", ["G", "AT"], [], "0/1", None, True, None, {"QD": "3"}, sample)]
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    bed = spark.createDataFrame([], "ctg string, start long, end long")
+    got = {r.pos: r for r in patch.merge_phased(frame(hap), frame([]), frame(unphased), frame(phased), bed, {"XA": "A", "AD": "R", "MQ": "1"}).collect()}
+    assert got[5].info == {"MQ": "60"} and got[5].sample == {} and (got[5].DP, got[5].info_dp) == (0, 0)
+    assert got[9].info == {"MQ": "50", "QD": "3"} and got[9].sample == {"SB": "3"} and got[12].sample == {"SB": "3"} and got[12].DELTA is None
+    default = {r.pos: r for r in patch.merge_phased(frame(hap), frame([]), frame(unphased), frame(phased), bed).collect()}
+    assert default[5].info == {"MQ": "60", "XA": "1"}

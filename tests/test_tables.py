@@ -117,6 +117,38 @@ def test_similar_pairs_loses_none(spark):
         assert got == sorted(want)
 
 
+def test_similar_long_strings_meet_on_segments(spark):
+    rng = random.Random(12)
+    base = ["".join(rng.choices("ACGT", k=rng.choice([180, 230, 300]))) for _ in range(25)]
+
+    def edited(s, k):
+        s = list(s)
+        for _ in range(k):
+            at = rng.randrange(len(s))
+            s[at : at + rng.randint(0, 1)] = rng.choice(["", "A", "T"])
+        return "".join(s)
+
+    seqs = base + [edited(s, rng.randint(1, 9)) for s in base * 2] + ["ACGT" * 50, "ACGT" * 51, "short", "A" * 100]
+    rows = table(spark, list(enumerate(seqs)), "id long, seq string")
+    for t in (0.95, 0.98):
+        got = {(r.id, r.id_b) for r in joins.similar_pairs(rows, t, longest_short=50).collect()}
+        want = {(i, j) for i, x in enumerate(seqs) for j, y in enumerate(seqs) if i < j and joins.similarity(x, y) >= t}
+        assert got == want and len(want) > 20
+
+
+def test_similarity_with_a_threshold():
+    rng = random.Random(13)
+    for _ in range(300):
+        a = "".join(rng.choices("ACGT", k=rng.randint(0, 90)))
+        b = "".join(c for c in a if rng.random() > 0.1) if rng.random() < 0.7 else "".join(rng.choices("ACGT", k=rng.randint(0, 90)))
+        exact = joins.similarity(a, b)
+        for t in (0.6, 0.9, 0.95, 1.0):
+            assert joins.similarity(a, b, t) == (exact if exact >= t - 1e-12 else 0.0)
+    a = "".join(rng.choices("ACGT", k=6000))  # several blocks
+    b = a[:2000] + a[2100:5000] + "ACGT" * 20 + a[5000:]
+    assert joins.similarity(a, b, 0.95) == joins.similarity(a, b) > 0.95 and joins.similarity(a, b, 0.999) == 0.0
+
+
 # Similarities and peaks as published with the tool whose results these functions must equal.
 PEAKS = [([0.0, 0.5, 1.0, 0.5, 0.0], 1, [2]), ([0.0, 0.95, 0.0, 0.0, 0.0, 0.97, 0.0], 2, [1, 5]), ([0.0, 0.95, 0.0, 0.97, 0.0], 3, [3]), ([0.0, 0.5, 0.0, 0.6, 0.0], 1, []), ([0.0, 0.95, 0.95, 0.0], 1, [1]), ([1.0, 0.9, 0.8], 1, []), ([0.8, 0.9, 1.0], 1, []), ([0.3, 0.5, 0.6, 0.95, 0.7, 0.6, 0.5, 0.96, 0.4, 0.3], 2, [3, 7]), ([], 1, []), ([0.0, 1.0], 1, []), ([0.95, 0.95, 0.0], 1, []), ([0.0, 0.95, 0.95], 1, []), ([0.0, 0.3, 0.95, 0.95, 0.95, 0.3, 0.0], 1, [3]), ([0.0, 0.95, 0.0, 0.95, 0.0], 3, [1])]
 
