@@ -15,9 +15,9 @@ from . import intervals
 
 
 def first_per_pos(v: DataFrame, order: str = "file_order", keys: tuple[str, ...] = ("ctg", "pos")) -> DataFrame:
-    """The first row of each position; a partial aggregate, so a crowded position is no large group."""
+    """The first row of each position, rows without an order last; a partial aggregate, so a crowded position is no large group."""
     row = F.struct(*[c for c in v.columns if c not in keys])
-    return v.groupBy(*keys).agg(F.min_by(row, order).alias("__row")).select(*keys, "__row.*")
+    return v.groupBy(*keys).agg(F.min_by(row, F.struct(F.col(order).isNull(), order)).alias("__row")).select(*keys, "__row.*")
 
 
 def cogroup_pos(parts: dict[str, DataFrame], order: str = "file_order") -> DataFrame:
