@@ -149,3 +149,10 @@ def test_op11(spark, docs):
     n = {i: len(whole.encode(t or "", add_special_tokens=False)) for i, (t, *_) in docs.items()}
     got = rows(spark, "op11_tokens")
     assert sorted(got) == sorted((i, len((docs[i][0] or "").encode()), k, k > 2048) for i, k in n.items())
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    from .. import oracle
+
+    assert oracle.difference(spark, oracle.connect(SF), SF, queries.queries()[name], queries.oracle_sql()[name]) is None
