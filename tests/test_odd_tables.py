@@ -36,7 +36,7 @@ def test_intervals_of_no_length(spark, tmp_path):
             for hours in (0.0, 1.0, 24.0)[: 1 + (k + user) % 3]:
                 rows += [(3 * len(rows) + i, user, second + user % 2 * i, hours, kind) for i, kind in enumerate(kinds)]
     frame = events(spark, rows)
-    for name in ("overlap_pairs", "interval_overlaps", "fraction_overlap"):
+    for name in ("overlap_pairs", "interval_overlaps", "fraction_overlap", "combine_cnv"):
         path = tmp_path / name
         path.mkdir()
         same(spark, path, name, events=frame)
