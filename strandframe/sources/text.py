@@ -119,22 +119,30 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
     """``(ctg, chunk, seq)``: pieces of ``chunk`` bases, the last one shorter; a record without bases gives none.
 
-    A line finds its place by the bases before it: running sums within each part of the
-    file, and over the parts' totals. No task holds more than a part or a chunk.
+    A line finds its place by the bases before it: running sums within each block of a
+    file, and over the blocks' totals. Files follow one another by name, blocks by their
+    place in the file: partitions hold blocks in any order. No task holds more than a
+    block or a chunk.
     """
-    lines = spark.read.text(path).withColumn("__id", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"))
     head = F.col("value").startswith(">")
     bases = F.regexp_replace("value", r"\s", "")
-    own = Window.partitionBy("__part").orderBy("__id")
-    rows = lines.select("__id", F.shiftright("__id", 33).alias("__part"), F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"), F.when(~head, bases).otherwise("").alias("seq"))
-    rows = rows.withColumn("__seg", F.count("name").over(own))
-    rows = rows.withColumn("__off", F.sum(F.length("seq")).over(Window.partitionBy("__part", "__seg").orderBy("__id")) - F.length("seq"))
-    # few rows: one for each part and record
-    segments = rows.groupBy("__part", "__seg").agg(F.sum(F.length("seq")).alias("total"), F.max("name").alias("name"))
-    order = Window.orderBy("__part", "__seg")
-    segments = segments.withColumns({"ctg": F.last("name", ignorenulls=True).over(order), "__record": F.count("name").over(order)})
-    before = F.sum("total").over(Window.partitionBy("__record").orderBy("__part", "__seg")) - F.col("total")
-    placed = rows.where("seq <> ''").join(segments.select("__part", "__seg", "ctg", before.alias("__base")), ["__part", "__seg"]).withColumn("__at", F.col("__base") + F.col("__off"))
+    block = ("__file", "__block")
+    own = Window.partitionBy(*block).orderBy("__id")
+    rows = lines.select(*block, "__id", F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"), F.when(~head, bases).otherwise("").alias("seq"))
+    rows = rows.withColumns({"__seg": F.count("name").over(own), "ctg": F.last("name", ignorenulls=True).over(own)})
+    rows = rows.withColumn("__off", F.sum(F.length("seq")).over(Window.partitionBy(*block, "__seg").orderBy("__id")) - F.length("seq"))
+    # one row for each block: what its last record, or all of it, hands on to the next
+    tail = F.struct("__seg", "__off", F.length("seq").alias("n"), "ctg", "__id")
+    blocks = rows.groupBy(*block).agg(F.max_by(tail, "__id").alias("t")).select(*block, F.col("t.ctg").alias("__name"), (F.col("t.__off") + F.col("t.n")).alias("__total"))
+    order = Window.orderBy(*block)
+    blocks = blocks.withColumns({"__record": F.count("__name").over(order), "__after": F.last("__name", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))})
+    until = Window.partitionBy("__record").orderBy(*block)
+    # of the blocks of a record the first has its name, and the last one's successor takes the sum of all
+    blocks = blocks.withColumn("__sum", F.sum("__total").over(until))
+    blocks = blocks.select(*block, "__after", F.coalesce(F.lag("__sum").over(order), F.lit(0)).alias("__base"))
+    carried = F.when(F.col("__seg") == 0, F.col("__base")).otherwise(0)
+    placed = rows.where("seq <> ''").join(F.broadcast(blocks), list(block)).select(F.coalesce("ctg", "__after").alias("ctg"), "seq", (carried + F.col("__off")).alias("__at"))
     last = F.floor((F.col("__at") + F.length("seq") - 1) / chunk).cast("long")
     cut = placed.where("ctg is not null").select("ctg", "seq", "__at", F.explode(F.sequence(F.floor(F.col("__at") / chunk).cast("long"), last)).alias("chunk"))
     first = F.greatest(F.col("chunk") * chunk - F.col("__at"), F.lit(0))

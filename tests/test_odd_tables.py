@@ -1,12 +1,13 @@
 """Registered queries on small tables that have what the given ones have only at size."""
 
+import random
+
 from strandframe.operators import intervals
+from strandframe.sources import text
 from strandframe.plans import fields, queries, repeats  # noqa: F401
 
 from . import oracle
 
-SF = "/root/testdata/sf0.001"
-
 
 def same(spark, tmp_path, name, **tables):
     """Compares a query with its SQL on some tables, each given as a frame."""
@@ -50,3 +51,26 @@ def test_gaps_around_intervals_of_no_length(spark, tmp_path):
     bounds = spark.createDataFrame([("a", 0, 40)], "ctg string, start long, end long")
     for width in (1, 3, 4, 8, 16, 64):
         assert sorted((r.start, r.end) for r in intervals.gaps(iv, bounds, width).collect()) == [(0, 8), (8, 10), (10, 16), (16, 17), (18, 32), (33, 40)]
+
+
+def test_fasta_in_blocks_of_any_order(spark, tmp_path):
+    """Files of several blocks, which Spark deals to tasks by size, with records over many blocks and many in one."""
+    rng = random.Random(8)
+    want = {}
+    for k in range(4):
+        lines = []
+        for i, n in enumerate((5, 3000, 0, 61, 7000 + 500 * k, 1)):
+            want[f"c{k}.{i}"] = seq = "".join(rng.choices("ACGT", k=n))
+            lines += [f">c{k}.{i} text", *(seq[at : at + 60] for at in range(0, n, 60))]
+        (tmp_path / f"f{k}.fa").write_text("\n".join(lines) + "\n")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = {}
+        for r in sorted(text.read_fasta(spark, str(tmp_path), chunk=256).collect(), key=lambda r: r.chunk):
+            got[r.ctg] = got.get(r.ctg, "") + r.seq
+    finally:
+        for c, x in old.items():
+            spark.conf.set(c, x)
+    assert got == {k: x for k, x in want.items() if x}
