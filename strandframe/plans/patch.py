@@ -61,24 +61,42 @@ def _struct(source: Column, **changed: Column) -> Column:
     return F.struct(*[changed.get(c, source[c]).cast(_TYPES[c]).alias(c) for c in _OUT])
 
 
-def _subset(x: Column, keep: Column, gt: Column) -> Column:
-    """A call with only the alleles in ``keep`` (REF first)."""
-    trimmed = A.subset_alleles(x["ref"], x["alt"], keep)
+def _subset(x: Column, keep: Column, gt: Column, trimmed: Column | None = None) -> Column:
+    """A call with only the alleles in ``keep`` (REF first); ``trimmed``: these alleles, if they are known."""
+    trimmed = A.subset_alleles(x["ref"], x["alt"], keep) if trimmed is None else trimmed
     n = F.size(x["alt"])
     return _struct(x, ref=trimmed["ref"], alt=trimmed["alts"], end=x["pos"] + F.length(trimmed["ref"]), PL=A.subset_g(x["PL"], keep, n), AD=A.subset_r(x["AD"], keep), RPA=A.subset_r(x["RPA"], keep), GT=gt)
 
 
-def trim_haploid(x: Column) -> Column:
-    """A haploid call with the two ALTs of smallest likelihood, if it has more than two."""
-    keep = A.two_best_alts(x["PL"], F.size(x["alt"]))
-    return F.when(F.size(x["alt"]) > 2, _subset(x, keep, A.remap_gt(x["GT"], keep))).otherwise(_struct(x))
+def _haploid_alleles(x: Column) -> Column:
+    return F.when(F.size(x["alt"]) > 2, A.two_best_alts(x["PL"], F.size(x["alt"])))
 
 
-def trim_diploid(x: Column) -> Column:
-    """A diploid call with the alleles of its best genotypes; null if its likelihoods do not fit."""
-    keep = A.diploid_alleles(x["PL"], F.size(x["alt"]))
+def _diploid_alleles(x: Column) -> Column:
+    return F.when(F.size(x["alt"]) != 1, A.diploid_alleles(x["PL"], F.size(x["alt"])))
+
+
+def trim_haploid(x: Column, keep: Column | None = None, trimmed: Column | None = None) -> Column:
+    """A haploid call with the two ALTs of smallest likelihood, if it has more than two. ``keep, trimmed``: see ``_with_kept``."""
+    keep = _haploid_alleles(x) if keep is None else keep
+    return F.when(F.size(x["alt"]) > 2, _subset(x, keep, A.remap_gt(x["GT"], keep), trimmed)).otherwise(_struct(x))
+
+
+def trim_diploid(x: Column, keep: Column | None = None, trimmed: Column | None = None) -> Column:
+    """A diploid call with the alleles of its best genotypes; null if its likelihoods do not fit. ``keep, trimmed``: see ``_with_kept``."""
+    keep = _diploid_alleles(x) if keep is None else keep
     gt = F.when(F.size(keep) == 3, "1/2").otherwise("1/1")
-    return F.when(F.size(x["alt"]) == 1, _struct(x)).when(keep.isNotNull(), _subset(x, keep, gt))
+    return F.when(F.size(x["alt"]) == 1, _struct(x)).when(keep.isNotNull(), _subset(x, keep, gt, trimmed))
+
+
+def _with_kept(rows: DataFrame, alleles, *names: str) -> DataFrame:
+    """``rows`` with ``k_x``, the places of the alleles that call x keeps, and ``t_x``, these alleles trimmed: each worked out once for a row."""
+    rows = _settled(rows.withColumns({f"k_{c}": alleles(F.col(c)) for c in names}))
+    return _settled(rows.withColumns({f"t_{c}": F.when(F.col(f"k_{c}").isNotNull(), A.subset_alleles(F.col(f"{c}.ref"), F.col(f"{c}.alt"), F.col(f"k_{c}"))) for c in names}))
+
+
+def _kept(c: str) -> tuple[Column, Column, Column]:
+    return F.col(c), F.col(f"k_{c}"), F.col(f"t_{c}")
 
 
 def split_haplotypes(x: Column) -> Column:
@@ -101,10 +119,14 @@ def _haplotype(x: Column, i: Column) -> Column:
     return _struct(x, ref=trimmed["ref"], alt=trimmed["alts"], end=x["pos"] + F.length(trimmed["ref"]), PL=pl, AD=two("AD"), RPA=two("RPA"), GT=F.lit("1"))
 
 
-def _chosen(v: Column, d: Column) -> tuple[Column, Column]:
-    """The second-pass call if there is no other or it explains the other's alleles; and whether it was chosen."""
-    use = F.coalesce(d["ref"].isNotNull() & (v["ref"].isNull() | A.match_alleles(v["ref"], v["alt"], d["ref"], d["alt"])), F.lit(False))
-    return F.when(use, _struct(d)).when(v["ref"].isNotNull(), _struct(v)), use
+def _use(v: Column, d: Column) -> Column:
+    """Whether there is a second-pass call and no other, or it explains the other's alleles."""
+    return F.coalesce(d["ref"].isNotNull() & (v["ref"].isNull() | A.match_alleles(v["ref"], v["alt"], d["ref"], d["alt"])), F.lit(False))
+
+
+def _chosen(v: Column, d: Column, use: Column) -> Column:
+    """The second-pass call if it is to be used, else the other."""
+    return F.when(use, _struct(d)).when(v["ref"].isNotNull(), _struct(v))
 
 
 def _patched(x: Column, delta: Column) -> Column:
@@ -147,9 +169,10 @@ def patch_haploid(v: DataFrame, d: DataFrame) -> DataFrame:
     """Haploid calls with second-pass calls in place of those that they explain. New and repeat calls get DELTA; confident REF calls go."""
     both = joins.cogroup_pos({"v": calls(v), "d": calls(d)})
     both = _level(both, F.struct(F.col("v"), _known(F.col("d")).alias("d")))
-    x, use = _chosen(F.col("v"), F.col("d"))
-    rows = _level(both, F.struct(x.alias("x"), use.alias("use")), lambda r: _there(r["x"]))
-    rows = _level(rows, F.struct(trim_haploid(F.col("x")).alias("x"), F.col("use")), lambda r: ~_sure(r["x"]))
+    both = _settled(both.withColumn("use", _use(F.col("v"), F.col("d"))))
+    rows = _level(both, F.struct(_chosen(F.col("v"), F.col("d"), F.col("use")).alias("x"), "use"), lambda r: _there(r["x"]))
+    rows = _with_kept(rows, _haploid_alleles, "x")
+    rows = _level(rows, F.struct(trim_haploid(*_kept("x")).alias("x"), "use"), lambda r: ~_sure(r["x"]))
     return _level(rows, _patched(F.col("x"), F.col("use") | _repeat(F.col("x"))))
 
 
@@ -166,9 +189,11 @@ def patch_haploid_pair(d1: DataFrame, d2: DataFrame, v1: DataFrame | None = None
         both = joins.cogroup_pos({"p": calls(phased), **parts})
         both = _level(both, F.struct(split_haplotypes(F.col("p")).alias("h"), "d1", "d2")).select(F.get("h", F.lit(0)).alias("v1"), F.get("h", F.lit(1)).alias("v2"), "d1", "d2")
     both = _level(both, F.struct(*[_known(F.col(c)).alias(c) for c in ("v1", "v2", "d1", "d2")]))
-    (x1, u1), (x2, u2) = _chosen(F.col("v1"), F.col("d1")), _chosen(F.col("v2"), F.col("d2"))
-    rows = _level(both, F.struct(x1.alias("x1"), u1.alias("u1"), x2.alias("x2"), u2.alias("u2")), lambda r: _there(r["x1"]) | _there(r["x2"]))
-    trimmed = lambda c: F.when(F.col(f"{c}.ref").isNotNull(), trim_haploid(F.col(c))).alias(c)
+    both = _settled(both.withColumns({f"u{k}": _use(F.col(f"v{k}"), F.col(f"d{k}")) for k in (1, 2)}))
+    x1, x2 = (_chosen(*(F.col(f"{c}{k}") for c in "vdu")) for k in (1, 2))
+    rows = _level(both, F.struct(x1.alias("x1"), "u1", x2.alias("x2"), "u2"), lambda r: _there(r["x1"]) | _there(r["x2"]))
+    rows = _with_kept(rows, _haploid_alleles, "x1", "x2")
+    trimmed = lambda c: F.when(F.col(f"{c}.ref").isNotNull(), trim_haploid(*_kept(c))).alias(c)
     sure = lambda x: x["ref"].isNull() | _sure(x)
     rows = _level(rows, F.struct(trimmed("x1"), F.col("u1"), trimmed("x2"), F.col("u2")), lambda r: ~(sure(r["x1"]) & sure(r["x2"])))
     mark = lambda c, u: _patched(F.col(c), F.col(u) | (_repeat(F.col(c)) if phased is None else F.lit(False)))
@@ -180,9 +205,10 @@ def patch_diploid(v: DataFrame, d: DataFrame) -> DataFrame:
     both = joins.cogroup_pos({"v": calls(v), "d": calls(d)})
     known = F.when(~F.coalesce(F.col("d.GT") == "./.", F.lit(False)), _struct(F.col("d")))
     both = _level(both, F.struct(F.col("v"), known.alias("d")))
-    x, use = _chosen(F.col("v"), F.col("d"))
-    rows = _level(both, F.struct(x.alias("x"), use.alias("use")), lambda r: _there(r["x"]))
-    rows = _level(rows, F.struct(trim_diploid(F.col("x")).alias("x"), F.col("use")), lambda r: _there(r["x"]) & ~(r["use"] & _sure(r["x"])))
+    both = _settled(both.withColumn("use", _use(F.col("v"), F.col("d"))))
+    rows = _level(both, F.struct(_chosen(F.col("v"), F.col("d"), F.col("use")).alias("x"), "use"), lambda r: _there(r["x"]))
+    rows = _with_kept(rows, _diploid_alleles, "x")
+    rows = _level(rows, F.struct(trim_diploid(*_kept("x")).alias("x"), "use"), lambda r: _there(r["x"]) & ~(r["use"] & _sure(r["x"])))
     return _level(rows, _patched(F.col("x"), F.col("use")))
 
 
