@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandframe.operators import joins
-from strandframe.plans import cnv
+from strandframe.plans import cnv, patch
 
 
 def test_short_texts_side_by_side():
@@ -31,3 +31,13 @@ def test_find_periods_works_out_its_input_once(spark):
     rows = spark.createDataFrame([(i, unit[i % 5 :] * (2 + i % 3)) for i in range(40)], "id long, seq string").select("id", counted("seq").alias("seq"))
     assert cnv.find_periods(rows, least=16, step=5).count() >= 40
     assert seen.value <= 80  # the input, and the test of its length
+
+
+def test_patching_works_out_kept_alleles_once(spark):
+    """The rules on alleles stand once in the plan, not once for each field that follows from them."""
+    schema = "ctg string, pos long, ref string, alt array<string>, GT string, PL array<int>, file_order long"
+    v = spark.createDataFrame([("a", 1, "A", ["C", "G", "T"], "0/1", [9, 5, 7, 0, 1, 2, 3, 4, 8, 6], 1)], schema)
+    one, two = patch.patch_haploid_pair(v, v, v, v)
+    for found in (patch.patch_diploid(v, v), patch.patch_haploid(v, v), one, two):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("lambdafunction(") < 130  # 139 to 361 where each field works them out
