@@ -180,7 +180,7 @@ def finalise(v: DataFrame, gvcf: bool = False, chunks: DataFrame | None = None,
 def combine_cnv(cnv: DataFrame, converted: DataFrame, neutral: int = 2, fraction: float = 0.5, width: int = intervals.BIN) -> DataFrame:
     """``(cid, ctg, pos, end, CN, SOURCE, filter, DEDUP, source_order)`` of CNV calls and calls converted from indels.
 
-    ``cnv``: ``cid`` (unique), ctg, pos, end, CN, filter; those that do not pass or are
+    ``cnv``: ``cid`` (rows that share one share the range found), ctg, pos, end, CN, filter; those that do not pass or are
     neutral go. ``converted``: also CNDIFF, REFSTART, REFSTOP; all stay, with their copy
     number. A loss that a converted loss covers by at least ``fraction`` is SVdup, and
     DEDUP names the first such range; gains never are. Order by pos, ``source_order``, cid.
@@ -189,8 +189,10 @@ def combine_cnv(cnv: DataFrame, converted: DataFrame, neutral: int = 2, fraction
     known = converted.where("CNDIFF < 0 and REFSTART < REFSTOP").select("ctg", F.col("REFSTART").alias("start"), F.col("REFSTOP").alias("end"))
     losses = called.where(F.col("CN") < neutral).select("cid", "ctg", F.col("pos").alias("start"), "end")
     hit = intervals.fraction_overlap(losses, known, fraction, width=width).where("hit_start is not null")
-    dedup = hit.select("cid", F.concat("ctg", F.lit(":"), "hit_start", F.lit("-"), "hit_end").alias("DEDUP"))
-    marked = called.join(dedup, "cid", "left").withColumn("filter", F.when(F.col("DEDUP").isNotNull(), F.array(F.lit("SVdup"))).otherwise(F.col("filter")))
+    # one row for each cid, so that rows which share theirs are not multiplied
+    first = hit.groupBy("cid").agg(F.min(F.struct("hit_start", "hit_end")).alias("__hit"))
+    dedup = F.when(F.col("__hit").isNotNull(), F.concat("ctg", F.lit(":"), "__hit.hit_start", F.lit("-"), "__hit.hit_end"))
+    marked = called.join(first, "cid", "left").withColumns({"DEDUP": dedup, "filter": F.when(F.col("__hit").isNotNull(), F.array(F.lit("SVdup"))).otherwise(F.col("filter"))})
     columns = ["cid", "ctg", "pos", "end", "CN", "SOURCE", "filter", "DEDUP", "source_order"]
     own = converted.withColumns({"CN": A.copy_number(F.coalesce("CNDIFF", F.lit(0)), neutral), "SOURCE": F.lit("SV_CNV"), "DEDUP": F.lit(None).cast("string"), "source_order": F.lit(0)})
     return own.select(*columns).unionByName(marked.withColumns({"SOURCE": F.lit("CNV"), "source_order": F.lit(1)}).select(*columns))

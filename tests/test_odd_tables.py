@@ -44,6 +44,12 @@ def test_intervals_of_no_length(spark, tmp_path):
         same(spark, path, name, events=frame)
 
 
+def test_calls_that_share_an_id(spark, tmp_path):
+    """A table repeated with other users: an id then stands for a call of each, and each stays once."""
+    rows = [(i, user, 3600 * (i // 4) + i % 2, 1.0 + i % 3, "view" if i % 2 else "click") for user in range(3) for i in range(80)]
+    same(spark, tmp_path, "combine_cnv", events=events(spark, rows))
+
+
 def test_gaps_around_intervals_of_no_length(spark, tmp_path):
     rows = [(user, second, hours) for user in range(5) for second, hours in ((0, 0.0), (50_000, 1.0), (60_000 + user, 0.0), (80_000, 0.0), (80_000, 0.0), (9_000_000 + user, 0.0), (9_500_000, 0.1 * user))]
     same(spark, tmp_path, "interval_complement", events=events(spark, [(i, u, s, h, "click") for i, (u, s, h) in enumerate(rows)]))
