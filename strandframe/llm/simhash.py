@@ -169,7 +169,8 @@ def links(nodes: DataFrame, radius: int, segments: int, lanes: int = 1, bucket_r
     All links of at most ``2 * segments - 1`` differing bits are found; of links with
     more (up to ``radius``) those with a segment of at most one differing bit. Of one
     variant's group only edges that span its components are emitted. ``pairs``: every
-    edge is a link itself, and of groups of up to SMALL_GROUP all links are emitted.
+    edge is a link itself, emitted once, where its ends meet first, and of groups of up
+    to SMALL_GROUP all links are emitted.
     """
     bits = 64 * lanes
     cuts = [bits * k // segments for k in range(segments + 1)]
@@ -196,6 +197,9 @@ def links(nodes: DataFrame, radius: int, segments: int, lanes: int = 1, bucket_r
         segment, bit = variants[table.column("bucket")[0].as_py() // split]
         a = np.frombuffer(b"".join(table.column("block").to_pylist()), "<u8").reshape(-1, lanes)
         x, y = (_bucket_pairs if pairs else _bucket_links)(a, cuts, segment, bit, radius)
+        if pairs:  # a pair that met before is connected by what was emitted there
+            first = _first_meeting(x, y, cuts, segment, bit)
+            x, y = x[first], y[first]
         return pa.table({"a": pa.array([r.tobytes() for r in x], pa.binary()), "b": pa.array([r.tobytes() for r in y], pa.binary())})
 
     return nodes.select("fp").mapInArrow(spread, "bucket long, block binary").groupBy("bucket").applyInArrow(compare, "a binary, b binary")

@@ -147,3 +147,22 @@ def test_links_are_exact(spark):
         rows.append((1001 + k, " ".join(f"x{k}" if i in range(k * 7, k * 7 + 48, 12) else w for i, w in enumerate(stem))))
     got = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want | {1000}
+
+
+def test_pairs_of_a_large_group_come_once(spark):
+    """Near copies of one text share most variants; their edges grow with their number, not with that of the variants too."""
+    rng = np.random.default_rng(6)
+    stem, many = rng.integers(0, 2, 192), {}
+    for n in (150, 300):
+        bits = np.array([stem ^ (rng.random(192) < 0.04) for _ in range(n)], np.uint8)
+        fps = sorted({np.packbits(b).tobytes() for b in bits})
+        frame = spark.createDataFrame([(bytearray(f),) for f in fps], "fp binary")
+        edges = [tuple(sorted((bytes(r.a), bytes(r.b)))) for r in simhash.links(frame, 40, 12, 3, pairs=True).collect()]
+        assert len(edges) == len(set(edges))
+        label = {f: f for f in fps}
+        for a, b in edges:
+            old, new = label[a], label[b]
+            label = {f: new if x == old else x for f, x in label.items()}
+        assert len(set(label.values())) == 1
+        many[n] = len(edges) / len(fps)
+    assert max(many.values()) < 20
