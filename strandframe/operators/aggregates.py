@@ -55,66 +55,174 @@ def canonical(kmer: Column) -> Column:
     return F.least(kmer, F.reverse(F.translate(kmer, "ACGT", "TGCA")))
 
 
-#: Bases whose k-mers a task packs at a time.
-PACK_BASES = 1 << 20
+#: Bases that a task cuts at a time; k-mers of a bucket, on average, and those that a task counts at a time.
+PACK_BASES, BUCKET_KMERS, COUNT_KMERS = 1 << 20, 1 << 21, 1 << 22
 _CODES = np.full(256, 255, np.uint8)
 _CODES[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
+_QUADS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8)
 
 
-def _packed(text: np.ndarray, k: int) -> np.ndarray:
-    """Canonical k-mers of A, C, G and T in the bytes of a text, two bits a base; so packed, number order is text order."""
-    code = _CODES[text]
+def _packed(code: np.ndarray, k: int) -> np.ndarray:
+    """Canonical k-mers of codes 0 to 3, two bits a base; so packed, number order is text order. Longer ones are put together from two shorter ones."""
+    n = len(code) - k + 1
+    there = back = None
+    have, part = 0, 1
+    own, other = code.astype(np.int64), 3 - code.astype(np.int64)
+    while True:
+        if k & part:
+            there = own[:n] if there is None else (there << (2 * part)) | own[have : have + n]
+            back = other[:n] if back is None else back | (other[have : have + n] << (2 * have))
+            have += part
+        if have == k:
+            return np.minimum(there, back)
+        own, other = (own[:-part] << (2 * part)) | own[part:], other[:-part] | (other[part:] << (2 * part))
+        part *= 2
+
+
+def _cut(code: np.ndarray, k: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """The k-mers of A, C, G and T (codes 0 to 3) as stretches of bases, those of a bucket together: their number, their lengths, and their bases, two bits each.
+
+    The bucket of a k-mer is told by the least hash of its canonical m-mers, which its
+    reverse complement has too; neighbours share it mostly, so a stretch holds several.
+    """
     n = len(code) - k + 1
     if n < 1:
-        return np.empty(0, np.int64)
+        return
     bad = np.cumsum(np.r_[0, code == 255])
     whole = bad[k:] == bad[:n]
-    there, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for j in range(k):
-        own = code[j : j + n].astype(np.int64)
-        there |= own << (2 * (k - 1 - j))
-        back |= (3 - own) << (2 * j)
-    return np.minimum(there, back)[whole]
-
-
-def kmer_count(reads: DataFrame, k: int = 29, least: int = 1) -> DataFrame:
-    """``(kmer, n)``: canonical k-mers (k of 31 at most) of A, C, G and T in ``seq``, with at least ``least`` occurrences.
-
-    K-mers are packed into numbers and counted within a batch, so what is shuffled has 16
-    bytes for each different one of a batch.
-    """
+    m = min(13, k)
+    h = _packed(np.where(code == 255, 0, code), m).astype(np.uint64)
+    h = (h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(30)
+    width = 1
+    while width < k - m + 1:
+        step = min(width, k - m + 1 - width)
+        h = np.minimum(h[:-step], h[step:])
+        width += step
+    home = (h % np.uint64(buckets)).astype(np.int64)
+    before = np.cumsum(whole) - whole
+    new = whole & np.r_[True, ~whole[:-1] | (home[1:] != home[:-1])]
+    first = np.maximum.accumulate(np.where(new, before, 0))
+    starts = np.flatnonzero(whole & ((before - first) % (256 - k) == 0))
+    if not len(starts):
+        return
+    sizes = np.diff(np.r_[before[starts], whole.sum()]) + k - 1
+    order = np.argsort(home[starts], kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    ends = np.cumsum(sizes)
+    bases = code[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)]
+    own = home[starts]
+    edges = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        part = bases[ends[i] - sizes[i] : ends[j - 1]]
+        quads = np.r_[part, np.zeros(-len(part) % 4, np.uint8)].reshape(-1, 4)
+        packed = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+        yield int(own[i]), (j - i).to_bytes(4, "little") + sizes[i:j].astype(np.uint8).tobytes() + packed.tobytes()
+
+
+def _counted(blocks: list[bytes], k: int, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted k-mers of the stretches and their numbers, added to those known."""
+    sizes, bases = [], []
+    for block in blocks:
+        many = int.from_bytes(block[:4], "little")
+        sizes.append(np.frombuffer(block, np.uint8, many, 4))
+        bases.append(_QUADS[np.frombuffer(block, np.uint8, -1, 4 + many)].reshape(-1)[: sizes[-1].sum(dtype=np.int64)])
+    ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
+    found = _packed(np.concatenate(bases), k)
+    inside = np.ones(len(found), bool)
+    for j in range(1, k):
+        inside[ends[:-1] - j] = False
+    own, times = np.unique(found[inside], return_counts=True)
+    if not len(code):
+        return own, times
+    both, at = np.unique(np.r_[code, own], return_inverse=True)
+    total = np.zeros(len(both), np.int64)
+    total[at[: len(code)]] = n
+    total[at[len(code) :]] += times
+    return both, total
+
+
+def _kmer_codes(reads: DataFrame, k: int, least: int = 1) -> DataFrame:
+    """``(code, n)`` of ``kmer_count``, k-mers packed into numbers."""
     if not 0 < k <= 31:
         raise ValueError("k must lie between 1 and 31")
+    bases = reads.agg(F.sum(F.length("seq")).cast("long").alias("n")).first()["n"] or 0
+    buckets = max(64, -(-bases // BUCKET_KMERS))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
-            kmer, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(kmer), pa.array(n.astype(np.int64))], ["code", "n"])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(held: list[bytes]) -> pa.RecordBatch:
+            made = list(_cut(_CODES[np.frombuffer(b"\n".join(held), np.uint8)], k, buckets))
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in made], pa.int64()), pa.array([x for _, x in made], pa.binary())], ["bucket", "block"])
 
+        held, many = [], 0
         for batch in batches:
-            held, bases = [], 0
             for x in batch.column("seq"):
-                text = np.frombuffer((x.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
-                for at in range(0, max(len(text), 1), PACK_BASES):
-                    held.append(_packed(text[at : at + PACK_BASES + k - 1], k))
-                    bases += len(held[-1])
-                    if bases >= PACK_BASES:
+                text = (x.as_py() or "").encode("utf-8", "surrogatepass")
+                for at in range(0, len(text), PACK_BASES):
+                    held.append(text[at : at + PACK_BASES + k - 1])
+                    many += len(held[-1])
+                    if many >= PACK_BASES:
                         yield rows(held)
-                        held, bases = [], 0
-            if bases:
-                yield rows(held)
+                        held, many = [], 0
+        if held:
+            yield rows(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64), np.empty(0, np.int64)
+        last, held, many, known = None, [], 0, none
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            code, n = _counted(held, k, *known) if held else known
+            code, n = code[n >= least], n[n >= least]
+            for at in range(0, len(code), PACK_BASES):
+                yield pa.RecordBatch.from_arrays([pa.array(code[at : at + PACK_BASES]), pa.array(n[at : at + PACK_BASES].astype(np.int64))], ["code", "n"])
+
+        for batch in batches:
+            for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist()):
+                if bucket != last:
+                    yield from rows()
+                    last, held, many, known = bucket, [], 0, none
+                held.append(block)
+                many += 4 * len(block)
+                if many >= COUNT_KMERS:
+                    held, many, known = [], 0, _counted(held, k, *known)
+        yield from rows()
+
+    stretches = reads.select("seq").mapInArrow(cut, "bucket long, block binary")
+    return stretches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "code long, n long")
+
+
+def _spelled(rows: DataFrame, k: int, *codes: str) -> DataFrame:
+    """``rows`` with the k-mers that numbers stand for as text."""
+    letters, names = np.frombuffer(b"ACGT", np.uint8), rows.columns
 
-    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = np.frombuffer(b"ACGT", np.uint8)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            code = batch.column("code").to_numpy()
-            text = letters[(code[:, None] >> (2 * np.arange(k - 1, -1, -1))) & 3]
-            offsets = pa.py_buffer(np.arange(0, k * (len(code) + 1), k, dtype=np.int32).tobytes())
-            kmer = pa.StringArray.from_buffers(len(code), offsets, pa.py_buffer(text.tobytes()))
-            yield pa.RecordBatch.from_arrays([kmer, batch.column("n")], ["kmer", "n"])
-
-    counts = reads.select("seq").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") >= least).mapInArrow(spelled, "kmer string, n long")
+            arrays = {c: batch.column(c) for c in names}
+            for c in codes:
+                code = arrays[c].to_numpy()
+                text = letters[(code[:, None] >> (2 * np.arange(k - 1, -1, -1))) & 3]
+                offsets = pa.py_buffer(np.arange(0, k * (len(code) + 1), k, dtype=np.int32).tobytes())
+                arrays[c] = pa.StringArray.from_buffers(len(code), offsets, pa.py_buffer(text.tobytes()))
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
+
+    return rows.mapInArrow(run, ", ".join(f"{c} {'string' if c in codes else t}" for c, t in rows.dtypes))
+
+
+def kmer_count(reads: DataFrame, k: int = 29, least: int = 1) -> DataFrame:
+    """``(kmer, n)``: canonical k-mers (k of 31 at most) of A, C, G and T in ``seq``, with at least ``least`` occurrences.
+
+    What is shuffled are stretches of bases whose k-mers belong to one bucket, two bits a
+    base: a byte or so for each k-mer. A task counts one bucket after the other.
+    """
+    return _spelled(_kmer_codes(reads, k, least).withColumnRenamed("code", "kmer"), k, "kmer")
+
+
+def kmer_spectrum(reads: DataFrame, k: int = 29) -> DataFrame:
+    """``(n, kmers, first, last)``: how many canonical k-mers occur ``n`` times, and the first and the last of them by text."""
+    counted = _kmer_codes(reads, k).groupBy("n").agg(F.count("*").alias("kmers"), F.min("code").alias("first"), F.max("code").alias("last"))
+    return _spelled(counted, k, "first", "last")
 
 
 def _cycles(reads: DataFrame, column: str) -> DataFrame:
