@@ -240,9 +240,7 @@ def patch_haploid_pair(spark, sf_dir):
     part = lambda m: rows.where(F.col("l_linenumber") % 3 == m)
     turned = (F.floor(F.col("file_order") / 100_000_000) - F.col("l_linenumber")) / 8 % 3  # the part, modulo 3
     phased = part(0).withColumns({"PL": F.col("dPL"), "GT": F.when(turned == 0, "1|1").when(turned == 1, "0|1").otherwise("0/1")})
-    one, two = patch.patch_haploid_pair(haploid(part(1)), haploid(part(2)), phased=phased)
-    both = [_plain(df).select(F.lit(k).alias("hap"), "*") for k, df in ((1, one), (2, two))]
-    return both[0].unionByName(both[1])
+    return _plain(patch.patch_both_haplotypes(haploid(part(1)), haploid(part(2)), phased=phased), "hap")
 
 
 @query("""WITH w AS (SELECT l_orderkey, l_partkey, l_linenumber, l_partkey % 4 AS k FROM lineitem), v AS (SELECT *, CASE k WHEN 0 THEN 'A' ELSE 'AC' END AS ref, CASE k WHEN 0 THEN ['C', 'G'] WHEN 1 THEN ['GC', 'T'] WHEN 2 THEN ['T', 'GC'] ELSE ['AT', 'GC'] END AS alt, ['0/1', '1/2', '0/2', '0/0', '2|2'][l_orderkey % 5 + 1] AS gt FROM w WHERE l_orderkey % 5 <> 3),

@@ -146,10 +146,11 @@ def _level(frame: DataFrame, row: Column, keep=None) -> DataFrame:
     """The fields of a struct as columns, of rows that ``keep`` holds for.
 
     A generator stands between two levels of rules, so that conditions on derived calls
-    are not pushed through the expressions that derive them.
+    are not pushed through the expressions that derive them. What is derived is derived
+    before it: a generator that holds a lambda function is not compiled, with all it holds.
     """
-    rows = F.array(row)
-    return frame.select(F.inline(rows if keep is None else F.filter(rows, lambda r: F.coalesce(keep(r), F.lit(False)))))
+    rows, one = frame.select(row.alias("__row")), F.array("__row")
+    return rows.select(F.inline(one if keep is None else F.when(F.coalesce(keep(F.col("__row")), F.lit(False)), one)))
 
 
 def _settled(frame: DataFrame) -> DataFrame:
@@ -177,7 +178,13 @@ def patch_haploid(v: DataFrame, d: DataFrame) -> DataFrame:
 
 
 def patch_haploid_pair(d1: DataFrame, d2: DataFrame, v1: DataFrame | None = None, v2: DataFrame | None = None, phased: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``patch_haploid`` for two haplotypes at once, from two tables or from one phased table that is split first.
+    """``patch_both_haplotypes`` as one table for each haplotype; where both are read, its one table is worked out once only."""
+    both = patch_both_haplotypes(d1, d2, v1, v2, phased)
+    return both.where("hap = 1").drop("hap"), both.where("hap = 2").drop("hap")
+
+
+def patch_both_haplotypes(d1: DataFrame, d2: DataFrame, v1: DataFrame | None = None, v2: DataFrame | None = None, phased: DataFrame | None = None) -> DataFrame:
+    """``patch_haploid`` for two haplotypes at once, from two tables or from one phased table that is split first; ``hap`` is 1 or 2.
 
     A position goes if every haplotype there is a confident REF call. Repeats get DELTA
     only if there are two tables.
@@ -196,8 +203,9 @@ def patch_haploid_pair(d1: DataFrame, d2: DataFrame, v1: DataFrame | None = None
     trimmed = lambda c: F.when(F.col(f"{c}.ref").isNotNull(), trim_haploid(*_kept(c))).alias(c)
     sure = lambda x: x["ref"].isNull() | _sure(x)
     rows = _level(rows, F.struct(trimmed("x1"), F.col("u1"), trimmed("x2"), F.col("u2")), lambda r: ~(sure(r["x1"]) & sure(r["x2"])))
-    mark = lambda c, u: _patched(F.col(c), F.col(u) | (_repeat(F.col(c)) if phased is None else F.lit(False)))
-    return _level(rows, mark("x1", "u1"), _there), _level(rows, mark("x2", "u2"), _there)
+    halves = rows.select(F.inline(F.array(*[F.struct(F.lit(k).alias("hap"), F.col(f"x{k}").alias("x"), F.col(f"u{k}").alias("use")) for k in (1, 2)]))).where("x.ref is not null")
+    delta = F.col("use") | (_repeat(F.col("x")) if phased is None else F.lit(False))
+    return halves.select("hap", _patched(F.col("x"), delta).alias("x")).select("hap", "x.*")
 
 
 def patch_diploid(v: DataFrame, d: DataFrame) -> DataFrame:
@@ -273,7 +281,8 @@ def _with_joined(both: DataFrame, numbers: dict[str, str] | None = None) -> Data
         "info_dp": depth_of("info_dp"), "STR": first("STR"), "RU": first("RU"), "RPA": A.join_rpa("r1", "r2"), "ML_PROB": prob, "DELTA": v0["DELTA"], "info": F.coalesce(info, empty), "sample": empty,
     }
     call = F.struct(*[new[c].cast(_TYPES[c]).alias(c) for c in _OUT], gt["ac"].alias("AC"), gt["af"].alias("AF"), gt["an"].alias("AN"))
-    return rows.select(*both.columns, F.explode(F.array(F.when(h1 | h2, call))).alias("joined"))
+    rows = rows.select(*both.columns, F.when(h1 | h2, call).alias("__call"))
+    return rows.select(*both.columns, F.explode(F.array("__call")).alias("joined"))
 
 
 def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased: DataFrame, bed: DataFrame, numbers: dict[str, str] | None = None) -> DataFrame:

@@ -41,3 +41,18 @@ def test_patching_works_out_kept_alleles_once(spark):
     for found in (patch.patch_diploid(v, v), patch.patch_haploid(v, v), one, two):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("lambdafunction(") < 130  # 139 to 361 where each field works them out
+
+
+def test_levels_of_patching_are_compiled_and_haplotypes_come_together(spark):
+    """No generator holds a lambda function, which would have it interpreted with the calls that it makes; two haplotypes are one pass."""
+    schema = "ctg string, pos long, ref string, alt array<string>, GT string, PL array<int>, file_order long"
+    v = spark.createDataFrame([("a", 1, "A", ["C", "G", "T"], "1", [9, 5, 7, 0], 1)], schema)
+    bed = spark.createDataFrame([("a", 0, 9)], "ctg string, start long, end long")
+    both = patch.patch_both_haplotypes(v, v, v, v)
+    for found in (both, patch.patch_diploid(v, v), patch.patch_haploid(v, v), patch.merge_phased(v, v, v, v, bed)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Generate" in x and "lambdafunction(" in x.split("Generate", 1)[1].split("], ")[0]]
+    one, two = patch.patch_haploid_pair(v, v, v, v)
+    rows = lambda df: [(r.ctg, r.pos, r.alt) for r in df.collect()]
+    assert sorted((r.hap, r.ctg, r.pos, r.alt) for r in both.collect()) == [(1, *x) for x in rows(one)] + [(2, *x) for x in rows(two)]
+    assert len(rows(one)) == len(rows(two)) == 1
