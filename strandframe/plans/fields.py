@@ -385,8 +385,8 @@ def transfer(spark, sf_dir):
     m = (k % 3 + 1).cast("int")
     cut = lambda values, n: F.array_join(F.slice(values, F.lit(1), n), ",")
     af = F.when(k % 4 == 1, _list("0.5", ".", ".")).when(k % 4 == 2, _list(".", "0.5", ".")).when(k % 4 == 3, _list("0.1", "0.2", "."))
-    ad = lambda times=1: F.array(*[(k % 9 + i) * times for i in range(4)])
-    likely = cut(F.array(*[k * t % 37 for t in range(1, 11)]), F.when(k % 5 == 0, m + 1).otherwise(((m + 1) * (m + 2) / 2).cast("int")))
+    ad = lambda times=1: F.transform(A.upto(F.lit(4)), lambda i: (k % 9 + i) * times)
+    likely = cut(F.transform(A.upto(F.lit(10)), lambda t: k * (t + 1) % 37), F.when(k % 5 == 0, m + 1).otherwise(((m + 1) * (m + 2) / 2).cast("int")))
     info = F.create_map(*map(F.lit, ("DB",)), F.lit(None).cast("string"), F.lit("MQ"), (k % 60).cast("string"), F.lit("AC"), F.when(k % 7 == 0, ".").otherwise(cut(ad(2), m)), F.lit("RC"), cut(ad(3), m + 1))
     info = F.when(af.isNull(), info).otherwise(F.map_concat(info, F.create_map(F.lit("AF"), cut(af, m))))
     one = F.create_map(F.lit("GT"), F.lit("0/1"), F.lit("AD"), cut(ad(), m + 1), F.lit("PL"), likely, F.lit("XA"), cut(ad(), m), F.lit("DP"), F.col("q").cast("string"))

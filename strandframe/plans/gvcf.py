@@ -124,23 +124,24 @@ def trim_added_alts(v: DataFrame, number_a: tuple[str, ...] = ("AF",), number_r:
     can spare; those are taken to be shared, as in padded alleles. Symbolic ALTs do not
     count and stay whole.
     """
+    # rows that lose an ALT and rows that lose none are worked out in one pass over the input
     keep = v.withColumn("__keep", A.added_alts("alt", "AF"))
-    all_kept = F.size("__keep") == F.size("alt") + 1
-    some = keep.where(~all_kept).withColumn("__alts", F.size("alt"))
-    n = F.col("__alts")  # a column: inside lambda functions the name alt would be taken for the new one
+    rows = keep.withColumns({"__alts": F.size("alt"), "__all": F.size("__keep") == F.size("alt") + 1}).where("__all is not null")
+    n, whole = F.col("__alts"), F.col("__all")  # columns: inside lambda functions the name alt would be taken for the new one
     new = {c: A.subset_a(c, F.col("__keep")) for c in number_a} | {c: A.subset_r(c, F.col("__keep")) for c in number_r} | {c: A.subset_g(c, F.col("__keep"), n) for c in number_g}
     new = {k: x for k, x in new.items() if k in v.columns}
     if info and "info" in v.columns:
         new["info"] = A.subset_fields("info", {k: x for k, x in info.items() if x != "G"}, F.col("__keep"), n)
     if samples and "samples" in v.columns:
         new["samples"] = F.transform("samples", lambda s: A.subset_fields(s, samples, F.col("__keep"), n))
-    some = some.withColumns(new | {"alt": A.subset_a("alt", F.col("__keep"))})
+    new["alt"] = A.subset_a("alt", F.col("__keep"))
+    some = rows.withColumns({c: F.when(whole, F.col(c)).otherwise(x) for c, x in new.items()})
     plain = F.filter("alt", lambda a: ~a.startswith("<"))
     spare = F.when(F.size(plain) > 0, F.aggregate(plain, F.length("ref"), lambda n, a: F.least(n, F.length(a))) - 1).otherwise(0)
     some = some.withColumn("__n", F.greatest(spare, F.lit(0)))
     cut = lambda a: F.substring(a, F.lit(1), F.length(a) - F.col("__n"))
-    some = some.withColumns({"ref": cut(F.col("ref")), "alt": F.transform("alt", lambda a: F.when(a.startswith("<"), a).otherwise(cut(a)))}).drop("__n", "__alts")
-    return keep.where(all_kept).unionByName(some).drop("__keep")
+    shorter = {"ref": cut(F.col("ref")), "alt": F.transform("alt", lambda a: F.when(a.startswith("<"), a).otherwise(cut(a)))}
+    return some.withColumns({c: F.when(whole, F.col(c)).otherwise(x) for c, x in shorter.items()}).drop("__n", "__alts", "__all", "__keep")
 
 
 def transfer(raw: DataFrame, pop: DataFrame, key: str, rules: dict[str, str], info: dict[str, str] | None = None, samples: dict[str, str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandframe.operators import joins
-from strandframe.plans import cnv, patch
+from strandframe.plans import cnv, gvcf, patch
 
 
 def test_short_texts_side_by_side():
@@ -43,6 +43,13 @@ def test_patching_works_out_kept_alleles_once(spark):
         assert plan.count("lambdafunction(") < 130  # 139 to 361 where each field works them out
 
 
+def test_cutting_alts_reads_its_input_once(spark):
+    v = spark.createDataFrame([(i, "A", ["C", "G"], [".", "0.5"] if i % 2 else ["0.1", "0.2"]) for i in range(20)], "vid long, ref string, alt array<string>, AF array<string>")
+    found = gvcf.trim_added_alts(v)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1  # 2 where rows that lose an ALT are worked out apart
+    assert {r.vid: r.alt for r in found.collect()} == {i: ["G"] if i % 2 else ["C", "G"] for i in range(20)}
+
+
 def test_levels_of_patching_are_compiled_and_haplotypes_come_together(spark):
     """No generator holds a lambda function, which would have it interpreted with the calls that it makes; two haplotypes are one pass."""
     schema = "ctg string, pos long, ref string, alt array<string>, GT string, PL array<int>, file_order long"
