@@ -219,10 +219,18 @@ def vcf_lines(v: DataFrame) -> Column:
 
 
 def write_vcf(v: DataFrame, header: DataFrame, contigs: DataFrame, path: str) -> None:
-    """A folder of part files: the header's lines, in order, and then the records in genome order."""
+    """A folder of part files: the header's lines, in order, and then the records in genome order.
+
+    Dealing rows to ranges reads them twice, so lines and places are first stored beside
+    (``_placed``, which Spark's readers pass over), and ``v`` is worked out once.
+    """
+    spark = v.sparkSession
     header.select("value").coalesce(1).write.text(f"{path}/header")
-    ordered = v.join(F.broadcast(contigs.select("ctg", "ctg_idx")), "ctg", "left").repartitionByRange("ctg_idx", "pos", "end").sortWithinPartitions("ctg_idx", "pos", "end")
-    ordered.select(vcf_lines(ordered).alias("value")).write.text(f"{path}/records")
+    placed = v.withColumn("value", vcf_lines(v)).join(F.broadcast(contigs.select("ctg", "ctg_idx")), "ctg", "left").select("ctg_idx", "pos", "end", "value")
+    placed.write.parquet(f"{path}/_placed")
+    stored = spark.read.schema(placed.schema).parquet(f"{path}/_placed")
+    ordered = stored.repartitionByRange("ctg_idx", "pos", "end").sortWithinPartitions("ctg_idx", "pos", "end")
+    ordered.select("value").write.text(f"{path}/records")
 
 
 def write_bed(iv: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandframe.operators import joins
 from strandframe.plans import cnv, gvcf, patch
+from strandframe.sources import text
 
 
 def test_short_texts_side_by_side():
@@ -43,6 +44,18 @@ def test_patching_works_out_kept_alleles_once(spark):
         assert plan.count("lambdafunction(") < 130  # 139 to 361 where each field works them out
 
 
+def _counted(spark, rows, column):
+    """``rows`` whose ``column`` (a string) goes through a function that counts its calls."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    return rows.withColumn(column, counted(column)), seen
+
+
 def test_cutting_alts_reads_its_input_once(spark):
     v = spark.createDataFrame([(i, "A", ["C", "G"], [".", "0.5"] if i % 2 else ["0.1", "0.2"]) for i in range(20)], "vid long, ref string, alt array<string>, AF array<string>")
     found = gvcf.trim_added_alts(v)
@@ -63,3 +76,14 @@ def test_levels_of_patching_are_compiled_and_haplotypes_come_together(spark):
     rows = lambda df: [(r.ctg, r.pos, r.alt) for r in df.collect()]
     assert sorted((r.hap, r.ctg, r.pos, r.alt) for r in both.collect()) == [(1, *x) for x in rows(one)] + [(2, *x) for x in rows(two)]
     assert len(rows(one)) == len(rows(two)) == 1
+
+
+def test_writing_calls_works_them_out_once(spark, tmp_path):
+    v = spark.createDataFrame([("b" if i % 2 else "a", i, i + 1, str(i)) for i in range(40)], "ctg string, pos long, end long, id string")
+    v = v.selectExpr("*", "'A' as ref", "array('C') as alt", "1.5D as qual", "cast(array() as array<string>) as filter", "map('DP', '3') as info", "array('GT') as format", "array(map('GT', '0/1')) as samples")
+    v, seen = _counted(spark, v, "id")
+    contigs = spark.createDataFrame([("b", 0), ("a", 1)], "ctg string, ctg_idx long")
+    text.write_vcf(v, spark.createDataFrame([("##x",)], "value string"), contigs, str(tmp_path / "v"))
+    assert seen.value == 40  # 80 where dealing rows to ranges reads what they are made of
+    got = [(r.ctg, r.pos) for r in text.read_vcf(spark, str(tmp_path / "v/records"))[0].orderBy("file_order").collect()]
+    assert got == [("b", i) for i in range(1, 40, 2)] + [("a", i) for i in range(0, 40, 2)]
