@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandframe.operators import joins
-from strandframe.plans import cnv, gvcf, patch
+from strandframe.plans import cnv, gvcf, patch, repeats
 from strandframe.sources import text
 
 
@@ -87,3 +87,18 @@ def test_writing_calls_works_them_out_once(spark, tmp_path):
     assert seen.value == 40  # 80 where dealing rows to ranges reads what they are made of
     got = [(r.ctg, r.pos) for r in text.read_vcf(spark, str(tmp_path / "v/records"))[0].orderBy("file_order").collect()]
     assert got == [("b", i) for i in range(1, 40, 2)] + [("a", i) for i in range(0, 40, 2)]
+
+
+def _documents_counted(spark, monkeypatch):
+    """Twelve documents' bases in place of those that the registered queries read, and how often they are worked out."""
+    rng = random.Random(3)
+    made = spark.createDataFrame([(i, "".join(rng.choices("ACGT", k=300 if i < 11 else 50))) for i in range(12)], "doc_id long, seq string")
+    made, seen = _counted(spark, made, "seq")
+    monkeypatch.setattr(repeats, "_dna", lambda *_: made)
+    return seen
+
+
+def test_local_match_query_works_out_its_bases_once(spark, monkeypatch):
+    seen = _documents_counted(spark, monkeypatch)
+    assert repeats.local_match(spark, "").count() > 0
+    assert seen.value == 12  # once for each round and side where calls and contigs are made of them again
