@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandframe.operators import joins
+from strandframe.operators.normalise import left_align
 from strandframe.plans import cnv, gvcf, patch, repeats
 from strandframe.sources import text
 
@@ -102,3 +103,17 @@ def test_local_match_query_works_out_its_bases_once(spark, monkeypatch):
     seen = _documents_counted(spark, monkeypatch)
     assert repeats.local_match(spark, "").count() > 0
     assert seen.value == 12  # once for each round and side where calls and contigs are made of them again
+
+
+def test_left_align_query_works_out_its_bases_once(spark, monkeypatch):
+    seen = _documents_counted(spark, monkeypatch)
+    assert repeats.left_align(spark, "").count() == 11
+    assert seen.value == 12  # once for each round and for the anchors where contigs are made of them again
+
+
+def test_left_align_reads_its_calls_once(spark):
+    v = spark.createDataFrame([(i, "a", 9, 11, "CA", ["C"]) for i in range(20)], "vid long, ctg string, pos long, end long, ref string, alt array<string>")
+    v, seen = _counted(spark, v, "ref")
+    chunks = spark.createDataFrame([("a", 0, "GTGAAAAAACAT")], "ctg string, chunk long, seq string")
+    assert {(r.vid, r.ref) for r in left_align(v, chunks).collect()} == {(i, "CA") for i in range(20)}
+    assert seen.value == 20  # 40 where the calls are worked out again when anchors are joined
