@@ -26,8 +26,8 @@ SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WORDS, ALL_WORDS = 800, 1 << 16, 100_000, 2_00
 #: Stretches of five words of a document that tell how short texts spread.
 STRETCHES = 100
 ORDER = 5
-#: Words whose scores a worker keeps.
-KEPT_WORDS = 200_000
+#: Words whose scores a worker keeps, and words that it scores at a time, which bounds the tables of n-grams beside them.
+KEPT_WORDS, SLICE_WORDS = 200_000, 4096
 
 
 def words_of(text: str) -> list[str]:
@@ -158,7 +158,7 @@ class Scorer:
             self.at, self.table = {}, self.table[:0]
             new = list({w for words in docs for w in words})
         self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-        self.table = np.vstack([self.table, self.model.score_words(new)])
+        self.table = np.vstack([self.table, *(self.model.score_words(new[i : i + SLICE_WORDS]) for i in range(0, len(new), SLICE_WORDS))])
         out = []
         for words in docs:
             rows = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))

@@ -115,3 +115,14 @@ def test_languages_of_long_texts_only_are_learned(spark):
 def test_tables_hold_a_language_s_own_n_grams_only():
     model = langid.Model({"a": Counter({"banana": 3}), "b": Counter({w: 1 for w in ("zebra", "cabbage", "house", "garden")})})
     assert len(model.tables[0][4][0]) < len(model.tables[1][4][0]) / 2
+
+
+def test_new_words_are_scored_in_slices():
+    """The tables of n-grams beside new words are bounded, however many a text brings."""
+    model, sizes = langid.Model({"a": Counter({"banana": 3, "ananas": 2}), "b": Counter({"zebra": 2, "azur": 1})}), []
+    whole = model.score_words
+    model.score_words = lambda words: sizes.append(len(words)) or whole(words)
+    words = [f"w{'abcdefghij'[i % 10]}{chr(97 + i // 10 % 26)}{chr(97 + i // 260)}" for i in range(6000)]
+    (total, n), = langid.Scorer(model)([words])
+    assert max(sizes) <= 4096 and sum(sizes) == len(set(words))
+    assert total == pytest.approx(whole(words).sum(0)) and n == sum(map(len, words)) + 6000
