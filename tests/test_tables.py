@@ -136,6 +136,44 @@ def test_similar_long_strings_meet_on_segments(spark):
         assert got == want and len(want) > 20
 
 
+def test_similar_strings_with_a_common_beginning(spark, monkeypatch):
+    """Of strings that share a segment only those go on that can be alike, also where one segment is dealt to several tasks, and none of these is lost."""
+    monkeypatch.setattr(joins, "_CELL", 530)
+    rng = random.Random(14)
+    some = lambda n, letters="ACGT": "".join(rng.choices(letters, k=n))
+    begin = some(63)
+    seqs = [begin + some(rng.randint(53, 55)) for _ in range(1100)]
+
+    def edited(s):
+        s = list(s)
+        for _ in range(rng.randint(1, 4)):
+            s[rng.randrange(len(s))] = rng.choice(["", "A", "GT"])
+        return "".join(s)
+
+    seqs = [*dict.fromkeys(seqs + [edited(s) for s in seqs[:100]] + [edited(some(20, "äöü漢 字") + begin) for _ in range(3)])]
+    rows = table(spark, list(enumerate(seqs)), "id long, seq string")
+    assert joins._segment_pairs(rows, 0.96, 32).count() < 5000  # 620,000 where all that share a segment go on
+    got = {(r.id, r.id_b): r.ratio for r in joins.similar_pairs(rows, 0.96, longest_short=32).collect()}
+    pairs = [(i, j) for i in range(len(seqs)) for j in range(i + 1, len(seqs))]
+    ratios = joins._similarities([seqs[i] for i, _ in pairs], [seqs[j] for _, j in pairs], 0.96)
+    assert got == {p: r for p, r in zip(pairs, ratios) if r >= 0.96} and len(got) > 50
+
+
+def test_similar_long_strings_of_any_letters_and_threshold(spark):
+    """Few segments and many, two bits of letters that are alike, lengths about the limit, ids that are texts."""
+    rng = random.Random(15)
+    for letters, t, longest in (("AE", 0.97, 20), ("abcdefgh", 0.9, 24), ("ACGT", 0.8, 30), ("ACGT", 0.6, 9), ("ACGT", 0.7, 8)):
+        seqs = []
+        for _ in range(25):
+            s = "".join(rng.choices(letters, k=rng.choice([longest - 2, longest + 1, 33, 60, 140])))
+            seqs += [s, s[1:] + rng.choice(letters), rng.choice(letters) + s[: len(s) // 2] + s[len(s) // 2 + 1 :], s + "".join(rng.choices(letters, k=len(s) // 9))]
+        seqs = [*dict.fromkeys(seqs)]
+        rows = table(spark, [(f"s{i:03}", s) for i, s in enumerate(seqs)], "id string, seq string")
+        got = {(r.id, r.id_b) for r in joins.similar_pairs(rows, t, longest_short=longest).collect()}
+        want = {(f"s{i:03}", f"s{j:03}") for i, x in enumerate(seqs) for j, y in enumerate(seqs) if i < j and joins.similarity(x, y, t) >= t}
+        assert got == want and len(want) > 25
+
+
 def test_similarity_with_a_threshold():
     rng = random.Random(13)
     for _ in range(300):
