@@ -20,6 +20,8 @@ from ..sources.text import INFO_NUMBERS
 _TYPES = {"ctg": "string", "pos": "long", "end": "long", "id": "string", "ref": "string", "alt": "array<string>", "qual": "double", "filter": "array<string>", "GT": "string", "GQ": "int", "DP": "int", "PS": "long", "PL": "array<int>", "AD": "array<int>", "info_dp": "int", "STR": "boolean", "RU": "string", "RPA": "array<int>", "ML_PROB": "double", "DELTA": "boolean", "info": "map<string,string>", "sample": "map<string,string>", "file_order": "long"}
 FIELDS = list(_TYPES)
 _OUT = [c for c in FIELDS if c != "file_order"]
+#: Bases whose calls go to one task together with the intervals that hold them.
+_WIDTH = 1 << 13
 
 
 def calls(v: DataFrame) -> DataFrame:
@@ -291,8 +293,10 @@ def merge_phased(hap1: DataFrame, hap2: DataFrame, unphased: DataFrame, phased:
     Filtered and REF calls give none. ``bed``: phased intervals, which set PS. ``numbers``:
     see ``join_haplotypes``. Samples lose PGT and PID, which tell of the phase before.
     """
-    both = joins.cogroup_pos({"v1": calls(hap1), "v2": calls(hap2), "v3": calls(unphased), "v0": calls(phased)})
-    both = intervals.annotate_point(both, intervals.merge(bed).withColumn("__ps", F.col("start") + 1), {"__ps": "ps"})
+    # calls move once, to the tasks that hold the intervals of their bin too; of haplotypes no other fields are read
+    one, two = (calls(v.drop("info", "sample")) for v in (hap1, hap2))
+    both = joins.cogroup_pos({"v1": one, "v2": two, "v3": calls(unphased), "v0": calls(phased)}, width=_WIDTH)
+    both = intervals.annotate_point(both, intervals.merge(bed).withColumn("__ps", F.col("start") + 1), {"__ps": "ps"}, _WIDTH, "__bin")
     called = lambda c: F.coalesce(F.col(f"{c}.ref").isNotNull() & (F.size(f"{c}.filter") == 0) & F.col(f"{c}.GT").isNotNull() & (F.col(f"{c}.GT") != "0/0"), F.lit(False))
     equal = called("v0") & F.exists("v0.alt", lambda x: F.length(x) == F.length("v0.ref"))
     delta = lambda c: F.coalesce(F.col(f"{c}.DELTA"), F.lit(False))

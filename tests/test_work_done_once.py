@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from strandframe.operators import joins
+from strandframe.operators import intervals, joins
 from strandframe.operators.normalise import left_align
 from strandframe.plans import cnv, gvcf, patch, repeats
 from strandframe.sources import text
@@ -79,6 +79,25 @@ def test_levels_of_patching_are_compiled_and_haplotypes_come_together(spark):
     assert len(rows(one)) == len(rows(two)) == 1
 
 
+def test_calls_that_meet_are_moved_once(spark):
+    """One shuffle for all inputs of a position, which serves the intervals that hold it too."""
+    schema = "ctg string, pos long, ref string, alt array<string>, GT string, DELTA boolean, file_order long"
+    v = spark.createDataFrame([("a", 1, "A", ["C"], "1", True, 1), (None, 1, "A", ["G"], "1", True, 2)], schema)
+    bed = spark.createDataFrame([("a", 0, 9)], "ctg string, start long, end long")
+    moves = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    both = joins.cogroup_pos({c: v for c in "abcd"})
+    merged = patch.merge_phased(v, v, v, v, bed)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert moves(both) == 1  # 10 where inputs are joined one after the other
+        assert moves(merged) == 2 + moves(intervals.merge(bed))  # the calls, and the intervals to them
+        assert sorted((r.ctg or "", r.pos, *(getattr(r, c) is not None for c in "abcd")) for r in both.collect()) == [("", 1, *(c == d for d in "abcd")) for c in "dcba"] + [("a", 1, True, True, True, True)]
+        assert [(r.ctg, r.PS) for r in merged.collect() if r.ctg] == [("a", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_writing_calls_works_them_out_once(spark, tmp_path):
     v = spark.createDataFrame([("b" if i % 2 else "a", i, i + 1, str(i)) for i in range(40)], "ctg string, pos long, end long, id string")
     v = v.selectExpr("*", "'A' as ref", "array('C') as alt", "1.5D as qual", "cast(array() as array<string>) as filter", "map('DP', '3') as info", "array('GT') as format", "array(map('GT', '0/1')) as samples")
