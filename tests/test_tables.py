@@ -278,6 +278,46 @@ def test_joins(spark):
     assert [r.ctg for r in joins.check_contigs(table(spark, [("a", 1), ("b", 2)], "ctg string, length long"), table(spark, [("a", 1), ("b", 3)], "ctg string, length long")).collect()] == ["b"]
 
 
+def test_opposite_phase_over_the_edges_of_bins(spark):
+    """Runs of rows within bins, at their edges and over several of them, held against a fold; the calls are read once."""
+    rng = random.Random(16)
+    bases = {c: "".join(rng.choices("ACGT", k=700)) for c in "ab"}
+    rows = []
+    for ctg in "ab":
+        at = rng.randint(0, 5)
+        while at < 640:
+            ref = bases[ctg][at : at + rng.choice([1, 1, 1, 2, 4])]
+            alt = [ref[0] + "".join(rng.choices("ACGT", k=rng.randint(0, 4)))] + ["T"] * (rng.random() < 0.1)
+            rows.append((f"v{rng.random()}", ctg, at, at + len(ref), ref, alt, rng.choice(["1|0", "0|1", "1|0", "0|1", "0/1", None])))
+            at += rng.choice([0, 1, 2, 5, 9, 10, 11, 12, 40])
+    want, gap = {}, 10
+    for ctg in "ab":
+        run, last = [], None
+        for r in [*sorted((r for r in rows if r[1] == ctg), key=lambda r: (r[2], r[0])), None]:
+            meets = r and last and len(r[5]) == len(last[5]) == 1 and {r[6], last[6]} == {"1|0", "0|1"} and r[2] - last[2] <= gap and len(last[4]) <= min(len(r[5][0]), len(last[5][0]))
+            if not meets:
+                for x, y in zip(run[::2], [*run[1::2], None]):
+                    between = bases[ctg][x[3] : y[2] + 1] if y else ""
+                    ref = x[4] + between
+                    want[x[0]] = (x[2], ref, [x[5][0] + between, ref[:-1] + y[5][0]], "1|1") if y else (x[2], x[4], x[5], x[6])
+                run = []
+            run, last = [*run, r], r
+    chunks = table(spark, [(c, k, s[16 * k : 16 * k + 16]) for c, s in bases.items() for k in range(44)], "ctg string, chunk long, seq string")
+    v = table(spark, rows, "vid string, ctg string, pos long, end long, ref string, alt array<string>, GT string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    for width in (3, 16, 64, 1 << 22):
+        seen.value = 0
+        got = sequence.merge_opposite_phase(v.withColumn("ref", counted("ref")), chunks, gap, 16, width).collect()
+        assert {r.vid: (r.pos, r.ref, r.alt, r.GT) for r in got} == want and len(got) == len(want) < len(rows)
+        assert seen.value == len(rows)  # twice as many where what follows works them out again
+
+
 def test_merge_opposite_phase(spark):
     chunks = table(spark, [("a", 0, "NNNNNNNNNNACGTCTCAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA")], "ctg string, chunk long, seq string")
     rows = [(1, "a", 10, 11, "A", ["ATTT"], "1|0"), (2, "a", 14, 15, "C", ["CGG"], "0|1"), (3, "a", 16, 17, "C", ["CA"], "1|0"), (4, "a", 40, 41, "C", ["CA"], "0|1"), (5, "b", 41, 42, "C", ["CA"], "1|0"), (6, "c", 1, 4, "CAA", ["C"], "1|0"), (7, "c", 2, 3, "A", ["AT"], "0|1"), (8, "c", 3, 4, "A", ["AT", "AG"], "1|0")]
